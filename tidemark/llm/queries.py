@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, line_dedup
+from tidemark.llm import bpe, decontaminate, embedding_links, line_dedup, secret_scan, url_filter
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -22,11 +22,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules that the contract of op4 fixes: decision, host, path.
+URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages.select("page_id", "url"), url_filter.link_edges(pages), URL_RULES)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [*secret_scan.BASE_RULES, *secret_scan.MORE_RULES]
+    out = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), rules)
+    n_base = len(secret_scan.BASE_RULES)
+    names = F.array(*[F.lit(r.name) for r in rules])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["rule"]), s["begin"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda i: F.size(F.filter("spans", lambda s: s["rule"] == i)).cast("long")
+    base = _sha(joined(F.filter("spans", lambda s: s["rule"] < n_base)))
+    return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), base.alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=8)
     items = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -41,12 +65,41 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"), _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {"op5_line_dedup": op5_line_dedup, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
+QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
 
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_RULES = ", ".join(f"('{d}', '{h}', '{p}')" for d, h, p in URL_RULES)
+
 ORACLE_SQL = {
+    "op1_embedding_near_dedup": """
+WITH RECURSIVE u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                     WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                       AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+     r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+     n AS (SELECT a, count(*) AS n FROM p GROUP BY a), c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op4_url_filter": rf"""
+WITH RECURSIVE rules AS (SELECT * FROM (VALUES {_RULES}) AS t(decision, rule_host, rule_path)),
+     raw AS (SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM pages
+             UNION ALL SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages),
+     target AS (SELECT url, replace(t, '&amp;', '&') AS t FROM raw),
+     links AS (SELECT url, CASE WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t WHEN contains(t, '://') THEN t END AS target FROM target),
+     urls AS (SELECT url FROM pages UNION SELECT target FROM links),
+     keys AS (SELECT url, CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS k FROM urls),
+     e AS (SELECT a.k AS a, b.k AS b FROM links l JOIN keys a ON l.url = a.url JOIN keys b ON l.target = b.url WHERE a.k <> b.k),
+     ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+     nodes AS (SELECT DISTINCT k, regexp_extract(k, '(?s)^[^/?#]*') AS host, regexp_extract(k, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM keys WHERE k IS NOT NULL),
+     fits AS (SELECT k, rule_host || rule_path AS rule, decision, row_number() OVER (PARTITION BY k ORDER BY length(rule_host || rule_path) DESC, decision, rule_host || rule_path) AS i
+              FROM nodes JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+     ruled AS (SELECT k, rule, decision FROM fits WHERE i = 1),
+     reach AS (SELECT DISTINCT a, a AS b FROM ways UNION SELECT r.a, ways.b FROM reach r JOIN ways ON r.b = ways.a),
+     spread AS (SELECT reach.a AS k, min(decision) AS inherited FROM reach JOIN ruled ON reach.b = ruled.k GROUP BY reach.a)
+SELECT page_id, coalesce(nodes.host, '') AS host, coalesce(nodes.path, '') AS path, ruled.rule, coalesce(ruled.decision, spread.inherited, 'allow') AS verdict
+FROM pages LEFT JOIN keys ON pages.url = keys.url LEFT JOIN nodes ON keys.k = nodes.k LEFT JOIN ruled ON ruled.k = keys.k LEFT JOIN spread ON spread.k = keys.k""",
     "op5_line_dedup": f"""
 WITH l AS (SELECT doc_id, pos, ls[pos] AS line, translate(trim(ls[pos], {SPACE}), '{UPPER}', '{LOWER}') AS k
            FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos
