@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embedding_links, line_dedup, secret_scan, url_filter
+from tidemark.llm import bpe, decontaminate, embedding_links, line_dedup, ngram_join, quality, secret_scan, url_filter
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -30,6 +30,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), size=5, percent=75)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return url_filter.judge(pages.select("page_id", "url"), url_filter.link_edges(pages), URL_RULES)
@@ -51,6 +55,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), base.alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def _remainder(modulus: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    machine = quality.train(docs, labels.filter(_remainder(3) != 1))
+    out = quality.score(docs.select("doc_id", "text", "n_chars"), machine)
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=8)
     items = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -65,7 +80,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"), _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
+QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jaccard": op2_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op8_quality": op8_quality, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
 
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,6 +97,16 @@ WITH RECURSIVE u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embedd
      n AS (SELECT a, count(*) AS n FROM p GROUP BY a), c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
 FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
+    "op2_ngram_jaccard": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS t FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+     p AS (SELECT c.a, c.b FROM c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+     r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+     m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op4_url_filter": rf"""
 WITH RECURSIVE rules AS (SELECT * FROM (VALUES {_RULES}) AS t(decision, rule_host, rule_path)),
      raw AS (SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM pages
