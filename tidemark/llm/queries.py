@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embedding_links, line_dedup, ngram_join, quality, secret_scan, url_filter
+from tidemark.llm import bpe, decontaminate, embedding_links, html_text, line_dedup, ngram_join, quality, secret_scan, url_filter
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -34,6 +34,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), size=5, percent=75)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return url_filter.judge(pages.select("page_id", "url"), url_filter.link_edges(pages), URL_RULES)
@@ -80,7 +85,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"), _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jaccard": op2_ngram_jaccard, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op8_quality": op8_quality, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
+QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jaccard": op2_ngram_jaccard, "op3_html_text": op3_html_text, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op8_quality": op8_quality, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
 
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
