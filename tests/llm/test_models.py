@@ -8,6 +8,7 @@ import pytest
 
 from tests.llm.test_filters import reach
 from tidemark.llm import ngram_join, quality, queries
+from tidemark.llm.common import pack_sorted, unpack_sorted
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -51,7 +52,7 @@ def test_ngram_join_empty(spark):
 
 def test_packed_numbers():
     values = np.sort(np.random.default_rng(1).integers(0, 2**56, 999, dtype=np.uint64))
-    assert (ngram_join._unpack(ngram_join._pack(values), 999) == values).all()
+    assert (unpack_sorted(pack_sorted(values)) == values).all()
 
 
 def test_quality_held_out(spark):

@@ -22,15 +22,15 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder, in a directory for each value of ``by``, and read it back.
 
     This cuts lineage the way checkpoint() does, survives lost executors (the files are in shared storage) and is
     smaller than a checkpoint of rows. The files go when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
@@ -160,6 +160,24 @@ def words(column) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(begins, offsets))
 
 
-def merge_bytes(batches):
-    """Arrow batches as they come, skipping empty ones."""
-    return (b for b in batches if b.num_rows)
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished jobs now, and not when the driver happens to collect garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted 64-bit numbers as differences, byte by byte: a byte's place is kept only as far as a difference needs it."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    planes = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([planes]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = data[0]
+    n = (len(data) - 1) // planes
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :planes] = np.frombuffer(data, np.uint8, planes * n, 1).reshape(planes, n).T
+    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, join_small, mix, partition_labels, shuffle_width, stored, words
+from tidemark.llm.common import bounded_batches, join_small, mix, pack_sorted, partition_labels, shuffle_width, stored, unpack_sorted, words
 from tidemark.llm.components import components
 
 #: A token of more documents than this is frequent and is indexed in pairs.
@@ -78,20 +78,6 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary")
 
 
-def _pack(sorted_values: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte by byte: a byte's place is kept only as far as any difference needs it."""
-    steps = np.diff(sorted_values, prepend=np.uint64(0))
-    planes = max(1, (int(steps.max()).bit_length() + 7) // 8)
-    return bytes([planes]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
-
-
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    planes = data[0]
-    steps = np.zeros((n, 8), np.uint8)
-    steps[:, :planes] = np.frombuffer(data, np.uint8, planes * n, 1).reshape(planes, n).T
-    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
-
-
 _PACKED = "part int, block long, n int, tokens binary, docs binary"
 
 
@@ -114,7 +100,7 @@ def _packed_tokens(texts: DataFrame, size: int, width: int) -> DataFrame:
             starts = np.searchsorted(tokens, np.array([(i << TOKEN_BITS) // width for i in range(width)], dtype=np.uint64))
             ends = np.append(starts[1:], len(tokens))
             used = np.flatnonzero(ends > starts)
-            rows = [(labels[i], first + number, ends[i] - starts[i], _pack(tokens[starts[i] : ends[i]]), of[starts[i] : ends[i]].tobytes()) for i in used]
+            rows = [(labels[i], first + number, ends[i] - starts[i], pack_sorted(tokens[starts[i] : ends[i]]), of[starts[i] : ends[i]].tobytes()) for i in used]
             rows.append((labels[(first + number) % width], first + number, -1, batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), counts.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "block", "n", "tokens", "docs"])
 
@@ -135,7 +121,7 @@ def _shared_tokens(packed: DataFrame, width: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([labels[block % width]], pa.int32()), pa.array([block]), pa.array([n], pa.int32()), pa.array([a]), pa.array([b])], names)
                 else:
                     blocks.append(np.full(n, block, np.int64))
-                    tokens.append(_unpack(a, n))
+                    tokens.append(unpack_sorted(a))
                     docs.append(np.frombuffer(b, np.uint16))
         if not tokens:
             return
@@ -154,7 +140,7 @@ def _shared_tokens(packed: DataFrame, width: int) -> DataFrame:
         edges = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
         for lo, hi in zip(edges, np.append(edges[1:], len(block)), strict=True):
             b = int(block[lo])
-            yield pa.RecordBatch.from_arrays([pa.array([labels[b % width]], pa.int32()), pa.array([b]), pa.array([hi - lo], pa.int32()), pa.array([_pack(token[lo:hi])]), pa.array([doc[lo:hi].tobytes() + frequency[lo:hi].tobytes()])], names)
+            yield pa.RecordBatch.from_arrays([pa.array([labels[b % width]], pa.int32()), pa.array([b]), pa.array([hi - lo], pa.int32()), pa.array([pack_sorted(token[lo:hi])]), pa.array([doc[lo:hi].tobytes() + frequency[lo:hi].tobytes()])], names)
 
     return packed.repartition(width, "part").mapInArrow(run, _PACKED)
 
@@ -202,7 +188,7 @@ def _sets(shared: DataFrame, width: int, percent: int) -> DataFrame:
                 if n < 0:
                     ids, counts = np.frombuffer(a, "<i8"), np.frombuffer(b, np.int32)
                 else:
-                    token.append(_unpack(a, n))
+                    token.append(unpack_sorted(a))
                     doc.append(np.frombuffer(b, np.uint16, n))
                     frequency.append(np.frombuffer(b, np.uint32, n, 2 * n))
             token, doc, frequency = np.concatenate(token), np.concatenate(doc), np.concatenate(frequency)

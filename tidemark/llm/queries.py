@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embedding_links, html_text, line_dedup, ngram_join, quality, secret_scan, url_filter
+from tidemark.llm import bpe, decontaminate, embedding_links, html_text, katz, line_dedup, ngram_join, quality, secret_scan, url_filter
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -49,6 +49,14 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
+def _remainder(modulus: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op6_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_table(spark, sf_dir, "documents"), _remainder(10) == 0)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*secret_scan.BASE_RULES, *secret_scan.MORE_RULES]
     out = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), rules)
@@ -60,10 +68,6 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), base.alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-def _remainder(modulus: int) -> F.Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
-
-
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     machine = quality.train(docs, labels.filter(_remainder(3) != 1))
@@ -85,7 +89,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha(bpe.ids_text(F.col("ids"))).alias("ids_sha256"), _sha(F.col("decoded")).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jaccard": op2_ngram_jaccard, "op3_html_text": op3_html_text, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op7_secret_scan": op7_secret_scan, "op8_quality": op8_quality, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
+QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jaccard": op2_ngram_jaccard, "op3_html_text": op3_html_text, "op4_url_filter": op4_url_filter, "op5_line_dedup": op5_line_dedup, "op6_katz_lm": op6_katz_lm, "op7_secret_scan": op7_secret_scan, "op8_quality": op8_quality, "op9_decontamination": op9_decontamination, "op10_bpe": op10_bpe}
 
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
