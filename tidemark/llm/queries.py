@@ -49,12 +49,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 
-def _remainder(modulus: int) -> F.Column:
+def crc_remainder(modulus: int) -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
 def op6_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(_table(spark, sf_dir, "documents"), _remainder(10) == 0)
+    return katz.score(_table(spark, sf_dir, "documents"), crc_remainder(10) == 0)
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,9 +70,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    machine = quality.train(docs, labels.filter(_remainder(3) != 1))
+    machine = quality.train(docs, labels.filter(crc_remainder(3) != 1))
     out = quality.score(docs.select("doc_id", "text", "n_chars"), machine)
-    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", (crc_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
