@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,11 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch to or from a Python worker can hold, however long the texts are."""
+    """Bound what one Arrow batch to or from a Python worker can hold, however long the texts are, and let workers that
+    share this machine's disk import the package from where the driver has it."""
+    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{paths}{os.pathsep}{root}" if paths else root
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
