@@ -14,8 +14,9 @@ A token is a shingle's hash. Texts with equal sets are one class and take part o
 3. Linking. Within a signature's group everything is first compared with one leader, then one representative of each
    component with another's, and components are merged, so that a large group of near copies costs a comparison or two
    for each member and never all its pairs.
-4. What is left: members of a group in different components are compared in full. Every pair that shares a signature is
-   thus either compared or already connected, and every link connects.
+4. What is left: members of a group in different components are compared, first by size and by bitmaps that bound the
+   difference of two sets from below, then in full. Every pair that shares a signature is thus compared, known to be too
+   different, or already connected, and every link connects.
 
 Nulls and ties: a null or empty text, or one without words, has no shingles and links with nothing; a text of fewer words
 than a shingle has one, the whole sequence. A null doc_id links with nothing and has a null component. Rows that repeat a
@@ -39,6 +40,8 @@ FREQUENT = 100
 TOKEN_BITS = 56
 #: Tokens of a size range for each class of frequent tokens.
 CLASS_SHARE = 12
+#: 64-bit words of a set's bitmap.
+BITMAP_WORDS = 8
 #: Rounds in which representatives of components are compared before the rest is compared in full.
 ROUNDS = 3
 
@@ -175,8 +178,16 @@ def _signatures(n: int, least: int, tokens: np.ndarray, frequency: np.ndarray) -
     return np.concatenate(out)
 
 
+def _bitmap(tokens: np.ndarray) -> list[int]:
+    """For each bit whether an odd number of tokens hash to it. Two bitmaps differ in at most as many bits as two sets
+    differ in tokens."""
+    odd = np.bincount((mix(tokens) >> np.uint64(64 - 9)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _sets(shared: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows (doc_id, n, tokens, signatures) of the sets that can link at all; tokens: the shared ones, sorted."""
+    """Rows (doc_id, n, own, bits, tokens, signatures) of the sets that can link at all; tokens: the shared ones, sorted;
+    own: the number of the others; bits: the bitmap of the shared ones."""
 
     def run(batches):
         import pyarrow as pa
@@ -200,7 +211,7 @@ def _sets(shared: DataFrame, width: int, percent: int) -> DataFrame:
                 least = -(-n * percent // 100)
                 if m and m >= least:
                     part = slice(edges[i], edges[i + 1])
-                    yield int(ids[i]), n, token[part].tobytes(), _signatures(n, least, token[part], frequency[part]).astype(np.int64)
+                    yield int(ids[i]), n, n - m, _bitmap(token[part]), token[part].tobytes(), _signatures(n, least, token[part], frequency[part]).astype(np.int64)
 
         held: dict[int, list] = {}
         for batch in batches:
@@ -209,10 +220,11 @@ def _sets(shared: DataFrame, width: int, percent: int) -> DataFrame:
         for block in sorted(held):
             out = list(rows(held.pop(block)))
             for at in range(0, len(out), 256):
-                ids, ns, tokens, signatures = zip(*out[at : at + 256], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(tokens, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))], ["doc_id", "n", "tokens", "signatures"])
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out[at : at + 256], strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "own", "bits", "tokens", "signatures"])
 
-    return shared.repartition(width, "part").mapInArrow(run, "doc_id long, n long, tokens binary, signatures array<bigint>")
+    return shared.repartition(width, "part").mapInArrow(run, "doc_id long, n long, own long, bits array<bigint>, tokens binary, signatures array<bigint>")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -285,9 +297,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
 
     rows = open_groups(entries, labels)
     if not rows.isEmpty():
-        rows = rows.join(sets.select("doc_id", "n"), "doc_id")
+        rows = rows.join(sets.select("doc_id", "n", "own", "bits"), "doc_id")
         x, y = rows.alias("x"), rows.alias("y")
         fits = (F.col("x.label") < F.col("y.label")) & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        # Linked sets differ in few tokens: in those that only one set has at all, and in as many others as bits differ.
+        differ = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITMAP_WORDS)), F.col("x.own") + F.col("y.own"))
+        fits &= differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
         pairs = x.join(y, (F.col("x.signature") == F.col("y.signature")) & fits)
         pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
         found = stored(_links(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
