@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 #: White space as the contracts define it: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: A side of a join is broadcast only when it has been counted and holds no more rows than this.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 #: Bytes in one Arrow batch: texts can be long, so batches are bounded by size and not by rows alone.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
+#: The same for operators that pack a batch's words into one block, whose dictionaries pay only if they are large.
+BLOCK_BYTES = "16m"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,16 +41,34 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: str = BATCH_BYTES) -> None:
     """Bound what one Arrow batch to or from a Python worker can hold, however long the texts are, and let workers that
     share this machine's disk import the package from where the driver has it."""
     root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = f"{paths}{os.pathsep}{root}" if paths else root
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
 
+def lean(run):
+    """A function over Arrow batches that, when done, returns to the system the memory that its worker would keep while it
+    waits for the next task. Idle workers count towards an executor's memory just like busy ones."""
+
+    def whole(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
     """Join with ``small``, which must be stored: broadcast if its counted rows are few, otherwise a shuffled join."""
     return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
@@ -169,9 +189,12 @@ def words(column) -> tuple[np.ndarray, np.ndarray]:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished jobs now, and not when the driver happens to collect garbage."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first collection lets go of, the second finds
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def pack_sorted(values: np.ndarray) -> bytes:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, stored, text_bytes, word_bounds
+from tidemark.llm.common import bounded_batches, lean, stored, text_bytes, word_bounds
 
 #: Windows that one automaton holds; a larger benchmark is scanned for in as many passes as it needs.
 MAX_WINDOWS = 2_000_000
@@ -46,7 +46,7 @@ def item_windows(bench: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(ids, pa.int64())], ["window", "item_id"])
 
     rows = bench.select(F.col("item_id").cast("long"), "text").filter(F.col("item_id").isNotNull())
-    return rows.mapInArrow(windows, "window binary, item_id long").distinct()
+    return rows.mapInArrow(lean(windows), "window binary, item_id long").distinct()
 
 
 _automata: dict[int, tuple] = {}
@@ -112,7 +112,7 @@ def _pass(docs: DataFrame, windows: list) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, t) for x, t in zip((n_words, hits, items, spans), schema.types[2:], strict=True))], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_hash"), "text")
-    return rows.mapInArrow(scan, SCHEMA)
+    return rows.mapInArrow(lean(scan), SCHEMA)
 
 
 def find_contamination(docs: DataFrame, bench: DataFrame, size: int = 8, max_windows: int = MAX_WINDOWS) -> DataFrame:

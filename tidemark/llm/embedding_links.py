@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, stored
+from tidemark.llm.common import bounded_batches, lean, stored
 from tidemark.llm.components import components
 
 #: Vectors a cell should hold, most pivots, and the rows of a block of a cell's own vectors and of its members.
@@ -54,7 +54,7 @@ def _distinct(vectors: DataFrame, dtype: str) -> tuple[DataFrame, DataFrame]:
             data = [v.tobytes() for v in values.reshape(batch.num_rows, width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["vec_id", "data"])
 
-    rows = rows.mapInArrow(pack, "vec_id long, data binary").select("vec_id", F.xxhash64("data").alias("h1"), F.xxhash64(F.lit(1), "data").alias("h2"), "data")
+    rows = rows.mapInArrow(lean(pack), "vec_id long, data binary").select("vec_id", F.xxhash64("data").alias("h1"), F.xxhash64(F.lit(1), "data").alias("h2"), "data")
     rows = stored(rows.withColumn("same", F.struct("h1", "h2")).drop("h1", "h2"), "vectors")
     ids = rows.select("vec_id", "same").distinct().groupBy("same").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     data = rows.groupBy("same").agg(F.first("data").alias("data"))
@@ -133,7 +133,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
                 np.maximum.at(most, home, angles[np.arange(len(home)), home])
         yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(counts), pa.array(most)], ["cell", "n", "r"])
 
-    found = {r.cell: (r.n, r.r) for r in distinct.select("data").mapInArrow(radii, "cell int, n long, r double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("r").alias("r")).collect()}
+    found = {r.cell: (r.n, r.r) for r in distinct.select("data").mapInArrow(lean(radii), "cell int, n long, r double").groupBy("cell").agg(F.sum("n").alias("n"), F.max("r").alias("r")).collect()}
     radius = np.array([found.get(c, (0, 0.0))[1] if found.get(c, (0, 0))[0] else -10.0 for c in range(len(pivots))])
     own_blocks = np.array([-(-found.get(c, (0, 0))[0] // OWN_BLOCK) for c in range(len(pivots))])
 
@@ -147,7 +147,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
                 counts += _visits(angles, home, radius, reach).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(counts)), pa.int32()), pa.array(counts)], ["cell", "n"])
 
-    visits = {r.cell: r.n for r in distinct.select("data").mapInArrow(counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
+    visits = {r.cell: r.n for r in distinct.select("data").mapInArrow(lean(counted), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     member_blocks = np.array([-(-visits.get(c, 0) // MEMBER_BLOCK) for c in range(len(pivots))])
     first_task = np.concatenate([[0], np.cumsum(own_blocks * member_blocks)])
 
@@ -201,7 +201,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
         some = np.flatnonzero(n)
         return pa.table([pa.array(np.concatenate([a[some], ids[tied]])), pa.array(np.concatenate([a[some], ids[label[tied]]])), pa.array(np.concatenate([n[some], np.zeros(len(tied), np.int64)]))], schema=out)
 
-    rows = distinct.select("id", "copies", "data").mapInArrow(replicate, "task long, own boolean, id long, copies long, data binary")
+    rows = distinct.select("id", "copies", "data").mapInArrow(lean(replicate), "task long, own boolean, id long, copies long, data binary")
     found = stored(rows.groupBy("task").applyInArrow(join, "a long, b long, n long"), "vector-links")
     links = found.filter("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     groups = components(found.filter("n = 0").select("a", "b")).withColumnRenamed("node", "id")

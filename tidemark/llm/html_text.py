@@ -22,7 +22,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, join_small, stored
+from tidemark.llm.common import bounded_batches, join_small, lean, stored
 from tidemark.llm.url_filter import host
 
 #: A subtree is template if it recurs on so many pages of its host with different texts, and on this share of them.
@@ -229,7 +229,7 @@ def parse(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], ["page_id", "row_hash", "url", "texts", "owners", "parents", "hashes", "page_text"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))).alias("row_hash"), "url", "html")
-    return rows.mapInArrow(run, _PARSED)
+    return rows.mapInArrow(lean(run), _PARSED)
 
 
 def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -265,4 +265,4 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
                 out.append("\n\n".join(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
-    return rows.select("page_id", "url", "texts", "owners", "parents", "hashes", "gone").mapInArrow(run, "page_id long, url string, text string")
+    return rows.select("page_id", "url", "texts", "owners", "parents", "hashes", "gone").mapInArrow(lean(run), "page_id long, url string, text string")

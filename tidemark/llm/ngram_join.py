@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, join_small, mix, pack_sorted, partition_labels, shuffle_width, stored, unpack_sorted, words
+from tidemark.llm.common import BLOCK_BYTES, bounded_batches, join_small, lean, mix, pack_sorted, partition_labels, shuffle_width, stored, unpack_sorted, words
 from tidemark.llm.components import components
 
 #: A token of more documents than this is frequent and is indexed in pairs.
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary())], ["doc_id", "n_shingles", "digest"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), "doc_id long, n_shingles long, digest binary")
 
 
 _PACKED = "part int, block long, n int, tokens binary, docs binary"
@@ -107,7 +107,7 @@ def _packed_tokens(texts: DataFrame, size: int, width: int) -> DataFrame:
             rows.append((labels[(first + number) % width], first + number, -1, batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), counts.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "block", "n", "tokens", "docs"])
 
-    return texts.mapInArrow(run, _PACKED)
+    return texts.mapInArrow(lean(run), _PACKED)
 
 
 def _shared_tokens(packed: DataFrame, width: int) -> DataFrame:
@@ -145,7 +145,7 @@ def _shared_tokens(packed: DataFrame, width: int) -> DataFrame:
             b = int(block[lo])
             yield pa.RecordBatch.from_arrays([pa.array([labels[b % width]], pa.int32()), pa.array([b]), pa.array([hi - lo], pa.int32()), pa.array([pack_sorted(token[lo:hi])]), pa.array([doc[lo:hi].tobytes() + frequency[lo:hi].tobytes()])], names)
 
-    return packed.repartition(width, "part").mapInArrow(run, _PACKED)
+    return packed.repartition(width, "part").mapInArrow(lean(run), _PACKED)
 
 
 def _signatures(n: int, least: int, tokens: np.ndarray, frequency: np.ndarray) -> np.ndarray:
@@ -224,7 +224,7 @@ def _sets(shared: DataFrame, width: int, percent: int) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out[at : at + 256], strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "own", "bits", "tokens", "signatures"])
 
-    return shared.repartition(width, "part").mapInArrow(run, "doc_id long, n long, own long, bits array<bigint>, tokens binary, signatures array<bigint>")
+    return shared.repartition(width, "part").mapInArrow(lean(run), "doc_id long, n long, own long, bits array<bigint>, tokens binary, signatures array<bigint>")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -241,7 +241,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             linked = pa.array(100 * common >= percent * (na + nb - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(linked)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(lean(run), "a long, b long")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BLOCK_BYTES)
     width = shuffle_width(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prints = stored(fingerprints(docs, size), "fingerprints")

@@ -22,11 +22,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, text_bytes, word_bounds, words
+from tidemark.llm.common import bounded_batches, lean, text_bytes, word_bounds, words
 
 BUCKETS, RANK, MOST_LABELLED, EPOCHS, RATE = 1 << 15, 8, 8000, 6, 0.02
 #: Texts whose inputs are held at once, by bytes.
-_PART = 1 << 22
+_PART = 1 << 20
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mach
 
     bounded_batches(docs.sparkSession)
     rows = training_rows(docs, labels, most).select("text", "length", F.col("quality").cast("int"), F.xxhash64("doc_id", "text").alias("order"))
-    table = rows.mapInArrow(prepare, "bucket binary, value binary, stats binary, quality int, order long").toArrow().sort_by([("order", "ascending"), ("quality", "ascending")])
+    table = rows.mapInArrow(lean(prepare), "bucket binary, value binary, stats binary, quality int, order long").toArrow().sort_by([("order", "ascending"), ("quality", "ascending")])
     bucket = [np.frombuffer(b, np.int32) for b in table["bucket"].to_pylist()]
     value = np.concatenate([np.frombuffer(b, np.float32) for b in table["value"].to_pylist()] or [np.zeros(0, np.float32)]).astype(np.float64)
     stats = np.array([np.frombuffer(b, np.float64) for b in table["stats"].to_pylist()]).reshape(-1, N_STATS)
@@ -203,4 +203,4 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(got)], [*part.schema.names[:width], "score"])
                 at = end
 
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(lean(run), T.StructType([*fields, T.StructField("score", T.DoubleType())]))
