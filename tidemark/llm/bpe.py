@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import bounded_batches, lean
 
 #: How the public vocabulary files split a text before merging (a fixed value of their format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Chunks of text whose tokens a worker remembers; the memory is emptied when full.
-REMEMBERED = 250_000
+#: Chunks of text whose tokens a worker remembers, and how long they may be; the memory is emptied when full
+#: and at the end of a task, so that an idle worker holds little.
+REMEMBERED, LONGEST_REMEMBERED = 120_000, 40
 
 
 def byte_characters() -> dict[str, int]:
@@ -35,29 +36,36 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def vocabulary(spec: dict) -> list[bytes]:
+    """The bytes of each id of a tokenizer file."""
+    of, special = byte_characters(), {x["content"]: x["id"] for x in spec["added_tokens"]}
+    vocab = spec["model"]["vocab"]
+    bytes_of = [b""] * (max([*vocab.values(), *special.values()]) + 1)
+    for token, i in vocab.items():
+        bytes_of[i] = bytes(of[c] for c in token)
+    for token, i in special.items():
+        bytes_of[i] = token.encode()
+    return bytes_of
+
+
 class Merges:
     """A merge list with its vocabulary, read from a tokenizer file in JSON."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        of = byte_characters()
-        vocab = spec["model"]["vocab"]
+        of, vocab = byte_characters(), spec["model"]["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.bytes_of = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
-        for token, i in vocab.items():
-            self.bytes_of[i] = bytes(of[c] for c in token)
-        for token, i in self.special.items():
-            self.bytes_of[i] = token.encode()
+        self.bytes_of = vocabulary(spec)
         self.first = [0] * 256
         for character, b in of.items():
             self.first[b] = vocab[character]
-        self.rules: dict[int, tuple[int, int]] = {}
+        self.rules: dict[int, int] = {}  # a pair's rank, and in the lower 20 bits what it makes
         self.parts: dict[int, tuple[int, int]] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             a, b, made = vocab[left], vocab[right], vocab[left + right]
-            self.rules.setdefault(a << 20 | b, (rank, made))
+            self.rules.setdefault(a << 20 | b, rank << 20 | made)
             self.parts.setdefault(made, (a, b))
         self.longest = max(map(len, self.bytes_of))
         self.lookahead = self._lookahead()
@@ -85,19 +93,20 @@ class Merges:
 
     def _merge(self, ids: list[int]) -> list[int]:
         rules = self.rules.get
-        none = (1 << 60, 0)
+        none = 1 << 60
         found = [rules(a << 20 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
         while found:
             best = min(found)
-            if best is none:
+            if best == none:
                 break
             i = found.index(best)
-            ids[i : i + 2] = [best[1]]
+            made = best & 0xFFFFF
+            ids[i : i + 2] = [made]
             del found[i]
             if i:
-                found[i - 1] = rules(ids[i - 1] << 20 | ids[i], none)
+                found[i - 1] = rules(ids[i - 1] << 20 | made, none)
             if i < len(found):
-                found[i] = rules(ids[i] << 20 | ids[i + 1], none)
+                found[i] = rules(made << 20 | ids[i + 1], none)
         return ids
 
     def stream(self, data: bytes):
@@ -121,9 +130,11 @@ class _Remembered(dict):
         self.make = make
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[key] = made = self.make(key)
+        made = self.make(key)
+        if len(key) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[key] = made
         return made
 
 
@@ -138,17 +149,27 @@ class Encoder:
         self.split = regex.compile(SPLIT)
         self.odd = regex.compile(r" \s|\s \Z")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.merges.special)) + ")") if self.merges.special else None
-        self.piece = _Remembered(lambda piece: tuple(self.merges.stream(piece.encode())))
-        self.chunk = _Remembered(lambda chunk: self._pieces(f" {chunk}"))
+        self.chunk = _Remembered(self._chunk)
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.merges.stream(piece.encode()))
+
+    def _pieces(self, text: str):
+        return chain.from_iterable(map(self._piece, self.split.findall(text)))
 
-    def _pieces(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self.piece[p] if len(p) < 40 else tuple(self.merges.stream(p.encode())) for p in self.split.findall(text)))
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """Tokens of a chunk that a space precedes. Letters alone are one piece, and so is a comma or full stop after them."""
+        if chunk.isalpha():
+            return self._piece(f" {chunk}")
+        if chunk[:-1].isalpha() and chunk[-1] in ",.":
+            return self._piece(f" {chunk[:-1]}") + self._piece(chunk[-1])
+        return tuple(self._pieces(f" {chunk}"))
 
     def _plain(self, text: str):
         if self.odd.search(text):
             return self._pieces(text)
         first, *chunks = text.split(" ")
-        return chain(self._pieces(first), chain.from_iterable(self.chunk[c] if len(c) < 60 else self._pieces(f" {c}") for c in chunks))
+        return chain(self._pieces(first), chain.from_iterable(map(self.chunk.__getitem__, chunks)))
 
     def encode(self, text: str) -> np.ndarray:
         if self.specials is None or not self.specials.search(text):
@@ -183,8 +204,10 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "ids"])
+            del ids, values, made
+        encoder(path).chunk.clear()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 class TextMachine:
@@ -214,7 +237,8 @@ def decode(docs: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         if path not in _vocabularies:
-            _vocabularies[path] = encoder(path).merges.bytes_of
+            with open(path, encoding="utf-8") as file:
+                _vocabularies[path] = vocabulary(json.load(file))
         of = _vocabularies[path]
         for batch in batches:
             column = batch.column(at)
@@ -223,7 +247,7 @@ def decode(docs: DataFrame, path: str) -> DataFrame:
             out = [None if null[i] else decode_ids(values[offsets[i] : offsets[i + 1]], of) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "decoded"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def ids_text(ids):
