@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, mix, pack_sorted, partition_labels, release_shuffles, shuffle_width, stored, unpack_sorted, words
+from tidemark.llm.common import BLOCK_BYTES, bounded_batches, lean, mix, pack_sorted, partition_labels, release_shuffles, shuffle_width, stored, unpack_sorted, words
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
@@ -45,6 +45,31 @@ def _small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
+def _dump(*parts) -> bytes:
+    """Arrays and other small things in a few bytes: the bytes of an array's numbers by their place, compressed."""
+    import zstandard
+
+    flat = [("a", p.dtype.str, p.view(np.uint8).reshape(len(p), -1).T.tobytes()) if isinstance(p, np.ndarray) and p.ndim == 1 and len(p) else p for p in parts]
+    return zstandard.compress(pickle.dumps(flat, protocol=5), 3)
+
+
+def _load(data: bytes) -> list:
+    import zstandard
+
+    out = []
+    for p in pickle.loads(zstandard.decompress(data)):
+        if isinstance(p, tuple) and len(p) == 3 and p[0] == "a":
+            kind = np.dtype(p[1])
+            p = np.ascontiguousarray(np.frombuffer(p[2], np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+        out.append(p)
+    return out
+
+
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, which are small where the values are sorted in stretches."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def _tokens(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of all texts, an end after each; the token before each; the number of its text."""
     hashes, counts = words(column)
@@ -84,7 +109,7 @@ def unigrams(rows: DataFrame, width: int) -> tuple[int, int, dict[int, int]]:
             used, times = np.unique(token[~batch.column(1).to_numpy(zero_copy_only=False)[of]], return_counts=True)
             part = _ranges(used, width)
             edges = np.searchsorted(part, np.arange(width + 1))
-            out = [(_STATS, labels[i], 0, pickle.dumps((pack_sorted(used[a:b]), _small(times[a:b])))) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+            out = [(_STATS, labels[i], 0, _dump(pack_sorted(used[a:b]), _small(times[a:b]))) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
             if out:
                 yield _batch(out)
 
@@ -94,7 +119,7 @@ def unigrams(rows: DataFrame, width: int) -> tuple[int, int, dict[int, int]]:
         used, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
             for data in batch.column(3).to_pylist():
-                a, b = pickle.loads(data)
+                a, b = _load(data)
                 used.append(unpack_sorted(a))
                 times.append(b.astype(np.int64))
         word, where = np.unique(np.concatenate(used), return_inverse=True)
@@ -102,7 +127,7 @@ def unigrams(rows: DataFrame, width: int) -> tuple[int, int, dict[int, int]]:
         often = n >= max(1, n.sum() * HOT_SHARE)
         yield pa.RecordBatch.from_arrays([pa.array([None, *word[often].astype(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64()), pa.array([len(word)] + [0] * int(often.sum()), pa.int64())], ["word", "n", "v"])
 
-    counted = stored(rows.mapInArrow(count, _ROWS).repartition(width, "part").mapInArrow(total, "word long, n long, v long"), "unigrams")
+    counted = stored(rows.mapInArrow(lean(count), _ROWS).repartition(width, "part").mapInArrow(lean(total), "word long, n long, v long"), "unigrams")
     both = counted.filter("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     hot = counted.filter((F.col("n") >= max(1.0, both[0] * HOT_SHARE)) & F.col("word").isNotNull()).collect()
     return both[0], both[1], {r.word: r.n for r in hot}
@@ -129,7 +154,7 @@ def _by_word(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
             n_train = int((~held).sum())
             ids = batch.column(0).take(pa.array(order))
             sizes = np.bincount(rank[of], minlength=len(held)) if len(held) else np.zeros(0, np.int64)
-            out = [(_META, labels[block % width], block, pickle.dumps((ids.to_pylist(), n_train, sizes.astype(np.int64))))]
+            out = [(_META, labels[block % width], block, _dump(ids.to_pylist(), n_train, sizes.astype(np.int64)))]
             of = rank[of]
             key = np.where(_is_hot(token, hot), mix(token ^ mix(before)) >> np.uint64(64 - _BITS), token)
             part = _ranges(key, width)
@@ -144,10 +169,10 @@ def _by_word(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
                 if b > a:
                     word, n = np.unique(token[a:b], return_counts=True)
                     context, where = np.unique(before[a:b], return_inverse=True)
-                    out.append((_OCCURRENCES, labels[i], block, pickle.dumps((n_train, pack_sorted(word), _small(n), pack_sorted(context), _small(where), _small(of[a:b]), _small(times[a:b])))))
+                    out.append((_OCCURRENCES, labels[i], block, _dump(n_train, pack_sorted(word), _small(n), pack_sorted(context), _steps(_small(where)), _small(of[a:b]), _small(times[a:b]))))
             yield _batch(out)
 
-    return rows.mapInArrow(run, _ROWS)
+    return rows.mapInArrow(lean(run), _ROWS)
 
 
 def _tables(packed: DataFrame, width: int, hot: dict[int, int]) -> DataFrame:
@@ -165,9 +190,9 @@ def _tables(packed: DataFrame, width: int, hot: dict[int, int]) -> DataFrame:
                 if kind == _META:
                     yield _batch([(kind, part, b, data)])
                     continue
-                n_train, word, n, context, where, text, t = pickle.loads(data)
+                n_train, word, n, context, where, text, t = _load(data)
                 token.append(np.repeat(unpack_sorted(word), n))
-                before.append(unpack_sorted(context)[where])
+                before.append(unpack_sorted(context)[np.cumsum(where, dtype=where.dtype)])
                 of.append(text.astype(np.int32))
                 times.append(t.astype(np.int32))
                 train.append(text < n_train)
@@ -205,8 +230,8 @@ def _tables(packed: DataFrame, width: int, hot: dict[int, int]) -> DataFrame:
         out = []
         for i in np.unique(part[~frequent]):
             mine = (part == i) & ~frequent
-            out.append((_CONTEXTS, labels[i], 0, pickle.dumps((pack_sorted(context[mine]), [_small(s[mine]) for s in sums]))))
-        out.append((_HOT_CONTEXTS, 0, 0, pickle.dumps((context[frequent], [s[frequent] for s in sums]))))
+            out.append((_CONTEXTS, labels[i], 0, _dump(pack_sorted(context[mine]), *(_small(s[mine]) for s in sums))))
+        out.append((_HOT_CONTEXTS, 0, 0, _dump(context[frequent], *(s[frequent] for s in sums))))
         out.append((_STATS, 0, 0, np.bincount(np.minimum(pairs, k + 2).astype(np.int64), minlength=k + 3)[1 : k + 2].astype("<i8").tobytes()))
         yield _batch(out)
         del out, where, sums, at
@@ -220,16 +245,16 @@ def _tables(packed: DataFrame, width: int, hot: dict[int, int]) -> DataFrame:
         for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             s = slice(a, b)
             base, low, known = (np.bincount(of[s], weights=v) for v in (times[s] * log_c[s], times[s] * lower[s], times[s] * (c[s] > 0)))
-            out = [(_SUMS, labels[blocks[i] % width], blocks[i], pickle.dumps((base, low.astype(np.float32), _small(known))))]
+            out = [(_SUMS, labels[blocks[i] % width], blocks[i], _dump(base, low.astype(np.float32), _small(known)))]
             here = part[s]
             for p in np.unique(here):
                 mine = np.flatnonzero(here == p) + a
                 context, n = np.unique(before[mine], return_counts=True)
-                data = pickle.dumps((pack_sorted(context), _small(n), _small(of[mine]), group[mine], _small(times[mine])))
+                data = _dump(pack_sorted(context), _small(n), _steps(_small(of[mine])), group[mine], _small(times[mine]))
                 out.append((_HOT_OCCURRENCES, 0, blocks[i], data) if p == width else (_OCCURRENCES, labels[p], blocks[i], data))
             yield _batch(out)
 
-    return packed.repartition(width, "part").mapInArrow(run, _ROWS)
+    return packed.repartition(width, "part").mapInArrow(lean(run), _ROWS)
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
@@ -262,15 +287,26 @@ def _context_sums(tables: DataFrame, width: int, d: np.ndarray, z: float, hot_ta
     factor[0], factor[k + 1] = -np.log10(z), 0.0
 
     def add(rows, context, log_total, log_back):
-        for block, data in rows:
-            own, n, of, group, times = pickle.loads(data)
+        """One row for each block: what its rows add to its texts."""
+        total, current = np.zeros(0), None
+        for block, data in sorted(rows, key=lambda r: r[0]):
+            if block != current and current is not None:
+                yield _SUMS, labels[current % width], current, _dump(total)
+                total = np.zeros(0)
+            current = block
+            own, n, of, group, times = _load(data)
+            of = np.cumsum(of, dtype=of.dtype)
             own = unpack_sorted(own)
             at = np.minimum(np.searchsorted(context, own), max(0, len(context) - 1))
             known = context[at] == own if len(context) else np.zeros(len(own), bool)
             seen, back = np.zeros(len(own)), np.zeros(len(own))
             seen[known], back[known] = -log_total[at[known]], log_back[at[known]]
-            value = times * (factor[group] + np.where(group > 0, np.repeat(seen, n), np.repeat(back, n)))
-            yield _SUMS, labels[block % width], block, pickle.dumps(np.bincount(of, weights=value))
+            value = np.bincount(of, weights=times * (factor[group] + np.where(group > 0, np.repeat(seen, n), np.repeat(back, n))))
+            if len(value) > len(total):
+                total, value = value, total
+            total[: len(value)] += value
+        if current is not None:
+            yield _SUMS, labels[current % width], current, _dump(total)
 
     def few(batches):
         context = np.array(sorted(hot_table), dtype=np.uint64)
@@ -284,7 +320,7 @@ def _context_sums(tables: DataFrame, width: int, d: np.ndarray, z: float, hot_ta
         for batch in batches:
             for kind, _, block, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if kind == _CONTEXTS:
-                    own, values = pickle.loads(data)
+                    own, *values = _load(data)
                     contexts.append(unpack_sorted(own))
                     for to, v in zip(sums, values, strict=True):
                         to.append(v.astype(np.int64))
@@ -303,8 +339,8 @@ def _context_sums(tables: DataFrame, width: int, d: np.ndarray, z: float, hot_ta
             yield _batch(out)
 
     columns = ["kind", "part", "block", "data"]
-    frequent = tables.filter(F.col("kind") == _HOT_OCCURRENCES).select(columns).mapInArrow(few, _ROWS)
-    others = tables.filter(F.col("kind").isin(_OCCURRENCES, _CONTEXTS)).select(columns).repartition(width, "part").mapInArrow(rest, _ROWS)
+    frequent = tables.filter(F.col("kind") == _HOT_OCCURRENCES).select(columns).mapInArrow(lean(few), _ROWS)
+    others = tables.filter(F.col("kind").isin(_OCCURRENCES, _CONTEXTS)).select(columns).repartition(width, "part").mapInArrow(lean(rest), _ROWS)
     return frequent, others
 
 
@@ -317,10 +353,10 @@ def _hot_table(tables: DataFrame) -> dict[int, list[int]]:
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                context, sums = pickle.loads(data)
+                context, *sums = _load(data)
                 yield pa.RecordBatch.from_arrays([pa.array(context.astype(np.int64)), *(pa.array(s) for s in sums)], ["context", *names])
 
-    rows = tables.filter(F.col("kind") == _HOT_CONTEXTS).select("data").mapInArrow(spread, "context long, " + ", ".join(f"{n} long" for n in names))
+    rows = tables.filter(F.col("kind") == _HOT_CONTEXTS).select("data").mapInArrow(lean(spread), "context long, " + ", ".join(f"{n} long" for n in names))
     return {r.context: [r[n] for n in names] for r in rows.groupBy("context").agg(*(F.sum(n).alias(n) for n in names)).collect()}
 
 
@@ -329,7 +365,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
 
     ``held_out``: a Column; texts where it is true aren't learnt from."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BLOCK_BYTES)
     width = shuffle_width(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     n, v, hot = unigrams(rows, width)
@@ -347,7 +383,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                 total += np.frombuffer(data, "<i8")
         yield pa.RecordBatch.from_arrays([pa.array(range(1, k + 2), pa.int32()), pa.array(total)], ["r", "n"])
 
-    found = tables.filter(F.col("kind") == _STATS).select("data").mapInArrow(add_counts, "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
+    found = tables.filter(F.col("kind") == _STATS).select("data").mapInArrow(lean(add_counts), "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(k + 1)
     for row in found:
         counts[row.r - 1] = row.n
@@ -364,17 +400,17 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                 held.setdefault(block, []).append((kind, data))
         for block in sorted(held):
             parts = held.pop(block)
-            ids, n_train, sizes = next(pickle.loads(data) for kind, data in parts if kind == _META)
+            ids, n_train, sizes = next(_load(data) for kind, data in parts if kind == _META)
             base, known, model = np.zeros(len(ids)), np.zeros(len(ids), np.int64), np.zeros(len(ids))
             for kind, data in parts:
                 if kind == _SUMS:
-                    got = pickle.loads(data)
-                    if isinstance(got, tuple):
+                    got = _load(data)
+                    if len(got) == 3:
                         base[: len(got[0])] += got[0]
                         model[: len(got[1])] += got[1]
                         known[: len(got[2])] += got[2].astype(np.int64)
                     else:
-                        model[: len(got)] += got
+                        model[: len(got[0])] += got[0]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.arange(len(ids)) >= n_train), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), n)), pa.array(base - sizes * np.log10(z)), pa.array(model)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return parts.mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return parts.mapInArrow(lean(finish), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
