@@ -4,8 +4,9 @@
 2. Lines: repeated lines go, as in op5; a document stays even if no line of it does.
 3. Near duplicates: of each group, the document with the smallest doc_id stays; rows that repeat a doc_id stay together,
    and so do rows without one.
-4. Benchmark: documents go in which windows of benchmark items cover at least eight words. An item of fewer than eight
-   words can thus not condemn a document by itself.
+4. Benchmark: documents go in which eight consecutive words of a benchmark item occur, or windows of two items or more, as
+   in op9. An item of fewer than eight words, a window as a whole, can thus not condemn a document by itself, however often
+   it occurs.
 5. Tokens: each document's ids, and whether decoding them gives its text back.
 """
 
@@ -38,7 +39,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=8)
-    leaks = stored(found.filter(decontaminate.covered_words(F.col("hits")) >= 8).select("doc_id").distinct(), "leaks")
+    leaks = stored(found.filter((F.col("longest") >= 8) | (F.size("items") >= 2)).select("doc_id").distinct(), "leaks")
     return join_small(docs, leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti").select(docs.columns)
 
 

@@ -3,7 +3,7 @@
 import hashlib
 
 import corpus_pipeline
-from tidemark.llm import queries
+from tidemark.llm import decontaminate, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -43,6 +43,29 @@ def test_planted_documents(spark, tmp_path):
     assert sorted(r.n_tokens for r in corpus_pipeline.token_stage(spark, clean, "").collect())[:2] == [0, 0]
 
 
+def test_short_benchmark_items(spark, tmp_path):
+    filler = lambda n: " ".join(f"w{n}x{i}" for i in range(200))
+    items = [(1, "yes"), (2, "in the long run"), (3, "seven of nine"), (4, " ".join(f"question{i}" for i in range(20))), (5, "one two three four five six seven eight")]
+    again = lambda n, text, times: " ".join(f"{filler(f'{n}y{i}')} {text}" for i in range(times))
+    texts = {
+        10: again(10, "yes", 12),
+        11: again(11, "In the long run", 3),
+        12: f"{filler(12)} seven of nine {filler(120)} in the long run {filler(121)}",  # two items whole, seven words
+        13: f"{filler(13)} " + " ".join(f"question{i}" for i in range(5, 13)),
+        14: f"{filler(14)} " + " ".join(f"question{i}" for i in range(5, 12)),
+        15: f"{filler(15)} one two three four five six seven eight {filler(150)}",
+        16: again(16, "one two three four five six seven", 4),
+    }
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.benchmark_stage(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in clean.collect()) == [10, 11, 14, 16]
+    longest = {10: 1, 11: 4, 12: 4, 13: 8, 14: 0, 15: 8, 16: 0}
+    for most in (1000, 5):  # one pass, several passes
+        assert {r.doc_id: r.longest for r in decontaminate.find_contamination(docs, bench, 8, most).collect()} == longest
+
+
 def test_entry_lists_everything():
     import __spark_entry__
 

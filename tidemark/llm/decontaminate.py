@@ -21,7 +21,7 @@ _WORD[0x30:0x3A] = _WORD[0x41:0x5B] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 #: Bytes of words, A-Z lower-cased; every other byte becomes a space. UTF-8 keeps all other characters at 80-FF.
 _NORMAL = bytes(b + 32 if 65 <= b < 91 else b if _WORD[b] else 32 for b in range(256))
 
-SCHEMA = "doc_id long, row_hash long, n_words long, hits array<struct<first:int,last:int>>, items array<bigint>, spans array<struct<begin:int,end:int>>"
+SCHEMA = "doc_id long, row_hash long, n_words long, hits array<struct<first:int,last:int>>, items array<bigint>, longest int, spans array<struct<begin:int,end:int>>"
 
 
 def _normalised(text: bytes) -> tuple[int, str]:
@@ -67,15 +67,17 @@ def _automaton(broadcast):
     return _automata[id(broadcast.value)][0]
 
 
-def _scan(machine, text: str) -> tuple[list[tuple[int, int]], set]:
-    """Runs of word numbers (first and last) that windows cover, overlapping runs merged, and the items found."""
+def _scan(machine, text: str) -> tuple[list[tuple[int, int]], set, int]:
+    """Runs of word numbers (first and last) that windows cover, overlapping runs merged, the items found, and the number
+    of words of the longest window found."""
     runs: list[list[int]] = []
     items: set = set()
-    words = at = 0
+    words = at = longest = 0
     for end, (n, owners) in machine.iter(text) if len(machine) else ():
         words += text.count(" ", at, end)
         at = end
         items.update(owners)
+        longest = max(longest, n)
         if runs and words - n <= runs[-1][1] + 1:
             runs[-1][0], runs[-1][1] = min(runs[-1][0], words - n), max(runs[-1][1], words - 1)
         else:
@@ -83,7 +85,7 @@ def _scan(machine, text: str) -> tuple[list[tuple[int, int]], set]:
         while len(runs) > 1 and runs[-1][0] <= runs[-2][1] + 1:
             last = runs.pop()
             runs[-1] = [min(runs[-1][0], last[0]), max(runs[-1][1], last[1])]
-    return [(a, b) for a, b in runs], items
+    return [(a, b) for a, b in runs], items, longest
 
 
 def _pass(docs: DataFrame, windows: list) -> DataFrame:
@@ -92,32 +94,34 @@ def _pass(docs: DataFrame, windows: list) -> DataFrame:
     def scan(batches):
         import pyarrow as pa
 
-        schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))])
+        schema = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("items", pa.list_(pa.int64())), ("longest", pa.int32()), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))])
         machine = _automaton(shared)
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
-            n_words, hits, items, spans = [], [], [], []
+            n_words, hits, items, longest, spans = [], [], [], [], []
             for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 n, text = _normalised(data[lo:hi].tobytes())
-                runs, found = _scan(machine, text)
+                runs, found, most = _scan(machine, text)
                 n_words.append(n)
                 hits.append([{"first": a, "last": b} for a, b in runs])
                 items.append(sorted(found))
+                longest.append(most)
                 spans.append([])
                 if runs:
                     raw = data[lo:hi]
                     begins, ends = word_bounds(raw, np.array([0, hi - lo]), _WORD)
                     points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
                     spans[-1] = [{"begin": int(points[begins[a]]), "end": int(points[ends[b]])} for a, b in runs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, t) for x, t in zip((n_words, hits, items, spans), schema.types[2:], strict=True))], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, t) for x, t in zip((n_words, hits, items, longest, spans), schema.types[2:], strict=True))], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_hash"), "text")
     return rows.mapInArrow(lean(scan), SCHEMA)
 
 
 def find_contamination(docs: DataFrame, bench: DataFrame, size: int = 8, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """Rows (doc_id, row_hash, n_words, hits, items, spans): runs of words inside windows of ``size`` item words, the items
-    whose windows occur, and the runs' code points in the original text."""
+    """Rows (doc_id, row_hash, n_words, hits, items, longest, spans): runs of words inside windows of ``size`` item words,
+    the items whose windows occur, the words of the longest window that occurs (0 if none does; fewer than ``size`` if only
+    whole items shorter than that do), and the runs' code points in the original text."""
     bounded_batches(docs.sparkSession)
     windows = item_windows(bench, size).groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     windows = stored(windows, "windows")
@@ -133,7 +137,7 @@ def find_contamination(docs: DataFrame, bench: DataFrame, size: int = 8, max_win
     for part in parts[1:]:
         union = union.unionByName(part)
     # Rows that repeat a doc_id and its text have equal results, so the sums of the passes stay right for each of them.
-    rows = union.groupBy("doc_id", "row_hash", "n_words").agg(F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"))
+    rows = union.groupBy("doc_id", "row_hash", "n_words").agg(F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("longest").alias("longest"), F.flatten(F.collect_set("spans")).alias("spans"))
     copies = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"))
     return copies.join(rows, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_row") == F.col("row_hash"))).drop("_id", "_row")
 
