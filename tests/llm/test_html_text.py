@@ -37,6 +37,27 @@ def test_templates_are_counted_per_host(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_small_articles_and_unnamed_templates(spark):
+    story = lambda i: f"<p>story {i} " + "and so on " * 20 + "</p>"
+    said = lambda i: f"story {i} " + " ".join(["and so on"] * 20)
+    assert text(f'<article><h2>card</h2></article><div class="x">{story(1)}</div>') == ["card", said(1)]
+    assert text(f"<article><h1>only a heading</h1></article>{story(1)}") == ["only a heading", said(1)]
+    box = f'<div class="x7">{"<p>visit our other sites</p>" * 30}</div>'
+    page = lambda i, more="": f"<body>{more}<div><p>{i}</p></div></body>"
+    rows = [(i, "http://small.a/", page(f"t{i}", box)) for i in range(3)]  # on all pages of a small host
+    rows += [(10 + i, "http://pair.a/", page(f"t{i}", box)) for i in range(2)]  # too few to tell
+    rows += [(20 + i, "http://some.a/", page(f"t{i}", box if i else "")) for i in range(5)]  # few, and not all
+    rows += [(100 + i, "http://art.a/", f"{box}<article><p>piece {i}</p></article>") for i in range(9)]  # larger than the article
+    rows += [(1000 + i, "http://large.a/", page(f"t{i}", box if i < 1000 else "<p>also</p>" if i < 1999 else "")) for i in range(22_000)]
+    rows += [(50_000 + i, "http://rare.a/", page(f"t{i}", box if i < 900 else "")) for i in range(22_000)]  # neither the share nor the number
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    kept = "\n\n".join(["visit our other sites"] * 30)
+    assert got[1] == "t1" and got[11] == f"{kept}\n\nt1" and got[22] == f"{kept}\n\nt2" and got[20] == "t0"
+    assert got[103] == "piece 3"
+    assert got[1005] == "t5" and got[2500] == "also\n\nt1500" and got[9000] == "t8000"
+    assert got[50_005] == f"{kept}\n\nt5" and got[60_000] == "t10000"
+
+
 def test_sample_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}

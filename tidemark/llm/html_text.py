@@ -4,7 +4,8 @@ Every container element's subtree is hashed, bottom up, over tag names and text.
 Spark, over pages with different main texts, and a subtree that recurs on many pages of its host is template and is
 deleted. Paragraphs, headings, list items and the like inside an article are text and never template, however often they
 recur. Elements whose tag, role, class or id says that they are menus, headers, footers, sidebars, notices, adverts, forms
-or comments are deleted on any host. Where a page has articles (or else a main element), the text is theirs.
+or comments are deleted on any host. Of what then is left, the text is that of the articles, or else of the main element
+and the articles, if these hold at least half of it; otherwise it is all.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
 
@@ -27,6 +28,8 @@ from tidemark.llm.url_filter import host
 
 #: A subtree is template if it recurs on so many pages of its host with different texts, and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 8, 0.05
+#: It also is if it recurs on all pages of a host that has fewer, but so many, or on so many pages of a host of any size.
+FEW_PAGES, MANY_PAGES = 3, 1000
 
 # Elements and words of HTML.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -83,7 +86,7 @@ class Page:
     def __init__(self, html: str):
         self.texts: list[str] = []
         self.owners: list[int] = []
-        self.regions: list[str] = []
+        self.regions: list[int] = []  # 2 in an article, 1 in the main element, otherwise 0
         self.parents: list[int] = []
         self.hashes: list[int] = []
         self._parts: list[list[str]] = []
@@ -122,7 +125,7 @@ class Page:
         if not self._drops:
             self.texts.append(text)
             self.owners.append(owner)
-            self.regions.append("article" if self._places["article"] else "main" if self._places["main"] else "")
+            self.regions.append(2 if self._places["article"] else 1 if self._places["main"] else 0)
 
     def _start(self, tag: str, attrs: str) -> None:
         if tag in _SPACED:
@@ -198,35 +201,37 @@ class Page:
                 self._places[tag] -= 1
 
     def main_blocks(self) -> list[int]:
-        """The blocks of the page's articles, or of its main element, or else all."""
-        for region in ("article", "main"):
-            found = [i for i, r in enumerate(self.regions) if r == region or region == "main" and r == "article"]
-            if found:
-                return found
-        return list(range(len(self.texts)))
+        return main_blocks(self.texts, self.regions)
 
 
-_PARSED = "page_id long, row_hash long, url string, texts array<string>, owners array<int>, parents array<int>, hashes array<bigint>, page_text long"
+def main_blocks(texts: list[str], regions: list[int]) -> list[int]:
+    """The blocks of the articles, or of these and the main element, where they hold at least half of the text; or else all."""
+    for least in (2, 1):
+        found = [i for i, r in enumerate(regions) if r >= least]
+        if found and 2 * sum(len(texts[i]) for i in found) >= sum(map(len, texts)):
+            return found
+    return list(range(len(texts)))
+
+
+_PARSED = "page_id long, row_hash long, url string, texts array<string>, owners array<int>, regions array<int>, parents array<int>, hashes array<bigint>, page_text long"
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """A row for each page: its main blocks, the containers with their subtree hashes, and a hash of the main text."""
+    """A row for each page: its blocks of text, the containers with their subtree hashes, and a hash of the main text."""
 
     def run(batches):
         import pyarrow as pa
 
-        types = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
+        types = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64())
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows = []
                 for html in part.column(3).to_pylist():
                     page = Page(html or "")
-                    main = page.main_blocks()
-                    texts = [page.texts[i] for i in main]
-                    rows.append((texts, [page.owners[i] for i in main], page.parents, page.hashes, _digest(texts)))
+                    rows.append((page.texts, page.owners, page.regions, page.parents, page.hashes, _digest(page.texts[i] for i in page.main_blocks())))
                 made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], ["page_id", "row_hash", "url", "texts", "owners", "parents", "hashes", "page_text"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *made], ["page_id", "row_hash", "url", "texts", "owners", "regions", "parents", "hashes", "page_text"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))).alias("row_hash"), "url", "html")
     return rows.mapInArrow(lean(run), _PARSED)
@@ -237,8 +242,9 @@ def templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: fl
     rows = parsed.select(F.xxhash64(host(F.col("url"))).alias("site"), "page_text", F.array_distinct("hashes").alias("hashes"))
     n_pages = rows.select("site", "page_text").distinct().groupBy("site").agg(F.count("*").alias("n_pages"))
     counts = rows.select("site", "page_text", F.explode("hashes").alias("subtree")).distinct().groupBy("site", "subtree").agg(F.count("*").alias("n"))
-    found = counts.filter(F.col("n") >= least_pages).join(n_pages, "site")
-    return found.filter(F.col("n") >= F.col("n_pages") * least_share).select("site", "subtree")
+    found = counts.filter(F.col("n") >= min(least_pages, FEW_PAGES)).join(n_pages, "site")
+    often = (F.col("n") >= least_pages) & (F.col("n") >= F.least(F.col("n_pages") * least_share, F.lit(float(MANY_PAGES))))
+    return found.filter(often | (F.col("n") == F.col("n_pages"))).select("site", "subtree")
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -256,13 +262,14 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
 
         for batch in batches:
             out = []
-            for texts, owners, parents, hashes, gone in zip(*(batch.column(i).to_pylist() for i in range(2, 7)), strict=True):
+            for texts, owners, regions, parents, hashes, gone in zip(*(batch.column(i).to_pylist() for i in range(2, 8)), strict=True):
                 if gone:
                     gone, deleted = set(gone), []
                     for parent, subtree in zip(parents, hashes, strict=True):  # parents come before what they hold
                         deleted.append(subtree in gone or parent >= 0 and deleted[parent])
-                    texts = [t for t, o in zip(texts, owners, strict=True) if o < 0 or not deleted[o]]
-                out.append("\n\n".join(texts))
+                    left = [i for i, o in enumerate(owners) if o < 0 or not deleted[o]]
+                    texts, regions = [texts[i] for i in left], [regions[i] for i in left]
+                out.append("\n\n".join(texts[i] for i in main_blocks(texts, regions)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
-    return rows.select("page_id", "url", "texts", "owners", "parents", "hashes", "gone").mapInArrow(lean(run), "page_id long, url string, text string")
+    return rows.select("page_id", "url", "texts", "owners", "regions", "parents", "hashes", "gone").mapInArrow(lean(run), "page_id long, url string, text string")
