@@ -25,6 +25,25 @@ def test_blocks():
     assert text('<article class="comment"><p>no</p></article><article><p>yes</p></article>') == ["yes"]
 
 
+def test_names_count_as_a_whole():
+    assert text('<div class="content no-sidebar"><p>a</p></div>') == ["a"]
+    assert text('<div id="page" class="has-sidebar"><article><p>a</p></article></div>') == ["a"]
+    assert text('<article class="post related-topic"><p>a</p></article><article><p>b</p></article>') == ["a", "b"]
+    assert text('<p>a</p><p class="legal">b</p>') == ["a", "b"]
+    assert text('<p>long enough</p><div class="ad-slot-3">b</div><div id="siteFooter">c</div><div class="x main-menu">d</div>') == ["long enough"]
+
+
+def test_names_never_delete_the_main_text():
+    long = "so it goes on " * 30
+    assert text('<div class="sidebar"><article><p>a</p></article></div><div class="ad">longer</div>') == ["a"]
+    assert text('<div class="widget"><div class="sidebar"><main>a</main></div></div>') == ["a"]
+    assert text('<x-app class="menu"><article>a</article></x-app>') == ["a"]
+    assert text('<article class="sponsored">a</article>') == ["a"]
+    assert text(f'<div class="sidebar"><p>{long}</p></div><p>b</p>') == [long.strip(), "b"]
+    assert text(f'<article>a</article><div class="ad">{long}</div><div id="comments"><article>{long}</article></div>') == ["a"]
+    assert text(f'<p>a</p><div id="comments">{long}</div>') == ["a"]
+
+
 def test_templates_are_counted_per_host(spark):
     box = '<div class="x"><p>Follow our site for more</p></div>'
     page = lambda i: f"<article><p>text {i}</p>{box}<p>said again</p></article>"

@@ -4,8 +4,11 @@ Every container element's subtree is hashed, bottom up, over tag names and text.
 Spark, over pages with different main texts, and a subtree that recurs on many pages of its host is template and is
 deleted. Paragraphs, headings, list items and the like inside an article are text and never template, however often they
 recur. Elements whose tag, role, class or id says that they are menus, headers, footers, sidebars, notices, adverts, forms
-or comments are deleted on any host. Of what then is left, the text is that of the articles, or else of the main element
-and the articles, if these hold at least half of it; otherwise it is all.
+or comments are deleted on any host. A class or id says so only as a whole: all words of one of its names are such words or
+neutral ones, so "ad-box" does and "no-sidebar" doesn't. On a page without another article or main element, what is named
+so stays if an article or main element stands in it, or else if more than half of the page's text does and it isn't named
+as comments. Of what then is left, the text is
+that of the articles, or else of the main element and the articles, if these hold at least half of it; otherwise it is all.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by an empty line.
 
@@ -42,10 +45,16 @@ _DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "searc
 _DROPPED_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "toolbar", "sidebar", "aside", "widget",
-    "header", "masthead", "topbar", "footer", "copyright", "legal", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay",
+    "header", "masthead", "topbar", "footer", "copyright", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "alert", "popup", "modal", "overlay",
     "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "related", "recommended", "recommendations",
     "comment", "comments", "commentlist", "disqus", "respond", "replies", "reply", "form", "search",
 }
+_COMMENT_NAMES = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply"}
+_NEUTRAL = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "col", "column", "container", "content", "fixed", "global", "group", "icon", "icons",
+    "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "outer", "page", "panel", "post", "primary", "right", "row", "secondary", "section",
+    "site", "slot", "small", "sticky", "title", "top", "unit", "wrap", "wrapper",
+}
 _KEPT = {"html", "body", "main", "h1"}
 #: A start tag of one of these ends an open element of the set.
 _ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
@@ -59,21 +68,28 @@ _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
-def _dropped(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is no main text; ``inside``: of an article, where a header holds the title."""
+def _dropped(tag: str, attrs: str, inside: bool) -> str:
+    """Why an element is no main text: "sure" by its tag, role or style, "named" by its class or id, "comments" if these
+    name it so, or "" if it may be; ``inside``: of an article, where a header holds the title."""
     if tag in _DROPPED or tag == "header" and not inside:
-        return True
+        return "sure"
     if not attrs or tag in _KEPT:
-        return False
+        return ""
     if _HIDDEN.search(attrs):
-        return True
+        return "sure"
+    why = ""
     for name, *values in _ATTRIBUTE.findall(attrs):
-        words = {*re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower())}
-        if inside or tag == "article":
-            words.discard("header")
-        if name.lower() == "role" and _DROPPED_ROLES & words or name.lower() in ("class", "id") and _DROPPED_NAMES & words:
-            return True
-    return False
+        name, value = name.lower(), "".join(values)
+        if name == "role" and _DROPPED_ROLES & {*value.lower().split()}:
+            return "sure"
+        if name not in ("class", "id"):
+            continue
+        for token in value.split():
+            words = {*re.findall(r"[^\W\d_]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())}
+            said = words & _DROPPED_NAMES - ({"header"} if inside or tag == "article" else set())
+            if said and words <= _DROPPED_NAMES | _NEUTRAL:
+                why = "comments" if said & _COMMENT_NAMES else why or "named"
+    return why
 
 
 def _digest(parts) -> int:
@@ -84,13 +100,27 @@ class Page:
     """One page, parsed: blocks of text with the container that holds them, and containers with their parents and hashes."""
 
     def __init__(self, html: str):
+        spared: set[int] = set()
+        while True:  # again only if what is named as no text turns out to hold the page's text
+            self._read(html, spared)
+            more = self._wrongly_named()
+            if not more:
+                return
+            spared |= more
+
+    def _read(self, html: str, spared: set[int]) -> None:
         self.texts: list[str] = []
         self.owners: list[int] = []
         self.regions: list[int] = []  # 2 in an article, 1 in the main element, otherwise 0
+        self._spared = spared
+        self._named: list[list] = []  # for each element deleted for its name: why, characters in it, whether of an article
+        self._within: list[int] = []  # those that are open
+        self._all = self._sure = self._articles = 0
+        self._outside = False  # whether an article or a main element isn't deleted
         self.parents: list[int] = []
         self.hashes: list[int] = []
         self._parts: list[list[str]] = []
-        self._open: list[tuple[str, int, bool, list[str] | None]] = []  # tag, container or -1, dropped, text before it
+        self._open: list[tuple[str, int, str, list[str] | None]] = []  # tag, container or -1, why dropped, text before it
         self._drops = self._inline = 0
         self._buffer: list[str] = []
         self._places = {"article": 0, "main": 0}
@@ -111,6 +141,21 @@ class Page:
     def _text(self, text: str) -> None:
         self._buffer.append(entities.unescape(text) if "&" in text else text)
 
+    def _count(self, n: int) -> None:
+        """Count characters for the page and for the named elements they are in, unless they are surely no text."""
+        if n and not self._sure:
+            self._all += n
+            for i in self._within:
+                self._named[i][1] += n
+                self._named[i][2] |= self._articles > 0
+
+    def _wrongly_named(self) -> set[int]:
+        """Of the elements deleted for their names, those that hold the page's only articles, or else most of its text."""
+        if self._outside:
+            return set()
+        left = [(i, *x) for i, x in enumerate(self._named) if i not in self._spared]
+        return {i for i, _, _, articles in left if articles} or {i for i, why, n, _ in left if why == "named" and 2 * n > self._all}
+
     def _container(self) -> int:
         return next((c for _, c, _, _ in reversed(self._open) if c >= 0), -1)
 
@@ -122,6 +167,7 @@ class Page:
         owner = self._container()
         if owner >= 0:
             self._parts[owner].append(text)
+        self._count(len(text))
         if not self._drops:
             self.texts.append(text)
             self.owners.append(owner)
@@ -139,6 +185,11 @@ class Page:
         if tag in _VOID:
             return
         dropped = _dropped(tag, attrs, self._places["article"] > 0)
+        if dropped and dropped != "sure":
+            nth = len(self._named)
+            self._named.append([dropped, 0, False])
+            if nth in self._spared:
+                dropped = ""
         if tag not in _BLOCKS and not dropped:
             return
         container, before = -1, None
@@ -152,10 +203,17 @@ class Page:
             if not self._drops:  # what stands before a dropped inline element stays in its block
                 before, self._buffer = self._buffer, []
         self._open.append((tag, container, dropped, before))
+        if tag in self._places:
+            self._articles += 1
         if dropped:
             self._drops += 1
+            if dropped == "sure":
+                self._sure += 1
+            else:
+                self._within.append(nth)
         elif tag in self._places:
             self._places[tag] += 1
+            self._outside |= not self._drops
 
     def _end(self, tag: str) -> None:
         if tag in _SPACED:
@@ -193,10 +251,17 @@ class Page:
                 if parent >= 0:
                     self._parts[parent].append(str(self.hashes[container]))
                 self._parts[container] = []
+            if tag in self._places:
+                self._articles -= 1
             if dropped:
-                self._drops -= 1
                 if before is not None:
+                    self._count(len(" ".join("".join(self._buffer).split())))
                     self._buffer = before
+                self._drops -= 1
+                if dropped == "sure":
+                    self._sure -= 1
+                else:
+                    self._within.pop()
             elif tag in self._places:
                 self._places[tag] -= 1
 
