@@ -1,9 +1,11 @@
 """A training-data pipeline over ``documents``: each stage works on all that the one before it kept.
 
 1. Quality: documents that the classifier rejects go. It learns from the labelled rows that op8 learns from.
-2. Lines: repeated lines go, as in op5; a document stays even if no line of it does.
+2. Lines: repeated lines go, as in op5, except that the smallest doc_id keeps a line and not the largest, because the next
+   stage keeps the smallest too; a document stays even if no line of it does.
 3. Near duplicates: of each group, the document with the smallest doc_id stays; rows that repeat a doc_id stay together,
-   and so do rows without one.
+   and so do rows without one. A line's one copy is still lost if the document that keeps it is a near copy of a smaller
+   document without that line.
 4. Benchmark: documents go in which eight consecutive words of a benchmark item occur, or windows of two items or more, as
    in op9. An item of fewer than eight words, a window as a whole, can thus not condemn a document by itself, however often
    it occurs.
@@ -26,8 +28,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs, min_chars=20, min_docs=3)
-    out = out.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("kept_text").cast("long"))
+    # ~doc_id reverses the order of the ids: the largest then is the smallest doc_id.
+    out = line_dedup.dedup_lines(docs.withColumn("doc_id", F.bitwise_not("doc_id")), min_chars=20, min_docs=3)
+    out = out.withColumn("doc_id", F.bitwise_not("doc_id")).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("kept_text").cast("long"))
     return out.select(docs.columns)
 
 

@@ -66,6 +66,18 @@ def test_short_benchmark_items(spark, tmp_path):
         assert {r.doc_id: r.longest for r in decontaminate.find_contamination(docs, bench, 8, most).collect()} == longest
 
 
+def test_repeated_line_survives_near_duplicates(spark, tmp_path):
+    text = lambda seed: "\n".join(" ".join(hashlib.md5(f"{seed} {i} {j}".encode()).hexdigest()[:5] for j in range(3)) for i in range(60))
+    line = "one line that three documents hold"
+    rows = [(10, f"{line}\n{text(1)}"), (11, f"{line}\n{text(2)}"), (12, f"{line}\n{text(2)} end"), (None, text(3))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = corpus_pipeline.line_stage(spark, docs, str(tmp_path))
+    assert lines.columns == docs.columns and dict(lines.dtypes) == dict(docs.dtypes)
+    assert [r.doc_id for r in lines.collect() if line in r.text] == [10]
+    kept = corpus_pipeline.near_duplicate_stage(spark, lines, str(tmp_path)).collect()
+    assert {r.doc_id for r in kept} == {10, 11, None} and sum(line in r.text for r in kept) == 1
+
+
 def test_entry_lists_everything():
     import __spark_entry__
 
