@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import uuid
 from pathlib import Path
 
@@ -21,32 +23,73 @@ BLOCK_BYTES = "16m"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir. Only a local master, whose executors share this machine's
+    disk, gets one of our own where that is unset, as in tests."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return named or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+    if named:
+        return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
 
 
-def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings that hold inside the block only."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+#: Spark removes the shuffle files of a write as soon as it has ended; nothing reads them again, as what is stored cuts lineage.
+_WRITE = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def stored(df: DataFrame, label: str, by: str | None = None, batch: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder, in a directory for each value of ``by``, and read it back.
 
     This cuts lineage the way checkpoint() does, survives lost executors (the files are in shared storage) and is
-    smaller than a checkpoint of rows. The files go when the application ends.
+    smaller than a checkpoint of rows. ``batch`` bounds the bytes of an Arrow batch during the write. The files go with
+    ``discard``, or else when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    with settings(spark, _WRITE | ({"spark.sql.execution.arrow.maxBytesPerBatch": batch} if batch else {})):
+        (df.write.partitionBy(by) if by else df.write).option("compression", "zstd").parquet(path)
+    fs, where = _path(spark, path)
+    fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
-def bounded_batches(spark: SparkSession, most: str = BATCH_BYTES) -> None:
-    """Bound what one Arrow batch to or from a Python worker can hold, however long the texts are, and let workers that
-    share this machine's disk import the package from where the driver has it."""
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing will read again."""
+    for t in tables:
+        fs, where = _path(t.sparkSession, t._stored_at)
+        fs.delete(where, True)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's disk import the package from where the driver has it."""
     root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = f"{paths}{os.pathsep}{root}" if paths else root
+
+
+def bounded_batches(spark: SparkSession, most: str = BATCH_BYTES) -> None:
+    """Bound what one Arrow batch to or from a Python worker can hold, however long the texts are."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
@@ -186,15 +229,55 @@ def words(column) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(begins, offsets))
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished jobs now, and not when the driver happens to collect garbage."""
-    import gc
-    import time
+def pack_numbers(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers >= 0 in seven bits a byte, the low ones first; and how many bytes each takes."""
+    values = values.astype(np.uint64)
+    sizes = np.ones(len(values), np.int64)
+    top = int(values.max()) if len(values) else 0
+    for k in range(1, 10):
+        if top >> (7 * k):
+            sizes += values >= np.uint64(1 << (7 * k))
+    at = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint8)
+    for k in range(int(sizes.max()) if len(sizes) else 0):
+        mine = slice(None) if k == 0 else np.flatnonzero(sizes > k)
+        left = values[mine] >> np.uint64(7 * k)
+        out[at[mine] + k] = (left & np.uint64(0x7F)).astype(np.uint8) | ((left > np.uint64(0x7F)).astype(np.uint8) << 7)
+    return out, sizes
+
+
+def unpack_numbers(data: np.ndarray) -> np.ndarray:
+    """What pack_numbers has packed, as 64-bit signed numbers."""
+    ends = np.flatnonzero(data < 0x80)
+    begins = np.append(0, ends[:-1] + 1) if len(ends) else ends
+    sizes = ends - begins + 1
+    out = (data[begins] & 0x7F).astype(np.int64)
+    for k in range(1, int(sizes.max()) if len(sizes) else 0):
+        mine = np.flatnonzero(sizes > k)
+        out[mine] |= (data[begins[mine] + k] & 0x7F).astype(np.int64) << (7 * k)
+    return out
+
+
+def packed_rows(values: np.ndarray, edges: np.ndarray):
+    """An Arrow binary array: row i has values[edges[i]:edges[i + 1]], packed."""
+    import pyarrow as pa
+
+    data, sizes = pack_numbers(values)
+    at = np.append(0, np.cumsum(sizes))[edges].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data.tobytes())])
+
 
-    for _ in range(2):  # what the first collection lets go of, the second finds
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(1)
+def unpacked_rows(column) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of an Arrow binary array of packed rows, and where each row's begin (one more offset than rows)."""
+    import pyarrow as pa
+
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    buffer = column.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None else np.zeros(0, np.uint8)
+    return unpack_numbers(data), np.append(0, np.cumsum(data < 0x80))[offsets - offsets[0]]
 
 
 def pack_sorted(values: np.ndarray) -> bytes:

@@ -1,16 +1,24 @@
-"""Katz backoff language model: a bigram model with Good-Turing discounts over a smoothed unigram model.
-
-P(w | h) = d(r) r / c(h) where the pair (h, w) was seen r > 0 times, and a(h) P(w) otherwise; P(w | h) = P(w) if h was
-never seen. P(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), which leaves mass for one unknown word. d(r) is Katz' discount from
-the counts of counts for r <= 5 and 1 beyond. a(h) makes the sum over all words and the unknown one exactly 1: what the
-seen words leave, over what P gives to the words not seen after h. A context that would leave nothing counts one more.
-
-How it runs. Words are 56-bit hashes. Pass 1 counts single words and finds the few that hold a large share of all. Pass 2
-sends (w, h, text, times), packed, to the range of w's hash, or of the pair's if w is such a frequent word; there c(w) and
-r are known, and what depends on them alone is summed for each text. It leaves tables, partitioned by kind: sums by text,
-occurrences by context, counts by context, counts of counts. Pass 3 sends occurrences and counts to the range of h's hash,
-where c(h) and a(h) are known; for frequent contexts these come from a table of bounded size and nothing is sent. Last,
-the sums of each block of texts are brought together.
+"""Katz backoff language model of order three, with Good-Turing discounts and exactly normalised backoff weights.
+
+P3(w | u v) = d3(r) r / c(u v) where (u, v, w) was seen r >= LEAST[2] times, else a(u v) P2(w | v); P2(w | v) = d2(r) r / c(v)
+where (v, w) was seen r > 0 times, else a(v) P1(w); P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), which leaves mass for one
+unknown word. a() is 1 for a context never seen, and otherwise what the seen words leave over what the shorter context gives
+to the others, so that each context's sum over all words and the unknown one is exactly 1. A context that would leave
+nothing counts one more. d(r) is Katz' discount from the counts of counts for r <= 5 and 1 beyond. Trigrams seen once aren't
+kept (``LEAST``): their mass goes to the shorter context. A text begins with one start and ends with one end; its first token
+has the start alone as context.
+
+Tables, written to the shared folder and read from there: words (word, id, count); bigrams, a row for each context v (split
+if v is frequent) with its words and their counts; contexts (v, total, log_backoff); trigrams, a row for each middle word v
+with u, w, count of those kept; and the backoff weights of (u, v) where they are asked for.
+
+How it runs. Texts are gathered into blocks of a bounded number of tokens and coded by the block's own list of words. Words
+are counted and numbered in SQL, frequent ones with small numbers, and the numbers go back to the blocks. Then, level by
+level, a block sends what it holds to the tables and gets counts and weights back: one row for each of its words v, with
+what stands around v, each distinct n-gram once and packed in few bytes. So the rows grow with blocks times words in a
+block, and never with the square of anything. A frequent v is split by w at level two and by u at level three, and a
+frequent pair (u, v) by w besides, so no task gets more than a bounded share. Level three is done in ``SLICES`` parts, which
+bounds the disk that a shuffle takes. Last, each block evaluates its tokens by recursion from the longest context down.
 
 Nulls and ties: a null or empty text has one token, its end. A null in the held-out column counts as false. Rows that
 repeat get a result each, and are learnt from each time. Other columns are ignored. An empty table gives no rows; without
@@ -19,398 +27,583 @@ any training text every word is unknown.
 
 from __future__ import annotations
 
-import pickle
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLOCK_BYTES, bounded_batches, lean, mix, pack_sorted, partition_labels, release_shuffles, shuffle_width, stored, unpack_sorted, words
+from tidemark.llm.common import discard, importable, lean, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
-#: A word with this share of all tokens or more is frequent; there are at most 1 / HOT_SHARE.
+#: How often an n-gram of each order must be seen to be kept.
+LEAST = (1, 1, 2)
+#: A context with this share of all tokens or more is split; there are at most 1 / HOT_SHARE such words, and such pairs.
 HOT_SHARE = 1 / 2000
 ADDED = 0.1
-_BITS = 56
-_START, _END = (mix(np.array([n], np.uint64))[0] >> np.uint64(64 - _BITS) for n in (11, 13))
+#: Tokens of a block at most, unless one batch of texts has more.
+BLOCK_TOKENS = 1 << 22
+#: Parts in which level three is done.
+SLICES = 4
+#: Bytes of an Arrow batch.
+BATCH = "8m"
+_END = int(mix(np.array([11], np.uint64)).view(np.int64)[0])
+_K = MOST_DISCOUNTED
 
-_META, _SUMS, _OCCURRENCES, _CONTEXTS, _HOT_OCCURRENCES, _HOT_CONTEXTS, _STATS = range(7)
-_ROWS = "kind int, part int, block long, data binary"
 
+# ---------------------------------------------------------------------------------------------------------------------
+# Blocks and words
 
-def _small(values: np.ndarray) -> np.ndarray:
-    """The same numbers in the least unsigned type."""
-    most = int(values.max()) if len(values) else 0
-    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """A row for each block: doc_ids, whether each is held out, numbers of tokens, the tokens as numbers of the block's
+    words, those words' hashes, and how often each occurs in texts to learn from."""
 
-def _dump(*parts) -> bytes:
-    """Arrays and other small things in a few bytes: the bytes of an array's numbers by their place, compressed."""
-    import zstandard
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
 
-    flat = [("a", p.dtype.str, p.view(np.uint8).reshape(len(p), -1).T.tobytes()) if isinstance(p, np.ndarray) and p.ndim == 1 and len(p) else p for p in parts]
-    return zstandard.compress(pickle.dumps(flat, protocol=5), 3)
+        names = ["block", "ids", "held", "sizes", "codes", "words", "n"]
+        block = TaskContext.get().partitionId() << 32
+        held: list[tuple] = []
+
+        def row():
+            ids, out = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            token, sizes = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
+            used, code = np.unique(token, return_inverse=True)
+            learnt = np.bincount(code, weights=np.repeat(~out, sizes), minlength=len(used)).astype(np.int64)
+            order = np.argsort(-np.bincount(code, minlength=len(used)), kind="stable")
+            place = np.empty(len(used), np.int64)
+            place[order] = np.arange(len(used))
+            one = lambda values, kind: pa.array([values], pa.list_(kind))
+            return pa.RecordBatch.from_arrays([pa.array([block]), one(ids.to_pylist(), pa.int64()), one(out, pa.bool_()), one(sizes, pa.int32()), pa.array([pack_numbers(place[code])[0].tobytes()], pa.binary()), one(used[order], pa.int64()), one(learnt[order], pa.int64())], names)
+
+        tokens = 0
+        for batch in batches:
+            hashes, counts = words(batch.column(2))
+            token = np.full(len(hashes) + len(counts), _END, np.int64)
+            token[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes.view(np.int64)
+            held.append((batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), token, counts + 1))
+            tokens += len(token)
+            if tokens >= BLOCK_TOKENS:
+                yield row()
+                held, tokens, block = [], 0, block + 1
+        if tokens:
+            yield row()
+
+    return rows.mapInArrow(lean(run), "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, words array<bigint>, n array<bigint>")
+
+
+def word_table(blocks: DataFrame, width: int) -> DataFrame:
+    """Rows (word, id, count); ids from ``width`` on, small for frequent words, without a global order."""
+    listed = blocks.select(F.explode(F.arrays_zip("words", "n")).alias("w"))
+    counted = listed.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("count"))
+    dealt = counted.withColumn("part", F.pmod(F.hash("word"), F.lit(width)))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("count"), "word"))
+    return dealt.select("word", (rank.cast("long") * width + F.col("part")).alias("id"), "count")
+
+
+def _numbered(blocks: DataFrame, table: DataFrame) -> DataFrame:
+    """The blocks with their words' ids and counts in place of hashes."""
+    listed = blocks.select("block", F.posexplode("words").alias("pos", "word")).join(table, "word")
+    lists = listed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "count"))).alias("w"))
+    return blocks.drop("words", "n").join(lists.select("block", F.col("w.id").alias("wid"), F.col("w.count").alias("wc")), "block")
+
+
+@dataclass
+class _Facts:
+    """What holds for all blocks."""
+
+    n: int
+    v: int
+    texts: int
+
+    @property
+    def z(self) -> float:
+        return self.n + ADDED * (self.v + 1)
+
+    @property
+    def hot(self) -> float:
+        return max(1.0, self.n * HOT_SHARE)
+
+
+class _Block:
+    """One block, its words numbered from 1 in the order of their ids; 0 is the start of a text."""
+
+    def __init__(self, row: dict, facts: _Facts):
+        wid, wc = (np.asarray(row[k], dtype=np.int64) for k in ("wid", "wc"))
+        order = np.argsort(wid)
+        place = np.empty(len(wid), np.int64)
+        place[order] = np.arange(1, len(wid) + 1)
+        self.facts, self.ids = facts, row["ids"]
+        self.word = place[unpack_numbers(np.frombuffer(row["codes"], np.uint8))]
+        self.id = np.append(0, wid[order])
+        self.count = np.append(facts.texts, wc[order])
+        self.order = np.append(0, order + 1)  # of what comes with the start first and then in the words' first order
+        self.sizes = np.asarray(row["sizes"], dtype=np.int64)
+        self.held = np.asarray(row["held"], dtype=bool)
+        self.base = len(self.id)
+        first = np.cumsum(self.sizes) - self.sizes
+        self.before = np.empty_like(self.word)
+        self.before[1:] = self.word[:-1]
+        self.before[first] = 0
+        self.first = first
+        self.learnt = ~np.repeat(self.held, self.sizes)
+
+    def pairs(self):
+        """Distinct pairs (v, w), where each begins a new row, its v and split, and the pair of each token."""
+        key, of = np.unique(self.before * self.base + self.word, return_inverse=True)
+        v, w = np.divmod(key, self.base)
+        split = _split(self.count[v], self.facts.hot, self.id[w])
+        order = _resorted(v, split)
+        if order is not None:
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            v, w, split, of = v[order], w[order], split[order], place[of]
+        return v, w, split, of
+
+    def triples(self, pair_v, pair_w, pair_of, pair_count):
+        """The same for trigrams (u, v, w) of tokens that have two before them, the start counted; a frequent pair (u, v)
+        has rows of its own."""
+        n = len(pair_v)
+        rank = np.empty(n, np.int64)
+        by_middle = np.lexsort((pair_v, pair_w))
+        rank[by_middle] = np.arange(n)
+        has = np.ones(len(self.word), bool)
+        has[self.first] = False
+        at = np.flatnonzero(has)
+        key, of = np.unique(rank[pair_of[at - 1]] * self.base + self.word[at], return_inverse=True)
+        r, w = np.divmod(key, self.base)
+        context = by_middle[r]
+        u, v = pair_v[context], pair_w[context]
+        hot = self.facts.hot
+        alone = pair_count[context] >= hot
+        split = _split(self.count[v], hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
+        own = np.where(alone, self.id[u] + 1, 0)
+        order = _resorted(v, split, own)
+        if order is not None:
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            u, v, w, split, own, context, of = u[order], v[order], w[order], split[order], own[order], context[order], place[of]
+        return u, v, w, split, own, context, of, at
+
+
+def _split(total: np.ndarray, hot: float, by: np.ndarray) -> np.ndarray:
+    """Which part of a frequent context's rows each n-gram is in; 0 where the context isn't frequent."""
+    parts = np.where(total >= hot, np.ceil(total / hot), 1).astype(np.uint64)
+    return (mix(by.astype(np.uint64)) % parts).astype(np.int64)
+
+
+def _resorted(v: np.ndarray, *then: np.ndarray) -> np.ndarray | None:
+    """A stable order by v, which is sorted, and then by what is rarely not 0."""
+    odd = np.flatnonzero(np.logical_or.reduce([t != 0 for t in then]))
+    if not len(odd):
+        return None
+    some = np.flatnonzero(np.isin(v, np.unique(v[odd])))
+    order = np.arange(len(v))
+    order[some] = some[np.lexsort((*(t[some] for t in reversed(then)), v[some]))]
+    return order
+
+
+def _edges(*keys: np.ndarray) -> np.ndarray:
+    """Where a new key begins, and the end."""
+    n = len(keys[0])
+    new = np.zeros(n, bool)
+    if n:
+        new[0] = True
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+    return np.append(np.flatnonzero(new), n)
+
+
+def _totals(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sums between edges."""
+    return np.add.reduceat(values, edges[:-1]) if len(edges) > 1 else values[:0]
+
+
+def _lists(values: np.ndarray, edges: np.ndarray, kind):
+    import pyarrow as pa
 
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values, kind))
 
-def _load(data: bytes) -> list:
-    import zstandard
 
-    out = []
-    for p in pickle.loads(zstandard.decompress(data)):
-        if isinstance(p, tuple) and len(p) == 3 and p[0] == "a":
-            kind = np.dtype(p[1])
-            p = np.ascontiguousarray(np.frombuffer(p[2], np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
-        out.append(p)
-    return out
+def _rows(df: DataFrame):
+    """Rows of an Arrow batch as dictionaries whose lists are arrays."""
+    for i in range(df.num_rows):
+        row = {}
+        for name, column in zip(df.schema.names, df.columns, strict=True):
+            value = column[i]
+            values = getattr(value, "values", None)
+            row[name] = values.to_numpy(zero_copy_only=False) if values is not None and name != "ids" else value.as_py() if name != "ids" else values
+        yield row
 
 
-def _steps(values: np.ndarray) -> np.ndarray:
-    """Differences of neighbours, which are small where the values are sorted in stretches."""
-    return np.diff(values, prepend=values.dtype.type(0))
-
+def _gathered(batches, n_packed: int):
+    """All rows of a partition: their plain columns, and each packed column's numbers with the row of each number."""
+    import pyarrow as pa
 
-def _tokens(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of all texts, an end after each; the token before each; the number of its text."""
-    hashes, counts = words(column)
-    of_word = np.repeat(np.arange(len(counts)), counts)
-    token = np.full(len(hashes) + len(counts), _END, dtype=np.uint64)
-    token[np.arange(len(hashes)) + of_word] = hashes >> np.uint64(64 - _BITS)
-    of = np.repeat(np.arange(len(counts)), counts + 1)
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[np.cumsum(counts + 1) - counts - 1] = _START
-    return token, before, of
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return None
+    table = pa.Table.from_batches(batches)
+    plain = [table.column(i).to_numpy() for i in range(table.num_columns - n_packed)]
+    return plain, [unpacked_rows(table.column(i)) for i in range(table.num_columns - n_packed, table.num_columns)]
 
 
-def _ranges(keys: np.ndarray, width: int) -> np.ndarray:
-    """Which of ``width`` equal ranges each hash is in."""
-    return ((keys >> np.uint64(24)) * np.uint64(width) >> np.uint64(_BITS - 24)).astype(np.int64)
+def _by_count(counts: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+    """Between edges, how many counts are 1, ..., _K + 1, and the sum of those above _K."""
+    return [*(_totals((counts == r).astype(np.int64), edges) for r in range(1, _K + 2)), _totals(np.where(counts > _K, counts, 0), edges)]
 
 
-def _batch(rows: list[tuple]):
-    import pyarrow as pa
+def discounts(counts: np.ndarray) -> np.ndarray:
+    """Katz' discounts d(0..k+1) from the numbers of n-grams seen 1, ..., k + 1 times; 1 where they give none in (0, 1]."""
+    d = np.ones(_K + 2)
+    if counts[0] > 0:
+        common = (_K + 1) * counts[_K] / counts[0]
+        for r in range(1, _K + 1):
+            if counts[r - 1] > 0 and common < 1:
+                value = ((r + 1) * counts[r] / (r * counts[r - 1]) - common) / (1 - common)
+                d[r] = value if 0 < value <= 1 else 1.0
+    return d
 
-    kinds, parts, blocks, data = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array(blocks, pa.int64()), pa.array(data, pa.binary())], ["kind", "part", "block", "data"])
 
+# ---------------------------------------------------------------------------------------------------------------------
+# Level two
 
-def _is_hot(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    return hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys if len(hot) else np.zeros(len(keys), bool)
 
+_TWO = "kind int, v long, split int, block long, total long, data binary, words array<bigint>, counts array<bigint>, stats array<double>"
+_ANSWERS, _TABLE, _STATS = 0, 1, 2
 
-def unigrams(rows: DataFrame, width: int) -> tuple[int, int, dict[int, int]]:
-    """Training tokens, distinct ones, and the counts of the frequent ones; ``rows``: (doc_id, held_out, text)."""
-    labels = partition_labels(width)
 
-    def count(batches):
-        for batch in batches:
-            token, _, of = _tokens(batch.column(2))
-            used, times = np.unique(token[~batch.column(1).to_numpy(zero_copy_only=False)[of]], return_counts=True)
-            part = _ranges(used, width)
-            edges = np.searchsorted(part, np.arange(width + 1))
-            out = [(_STATS, labels[i], 0, _dump(pack_sorted(used[a:b]), _small(times[a:b]))) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
-            if out:
-                yield _batch(out)
-
-    def total(batches):
+def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
+    def run(batches):
         import pyarrow as pa
 
-        used, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
-            for data in batch.column(3).to_pylist():
-                a, b = _load(data)
-                used.append(unpack_sorted(a))
-                times.append(b.astype(np.int64))
-        word, where = np.unique(np.concatenate(used), return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate(times), minlength=len(word)).astype(np.int64)
-        often = n >= max(1, n.sum() * HOT_SHARE)
-        yield pa.RecordBatch.from_arrays([pa.array([None, *word[often].astype(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[often].tolist()], pa.int64()), pa.array([len(word)] + [0] * int(often.sum()), pa.int64())], ["word", "n", "v"])
+            for row in _rows(batch):
+                block = _Block(row, facts)
+                v, w, split, of = block.pairs()
+                edges = _edges(v, split)
+                at = edges[:-1]
+                n = np.bincount(of, weights=block.learnt, minlength=len(v)).astype(np.int64)
+                steps = np.diff(block.id[w], prepend=0)
+                steps[at] = block.id[w[at]]
+                columns = [pa.array(block.id[v[at]]), pa.array(split[at].astype(np.int32)), pa.array(np.full(len(at), row["block"])), pa.array(block.count[v[at]])]
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in (steps, block.count[w], n))], ["v", "split", "block", "total", "w", "c", "n"]).to_batches(65536)
 
-    counted = stored(rows.mapInArrow(lean(count), _ROWS).repartition(width, "part").mapInArrow(lean(total), "word long, n long, v long"), "unigrams")
-    both = counted.filter("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    hot = counted.filter((F.col("n") >= max(1.0, both[0] * HOT_SHARE)) & F.col("word").isNotNull()).collect()
-    return both[0], both[1], {r.word: r.n for r in hot}
+    return corpus.mapInArrow(lean(run), "v long, split int, block long, total long, w binary, c binary, n binary")
 
 
-def _by_word(rows: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
-    """Occurrences (w, h, text, times) of each block of texts, packed by w's range, and a row for the block itself.
+def _from_steps(steps: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Numbers from their differences, which begin anew at each edge."""
+    sums = np.cumsum(steps)
+    before = np.append(0, sums)[edges[:-1]]
+    return sums - np.repeat(before, np.diff(edges))
 
-    Texts to learn from are numbered first, so a text's number tells whether it is one."""
-    labels = partition_labels(width)
+
+def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
+    """Answers to the blocks (each pair's count), the bigram table, and each context's statistics."""
 
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        first = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(batches):
-            block = first + number
-            held = batch.column(1).to_numpy(zero_copy_only=False)
-            token, before, of = _tokens(batch.column(2))
-            order = np.argsort(held, kind="stable")
-            rank = np.empty(len(held), np.int64)
-            rank[order] = np.arange(len(held))
-            n_train = int((~held).sum())
-            ids = batch.column(0).take(pa.array(order))
-            sizes = np.bincount(rank[of], minlength=len(held)) if len(held) else np.zeros(0, np.int64)
-            out = [(_META, labels[block % width], block, _dump(ids.to_pylist(), n_train, sizes.astype(np.int64)))]
-            of = rank[of]
-            key = np.where(_is_hot(token, hot), mix(token ^ mix(before)) >> np.uint64(64 - _BITS), token)
-            part = _ranges(key, width)
-            order = np.lexsort((of, before, token, part))
-            part, token, before, of = part[order], token[order], before[order], of[order]
-            new = np.append(True, (token[1:] != token[:-1]) | (before[1:] != before[:-1]) | (of[1:] != of[:-1])) if len(token) else np.zeros(0, bool)
-            at = np.flatnonzero(new)
-            times = np.diff(np.append(at, len(token)))
-            part, token, before, of = part[at], token[at], before[at], of[at]
-            edges = np.searchsorted(part, np.arange(width + 1))
-            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                if b > a:
-                    word, n = np.unique(token[a:b], return_counts=True)
-                    context, where = np.unique(before[a:b], return_inverse=True)
-                    out.append((_OCCURRENCES, labels[i], block, _dump(n_train, pack_sorted(word), _small(n), pack_sorted(context), _steps(_small(where)), _small(of[a:b]), _small(times[a:b]))))
-            yield _batch(out)
-
-    return rows.mapInArrow(lean(run), _ROWS)
-
-
-def _tables(packed: DataFrame, width: int, hot: dict[int, int]) -> DataFrame:
-    """From the occurrences by word: sums by text, occurrences by context, counts by context, counts of counts."""
-    labels = partition_labels(width)
-    hot_words = np.array(sorted(hot), dtype=np.uint64)
-    hot_counts = np.array([hot[w] for w in sorted(hot)], dtype=np.float64)
-    hot_contexts = np.unique(np.append(hot_words, _START))
-    k = MOST_DISCOUNTED
+        got = _gathered(batches, 3)
+        if got is None:
+            return
+        (row_v, row_split, row_block, row_total), ((w, edges), (c, _), (n, _)) = got
+        of_row = np.repeat(np.arange(len(row_v)), np.diff(edges))
+        w = _from_steps(w, edges)
+        order = np.lexsort((w, row_split[of_row], row_v[of_row]))
+        v, split = row_v[of_row][order], row_split[of_row][order]
+        cuts = _edges(v, split, w[order])
+        total = _totals(n[order], cuts)
+        back = np.empty(len(w), np.int64)
+        back[order] = np.repeat(total, np.diff(cuts))
+        empty = lambda k, kind: pa.nulls(k, kind)
+        many, real = pa.list_(pa.int64()), pa.list_(pa.float64())
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], ["kind", "v", "split", "block", "total", "data", "words", "counts", "stats"]).to_batches(65536)
+        k = len(row_v)
+        yield from whole(_ANSWERS, k, [pa.array(row_v), pa.array(row_split), pa.array(row_block), empty(k, pa.int64()), packed_rows(back, edges), empty(k, many), empty(k, many), empty(k, real)])
+
+        seen = np.flatnonzero(total > 0)
+        first = order[cuts[:-1][seen]]
+        v, split, word, total, c = row_v[of_row[first]], row_split[of_row[first]], w[first], total[seen], c[first]
+        at = _edges(v, split)
+        k = len(at) - 1
+        heads = first[at[:-1]]
+        stats = np.stack([*_by_count(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 3))
+        yield from whole(_TABLE, k, [pa.array(v[at[:-1]]), pa.array(split[at[:-1]].astype(np.int32)), empty(k, pa.int64()), pa.array(row_total[of_row[heads]]), empty(k, pa.binary()), _lists(word, at, pa.int64()), _lists(total, at, pa.int64()), _lists(stats.reshape(-1), np.arange(k + 1) * (_K + 3), pa.float64())])
+
+    return sent.repartition(width, "v", "split").mapInArrow(lean(run), _TWO)
+
+
+def _counts_of_counts(stats: DataFrame) -> np.ndarray:
+    """From rows with the column stats: the numbers of n-grams seen 1, ..., _K + 1 times."""
+    row = stats.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(_K + 1))).first()
+    return np.array(list(row), dtype=np.float64)
+
+
+def _left(stats, d: np.ndarray, total):
+    """What the seen words of a context leave; for Columns and arrays alike. stats[i]: as _by_count gives them."""
+    return total - sum((stats[r - 1] * (r * float(d[r])) for r in range(1, _K + 1)), stats[_K + 1])
+
+
+def contexts(table: DataFrame, d: np.ndarray, z: float) -> DataFrame:
+    """Rows (v, total, log_backoff) of the bigram table's contexts; a context that leaves nothing counts one more."""
+    sums = table.groupBy("v").agg(F.first("total").alias("total"), *(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 3)))
+    left = _left([F.col(f"s{i}") for i in range(_K + 2)], d, F.col("total"))
+    rows = sums.select("v", "total", left.alias("left"), (1 - F.col(f"s{_K + 2}") / z).alias("rest"))
+    nothing = F.col("left") < 1e-9
+    total = F.col("total") + nothing.cast("long")
+    return rows.select("v", total.alias("total"), (F.log10(F.when(nothing, 1.0).otherwise(F.col("left")) / total) - F.log10("rest")).alias("log_backoff"))
+
+
+def _answered(corpus: DataFrame, answers: DataFrame, weights: DataFrame, facts: _Facts) -> DataFrame:
+    """The blocks with their pairs' counts, and their words' totals and backoff weights (0 words are the start)."""
+
+    def run(left, right):
+        import pyarrow as pa
+
+        rows = left.combine_chunks().to_batches()
+        block = _Block(next(_rows(rows[0])), facts)
+        counts = _in_order(right, ["split", "v"], "data")
+        v, _, _, _ = block.pairs()
+        assert len(counts) == len(v)
+        out = left.append_column("pairs", pa.array([pack_numbers(counts)[0].tobytes()], pa.binary()))
+        return out.select(["block", "ids", "held", "sizes", "codes", "wid", "wc", "pairs"])
+
+    plain = corpus.select("block", "ids", "held", "sizes", "codes", "wid", "wc")
+    schema = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid array<bigint>, wc array<bigint>, pairs binary"
+    counted = plain.groupBy("block").cogroup(answers.select("block", "v", "split", "data").groupBy("block")).applyInArrow(run, schema)
+    asked = corpus.select("block", F.posexplode(F.concat(F.array(F.lit(0).cast("long")), "wid")).alias("pos", "v"))
+    known = asked.join(weights, "v", "left").select("block", "pos", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("log_backoff", F.lit(0.0)).alias("log_backoff"))
+    lists = known.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "total", "log_backoff"))).alias("w"))
+    return counted.join(lists.select("block", F.col("w.total").alias("wtotal"), F.col("w.log_backoff").alias("wback")), "block")
+
+
+def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
+    """The numbers of a block's answers, rows sorted by ``keys`` (the last first), as the block sent them."""
+    import pyarrow as pa
+
+    table = table.combine_chunks()
+    order = np.lexsort(tuple(table.column(k).to_numpy() for k in keys))
+    column = table.column(data).take(pa.array(order))
+    if kind is None:
+        return unpacked_rows(column)[0]
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# Level three
+
+
+def _send_triples(corpus: DataFrame, facts: _Facts, slices: int, which: int | None, counts_only: bool) -> DataFrame:
+    """Rows of the trigrams around each word v, of one slice or of all: u, w and times to learn, and, unless only counts
+    are asked for, the count of (v, w) and whether a context's weight is needed if the trigram isn't kept."""
 
     def run(batches):
-        blocks, token, before, of, times, train, block = [], [], [], [], [], [], []
+        import pyarrow as pa
+
         for batch in batches:
-            for kind, part, b, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind == _META:
-                    yield _batch([(kind, part, b, data)])
-                    continue
-                n_train, word, n, context, where, text, t = _load(data)
-                token.append(np.repeat(unpack_sorted(word), n))
-                before.append(unpack_sorted(context)[np.cumsum(where, dtype=where.dtype)])
-                of.append(text.astype(np.int32))
-                times.append(t.astype(np.int32))
-                train.append(text < n_train)
-                block.append(np.full(len(text), len(blocks), np.int32))
-                blocks.append(b)
-        if not blocks:
+            for row in _rows(batch):
+                block = _Block(row, facts)
+                pv, pw, _, pof = block.pairs()
+                count = unpack_numbers(np.frombuffer(row["pairs"], np.uint8))
+                u, v, w, split, own, context, of, at = block.triples(pv, pw, pof, count)
+                n = np.bincount(of, weights=block.learnt[at], minlength=len(u)).astype(np.int64)
+                low = np.zeros(len(u), np.int64)
+                low[of] = count[pof[at]]
+                keep = np.ones(len(u), bool)
+                if which is not None:
+                    keep &= _slice(block.id[v], split, slices) == which
+                if counts_only:
+                    keep &= n > 0
+                u, v, w, split, own, n, low = (x[keep] for x in (u, v, w, split, own, n, low))
+                edges = _edges(v, split, own)
+                heads = edges[:-1]
+                iu, iw = block.id[u], block.id[w]
+                steps = np.diff(iu, prepend=0)
+                steps[heads] = iu[heads]
+                total = np.asarray(row["wtotal"], dtype=np.int64)[block.order]
+                columns = [pa.array(block.id[v[heads]]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), row["block"])), pa.array(total[v[heads]])]
+                packed = (steps, iw, n) if counts_only else (steps, iw, n, low)
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["v", "split", "own", "block", "total", "u", "w", "n", "low"][: 5 + len(packed)]).to_batches(65536)
+
+    return corpus.mapInArrow(lean(run), "v long, split int, own long, block long, total long, u binary, w binary, n binary" + ("" if counts_only else ", low binary"))
+
+
+def _slice(v: np.ndarray, split: np.ndarray, slices: int) -> np.ndarray:
+    return ((mix(v.astype(np.uint64)) + split.astype(np.uint64)) % np.uint64(slices)).astype(np.int64)
+
+
+def _triple_counts(sent: DataFrame, width: int) -> DataFrame:
+    """One row for each partition: stats, the numbers of trigrams seen 1, ..., _K + 1 times."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        got = _gathered(batches, 3)
+        if got is None:
             return
-        token, before = np.concatenate(token), np.concatenate(before)
-        order = np.lexsort((before, token))
-        token, before, of, times, train, block = token[order], before[order], *(np.concatenate(x)[order] for x in (of, times, train, block))
-        new_word = np.append(True, token[1:] != token[:-1])
-        new_pair = new_word | np.append(True, before[1:] != before[:-1])
-        learnt = times * train
-        of_word, of_pair = np.cumsum(new_word) - 1, np.cumsum(new_pair) - 1
-        count = np.bincount(of_word, weights=learnt)
-        word = token[new_word]
-        is_hot = _is_hot(word, hot_words)
-        count[is_hot] = hot_counts[np.searchsorted(hot_words, word[is_hot])]
-        pair_count = np.bincount(of_pair, weights=learnt)
-        r, c = pair_count[of_pair], count[of_word]
-        group = np.minimum(r, k + 1).astype(np.uint8)
-        log_c = np.log10(c + ADDED)
-        lower = np.where(r == 0, log_c, np.where(r > k, np.log10(np.maximum(r, 1)), 0))
-
-        # counts by context, each distinct pair once
-        seen = np.flatnonzero(pair_count > 0)
-        at = np.flatnonzero(new_pair)[seen]
-        context, where = np.unique(before[at], return_inverse=True)
-        pairs = pair_count[seen]
-        total = lambda values: np.bincount(where, weights=values, minlength=len(context))
-        sums = [total(pairs), total(c[at]), total(np.ones(len(at))), *(total(pairs == n) for n in range(1, k + 1))]
-        sums = [s.astype(np.int64) for s in sums]
-        frequent = _is_hot(context, hot_contexts)
-        part = _ranges(context, width)
-        out = []
-        for i in np.unique(part[~frequent]):
-            mine = (part == i) & ~frequent
-            out.append((_CONTEXTS, labels[i], 0, _dump(pack_sorted(context[mine]), *(_small(s[mine]) for s in sums))))
-        out.append((_HOT_CONTEXTS, 0, 0, _dump(context[frequent], *(s[frequent] for s in sums))))
-        out.append((_STATS, 0, 0, np.bincount(np.minimum(pairs, k + 2).astype(np.int64), minlength=k + 3)[1 : k + 2].astype("<i8").tobytes()))
-        yield _batch(out)
-        del out, where, sums, at
-
-        # by block: sums of each text, and the occurrences by context
-        order = np.lexsort((of, before, block))
-        block, before, of, times, group, log_c, lower, c = (x[order] for x in (block, before, of, times, group, log_c, lower, c))
-        frequent = _is_hot(before, hot_contexts)
-        part = np.where(frequent, width, _ranges(before, width))
-        edges = np.searchsorted(block, np.arange(len(blocks) + 1))
-        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            s = slice(a, b)
-            base, low, known = (np.bincount(of[s], weights=v) for v in (times[s] * log_c[s], times[s] * lower[s], times[s] * (c[s] > 0)))
-            out = [(_SUMS, labels[blocks[i] % width], blocks[i], _dump(base, low.astype(np.float32), _small(known)))]
-            here = part[s]
-            for p in np.unique(here):
-                mine = np.flatnonzero(here == p) + a
-                context, n = np.unique(before[mine], return_counts=True)
-                data = _dump(pack_sorted(context), _small(n), _steps(_small(of[mine])), group[mine], _small(times[mine]))
-                out.append((_HOT_OCCURRENCES, 0, blocks[i], data) if p == width else (_OCCURRENCES, labels[p], blocks[i], data))
-            yield _batch(out)
-
-    return packed.repartition(width, "part").mapInArrow(lean(run), _ROWS)
+        (row_v, *_), ((u, edges), (w, _), (n, _)) = got
+        v = np.repeat(row_v, np.diff(edges))
+        u = _from_steps(u, edges)
+        order = np.lexsort((w, u, v))
+        total = _totals(n[order], _edges(v[order], u[order], w[order]))
+        yield pa.RecordBatch.from_arrays([pa.array([[float((total == r).sum()) for r in range(1, _K + 2)]], pa.list_(pa.float64()))], ["stats"])
 
+    return sent.repartition(width, "v", "split").mapInArrow(lean(run), "stats array<double>")
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Katz' discounts d(0..k+1) from the numbers of pairs seen 1, ..., k + 1 times; 1 where they give none in (0, 1]."""
-    k = MOST_DISCOUNTED
-    d = np.ones(k + 2)
-    if counts[0] > 0:
-        common = (k + 1) * counts[k] / counts[0]
-        for r in range(1, k + 1):
-            if counts[r - 1] > 0 and common < 1:
-                value = ((r + 1) * counts[r] / (r * counts[r - 1]) - common) / (1 - common)
-                d[r] = value if 0 < value <= 1 else 1.0
-    return d
 
+_THREE = "kind int, v long, split int, own long, block long, data binary, backs binary, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
 
-def context_weights(sums: list[np.ndarray], d: np.ndarray, z: float) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of c(h) and of a(h), from each context's sum of counts, its words' counts, its words, and its words by count."""
-    total, word_counts, n, *by_count = (s.astype(np.float64) for s in sums)
-    left = sum(m * r * (1 - d[r]) for r, m in enumerate(by_count, 1))
-    nothing = left < 1e-9
-    total, left = total + nothing, np.where(nothing, 1.0, left)
-    return np.log10(total), np.log10(left / total) - np.log10(1 - (word_counts + ADDED * n) / z)
-
-
-def _context_sums(tables: DataFrame, width: int, d: np.ndarray, z: float, hot_table: dict[int, list[int]]) -> tuple[DataFrame, DataFrame]:
-    """Rows (block, sums by text) of what depends on c(h) and a(h): for the frequent contexts, and for all others."""
-    k = MOST_DISCOUNTED
-    labels = partition_labels(width)
-    factor = np.log10(np.maximum(d * np.arange(k + 2), 1e-300))
-    factor[0], factor[k + 1] = -np.log10(z), 0.0
-
-    def add(rows, context, log_total, log_back):
-        """One row for each block: what its rows add to its texts."""
-        total, current = np.zeros(0), None
-        for block, data in sorted(rows, key=lambda r: r[0]):
-            if block != current and current is not None:
-                yield _SUMS, labels[current % width], current, _dump(total)
-                total = np.zeros(0)
-            current = block
-            own, n, of, group, times = _load(data)
-            of = np.cumsum(of, dtype=of.dtype)
-            own = unpack_sorted(own)
-            at = np.minimum(np.searchsorted(context, own), max(0, len(context) - 1))
-            known = context[at] == own if len(context) else np.zeros(len(own), bool)
-            seen, back = np.zeros(len(own)), np.zeros(len(own))
-            seen[known], back[known] = -log_total[at[known]], log_back[at[known]]
-            value = np.bincount(of, weights=times * (factor[group] + np.where(group > 0, np.repeat(seen, n), np.repeat(back, n))))
-            if len(value) > len(total):
-                total, value = value, total
-            total[: len(value)] += value
-        if current is not None:
-            yield _SUMS, labels[current % width], current, _dump(total)
-
-    def few(batches):
-        context = np.array(sorted(hot_table), dtype=np.uint64)
-        log_total, log_back = context_weights([np.array([hot_table[c][i] for c in sorted(hot_table)], dtype=np.int64) for i in range(k + 3)], d, z)
-        for batch in batches:
-            if batch.num_rows:
-                yield _batch(list(add(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True), context, log_total, log_back)))
 
-    def rest(batches):
-        contexts, sums, rows = [np.zeros(0, np.uint64)], [[np.zeros(0, np.int64)] for _ in range(k + 3)], []
-        for batch in batches:
-            for kind, _, block, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind == _CONTEXTS:
-                    own, *values = _load(data)
-                    contexts.append(unpack_sorted(own))
-                    for to, v in zip(sums, values, strict=True):
-                        to.append(v.astype(np.int64))
-                else:
-                    rows.append((block, data))
-        context, where = np.unique(np.concatenate(contexts), return_inverse=True)
-        added = [np.bincount(where, weights=np.concatenate(s), minlength=len(context)) for s in sums]
-        log_total, log_back = context_weights(added, d, z)
-        out = []
-        for row in add(rows, context, log_total, log_back):
-            out.append(row)
-            if len(out) == 64:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    columns = ["kind", "part", "block", "data"]
-    frequent = tables.filter(F.col("kind") == _HOT_OCCURRENCES).select(columns).mapInArrow(lean(few), _ROWS)
-    others = tables.filter(F.col("kind").isin(_OCCURRENCES, _CONTEXTS)).select(columns).repartition(width, "part").mapInArrow(lean(rest), _ROWS)
-    return frequent, others
-
-
-def _hot_table(tables: DataFrame) -> dict[int, list[int]]:
-    """The counts of the frequent contexts, at most 1 / HOT_SHARE + 1 of them, summed by Spark."""
-    names = [f"s{i}" for i in range(MOST_DISCOUNTED + 3)]
-
-    def spread(batches):
+def _count_triples(sent: DataFrame, width: int, d2: np.ndarray, d3: np.ndarray) -> DataFrame:
+    """Answers to the blocks, the trigram table, and the statistics of frequent pairs, whose trigrams are in many tasks.
+
+    An answer is 2 r + 1 for a kept trigram whose context leaves nothing, 2 r for another kept one, and 0 for one not kept;
+    for these, in order, ``backs`` holds log10 of their context's weight."""
+
+    def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                context, *sums = _load(data)
-                yield pa.RecordBatch.from_arrays([pa.array(context.astype(np.int64)), *(pa.array(s) for s in sums)], ["context", *names])
+        got = _gathered(batches, 4)
+        if got is None:
+            return
+        (row_v, row_split, row_own, row_block, row_total), ((u, edges), (w, _), (n, _), (low, _)) = got
+        of_row = np.repeat(np.arange(len(row_v)), np.diff(edges))
+        u = _from_steps(u, edges)
+        order = np.lexsort((w, u, row_own[of_row], row_split[of_row], row_v[of_row]))
+        su, sv, so, ss = u[order], row_v[of_row][order], row_own[of_row][order], row_split[of_row][order]
+        cuts = _edges(sv, ss, so, su, w[order])
+        first = cuts[:-1]
+        count = _totals(n[order], cuts)
+        kept = count >= LEAST[2]
+        r2, total2 = low[order][first], row_total[of_row][order][first]
+        lower = np.where(kept, d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(total2, 1), 0.0)
+        hu, hv, ho, hs = su[first], sv[first], so[first], ss[first]
+        pair = _edges(hv, hs, ho, hu)
+        sums = _by_count(np.where(kept, count, 0), pair)
+        total = _totals(count, pair)
+        mass = _totals(lower, pair)
+        left = _left(sums, d3, total)
+        nothing = (left < 1e-9) & (total > 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            back = np.log10(np.where(nothing, 1.0, left) / (total + nothing)) - np.log10(1 - mass)
+        back = np.where((total > 0) & (mass > 0), back, 0.0)
+        per = np.diff(pair)
+        code = np.where(kept, 2 * count + np.repeat(nothing, per), 0)
+        answer, weight = np.empty(len(u), np.int64), np.empty(len(u))
+        answer[order] = np.repeat(code, np.diff(cuts))
+        weight[order] = np.repeat(np.repeat(back, per), np.diff(cuts))
+        asked = (answer == 0) & (row_own[of_row] == 0)
+        ends = np.append(0, np.cumsum(asked))[edges] * 8
+        backs = pa.Array.from_buffers(pa.binary(), len(row_v), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(weight[asked].tobytes())])
+        names = ["kind", "v", "split", "own", "block", "data", "backs", "u", "w", "counts", "stats"]
+        many, real, raw = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(65536)
+        k = len(row_v)
+        yield from whole(_ANSWERS, k, [pa.array(row_v), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), backs, pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
+
+        at = np.flatnonzero(kept)
+        rows = _edges(hv[at], hs[at], ho[at])
+        k = len(rows) - 1
+        heads = at[rows[:-1]]
+        yield from whole(_TABLE, k, [pa.array(hv[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, raw), pa.nulls(k, raw), _lists(hu[at], rows, pa.int64()), _lists(w[order][first][at], rows, pa.int64()), _lists(count[at], rows, pa.int64()), pa.nulls(k, real)])
+
+        alone = np.flatnonzero(ho[pair[:-1]] > 0)
+        if len(alone):
+            heads, k = pair[:-1][alone], len(alone)
+            stats = np.stack([*sums, total, mass], axis=1)[alone].astype(np.float64)
+            yield from whole(_STATS, k, [pa.array(hv[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, raw), pa.nulls(k, raw), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, many), _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())])
+
+    return sent.repartition(width, "v", "split").mapInArrow(lean(run), _THREE)
+
+
+def _hot_pairs(tables: list[DataFrame], d3: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
+    """For each frequent pair (u, v), at most 1 / HOT_SHARE of them: log10 of its weight, and 1 if it leaves nothing."""
+    out = {}
+    for t in tables:
+        for row in t.filter(F.col("kind") == _STATS).groupBy("v", "own").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4))).collect():
+            s = [row[f"s{i}"] for i in range(_K + 4)]
+            key, old = (row.own - 1, row.v), out.get((row.own - 1, row.v))
+            out[key] = [a + b for a, b in zip(s, old, strict=True)] if old else s
+    for key, s in out.items():
+        total, mass = s[_K + 2], s[_K + 3]
+        left = _left(s, d3, total)
+        nothing = int(left < 1e-9)
+        out[key] = (float(np.log10((1.0 if nothing else left) / (total + nothing)) - np.log10(1 - mass)) if mass > 0 else 0.0, nothing)
+    return out
 
-    rows = tables.filter(F.col("kind") == _HOT_CONTEXTS).select("data").mapInArrow(lean(spread), "context long, " + ", ".join(f"{n} long" for n in names))
-    return {r.context: [r[n] for n in names] for r in rows.groupBy("context").agg(*(F.sum(n).alias(n) for n in names)).collect()}
 
+def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndarray, d3: np.ndarray, hot: dict) -> DataFrame:
+    def run(left, right):
+        import pyarrow as pa
 
-def score(docs: DataFrame, held_out) -> DataFrame:
+        row = next(_rows(left.combine_chunks().to_batches()[0]))
+        block = _Block(row, facts)
+        pv, pw, _, pof = block.pairs()
+        count = unpack_numbers(np.frombuffer(row["pairs"], np.uint8))
+        total = np.asarray(row["wtotal"], dtype=np.float64)[block.order]
+        back = np.asarray(row["wback"], dtype=np.float64)[block.order]
+        one = np.log10(block.count + ADDED) - np.log10(facts.z)
+        with np.errstate(divide="ignore"):
+            two = np.where(count > 0, np.log10(d2[np.minimum(count, _K + 1)] * count) - np.log10(total[pv]), back[pv] + one[pw])
+        value = two[pof]
+        u, v, w, split, own, context, of, at = block.triples(pv, pw, pof, count)
+        if len(u):
+            answer = _in_order(right, ["own", "split", "v"], "data")
+            weight = np.zeros(len(u))
+            weight[(answer == 0) & (own == 0)] = _in_order(right, ["own", "split", "v"], "backs", np.float64)
+            r, more = answer >> 1, answer & 1
+            for i in np.unique(context[own > 0]):
+                mine = (context == i) & (own > 0)
+                weight[mine], more[mine] = hot.get((int(block.id[pv[i]]), int(block.id[pw[i]])), (0.0, 0))
+            lower = np.zeros(len(u))
+            lower[of] = value[at]
+            with np.errstate(divide="ignore"):
+                three = np.where(r > 0, np.log10(d3[np.minimum(r, _K + 1)] * r) - np.log10(count[context] + more), weight + lower)
+            value[at] = three[of]
+        edges = np.append(block.first, len(value))
+        ids = left.column("ids").combine_chunks()
+        ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).flatten()
+        known = _totals((block.count[block.word] > 0).astype(np.int64), edges)
+        return pa.table([ids, pa.array(block.held), pa.array(block.sizes), pa.array(known), pa.array(np.full(len(block.sizes), facts.n)), pa.array(_totals(one[block.word], edges)), pa.array(_totals(value, edges))], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    answers = answers.select("block", "v", "split", "own", "data", "backs")
+    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def score(docs: DataFrame, held_out, slices: int = SLICES) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a Column; texts where it is true aren't learnt from."""
     spark = docs.sparkSession
-    bounded_batches(spark, BLOCK_BYTES)
+    importable(spark)
     width = shuffle_width(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    n, v, hot = unigrams(rows, width)
-    z = n + ADDED * (v + 1)
-    tables = stored(_tables(_by_word(rows, width, np.array(sorted(hot), dtype=np.uint64)), width, hot), "katz-tables", by="kind")
-    release_shuffles(spark)
-    k = MOST_DISCOUNTED
-
-    def add_counts(batches):
-        import pyarrow as pa
-
-        total = np.zeros(k + 1, np.int64)
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                total += np.frombuffer(data, "<i8")
-        yield pa.RecordBatch.from_arrays([pa.array(range(1, k + 2), pa.int32()), pa.array(total)], ["r", "n"])
-
-    found = tables.filter(F.col("kind") == _STATS).select("data").mapInArrow(lean(add_counts), "r int, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(k + 1)
-    for row in found:
-        counts[row.r - 1] = row.n
-    frequent, others = _context_sums(tables, width, discounts(counts), z, _hot_table(tables))
-    own = tables.filter(F.col("kind").isin(_META, _SUMS)).select("kind", "part", "block", "data")
-    parts = own.unionByName(frequent).unionByName(others).repartition(width, "part")
-
-    def finish(batches):
-        import pyarrow as pa
-
-        held: dict[int, list] = {}
-        for batch in batches:
-            for kind, _, block, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(block, []).append((kind, data))
-        for block in sorted(held):
-            parts = held.pop(block)
-            ids, n_train, sizes = next(_load(data) for kind, data in parts if kind == _META)
-            base, known, model = np.zeros(len(ids)), np.zeros(len(ids), np.int64), np.zeros(len(ids))
-            for kind, data in parts:
-                if kind == _SUMS:
-                    got = _load(data)
-                    if len(got) == 3:
-                        base[: len(got[0])] += got[0]
-                        model[: len(got[1])] += got[1]
-                        known[: len(got[2])] += got[2].astype(np.int64)
-                    else:
-                        model[: len(got[0])] += got[0]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.arange(len(ids)) >= n_train), pa.array(sizes), pa.array(known), pa.array(np.full(len(ids), n)), pa.array(base - sizes * np.log10(z)), pa.array(model)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return parts.mapInArrow(lean(finish), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    blocks = stored(_blocks(rows), "katz-blocks", batch=BATCH)
+    table = stored(word_table(blocks, width), "katz-words")
+    n, v = table.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
+    texts = table.filter(F.col("word") == _END).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    facts = _Facts(n, v, texts)
+    corpus = stored(_numbered(blocks, table), "katz-corpus")
+    discard(blocks)
+
+    two = stored(_count_pairs(_send_pairs(corpus, facts), width), "katz-bigrams", by="kind", batch=BATCH)
+    bigrams = two.filter(F.col("kind") == _TABLE)
+    d2 = discounts(_counts_of_counts(bigrams))
+    weights = stored(contexts(bigrams, d2, facts.z), "katz-contexts")
+    known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), weights, facts), "katz-known", batch=BATCH)
+    discard(corpus)
+
+    d3 = discounts(sum((_counts_of_counts(stored(_triple_counts(_send_triples(known, facts, slices, i, True), width), "katz-counts", batch=BATCH)) for i in range(slices)), np.zeros(_K + 1)))
+    three = [stored(_count_triples(_send_triples(known, facts, slices, i, False), width, d2, d3), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
+    answers = three[0]
+    for t in three[1:]:
+        answers = answers.unionByName(t)
+    out = stored(_evaluated(known, answers.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
+    discard(known)
+    return out
