@@ -112,6 +112,31 @@ def test_bpe_equals_library(spark):
         assert r.decoded == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_edges(spark):
+    path, lib = tokenizer_path(), library()
+    rows = [(1, "twice", [9], "x"), (1, "twice", [9], "x"), (None, "no id", None, None), (2, None, [], ""), (3, "", [1], "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids array<int>, decoded string")
+    got = bpe.decode(bpe.encode(df, path), path)
+    assert got.columns == ["doc_id", "text", "ids", "decoded"]
+    for r in got.collect():
+        assert r.ids == lib.encode(r.text or "", add_special_tokens=False).ids and r.decoded == (r.text or "")
+    assert got.count() == 5 and bpe.decode(bpe.encode(df.limit(0), path), path).count() == 0
+    assert bpe.decode(df, path).filter("ids IS NULL AND decoded IS NULL").count() == 1
+
+
+def test_bpe_long_texts_in_bounded_segments():
+    rng, lib = random.Random(2), library()
+    encoder = bpe.Encoder(tokenizer_path())
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 12))) for _ in range(5000)]
+    text = " ".join(rng.choice(words) for _ in range(1_600_000))  # some 10 MB
+    segments = [x for _, x in encoder._segments(text)]
+    assert max(map(len, segments)) < bpe.SEGMENT + 200 and "".join(segments) == text
+    assert encoder.encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids
+    run = "".join(rng.choice("abc") for _ in range(200_000))
+    assert encoder.encode(f"x {run} <|endoftext|> y").tolist() == lib.encode(f"x {run} <|endoftext|> y", add_special_tokens=False).ids
+    assert encoder.known <= bpe.REMEMBERED + bpe.STEP
+
+
 def test_lookahead_bounds_what_follows():
     merges = bpe.Merges(tokenizer_path())
     assert merges.longest <= merges.lookahead < 2000

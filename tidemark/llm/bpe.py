@@ -1,9 +1,12 @@
 """Byte-level BPE as a bounded-lookahead streaming transducer, and decoding as an incremental byte-to-text machine.
 
 Merging works from the strongest rule to the weakest, so what follows a text can change its tokens only near its end. How
-near follows from the merge list alone (``Merges.lookahead``). A long run of bytes is therefore merged in windows: tokens
-that end at least that many bytes before a window's end are stable and are emitted; the next window begins behind the
-last of them. Memory is that of one window, however long the run is.
+near follows from the merge list alone (``Merges.lookahead``). A text is read in segments of a bounded number of characters,
+cut where a single space stands between two other characters, since no piece of the split goes across that. The pieces of a
+segment are merged together, column by column in numpy, and their tokens are emitted: nothing that follows can change them.
+A run without such a place is merged in windows: tokens that end at least the lookahead before a window's end are stable
+and are emitted; the next window begins behind the last of them. What a worker holds besides a text and its ids is one
+segment, one window and a memory of known pieces of bounded size, however long the text or the run is.
 
 Nulls and ties: a null text is an empty one and has no tokens; rows that repeat get a result each; a null doc_id and all
 other columns are carried through by ``encode``. A column named ids or decoded is replaced. An empty table stays empty.
@@ -13,7 +16,6 @@ from __future__ import annotations
 
 import codecs
 import json
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,9 +26,11 @@ from tidemark.llm.common import bounded_batches, lean
 
 #: How the public vocabulary files split a text before merging (a fixed value of their format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Chunks of text whose tokens a worker remembers, and how long they may be; the memory is emptied when full
-#: and at the end of a task, so that an idle worker holds little.
-REMEMBERED, LONGEST_REMEMBERED = 120_000, 40
+#: Chunks of text whose tokens a worker remembers, and how many bytes a piece of them may have; the memory is emptied when
+#: full and at the end of a task, so that an idle worker holds little.
+REMEMBERED, LONGEST_REMEMBERED = 120_000, 48
+#: Characters of a segment, and of the segments that are merged together.
+SEGMENT, STEP = 1 << 16, 1 << 20
 
 
 def byte_characters() -> dict[str, int]:
@@ -48,6 +52,9 @@ def vocabulary(spec: dict) -> list[bytes]:
     return bytes_of
 
 
+_NONE = 1 << 60
+
+
 class Merges:
     """A merge list with its vocabulary, read from a tokenizer file in JSON."""
 
@@ -67,6 +74,8 @@ class Merges:
             a, b, made = vocab[left], vocab[right], vocab[left + right]
             self.rules.setdefault(a << 20 | b, rank << 20 | made)
             self.parts.setdefault(made, (a, b))
+        self.keys = np.array(sorted(self.rules), dtype=np.int64)
+        self.values = np.array([self.rules[k] for k in self.keys.tolist()], dtype=np.int64)
         self.longest = max(map(len, self.bytes_of))
         self.lookahead = self._lookahead()
         self.window = self.lookahead + 2 * self.longest
@@ -123,19 +132,69 @@ class Merges:
             at += done
         yield from self._merge([first[b] for b in data[at:]])
 
-
-class _Remembered(dict):
-    def __init__(self, make):
+    def _found(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rules of pairs, as in ``rules``; _NONE where there is none."""
+        if not len(self.keys):
+            return np.full(left.shape, _NONE)
+        key = left << 20 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.values[at], _NONE)
+
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of many pieces, and how many each has. Pieces of one length are rows of a matrix: in each round every row
+        applies its strongest rule where it first fits, and so gets shorter by one."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        first = np.array(self.first, dtype=np.int64)
+        out, counts = np.zeros(int(sizes.sum()), np.int32), sizes.copy()
+        begins = np.cumsum(sizes) - sizes
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        for size in np.unique(sizes).tolist():
+            row = np.flatnonzero(sizes == size)
+            if size > LONGEST_REMEMBERED:
+                for i in row.tolist():
+                    tokens = np.fromiter(self.stream(pieces[i]), np.int32)
+                    out[begins[i] : begins[i] + len(tokens)], counts[i] = tokens, len(tokens)
+                continue
+            ids = first[data[begins[row][:, None] + np.arange(size)]]
+            rules = self._found(ids[:, :-1], ids[:, 1:])
+            while size and len(row):
+                best = rules.min(axis=1) if size > 1 else np.full(len(row), _NONE)
+                done = best == _NONE
+                if done.any():
+                    mine = row[done]
+                    out[begins[mine][:, None] + np.arange(size)] = ids[done]
+                    counts[mine] = size
+                    row, ids, rules, best = row[~done], ids[~done], rules[~done], best[~done]
+                    if not len(row):
+                        break
+                nth = np.arange(len(row))
+                at = (rules == best[:, None]).argmax(axis=1)
+                made = best & 0xFFFFF
+                ids[nth, at] = made
+                left = np.ones(ids.shape, bool)
+                left[nth, at + 1] = False
+                ids = ids[left].reshape(len(row), size - 1)
+                left = np.ones(rules.shape, bool)
+                left[nth, at] = False
+                rules = rules[left].reshape(len(row), size - 2)
+                size -= 1
+                some = np.flatnonzero(at > 0)
+                rules[some, at[some] - 1] = self._found(ids[some, at[some] - 1], made[some])
+                some = np.flatnonzero(at < size - 1)
+                rules[some, at[some]] = self._found(made[some], ids[some, at[some] + 1])
+        return out[np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())], counts
+
+
+class _Codes(dict):
+    """The number of each chunk; a new one gets the next."""
+
+    def __init__(self, add):
         super().__init__()
-        self.make = make
+        self.add = add
 
     def __missing__(self, key):
-        made = self.make(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = made
-        return made
+        code = self[key] = self.add(key)
+        return code
 
 
 class Encoder:
@@ -148,34 +207,102 @@ class Encoder:
         self.merges = Merges(path)
         self.split = regex.compile(SPLIT)
         self.odd = regex.compile(r" \s|\s \Z")
+        self.cut = regex.compile(r"(?<=\S) (?=\S)")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.merges.special)) + ")") if self.merges.special else None
-        self.chunk = _Remembered(self._chunk)
+        self.clear()
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(self.merges.stream(piece.encode()))
+    def clear(self) -> None:
+        self.spaced, self.exact = _Codes(self._chunk), _Codes(lambda piece: self._add([piece]))
+        self.tokens, self.begins = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.new: list[list[str]] = []
+        self.known = 0
 
-    def _pieces(self, text: str):
-        return chain.from_iterable(map(self._piece, self.split.findall(text)))
+    def _add(self, pieces: list[str]) -> int:
+        self.new.append(pieces)
+        return self.known + len(self.new) - 1
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        """Tokens of a chunk that a space precedes. Letters alone are one piece, and so is a comma or full stop after them."""
+    def _chunk(self, chunk: str) -> int:
+        """A chunk that a space precedes. Letters alone are one piece, and so is a comma or full stop after them."""
         if chunk.isalpha():
-            return self._piece(f" {chunk}")
+            return self._add([f" {chunk}"])
         if chunk[:-1].isalpha() and chunk[-1] in ",.":
-            return self._piece(f" {chunk[:-1]}") + self._piece(chunk[-1])
-        return tuple(self._pieces(f" {chunk}"))
-
-    def _plain(self, text: str):
-        if self.odd.search(text):
-            return self._pieces(text)
-        first, *chunks = text.split(" ")
-        return chain(self._pieces(first), chain.from_iterable(map(self.chunk.__getitem__, chunks)))
+            return self._add([f" {chunk[:-1]}", chunk[-1]])
+        return self._add(self.split.findall(f" {chunk}"))
+
+    def _segments(self, text: str):
+        """(whether it is a special token, part) of a text, the parts of bounded length where the text can be cut."""
+        parts = self.specials.split(text) if self.specials and self.specials.search(text) else [text]
+        for i, part in enumerate(parts):
+            at = 0
+            while i % 2 == 0 and len(part) - at > SEGMENT:
+                m = self.cut.search(part, at + SEGMENT)
+                if m is None:
+                    break
+                yield False, part[at : m.start()]
+                at = m.start()
+            if len(part) > at:
+                yield i % 2 == 1, part[at:] if at else part
+
+    def _codes(self, segment: str, codes: list[int]) -> None:
+        if self.odd.search(segment):
+            codes.extend(map(self.exact.__getitem__, self.split.findall(segment)))
+            return
+        first, *chunks = segment.split(" ")
+        if first:
+            codes.extend(map(self.exact.__getitem__, self.split.findall(first)))
+        codes.extend(map(self.spaced.__getitem__, chunks))
+
+    def _emitted(self, codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of chunks; new ones are merged first."""
+        if self.new:
+            tokens, counts = self.merges.merged([p.encode() for pieces in self.new for p in pieces])
+            of = np.repeat(np.arange(len(self.new)), [len(pieces) for pieces in self.new])
+            sizes = np.bincount(of, weights=counts, minlength=len(self.new)).astype(np.int64)
+            self.tokens = np.concatenate([self.tokens, tokens])
+            self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes)])
+            self.known += len(self.new)
+            self.new = []
+        code = np.array(codes, dtype=np.int64)
+        begins, sizes = self.begins[code], self.begins[code + 1] - self.begins[code]
+        out = self.tokens[np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+        if self.known > REMEMBERED or len(self.tokens) > 8 * REMEMBERED:
+            self.clear()
+        return out, sizes
+
+    def encode_batch(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        out, total = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        codes, of, length = [], [], 0
+
+        def emit():
+            ids, sizes = self._emitted(codes)
+            out.append(ids)
+            ends = np.append(0, np.cumsum(sizes))[np.array([n for _, n in of])]
+            np.add.at(total, [i for i, _ in of], np.diff(ends, prepend=0))
+            codes.clear()
+            of.clear()
+
+        for i, text in enumerate(texts):
+            for special, segment in self._segments(text) if text else ():
+                if special:
+                    if codes:
+                        emit()
+                    out.append(np.array([self.merges.special[segment]], np.int32))
+                    total[i] += 1
+                    length = 0
+                    continue
+                self._codes(segment, codes)
+                of.append((i, len(codes)))
+                length += len(segment)
+                if length >= STEP:
+                    emit()
+                    length = 0
+        if codes:
+            emit()
+        return np.concatenate(out), total
 
     def encode(self, text: str) -> np.ndarray:
-        if self.specials is None or not self.specials.search(text):
-            return np.fromiter(self._plain(text), np.int32)
-        parts = (((self.merges.special[p],) if i % 2 else self._plain(p)) for i, p in enumerate(self.specials.split(text)))
-        return np.fromiter(chain.from_iterable(parts), np.int32)
+        return self.encode_batch([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -197,15 +324,13 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        of = encoder(path).encode
+        of = encoder(path)
         for batch in batches:
-            ids = [of(t) if t else np.zeros(0, np.int32) for t in batch.column(at).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            made = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+            values, sizes = of.encode_batch(batch.column(at).to_pylist())
+            made = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "ids"])
-            del ids, values, made
-        encoder(path).chunk.clear()
+            del values, made
+        of.clear()
 
     return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
