@@ -70,13 +70,12 @@ def corpus():
 
 
 @pytest.mark.parametrize("hot", [1 / 2000, 1 / 20])
-def test_scores(spark, monkeypatch, hot):
-    monkeypatch.setattr(katz, "HOT_SHARE", hot)
+def test_scores(spark, hot):
     rows = list(enumerate(corpus())) + [(5, "again a b"), (None, "no id")]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
     model = Plain([t for i, t in rows if not held(i)])
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n int").repartition(5)
-    got = katz.score(df, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0, slices=2).collect()
+    got = katz.score(df, F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0, slices=2, hot_share=hot).collect()
     assert len(got) == len(rows)
     want = []
     for i, t in rows:

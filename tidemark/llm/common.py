@@ -73,11 +73,10 @@ def stored(df: DataFrame, label: str, by: str | None = None, batch: str | None =
     return out
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete the files of stored tables that nothing will read again."""
-    for t in tables:
-        fs, where = _path(t.sparkSession, t._stored_at)
-        fs.delete(where, True)
+def discard(table: DataFrame, part: str = "") -> None:
+    """Delete the files of a stored table, or of one directory of it, that nothing will read again."""
+    fs, where = _path(table.sparkSession, f"{table._stored_at}/{part}" if part else table._stored_at)
+    fs.delete(where, True)
 
 
 def importable(spark: SparkSession) -> None:

@@ -14,11 +14,12 @@ with u, w, count of those kept; and the backoff weights of (u, v) where they are
 
 How it runs. Texts are gathered into blocks of a bounded number of tokens and coded by the block's own list of words. Words
 are counted and numbered in SQL, frequent ones with small numbers, and the numbers go back to the blocks. Then, level by
-level, a block sends what it holds to the tables and gets counts and weights back: one row for each of its words v, with
-what stands around v, each distinct n-gram once and packed in few bytes. So the rows grow with blocks times words in a
-block, and never with the square of anything. A frequent v is split by w at level two and by u at level three, and a
-frequent pair (u, v) by w besides, so no task gets more than a bounded share. Level three is done in ``SLICES`` parts, which
-bounds the disk that a shuffle takes. Last, each block evaluates its tokens by recursion from the longest context down.
+level, a block sends what it holds to the tables and gets counts and weights back: one row for each group of words v, with
+what stands around them, each distinct n-gram once and packed in few bytes. Groups have a fixed number of the vocabulary's
+words each, so the rows grow in proportion to the input and never with the square of anything. A frequent v is a group of
+its own, split by w at level two and by u at level three, and a frequent pair (u, v) by w besides, so no task gets more than
+a bounded share. Level three is done in ``SLICES`` parts, which bounds the disk that a shuffle takes. Last, each block
+evaluates its tokens by recursion from the longest context down.
 
 Nulls and ties: a null or empty text has one token, its end. A null in the held-out column counts as false. Rows that
 repeat get a result each, and are learnt from each time. Other columns are ignored. An empty table gives no rows; without
@@ -27,6 +28,7 @@ any training text every word is unknown.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,9 +45,11 @@ LEAST = (1, 1, 2)
 HOT_SHARE = 1 / 2000
 ADDED = 0.1
 #: Tokens of a block at most, unless one batch of texts has more.
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
+#: Words of the vocabulary in a group.
+GROUP_WORDS = 16
 #: Parts in which level three is done.
-SLICES = 4
+SLICES = 2
 #: Bytes of an Arrow batch.
 BATCH = "8m"
 _END = int(mix(np.array([11], np.uint64)).view(np.int64)[0])
@@ -113,47 +117,51 @@ def _numbered(blocks: DataFrame, table: DataFrame) -> DataFrame:
 
 @dataclass
 class _Facts:
-    """What holds for all blocks."""
+    """What holds for all blocks: training tokens, their words, texts to learn from, and the start's total and weight."""
 
     n: int
     v: int
     texts: int
+    hot: float
+    start: tuple[int, float] = (0, 0.0)
 
     @property
     def z(self) -> float:
         return self.n + ADDED * (self.v + 1)
 
-    @property
-    def hot(self) -> float:
-        return max(1.0, self.n * HOT_SHARE)
+    def group(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The group of each word; below 0 for the start and for frequent words, which have groups of their own."""
+        groups = mix(ids.astype(np.uint64)) % np.uint64(max(1, self.v // GROUP_WORDS))
+        return np.where((counts >= self.hot) | (ids == 0), ids - (1 << 62), groups.astype(np.int64))
 
 
 class _Block:
-    """One block, its words numbered from 1 in the order of their ids; 0 is the start of a text."""
+    """One block, its words numbered from 1 in the order of their groups and ids; 0 is the start of a text."""
 
     def __init__(self, row: dict, facts: _Facts):
         wid, wc = (np.asarray(row[k], dtype=np.int64) for k in ("wid", "wc"))
-        order = np.argsort(wid)
-        place = np.empty(len(wid), np.int64)
+        group = facts.group(wid, wc)
+        order = np.lexsort((wid, group))
+        place = np.empty(len(wid), np.int32)
         place[order] = np.arange(1, len(wid) + 1)
-        self.facts, self.ids = facts, row["ids"]
+        self.facts, self.number, self.ids = facts, row["block"], row["ids"]
         self.word = place[unpack_numbers(np.frombuffer(row["codes"], np.uint8))]
         self.id = np.append(0, wid[order])
         self.count = np.append(facts.texts, wc[order])
-        self.order = np.append(0, order + 1)  # of what comes with the start first and then in the words' first order
+        self.group = np.append(-(1 << 62), group[order])
         self.sizes = np.asarray(row["sizes"], dtype=np.int64)
         self.held = np.asarray(row["held"], dtype=bool)
         self.base = len(self.id)
-        first = np.cumsum(self.sizes) - self.sizes
+        self.first = np.cumsum(self.sizes) - self.sizes
         self.before = np.empty_like(self.word)
         self.before[1:] = self.word[:-1]
-        self.before[first] = 0
-        self.first = first
+        self.before[self.first] = 0
         self.learnt = ~np.repeat(self.held, self.sizes)
+        self.low = unpack_numbers(np.frombuffer(row["low"], np.uint8)) if row.get("low") is not None else None
 
     def pairs(self):
-        """Distinct pairs (v, w), where each begins a new row, its v and split, and the pair of each token."""
-        key, of = np.unique(self.before * self.base + self.word, return_inverse=True)
+        """Distinct pairs: v, w, split, in the order of rows, and the pair of each token."""
+        key, of = np.unique(self.before * np.int64(self.base) + self.word, return_inverse=True)
         v, w = np.divmod(key, self.base)
         split = _split(self.count[v], self.facts.hot, self.id[w])
         order = _resorted(v, split)
@@ -163,30 +171,34 @@ class _Block:
             v, w, split, of = v[order], w[order], split[order], place[of]
         return v, w, split, of
 
-    def triples(self, pair_v, pair_w, pair_of, pair_count):
-        """The same for trigrams (u, v, w) of tokens that have two before them, the start counted; a frequent pair (u, v)
-        has rows of its own."""
-        n = len(pair_v)
-        rank = np.empty(n, np.int64)
-        by_middle = np.lexsort((pair_v, pair_w))
-        rank[by_middle] = np.arange(n)
-        has = np.ones(len(self.word), bool)
-        has[self.first] = False
-        at = np.flatnonzero(has)
-        key, of = np.unique(rank[pair_of[at - 1]] * self.base + self.word[at], return_inverse=True)
-        r, w = np.divmod(key, self.base)
-        context = by_middle[r]
-        u, v = pair_v[context], pair_w[context]
-        hot = self.facts.hot
-        alone = pair_count[context] >= hot
-        split = _split(self.count[v], hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
+    def triples(self, at: np.ndarray):
+        """Distinct trigrams of the tokens ``at``: u, v, w, split, own, in the order of rows, and the trigram of each token.
+        A frequent pair (u, v) has rows of its own, of which ``own`` tells u."""
+        u, v, w = self.before[at - 1].astype(np.uint64), self.word[at - 1].astype(np.uint64), self.word[at].astype(np.uint64)
+        base = np.uint64(self.base)
+        if self.base < 1 << 21:
+            key, first, of = np.unique((v * base + u) * base + w, return_index=True, return_inverse=True)
+        else:
+            pair = np.unique(v * base + u, return_inverse=True)[1].astype(np.uint64)
+            key, first, of = np.unique(pair * base + w, return_index=True, return_inverse=True)
+        u, v, w = (x[first].astype(np.int64) for x in (u, v, w))
+        alone = self.low[at[first] - 1] >= self.facts.hot
+        split = _split(self.count[v], self.facts.hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
         own = np.where(alone, self.id[u] + 1, 0)
         order = _resorted(v, split, own)
         if order is not None:
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
-            u, v, w, split, own, context, of = u[order], v[order], w[order], split[order], own[order], context[order], place[of]
-        return u, v, w, split, own, context, of, at
+            u, v, w, split, own, of, first = u[order], v[order], w[order], split[order], own[order], place[of], first[order]
+        return u, v, w, split, own, of, at[first]
+
+    def later(self, which: int | None = None, slices: int = 1) -> np.ndarray:
+        """The tokens that have two before them, the start counted; of one slice or of all."""
+        has = np.ones(len(self.word), bool)
+        has[self.first] = False
+        if which is not None and slices > 1:
+            has[1:] &= (self.group % slices == which)[self.word[:-1]]
+        return np.flatnonzero(has)
 
 
 def _split(total: np.ndarray, hot: float, by: np.ndarray) -> np.ndarray:
@@ -272,10 +284,24 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 # Level two
 
 
-_TWO = "kind int, v long, split int, block long, total long, data binary, words array<bigint>, counts array<bigint>, stats array<double>"
+_TWO = "kind int, v long, split int, grp long, block long, data binary, words array<bigint>, counts array<bigint>, stats array<double>"
 _ANSWERS, _TABLE, _STATS = 0, 1, 2
 
 
+def _steps(values: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Differences of sorted numbers, which begin anew with each new key."""
+    out = np.diff(values, prepend=0)
+    heads = _edges(*keys)[:-1]
+    out[heads] = values[heads]
+    return out
+
+
+def _from_steps(steps: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    edges = _edges(*keys)
+    sums = np.cumsum(steps)
+    return sums - np.repeat(np.append(0, sums)[edges[:-1]], np.diff(edges))
+
+
 def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
     def run(batches):
         import pyarrow as pa
@@ -284,22 +310,15 @@ def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
             for row in _rows(batch):
                 block = _Block(row, facts)
                 v, w, split, of = block.pairs()
-                edges = _edges(v, split)
+                group = block.group[v]
+                edges = _edges(group, split)
                 at = edges[:-1]
                 n = np.bincount(of, weights=block.learnt, minlength=len(v)).astype(np.int64)
-                steps = np.diff(block.id[w], prepend=0)
-                steps[at] = block.id[w[at]]
-                columns = [pa.array(block.id[v[at]]), pa.array(split[at].astype(np.int32)), pa.array(np.full(len(at), row["block"])), pa.array(block.count[v[at]])]
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in (steps, block.count[w], n))], ["v", "split", "block", "total", "w", "c", "n"]).to_batches(65536)
+                packed = (_steps(block.id[v], group, split), _steps(block.id[w], v, split), block.count[w], n)
+                columns = [pa.array(group[at]), pa.array(split[at].astype(np.int32)), pa.array(np.full(len(at), block.number))]
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["grp", "split", "block", "v", "w", "c", "n"]).to_batches(65536)
 
-    return corpus.mapInArrow(lean(run), "v long, split int, block long, total long, w binary, c binary, n binary")
-
-
-def _from_steps(steps: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Numbers from their differences, which begin anew at each edge."""
-    sums = np.cumsum(steps)
-    before = np.append(0, sums)[edges[:-1]]
-    return sums - np.repeat(before, np.diff(edges))
+    return corpus.mapInArrow(lean(run), "grp long, split int, block long, v binary, w binary, c binary, n binary")
 
 
 def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
@@ -308,34 +327,34 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        got = _gathered(batches, 3)
+        got = _gathered(batches, 4)
         if got is None:
             return
-        (row_v, row_split, row_block, row_total), ((w, edges), (c, _), (n, _)) = got
-        of_row = np.repeat(np.arange(len(row_v)), np.diff(edges))
-        w = _from_steps(w, edges)
-        order = np.lexsort((w, row_split[of_row], row_v[of_row]))
-        v, split = row_v[of_row][order], row_split[of_row][order]
-        cuts = _edges(v, split, w[order])
+        (row_group, row_split, row_block), ((v, edges), (w, _), (c, _), (n, _)) = got
+        of_row = np.repeat(np.arange(len(row_group)), np.diff(edges))
+        v = _from_steps(v, of_row)
+        w = _from_steps(w, of_row, v)
+        order = np.lexsort((w, v, row_split[of_row]))
+        split = row_split[of_row][order]
+        cuts = _edges(split, v[order], w[order])
         total = _totals(n[order], cuts)
         back = np.empty(len(w), np.int64)
         back[order] = np.repeat(total, np.diff(cuts))
-        empty = lambda k, kind: pa.nulls(k, kind)
+        names = ["kind", "v", "split", "grp", "block", "data", "words", "counts", "stats"]
         many, real = pa.list_(pa.int64()), pa.list_(pa.float64())
-        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], ["kind", "v", "split", "block", "total", "data", "words", "counts", "stats"]).to_batches(65536)
-        k = len(row_v)
-        yield from whole(_ANSWERS, k, [pa.array(row_v), pa.array(row_split), pa.array(row_block), empty(k, pa.int64()), packed_rows(back, edges), empty(k, many), empty(k, many), empty(k, real)])
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(65536)
+        k = len(row_group)
+        yield from whole(_ANSWERS, k, [pa.nulls(k, pa.int64()), pa.array(row_split), pa.array(row_group), pa.array(row_block), packed_rows(back, edges), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
 
         seen = np.flatnonzero(total > 0)
         first = order[cuts[:-1][seen]]
-        v, split, word, total, c = row_v[of_row[first]], row_split[of_row[first]], w[first], total[seen], c[first]
-        at = _edges(v, split)
-        k = len(at) - 1
-        heads = first[at[:-1]]
-        stats = np.stack([*_by_count(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 3))
-        yield from whole(_TABLE, k, [pa.array(v[at[:-1]]), pa.array(split[at[:-1]].astype(np.int32)), empty(k, pa.int64()), pa.array(row_total[of_row[heads]]), empty(k, pa.binary()), _lists(word, at, pa.int64()), _lists(total, at, pa.int64()), _lists(stats.reshape(-1), np.arange(k + 1) * (_K + 3), pa.float64())])
+        v, split, group, word, total, c = v[first], row_split[of_row[first]], row_group[of_row[first]], w[first], total[seen], c[first]
+        at = _edges(split, v)
+        k, heads = len(at) - 1, at[:-1]
+        stats = np.stack([*_by_count(total, at), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
+        yield from whole(_TABLE, k, [pa.array(v[heads]), pa.array(split[heads].astype(np.int32)), pa.array(group[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(word, at, pa.int64()), _lists(total, at, pa.int64()), _lists(stats.reshape(-1), np.arange(k + 1) * (_K + 4), pa.float64())])
 
-    return sent.repartition(width, "v", "split").mapInArrow(lean(run), _TWO)
+    return sent.repartition(width, "grp", "split").mapInArrow(lean(run), _TWO)
 
 
 def _counts_of_counts(stats: DataFrame) -> np.ndarray:
@@ -350,36 +369,30 @@ def _left(stats, d: np.ndarray, total):
 
 
 def contexts(table: DataFrame, d: np.ndarray, z: float) -> DataFrame:
-    """Rows (v, total, log_backoff) of the bigram table's contexts; a context that leaves nothing counts one more."""
-    sums = table.groupBy("v").agg(F.first("total").alias("total"), *(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 3)))
-    left = _left([F.col(f"s{i}") for i in range(_K + 2)], d, F.col("total"))
-    rows = sums.select("v", "total", left.alias("left"), (1 - F.col(f"s{_K + 2}") / z).alias("rest"))
+    """Rows (v, grp, total, log_backoff, n) of the bigram table's contexts; a context that leaves nothing counts one more."""
+    sums = table.groupBy("v", "grp").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4)))
+    n = F.col(f"s{_K + 2}")
+    left = _left([F.col(f"s{i}") for i in range(_K + 2)], d, n)
+    rows = sums.select("v", "grp", n.alias("n"), left.alias("left"), (1 - F.col(f"s{_K + 3}") / z).alias("rest"))
     nothing = F.col("left") < 1e-9
-    total = F.col("total") + nothing.cast("long")
-    return rows.select("v", total.alias("total"), (F.log10(F.when(nothing, 1.0).otherwise(F.col("left")) / total) - F.log10("rest")).alias("log_backoff"))
+    total = F.col("n") + nothing.cast("int")
+    return rows.select("v", "grp", total.cast("long").alias("total"), (F.log10(F.when(nothing, 1.0).otherwise(F.col("left")) / total) - F.log10("rest")).alias("log_backoff"), "n")
+
+
+_KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid array<bigint>, wc array<bigint>"
 
 
-def _answered(corpus: DataFrame, answers: DataFrame, weights: DataFrame, facts: _Facts) -> DataFrame:
-    """The blocks with their pairs' counts, and their words' totals and backoff weights (0 words are the start)."""
+def _answered(corpus: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame:
+    """The blocks with the count of the pair that ends at each token (``low``)."""
 
     def run(left, right):
         import pyarrow as pa
 
-        rows = left.combine_chunks().to_batches()
-        block = _Block(next(_rows(rows[0])), facts)
-        counts = _in_order(right, ["split", "v"], "data")
-        v, _, _, _ = block.pairs()
-        assert len(counts) == len(v)
-        out = left.append_column("pairs", pa.array([pack_numbers(counts)[0].tobytes()], pa.binary()))
-        return out.select(["block", "ids", "held", "sizes", "codes", "wid", "wc", "pairs"])
+        block = _Block(next(_rows(left.combine_chunks().to_batches()[0])), facts)
+        counts = _in_order(right, ["split", "grp"], "data")
+        return left.append_column("low", pa.array([pack_numbers(counts[block.pairs()[3]])[0].tobytes()], pa.binary()))
 
-    plain = corpus.select("block", "ids", "held", "sizes", "codes", "wid", "wc")
-    schema = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid array<bigint>, wc array<bigint>, pairs binary"
-    counted = plain.groupBy("block").cogroup(answers.select("block", "v", "split", "data").groupBy("block")).applyInArrow(run, schema)
-    asked = corpus.select("block", F.posexplode(F.concat(F.array(F.lit(0).cast("long")), "wid")).alias("pos", "v"))
-    known = asked.join(weights, "v", "left").select("block", "pos", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("log_backoff", F.lit(0.0)).alias("log_backoff"))
-    lists = known.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "total", "log_backoff"))).alias("w"))
-    return counted.join(lists.select("block", F.col("w.total").alias("wtotal"), F.col("w.log_backoff").alias("wback")), "block")
+    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(run, f"{_KNOWN}, low binary")
 
 
 def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
@@ -399,9 +412,11 @@ def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
 # Level three
 
 
-def _send_triples(corpus: DataFrame, facts: _Facts, slices: int, which: int | None, counts_only: bool) -> DataFrame:
-    """Rows of the trigrams around each word v, of one slice or of all: u, w and times to learn, and, unless only counts
-    are asked for, the count of (v, w) and whether a context's weight is needed if the trigram isn't kept."""
+def _send_triples(corpus: DataFrame, facts: _Facts, which: int | None = None, slices: int = 1) -> DataFrame:
+    """Rows of the trigrams around each group's words v, of one slice or of all: u, v, w, how often to learn from, and the
+    count of (v, w). Of all slices, only those to learn from and without that count."""
+    counts_only = which is None
+    names = ["grp", "split", "own", "block", "v", "u", "w", "n", *([] if counts_only else ["low"])]
 
     def run(batches):
         import pyarrow as pa
@@ -409,33 +424,31 @@ def _send_triples(corpus: DataFrame, facts: _Facts, slices: int, which: int | No
         for batch in batches:
             for row in _rows(batch):
                 block = _Block(row, facts)
-                pv, pw, _, pof = block.pairs()
-                count = unpack_numbers(np.frombuffer(row["pairs"], np.uint8))
-                u, v, w, split, own, context, of, at = block.triples(pv, pw, pof, count)
-                n = np.bincount(of, weights=block.learnt[at], minlength=len(u)).astype(np.int64)
-                low = np.zeros(len(u), np.int64)
-                low[of] = count[pof[at]]
-                keep = np.ones(len(u), bool)
-                if which is not None:
-                    keep &= _slice(block.id[v], split, slices) == which
+                at = block.later(which, slices)
                 if counts_only:
-                    keep &= n > 0
-                u, v, w, split, own, n, low = (x[keep] for x in (u, v, w, split, own, n, low))
-                edges = _edges(v, split, own)
+                    at = at[block.learnt[at]]
+                if not len(at):
+                    continue
+                u, v, w, split, own, of, first = block.triples(at)
+                n = np.bincount(of, weights=block.learnt[at], minlength=len(u)).astype(np.int64)
+                group = block.group[v]
+                edges = _edges(group, split, own)
                 heads = edges[:-1]
-                iu, iw = block.id[u], block.id[w]
-                steps = np.diff(iu, prepend=0)
-                steps[heads] = iu[heads]
-                total = np.asarray(row["wtotal"], dtype=np.int64)[block.order]
-                columns = [pa.array(block.id[v[heads]]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), row["block"])), pa.array(total[v[heads]])]
-                packed = (steps, iw, n) if counts_only else (steps, iw, n, low)
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["v", "split", "own", "block", "total", "u", "w", "n", "low"][: 5 + len(packed)]).to_batches(65536)
+                packed = [_steps(block.id[v], group, split, own), _steps(block.id[u], v, split, own), _steps(block.id[w], v, split, own, u), n]
+                packed += [] if counts_only else [block.low[first]]
+                columns = [pa.array(group[heads]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), block.number))]
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], names).to_batches(65536)
 
-    return corpus.mapInArrow(lean(run), "v long, split int, own long, block long, total long, u binary, w binary, n binary" + ("" if counts_only else ", low binary"))
+    return corpus.mapInArrow(lean(run), "grp long, split int, own long, block long, " + ", ".join(f"{n} binary" for n in names[4:]))
 
 
-def _slice(v: np.ndarray, split: np.ndarray, slices: int) -> np.ndarray:
-    return ((mix(v.astype(np.uint64)) + split.astype(np.uint64)) % np.uint64(slices)).astype(np.int64)
+def _unpacked(got):
+    """The rows, and u, v, w, n, ... of all trigrams of a partition."""
+    plain, ((v, edges), (u, _), (w, _), *rest) = got
+    of_row = np.repeat(np.arange(len(plain[0])), np.diff(edges))
+    v = _from_steps(v, of_row)
+    u = _from_steps(u, of_row, v)
+    return plain, edges, of_row, u, v, _from_steps(w, of_row, v, u), [x for x, _ in rest]
 
 
 def _triple_counts(sent: DataFrame, width: int) -> DataFrame:
@@ -444,47 +457,62 @@ def _triple_counts(sent: DataFrame, width: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        got = _gathered(batches, 3)
+        got = _gathered(batches, 4)
         if got is None:
             return
-        (row_v, *_), ((u, edges), (w, _), (n, _)) = got
-        v = np.repeat(row_v, np.diff(edges))
-        u = _from_steps(u, edges)
+        _, _, _, u, v, w, (n,) = _unpacked(got)
         order = np.lexsort((w, u, v))
         total = _totals(n[order], _edges(v[order], u[order], w[order]))
         yield pa.RecordBatch.from_arrays([pa.array([[float((total == r).sum()) for r in range(1, _K + 2)]], pa.list_(pa.float64()))], ["stats"])
 
-    return sent.repartition(width, "v", "split").mapInArrow(lean(run), "stats array<double>")
+    return sent.repartition(width, "grp", "split").mapInArrow(lean(run), "stats array<double>")
 
 
-_THREE = "kind int, v long, split int, own long, block long, data binary, backs binary, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
+_THREE = "kind int, grp long, split int, own long, block long, data binary, backs binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
 
 
-def _count_triples(sent: DataFrame, width: int, d2: np.ndarray, d3: np.ndarray) -> DataFrame:
+def _floats(values: np.ndarray, edges: np.ndarray):
+    import pyarrow as pa
+
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32).tobytes()), pa.py_buffer(values.astype(np.float64).tobytes())])
+
+
+def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts, which: int, slices: int, d2: np.ndarray, d3: np.ndarray) -> DataFrame:
     """Answers to the blocks, the trigram table, and the statistics of frequent pairs, whose trigrams are in many tasks.
 
-    An answer is 2 r + 1 for a kept trigram whose context leaves nothing, 2 r for another kept one, and 0 for one not kept;
-    for these, in order, ``backs`` holds log10 of their context's weight."""
+    ``data``: 2 r + 1 for a kept trigram whose context leaves nothing, 2 r for another kept one, 0 for one not kept; for
+    these ``backs`` holds log10 of their context's weight. ``extra``: for each v of a row what its total is above its count;
+    ``low_backs``: log10 of the weight of each v of which a pair was never seen. ``known``: the contexts (v)."""
+    known = known.withColumnRenamed("n", "n_all")
+    parts = F.when(F.col("n_all") >= facts.hot, F.ceil(F.col("n_all") / facts.hot)).otherwise(1).cast("int")
+    known = known.filter(F.pmod("grp", F.lit(slices)) == which).select("grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("split"), F.lit(-1).cast("long").alias("own"), F.col("v").alias("block"), *(F.lit(b"").alias(c) for c in ("v", "u", "w", "n", "low")), "total", (F.col("total") - F.col("n_all")).cast("long").alias("more"), "log_backoff")
+    both = sent.withColumns({"total": F.lit(0).cast("long"), "more": F.lit(0).cast("long"), "log_backoff": F.lit(0.0)}).unionByName(known)
+    columns = ["grp", "split", "own", "block", "total", "more", "log_backoff", "v", "u", "w", "n", "low"]
 
     def run(batches):
         import pyarrow as pa
 
-        got = _gathered(batches, 4)
+        got = _gathered(batches, 5)
         if got is None:
             return
-        (row_v, row_split, row_own, row_block, row_total), ((u, edges), (w, _), (n, _), (low, _)) = got
-        of_row = np.repeat(np.arange(len(row_v)), np.diff(edges))
-        u = _from_steps(u, edges)
-        order = np.lexsort((w, u, row_own[of_row], row_split[of_row], row_v[of_row]))
-        su, sv, so, ss = u[order], row_v[of_row][order], row_own[of_row][order], row_split[of_row][order]
-        cuts = _edges(sv, ss, so, su, w[order])
+        (row_group, row_split, row_own, row_block, row_total, row_more, row_back), edges, of_row, u, v, w, (n, low) = _unpacked(got)
+        context = np.flatnonzero(row_own < 0)
+        context = context[np.argsort(row_block[context], kind="stable")]
+        cv, ctotal, cmore, cback = (np.append(x[context], x.dtype.type(0)) for x in (row_block, row_total, row_more, row_back))
+
+        def of(words):
+            at = np.minimum(np.searchsorted(cv[:-1], words), len(cv) - 1)
+            return np.where(cv[at] == words, at, len(cv) - 1) if len(cv) > 1 else np.zeros(len(words), np.int64)
+
+        order = np.lexsort((w, u, v, row_own[of_row], row_split[of_row], row_group[of_row]))
+        hs, ho, hv, hu, hw = row_split[of_row][order], row_own[of_row][order], v[order], u[order], w[order]
+        cuts = _edges(hs, ho, hv, hu, hw)
         first = cuts[:-1]
         count = _totals(n[order], cuts)
         kept = count >= LEAST[2]
-        r2, total2 = low[order][first], row_total[of_row][order][first]
-        lower = np.where(kept, d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(total2, 1), 0.0)
-        hu, hv, ho, hs = su[first], sv[first], so[first], ss[first]
-        pair = _edges(hv, hs, ho, hu)
+        hs, ho, hv, hu, hw, r2 = hs[first], ho[first], hv[first], hu[first], hw[first], low[order][first]
+        lower = np.where(kept, d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(ctotal[of(hv)], 1), 0.0)
+        pair = _edges(hs, ho, hv, hu)
         sums = _by_count(np.where(kept, count, 0), pair)
         total = _totals(count, pair)
         mass = _totals(lower, pair)
@@ -499,42 +527,45 @@ def _count_triples(sent: DataFrame, width: int, d2: np.ndarray, d3: np.ndarray)
         answer[order] = np.repeat(code, np.diff(cuts))
         weight[order] = np.repeat(np.repeat(back, per), np.diff(cuts))
         asked = (answer == 0) & (row_own[of_row] == 0)
-        ends = np.append(0, np.cumsum(asked))[edges] * 8
-        backs = pa.Array.from_buffers(pa.binary(), len(row_v), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(weight[asked].tobytes())])
-        names = ["kind", "v", "split", "own", "block", "data", "backs", "u", "w", "counts", "stats"]
+        head = _edges(of_row, v)
+        unseen = _totals((low == 0).astype(np.int64), head) > 0
+        head = head[:-1]
+        place = of(v[head])
+        per_row = np.searchsorted(of_row[head], np.arange(len(row_group) + 1))
+        names = ["kind", "grp", "split", "own", "block", "data", "backs", "extra", "low_backs", "v", "u", "w", "counts", "stats"]
         many, real, raw = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()
-        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(65536)
-        k = len(row_v)
-        yield from whole(_ANSWERS, k, [pa.array(row_v), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), backs, pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names)
+        k = len(row_group)
+        weights = [_floats(weight[asked], np.append(0, np.cumsum(asked))[edges]), packed_rows(cmore[place], per_row), _floats(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
+        out = whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), *weights, *[pa.nulls(k, many)] * 4, pa.nulls(k, real)])
+        yield from out.filter(pa.array(row_own >= 0)).to_batches(65536)
+        del out, weights, weight, answer
 
         at = np.flatnonzero(kept)
-        rows = _edges(hv[at], hs[at], ho[at])
-        k = len(rows) - 1
-        heads = at[rows[:-1]]
-        yield from whole(_TABLE, k, [pa.array(hv[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, raw), pa.nulls(k, raw), _lists(hu[at], rows, pa.int64()), _lists(w[order][first][at], rows, pa.int64()), _lists(count[at], rows, pa.int64()), pa.nulls(k, real)])
+        hg = row_group[of_row][order][first]
+        rows = _edges(hg[at], hs[at], ho[at])
+        k, heads = len(rows) - 1, at[rows[:-1]]
+        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 4, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(65536)
 
         alone = np.flatnonzero(ho[pair[:-1]] > 0)
         if len(alone):
             heads, k = pair[:-1][alone], len(alone)
             stats = np.stack([*sums, total, mass], axis=1)[alone].astype(np.float64)
-            yield from whole(_STATS, k, [pa.array(hv[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, raw), pa.nulls(k, raw), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, many), _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())])
+            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 4, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(65536)
 
-    return sent.repartition(width, "v", "split").mapInArrow(lean(run), _THREE)
+    return both.select(columns).repartition(width, "grp", "split").mapInArrow(lean(run), _THREE)
 
 
 def _hot_pairs(tables: list[DataFrame], d3: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
     """For each frequent pair (u, v), at most 1 / HOT_SHARE of them: log10 of its weight, and 1 if it leaves nothing."""
-    out = {}
-    for t in tables:
-        for row in t.filter(F.col("kind") == _STATS).groupBy("v", "own").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4))).collect():
+    out: dict[tuple[int, int], tuple[float, int]] = {}
+    for t in tables:  # a pair is in one slice
+        for row in t.filter(F.col("kind") == _STATS).groupBy(F.col("block").alias("v"), "own").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4))).collect():
             s = [row[f"s{i}"] for i in range(_K + 4)]
-            key, old = (row.own - 1, row.v), out.get((row.own - 1, row.v))
-            out[key] = [a + b for a, b in zip(s, old, strict=True)] if old else s
-    for key, s in out.items():
-        total, mass = s[_K + 2], s[_K + 3]
-        left = _left(s, d3, total)
-        nothing = int(left < 1e-9)
-        out[key] = (float(np.log10((1.0 if nothing else left) / (total + nothing)) - np.log10(1 - mass)) if mass > 0 else 0.0, nothing)
+            total, mass = s[_K + 2], s[_K + 3]
+            left = _left(s, d3, total)
+            nothing = int(0 < total and left < 1e-9)
+            out[row.own - 1, row.v] = (float(np.log10((1.0 if nothing else left) / (total + nothing)) - np.log10(1 - mass)) if mass > 0 else 0.0, nothing)
     return out
 
 
@@ -542,41 +573,46 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
     def run(left, right):
         import pyarrow as pa
 
-        row = next(_rows(left.combine_chunks().to_batches()[0]))
-        block = _Block(row, facts)
-        pv, pw, _, pof = block.pairs()
-        count = unpack_numbers(np.frombuffer(row["pairs"], np.uint8))
-        total = np.asarray(row["wtotal"], dtype=np.float64)[block.order]
-        back = np.asarray(row["wback"], dtype=np.float64)[block.order]
+        block = _Block(next(_rows(left.combine_chunks().to_batches()[0])), facts)
         one = np.log10(block.count + ADDED) - np.log10(facts.z)
-        with np.errstate(divide="ignore"):
-            two = np.where(count > 0, np.log10(d2[np.minimum(count, _K + 1)] * count) - np.log10(total[pv]), back[pv] + one[pw])
-        value = two[pof]
-        u, v, w, split, own, context, of, at = block.triples(pv, pw, pof, count)
+        at = block.later()
+        u, v, w, split, own, of, first = block.triples(at)
+        total, back = block.count.astype(np.float64), np.zeros(block.base)
+        low = block.low[first]
         if len(u):
-            answer = _in_order(right, ["own", "split", "v"], "data")
+            keys = ["own", "split", "grp"]
+            answer = _in_order(right, keys, "data")
+            runs = _edges(block.group[v], split, own, v)
+            words, unseen = v[runs[:-1]], _totals((low == 0).astype(np.int64), runs) > 0
+            total[words] = block.count[words] + _in_order(right, keys, "extra")
+            back[words[unseen]] = _in_order(right, keys, "low_backs", np.float64)
             weight = np.zeros(len(u))
-            weight[(answer == 0) & (own == 0)] = _in_order(right, ["own", "split", "v"], "backs", np.float64)
+            weight[(answer == 0) & (own == 0)] = _in_order(right, keys, "backs", np.float64)
             r, more = answer >> 1, answer & 1
-            for i in np.unique(context[own > 0]):
-                mine = (context == i) & (own > 0)
-                weight[mine], more[mine] = hot.get((int(block.id[pv[i]]), int(block.id[pw[i]])), (0.0, 0))
-            lower = np.zeros(len(u))
-            lower[of] = value[at]
-            with np.errstate(divide="ignore"):
-                three = np.where(r > 0, np.log10(d3[np.minimum(r, _K + 1)] * r) - np.log10(count[context] + more), weight + lower)
-            value[at] = three[of]
+            alone = np.flatnonzero(own > 0)
+            for edge in _edges(u[alone], v[alone])[:-1] if len(alone) else ():
+                i = alone[edge]
+                mine = alone[(u[alone] == u[i]) & (v[alone] == v[i])]
+                weight[mine], more[mine] = hot.get((int(block.id[u[i]]), int(block.id[v[i]])), (0.0, 0))
+        total[0], back[0] = facts.start
+        before, low_of = block.before, block.low
+        with np.errstate(divide="ignore"):
+            value = np.where(low_of > 0, np.log10(d2[np.minimum(low_of, _K + 1)] * low_of) - np.log10(total[before]), back[before] + one[block.word])
+            if len(u):
+                three = np.where(r > 0, np.log10(d3[np.minimum(r, _K + 1)] * r) - np.log10(block.low[first - 1] + more), weight + value[first])
+                value[at] = three[of]
         edges = np.append(block.first, len(value))
         ids = left.column("ids").combine_chunks()
         ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).flatten()
         known = _totals((block.count[block.word] > 0).astype(np.int64), edges)
-        return pa.table([ids, pa.array(block.held), pa.array(block.sizes), pa.array(known), pa.array(np.full(len(block.sizes), facts.n)), pa.array(_totals(one[block.word], edges)), pa.array(_totals(value, edges))], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        columns = [ids, block.held, block.sizes, known, np.full(len(block.sizes), facts.n), _totals(one[block.word], edges), _totals(value, edges)]
+        return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    answers = answers.select("block", "v", "split", "own", "data", "backs")
+    answers = answers.select("block", "grp", "split", "own", "data", "backs", "extra", "low_backs")
     return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def score(docs: DataFrame, held_out, slices: int = SLICES) -> DataFrame:
+def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HOT_SHARE) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out``: a Column; texts where it is true aren't learnt from."""
@@ -588,22 +624,25 @@ def score(docs: DataFrame, held_out, slices: int = SLICES) -> DataFrame:
     table = stored(word_table(blocks, width), "katz-words")
     n, v = table.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
     texts = table.filter(F.col("word") == _END).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    facts = _Facts(n, v, texts)
+    facts = _Facts(n, v, texts, max(1.0, n * hot_share))
     corpus = stored(_numbered(blocks, table), "katz-corpus")
     discard(blocks)
 
     two = stored(_count_pairs(_send_pairs(corpus, facts), width), "katz-bigrams", by="kind", batch=BATCH)
     bigrams = two.filter(F.col("kind") == _TABLE)
     d2 = discounts(_counts_of_counts(bigrams))
-    weights = stored(contexts(bigrams, d2, facts.z), "katz-contexts")
-    known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), weights, facts), "katz-known", batch=BATCH)
+    after = stored(contexts(bigrams, d2, facts.z), "katz-contexts")
+    facts.start = next(((r.total, r.log_backoff) for r in after.filter("v = 0").collect()), (0, 0.0))
+    known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), facts), "katz-known", batch=BATCH)
     discard(corpus)
+    discard(two, part=f"kind={_ANSWERS}")
 
-    d3 = discounts(sum((_counts_of_counts(stored(_triple_counts(_send_triples(known, facts, slices, i, True), width), "katz-counts", batch=BATCH)) for i in range(slices)), np.zeros(_K + 1)))
-    three = [stored(_count_triples(_send_triples(known, facts, slices, i, False), width, d2, d3), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
-    answers = three[0]
-    for t in three[1:]:
-        answers = answers.unionByName(t)
-    out = stored(_evaluated(known, answers.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
+    d3 = discounts(_counts_of_counts(stored(_triple_counts(_send_triples(known, facts), width), "katz-counts", batch=BATCH)))
+    d3[: LEAST[2]] = 1.0
+    three = [stored(_count_triples(_send_triples(known, facts, i, slices), after, width, facts, i, slices, d2, d3), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
+    answers = functools.reduce(DataFrame.unionByName, three).filter(F.col("kind") == _ANSWERS)
+    out = stored(_evaluated(known, answers, facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
     discard(known)
+    for t in three:
+        discard(t, part=f"kind={_ANSWERS}")
     return out
