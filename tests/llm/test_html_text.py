@@ -65,18 +65,95 @@ def test_small_articles_and_unnamed_templates(spark):
     page = lambda i, more="": f"<body>{more}<div><p>{i}</p></div></body>"
     rows = [(i, "http://small.a/", page(f"t{i}", box)) for i in range(3)]  # on all pages of a small host
     rows += [(10 + i, "http://pair.a/", page(f"t{i}", box)) for i in range(2)]  # too few to tell
-    rows += [(20 + i, "http://some.a/", page(f"t{i}", box if i else "")) for i in range(5)]  # few, and not all
+    rows += [(20 + i, "http://some.a/", page(f"t{i}", box if i else "")) for i in range(5)]  # not on all
     rows += [(100 + i, "http://art.a/", f"{box}<article><p>piece {i}</p></article>") for i in range(9)]  # larger than the article
     rows += [(1000 + i, "http://large.a/", page(f"t{i}", box if i < 1000 else "<p>also</p>" if i < 1999 else "")) for i in range(22_000)]
     rows += [(50_000 + i, "http://rare.a/", page(f"t{i}", box if i < 900 else "")) for i in range(22_000)]  # neither the share nor the number
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     kept = "\n\n".join(["visit our other sites"] * 30)
-    assert got[1] == "t1" and got[11] == f"{kept}\n\nt1" and got[22] == f"{kept}\n\nt2" and got[20] == "t0"
+    assert got[1] == "t1" and got[11] == f"{kept}\n\nt1" and got[22] == "t2" and got[20] == "t0"
     assert got[103] == "piece 3"
     assert got[1005] == "t5" and got[2500] == "also\n\nt1500" and got[9000] == "t8000"
+    # a paragraph of the box alone is on 900 pages too, so it stays as well
     assert got[50_005] == f"{kept}\n\nt5" and got[60_000] == "t10000"
 
 
+def nested(html):
+    """Elements of well-formed markup as (tag, parts), by recursion, and the text they hold."""
+    at = 0
+
+    def element(tag):
+        nonlocal at
+        parts = []
+        while at < len(html):
+            m = re.compile(r"<(/?)([a-z0-9]+)[^>]*>|([^<]+)").match(html, at)
+            at = m.end()
+            if m[3]:
+                parts.append(" ".join(m[3].split()))
+            elif m[1]:
+                return tag, tuple(p for p in parts if p)
+            else:
+                parts.append(element(m[2]))
+        return tag, tuple(p for p in parts if p)
+
+    return element("")
+
+
+def test_counting_equals_brute_force(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(6)]
+
+    def piece(depth):
+        if depth == 0 or rng.random() < 0.4:
+            return f"<p>{rng.choice(words)}</p>"
+        return f"<div>{''.join(piece(depth - 1) for _ in range(rng.randrange(1, 3)))}</div>"
+
+    pages = [(i, f"http://h{i % 3}.a/", f"<div>{''.join(piece(2) for _ in range(rng.randrange(1, 5)))}<p>own {i}</p></div>") for i in range(90)]
+    counts = Counter()
+
+    def subtrees(e):
+        yield e
+        for p in e[1]:
+            if isinstance(p, tuple):
+                yield from subtrees(p)
+
+    for i, url, html in pages:
+        counts.update((url, e) for e in {*subtrees(nested(html)[1][0])})
+
+    def kept(url, e):
+        if counts[url, e] >= 3:  # 5 % of 30 pages are less
+            return []
+        return [t for p in e[1] for t in (kept(url, p) if isinstance(p, tuple) else [p])]
+
+    got = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    want = {i: "\n\n".join(kept(url, nested(html)[1][0])) for i, url, html in pages}
+    assert {r.page_id: r.text for r in got} == want and sum(r.n_template for r in got) > 100
+
+
+def test_long_and_broken_pages_take_time_in_proportion():
+    import time
+
+    start = time.process_time()
+    for part in ("<div>", "<a ", "<p><article>", '<div class="ad">x', "<!", "</", '<a ">', "<a ' >", "<b title='x' y=\"", "<script>", "<!-- ", "<span class=share>a", "&amp;<", "<li><ul>", "<p>a</div>"):
+        html_text.Page(part * 200_000)
+    took = time.process_time() - start
+    assert took < 90, took
+    start = time.process_time()
+    html_text.Page("<a " * 200_000)
+    assert html_text.Page("<div>" * 200_000 + "deep").texts == ["deep"]
+    assert time.process_time() - start < 6
+    assert text("<b title='x>' y=\">a") == ["' y=\">a"] or text("<b title='x>' y=\">a") == ["a"]
+
+
+def test_queries_and_clashing_columns(spark):
+    rows = [(1, "http://a.b/", "<p>x</p>", "t", 5, None), (None, None, None, "", 6, 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, _id int, gone int")
+    assert sorted((r.page_id or 0, r.text) for r in html_text.extract(df).collect()) == [(0, ""), (1, "x")]
+
+
 def test_sample_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
@@ -84,3 +161,5 @@ def test_sample_pages(spark):
         inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         blocks = (" ".join("".join(entities.unescape(t) for t in re.split(r"<[^>]*>", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", inner))
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
+    counted = html_text.extract(pages).agg({"n_template": "sum", "n_named": "sum"}).first()
+    assert min(counted) > 0

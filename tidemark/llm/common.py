@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: White space as the contracts define it: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
-#: A side of a join is broadcast only when it has been counted and holds no more rows than this.
-BROADCAST_ROWS = 200_000
+#: A side of a join is broadcast only when it has been stored and holds no more rows, and bytes in its files, than this.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 8 << 20
 #: Bytes in one Arrow batch: texts can be long, so batches are bounded by size and not by rows alone.
 BATCH_BYTES = "4m"
 #: The same for operators that pack a batch's words into one block, whose dictionaries pay only if they are large.
@@ -112,8 +112,11 @@ def lean(run):
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
-    """Join with ``small``, which must be stored: broadcast if its counted rows are few, otherwise a shuffled join."""
-    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+    """Join with ``small``, which must be stored: broadcast if its files are few bytes and its counted rows are few,
+    otherwise a shuffled join."""
+    fs, where = _path(small.sparkSession, small._stored_at)
+    few = fs.getContentSummary(where).getLength() <= BROADCAST_BYTES and small.count() <= BROADCAST_ROWS
+    return big.join(F.broadcast(small) if few else small, on, how)
 
 
 def shuffle_width(spark: SparkSession) -> int:

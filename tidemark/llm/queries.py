@@ -36,7 +36,7 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html_text.extract(_table(spark, sf_dir, "pages"))
-    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_blocks", "n_template", "n_named", "n_outside")
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
