@@ -119,6 +119,13 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
     return big.join(F.broadcast(small) if few else small, on, how)
 
 
+def unused(name: str, columns) -> str:
+    """``name``, with as many underscores after it as no column has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

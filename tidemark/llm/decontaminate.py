@@ -11,10 +11,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, lean, stored, text_bytes, word_bounds
+from tidemark.llm.common import bounded_batches, importable, lean, stored, text_bytes, word_bounds
 
-#: Windows that one automaton holds; a larger benchmark is scanned for in as many passes as it needs.
-MAX_WINDOWS = 2_000_000
+#: Windows that one automaton holds, and bytes of their text. As many windows of eight words take some 230 MB in a worker,
+#: measured; a larger benchmark is scanned for in as many passes as it needs, one after the other.
+MAX_WINDOWS, MAX_BYTES = 100_000, 8 << 20
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[0x30:0x3A] = _WORD[0x41:0x5B] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
@@ -88,8 +89,8 @@ def _scan(machine, text: str) -> tuple[list[tuple[int, int]], set, int]:
     return [(a, b) for a, b in runs], items, longest
 
 
-def _pass(docs: DataFrame, windows: list) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(windows)
+def _pass(docs: DataFrame, shared) -> DataFrame:
+    importable(docs.sparkSession)
 
     def scan(batches):
         import pyarrow as pa
@@ -125,17 +126,17 @@ def find_contamination(docs: DataFrame, bench: DataFrame, size: int = 8, max_win
     bounded_batches(docs.sparkSession)
     windows = item_windows(bench, size).groupBy("window").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     windows = stored(windows, "windows")
-    n = windows.count()
-    if n <= max_windows:
-        return _pass(docs, [tuple(r) for r in windows.collect()])
-    passes = -(-n // max_windows)
-    parts = []
+    n, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window") + 8 * F.size("items")), F.lit(0))).first()
+    passes = max(1, -(-n // max_windows), -(-size // MAX_BYTES))
+    context = docs.sparkSession.sparkContext
+    if passes == 1:
+        return _pass(docs, context.broadcast([tuple(r) for r in windows.collect()]))
+    passes *= 2  # parts by hash differ in size
+    union = _pass(docs, context.broadcast([])).select("doc_id", "row_hash", "n_words", "hits", "items", "longest", "spans")
     for i in range(passes):
-        part = windows.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == i)
-        parts.append(_pass(docs, [tuple(r) for r in part.collect()]))
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
+        shared = context.broadcast([tuple(r) for r in windows.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == i).collect()])
+        union = union.unionByName(stored(_pass(docs, shared).filter(F.size("hits") > 0), "contaminated"))
+        shared.destroy()
     # Rows that repeat a doc_id and its text have equal results, so the sums of the passes stay right for each of them.
     rows = union.groupBy("doc_id", "row_hash", "n_words").agg(F.flatten(F.collect_set("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("longest").alias("longest"), F.flatten(F.collect_set("spans")).alias("spans"))
     copies = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"))

@@ -6,13 +6,16 @@ radius plus t. x is replicated to the cells that fit both, so every link is foun
 cells are joined independently. A cell's own vectors and its members are cut into blocks of fixed size, so a task's size
 does not grow with a cell. Equal vectors are joined as one and carry their number.
 
-Nulls and ties: vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do those
-whose number of components isn't the table's most frequent one, nor rows with a null vec_id. Rows that repeat an id and
-its vector count as one vector; an id with several vectors gets the sum of their links and the least of their components. Columns besides vec_id and embedding are ignored. An empty table gives no rows.
+Nulls and ties: vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do rows
+with a null vec_id. Vectors of different lengths have no cosine and don't link; each length that at least two vectors have
+is joined by itself. Rows that repeat an id and its vector count as one vector; an id with several vectors gets the sum of
+their links and the least of their components. Columns besides vec_id and embedding are ignored. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -35,13 +38,14 @@ def _matrix(column, dtype) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _distinct(vectors: DataFrame, dtype: str) -> tuple[DataFrame, DataFrame]:
-    """Stored rows (vec_id, same) of the vectors that can link, and (same, id, copies, data) of the distinct ones."""
+def _usable(vectors: DataFrame) -> DataFrame:
     e = F.col("embedding")
     usable = F.col("vec_id").isNotNull() & e.isNotNull() & (F.size(e) > 0) & ~F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(e, lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(usable)
-    sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    rows = rows.filter(F.size("embedding") == (sizes[0]["n"] if sizes else 0))
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(usable)
+
+
+def _distinct(rows: DataFrame, dtype: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows (vec_id, same) of vectors of one length, and (same, id, copies, data) of the distinct ones."""
 
     def pack(batches):
         import pyarrow as pa
@@ -78,8 +82,8 @@ def _linked(own: np.ndarray, members: np.ndarray, cosine: float):
     """Pairs (row of own, row of members) with at least that cosine in double precision, a chunk of rows at a time."""
     sure = own.shape[1] * 2.5e-7 + 1e-6
     members32 = members.astype(np.float32)
-    for at in range(0, len(own), 512):
-        part = own[at : at + 512]
+    for at in range(0, len(own), 256):
+        part = own[at : at + 256]
         close = part.astype(np.float32) @ members32.T
         i, j = np.nonzero(close >= cosine - sure)
         unsure = np.flatnonzero(close[i, j] < cosine + sure)
@@ -90,30 +94,48 @@ def _linked(own: np.ndarray, members: np.ndarray, cosine: float):
         yield i[keep] + at, j[keep]
 
 
-def _forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each of ``n`` nodes the smallest node that the pairs connect it with."""
-    label = np.arange(n)
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label``, the smallest node of each node's group, after the pairs (a, b) have joined some groups."""
+    if not len(a):
+        return label
+    pairs = np.unique(np.minimum(label[a], label[b]) * len(label) + np.maximum(label[a], label[b]))
+    lo, hi = np.divmod(pairs, len(label))
+    root = np.arange(len(label))
     while True:
-        before = label.copy()
-        for a, b in pairs:
-            least = np.minimum(label[a], label[b])
-            np.minimum.at(label, label[a], least)
-            np.minimum.at(label, label[b], least)
-            np.minimum.at(label, a, least)
-            np.minimum.at(label, b, least)
-        while not np.array_equal(label, label[label]):
-            label = label[label]
-        if np.array_equal(label, before):
-            return label
+        before = root.copy()
+        least = np.minimum(root[lo], root[hi])
+        for end in (lo, hi):
+            np.minimum.at(root, root[end], least)
+            np.minimum.at(root, end, least)
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+        if np.array_equal(root, before):
+            return root[label]
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """One row for each row of ``vectors``: vec_id, n_links, component_id, kept."""
-    spark = vectors.sparkSession
-    bounded_batches(spark)
+    bounded_batches(vectors.sparkSession)
     dtype = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     vectors = vectors.withColumn("embedding", F.col("embedding").cast("array<float>" if dtype == "<f4" else "array<double>"))
-    members, distinct = _distinct(vectors, dtype)
+    rows = _usable(vectors)
+    # One number for each length of vectors, not for each vector.
+    lengths = [r.n for r in rows.groupBy(F.size("embedding").alias("n")).count().filter("count > 1").orderBy("n").collect()]
+    parts = [_joined(rows.filter(F.size("embedding") == n), cosine, dtype) for n in lengths]
+    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
+    if parts:
+        of_id = functools.reduce(DataFrame.unionByName, parts).groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+        out = out.join(of_id, "vec_id", "left")
+    else:
+        out = out.withColumns({"n_links": F.lit(0), "component_id": F.lit(None).cast("long")})
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def _joined(rows: DataFrame, cosine: float, dtype: str) -> DataFrame:
+    """Rows (vec_id, n_links, component_id) of vectors of one length."""
+    spark = rows.sparkSession
+    members, distinct = _distinct(rows, dtype)
     n = distinct.count()
     reach = math.acos(cosine)
     # A bounded sample of the distinct vectors, in hash order, are the pivots.
@@ -188,15 +210,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
             return out.empty_table()
         a, b = own["id"].to_numpy(), others["id"].to_numpy()
         copies = others["copies"].to_numpy()
-        pairs, n = [], np.zeros(len(a), np.int64)
+        n = np.zeros(len(a), np.int64)
         ids, where = np.unique(np.concatenate([a, b]), return_inverse=True)
         of_a, of_b = where[: len(a)], where[len(a) :]
+        label = np.arange(len(ids))
         for i, j in _linked(_matrix(own["data"], dtype), _matrix(others["data"], dtype), cosine):
             other = a[i] != b[j]
             i, j = i[other], j[other]
             n += np.bincount(i, weights=copies[j], minlength=len(a)).astype(np.int64)
-            pairs.append((of_a[i], of_b[j]))
-        label = _forest(len(ids), pairs)
+            label = _merged(label, of_a[i], of_b[j])  # no more pairs are held than one chunk has
         tied = np.flatnonzero(label != np.arange(len(ids)))
         some = np.flatnonzero(n)
         return pa.table([pa.array(np.concatenate([a[some], ids[tied]])), pa.array(np.concatenate([a[some], ids[label[tied]]])), pa.array(np.concatenate([n[some], np.zeros(len(tied), np.int64)]))], schema=out)
@@ -207,7 +229,4 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     groups = components(found.filter("n = 0").select("a", "b")).withColumnRenamed("node", "id")
     of_distinct = distinct.select("same", "id", "copies").join(links, "id", "left").join(groups, "id", "left")
     of_distinct = of_distinct.select("same", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    of_id = members.join(of_distinct, "same").groupBy("vec_id").agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(of_id, "vec_id", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return members.join(of_distinct, "same").select("vec_id", "n_links", "component_id")

@@ -147,10 +147,13 @@ def _columns(docs: DataFrame):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
-    """At most ``most`` documents (text, length, quality), in the order of a hash of doc_id."""
+    """At most ``most`` rows (doc_id, text, length, quality), in the order of a hash of doc_id; of rows that repeat a doc_id, one."""
     agreed = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
     chosen = agreed.filter((F.col("quality") == F.col("other")) & F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select(*_columns(docs)).join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")
+    rows = docs.select(*_columns(docs)).join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")
+    # One row for each doc_id, however many repeat it, so that the bound holds for rows too.
+    least = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "length", "quality")).alias("r"))
+    return least.select("doc_id", "r.text", "r.length", "r.quality")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Machine:
