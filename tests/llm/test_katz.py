@@ -51,7 +51,7 @@ class Plain:
         d = self.d[len(context) + 1]
         cut = lambda r: r * (d[r] if r <= 5 else 1)
         left = total - sum(map(cut, seen.values()))
-        if left < 1e-9:
+        if total == sum(r for r in seen.values() if r > 5):
             total, left = total + 1, 1
         if w in seen:
             return cut(seen[w]) / total

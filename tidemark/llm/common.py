@@ -93,20 +93,36 @@ def bounded_batches(spark: SparkSession, most: str = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
 
 
+def release_memory() -> None:
+    """Return to the system the memory that a Python worker would keep while it waits for its next task."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def lean(run):
-    """A function over Arrow batches that, when done, returns to the system the memory that its worker would keep while it
-    waits for the next task. Idle workers count towards an executor's memory just like busy ones."""
+    """A function over Arrow batches that returns its memory when done. Idle workers count towards an executor's memory just
+    like busy ones."""
 
     def whole(batches):
-        import ctypes
+        yield from run(batches)
+        release_memory()
 
-        import pyarrow as pa
+    return whole
 
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+
+def lean_group(run):
+    """The same for a function over the tables of a group."""
+
+    def whole(*tables):
+        out = run(*tables)
+        release_memory()
+        return out
 
     return whole
 
@@ -243,6 +259,8 @@ def pack_numbers(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = values.astype(np.uint64)
     sizes = np.ones(len(values), np.int64)
     top = int(values.max()) if len(values) else 0
+    if top < 1 << 7:
+        return values.astype(np.uint8), sizes
     for k in range(1, 10):
         if top >> (7 * k):
             sizes += values >= np.uint64(1 << (7 * k))

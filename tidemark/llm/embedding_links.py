@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, lean, stored
+from tidemark.llm.common import bounded_batches, lean, lean_group, stored
 from tidemark.llm.components import components
 
 #: Vectors a cell should hold, most pivots, and the rows of a block of a cell's own vectors and of its members.
@@ -224,7 +224,7 @@ def _joined(rows: DataFrame, cosine: float, dtype: str) -> DataFrame:
         return pa.table([pa.array(np.concatenate([a[some], ids[tied]])), pa.array(np.concatenate([a[some], ids[label[tied]]])), pa.array(np.concatenate([n[some], np.zeros(len(tied), np.int64)]))], schema=out)
 
     rows = distinct.select("id", "copies", "data").mapInArrow(lean(replicate), "task long, own boolean, id long, copies long, data binary")
-    found = stored(rows.groupBy("task").applyInArrow(join, "a long, b long, n long"), "vector-links")
+    found = stored(rows.groupBy("task").applyInArrow(lean_group(join), "a long, b long, n long"), "vector-links")
     links = found.filter("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     groups = components(found.filter("n = 0").select("a", "b")).withColumnRenamed("node", "id")
     of_distinct = distinct.select("same", "id", "copies").join(links, "id", "left").join(groups, "id", "left")

@@ -4,8 +4,9 @@ P3(w | u v) = d3(r) r / c(u v) where (u, v, w) was seen r >= LEAST[2] times, els
 where (v, w) was seen r > 0 times, else a(v) P1(w); P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), which leaves mass for one
 unknown word. a() is 1 for a context never seen, and otherwise what the seen words leave over what the shorter context gives
 to the others, so that each context's sum over all words and the unknown one is exactly 1. A context that would leave
-nothing counts one more. d(r) is Katz' discount from the counts of counts for r <= 5 and 1 beyond. Trigrams seen once aren't
-kept (``LEAST``): their mass goes to the shorter context. A text begins with one start and ends with one end; its first token
+nothing, all its words being seen more than five times, counts one more. d(r) is Katz' discount from the counts of counts
+for r <= 5 (1 - 1 / 2 r where they give none) and 1 beyond. Trigrams seen once aren't kept (``LEAST``): their mass goes to
+the shorter context. A text begins with one start and ends with one end; its first token
 has the start alone as context.
 
 Tables, written to the shared folder and read from there: words (word, id, count); bigrams, a row for each context v (split
@@ -35,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, importable, lean, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
+from tidemark.llm.common import discard, importable, lean, lean_group, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
@@ -45,9 +46,9 @@ LEAST = (1, 1, 2)
 HOT_SHARE = 1 / 2000
 ADDED = 0.1
 #: Tokens of a block at most, unless one batch of texts has more.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 3 << 19
 #: Words of the vocabulary in a group.
-GROUP_WORDS = 16
+GROUP_WORDS = 48
 #: Parts in which level three is done.
 SLICES = 2
 #: Bytes of an Arrow batch.
@@ -229,6 +230,28 @@ def _edges(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """An order by numbers >= 0, the first key first: by one number made of all keys where these fit into 63 bits."""
+    bits = [int(k.max()).bit_length() if len(k) else 0 for k in keys]
+    if sum(bits) > 63:
+        return np.lexsort(keys[::-1])
+    whole = keys[0].astype(np.int64)
+    for k, n in zip(keys[1:], bits[1:], strict=True):
+        whole = whole << n | k
+    return np.argsort(whole)
+
+
+def _ranked(rows: list[np.ndarray], of_row: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each n-gram a number that stands for the key of its row and for v, in their order."""
+    head = _edges(of_row, v)
+    mine = of_row[head[:-1]]
+    order = np.lexsort((v[head[:-1]], *(r[mine] for r in reversed(rows))))
+    new = _edges(*(r[mine][order] for r in rows), v[head[:-1]][order])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.repeat(np.arange(len(new) - 1), np.diff(new))
+    return np.repeat(rank, np.diff(head))
+
+
 def _totals(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums between edges."""
     return np.add.reduceat(values, edges[:-1]) if len(edges) > 1 else values[:0]
@@ -269,14 +292,15 @@ def _by_count(counts: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
-    """Katz' discounts d(0..k+1) from the numbers of n-grams seen 1, ..., k + 1 times; 1 where they give none in (0, 1]."""
-    d = np.ones(_K + 2)
+    """Katz' discounts d(0..k+1) from the numbers of n-grams seen 1, ..., k + 1 times; 1 - 1 / 2 r where
+    they give none in (0, 1)."""
+    d = np.append(1 - 0.5 / np.maximum(np.arange(_K + 1), 1), 1.0)
     if counts[0] > 0:
         common = (_K + 1) * counts[_K] / counts[0]
         for r in range(1, _K + 1):
             if counts[r - 1] > 0 and common < 1:
                 value = ((r + 1) * counts[r] / (r * counts[r - 1]) - common) / (1 - common)
-                d[r] = value if 0 < value <= 1 else 1.0
+                d[r] = value if 0 < value < 1 else d[r]
     return d
 
 
@@ -285,7 +309,7 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 
 
 _TWO = "kind int, v long, split int, grp long, block long, data binary, words array<bigint>, counts array<bigint>, stats array<double>"
-_ANSWERS, _TABLE, _STATS = 0, 1, 2
+_ANSWERS, _TABLE, _STATS, _SEEN = 0, 1, 2, 3
 
 
 def _steps(values: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -334,9 +358,9 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
         of_row = np.repeat(np.arange(len(row_group)), np.diff(edges))
         v = _from_steps(v, of_row)
         w = _from_steps(w, of_row, v)
-        order = np.lexsort((w, v, row_split[of_row]))
-        split = row_split[of_row][order]
-        cuts = _edges(split, v[order], w[order])
+        rank = _ranked([row_group, row_split], of_row, v)
+        order = _order(rank, w)
+        cuts = _edges(rank[order], w[order])
         total = _totals(n[order], cuts)
         back = np.empty(len(w), np.int64)
         back[order] = np.repeat(total, np.diff(cuts))
@@ -348,8 +372,8 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
 
         seen = np.flatnonzero(total > 0)
         first = order[cuts[:-1][seen]]
+        at = _edges(rank[first])
         v, split, group, word, total, c = v[first], row_split[of_row[first]], row_group[of_row[first]], w[first], total[seen], c[first]
-        at = _edges(split, v)
         k, heads = len(at) - 1, at[:-1]
         stats = np.stack([*_by_count(total, at), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
         yield from whole(_TABLE, k, [pa.array(v[heads]), pa.array(split[heads].astype(np.int32)), pa.array(group[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(word, at, pa.int64()), _lists(total, at, pa.int64()), _lists(stats.reshape(-1), np.arange(k + 1) * (_K + 4), pa.float64())])
@@ -373,8 +397,8 @@ def contexts(table: DataFrame, d: np.ndarray, z: float) -> DataFrame:
     sums = table.groupBy("v", "grp").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4)))
     n = F.col(f"s{_K + 2}")
     left = _left([F.col(f"s{i}") for i in range(_K + 2)], d, n)
-    rows = sums.select("v", "grp", n.alias("n"), left.alias("left"), (1 - F.col(f"s{_K + 3}") / z).alias("rest"))
-    nothing = F.col("left") < 1e-9
+    rows = sums.select("v", "grp", n.alias("n"), F.col(f"s{_K + 1}").alias("above"), left.alias("left"), (1 - F.col(f"s{_K + 3}") / z).alias("rest"))
+    nothing = F.col("above") == F.col("n")
     total = F.col("n") + nothing.cast("int")
     return rows.select("v", "grp", total.cast("long").alias("total"), (F.log10(F.when(nothing, 1.0).otherwise(F.col("left")) / total) - F.log10("rest")).alias("log_backoff"), "n")
 
@@ -392,7 +416,7 @@ def _answered(corpus: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame
         counts = _in_order(right, ["split", "grp"], "data")
         return left.append_column("low", pa.array([pack_numbers(counts[block.pairs()[3]])[0].tobytes()], pa.binary()))
 
-    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(run, f"{_KNOWN}, low binary")
+    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(lean_group(run), f"{_KNOWN}, low binary")
 
 
 def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
@@ -412,11 +436,10 @@ def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
 # Level three
 
 
-def _send_triples(corpus: DataFrame, facts: _Facts, which: int | None = None, slices: int = 1) -> DataFrame:
-    """Rows of the trigrams around each group's words v, of one slice or of all: u, v, w, how often to learn from, and the
-    count of (v, w). Of all slices, only those to learn from and without that count."""
-    counts_only = which is None
-    names = ["grp", "split", "own", "block", "v", "u", "w", "n", *([] if counts_only else ["low"])]
+def _send_triples(corpus: DataFrame, facts: _Facts, which: int, slices: int) -> DataFrame:
+    """Rows of the trigrams around each group's words v, of one slice: u, v, w, how often to learn from, and the count of
+    (v, w)."""
+    names = ["grp", "split", "own", "block", "v", "u", "w", "n", "low"]
 
     def run(batches):
         import pyarrow as pa
@@ -425,8 +448,6 @@ def _send_triples(corpus: DataFrame, facts: _Facts, which: int | None = None, sl
             for row in _rows(batch):
                 block = _Block(row, facts)
                 at = block.later(which, slices)
-                if counts_only:
-                    at = at[block.learnt[at]]
                 if not len(at):
                     continue
                 u, v, w, split, own, of, first = block.triples(at)
@@ -434,8 +455,7 @@ def _send_triples(corpus: DataFrame, facts: _Facts, which: int | None = None, sl
                 group = block.group[v]
                 edges = _edges(group, split, own)
                 heads = edges[:-1]
-                packed = [_steps(block.id[v], group, split, own), _steps(block.id[u], v, split, own), _steps(block.id[w], v, split, own, u), n]
-                packed += [] if counts_only else [block.low[first]]
+                packed = (_steps(block.id[v], group, split, own), _steps(block.id[u], v, split, own), _steps(block.id[w], v, split, own, u), n, block.low[first])
                 columns = [pa.array(group[heads]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), block.number))]
                 yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], names).to_batches(65536)
 
@@ -451,24 +471,7 @@ def _unpacked(got):
     return plain, edges, of_row, u, v, _from_steps(w, of_row, v, u), [x for x, _ in rest]
 
 
-def _triple_counts(sent: DataFrame, width: int) -> DataFrame:
-    """One row for each partition: stats, the numbers of trigrams seen 1, ..., _K + 1 times."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        got = _gathered(batches, 4)
-        if got is None:
-            return
-        _, _, _, u, v, w, (n,) = _unpacked(got)
-        order = np.lexsort((w, u, v))
-        total = _totals(n[order], _edges(v[order], u[order], w[order]))
-        yield pa.RecordBatch.from_arrays([pa.array([[float((total == r).sum()) for r in range(1, _K + 2)]], pa.list_(pa.float64()))], ["stats"])
-
-    return sent.repartition(width, "grp", "split").mapInArrow(lean(run), "stats array<double>")
-
-
-_THREE = "kind int, grp long, split int, own long, block long, data binary, backs binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
+_THREE = "kind int, grp long, split int, own long, block long, data binary, above binary, masses binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
 
 
 def _floats(values: np.ndarray, edges: np.ndarray):
@@ -477,11 +480,14 @@ def _floats(values: np.ndarray, edges: np.ndarray):
     return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32).tobytes()), pa.py_buffer(values.astype(np.float64).tobytes())])
 
 
-def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts, which: int, slices: int, d2: np.ndarray, d3: np.ndarray) -> DataFrame:
-    """Answers to the blocks, the trigram table, and the statistics of frequent pairs, whose trigrams are in many tasks.
+def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts, which: int, slices: int, d2: np.ndarray) -> DataFrame:
+    """Answers to the blocks, the trigram table, the statistics of frequent pairs, whose trigrams are in many tasks, and of
+    each task how many trigrams were seen 1, ..., _K + 1 times.
 
-    ``data``: 2 r + 1 for a kept trigram whose context leaves nothing, 2 r for another kept one, 0 for one not kept; for
-    these ``backs`` holds log10 of their context's weight. ``extra``: for each v of a row what its total is above its count;
+    ``data``: 2 r + 1 for a kept trigram whose context leaves nothing, 2 r for another kept one, 1 for one not kept whose
+    context has others that are, else 0. For each context with a 1, ``above`` holds how many of its kept trigrams were seen
+    1, ..., _K times and the sum of the counts above, and ``masses`` what the shorter context gives to the kept ones: all
+    that its weight depends on besides the discounts. ``extra``: for each v of a row what its total is above its count;
     ``low_backs``: log10 of the weight of each v of which a pair was never seen. ``known``: the contexts (v)."""
     known = known.withColumnRenamed("n", "n_all")
     parts = F.when(F.col("n_all") >= facts.hot, F.ceil(F.col("n_all") / facts.hot)).otherwise(1).cast("int")
@@ -504,58 +510,69 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
             at = np.minimum(np.searchsorted(cv[:-1], words), len(cv) - 1)
             return np.where(cv[at] == words, at, len(cv) - 1) if len(cv) > 1 else np.zeros(len(words), np.int64)
 
-        order = np.lexsort((w, u, v, row_own[of_row], row_split[of_row], row_group[of_row]))
-        hs, ho, hv, hu, hw = row_split[of_row][order], row_own[of_row][order], v[order], u[order], w[order]
-        cuts = _edges(hs, ho, hv, hu, hw)
-        first = cuts[:-1]
+        rank = _ranked([row_group, row_split, row_own], of_row, v)
+        order = _order(rank, u, w)
+        cuts = _edges(rank[order], u[order], w[order])
+        first = order[cuts[:-1]]
         count = _totals(n[order], cuts)
         kept = count >= LEAST[2]
-        hs, ho, hv, hu, hw, r2 = hs[first], ho[first], hv[first], hu[first], hw[first], low[order][first]
+        of_first = of_row[first]
+        hs, ho, hg, hv, hu, hw, r2 = row_split[of_first], row_own[of_first], row_group[of_first], v[first], u[first], w[first], low[first]
         lower = np.where(kept, d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(ctotal[of(hv)], 1), 0.0)
-        pair = _edges(hs, ho, hv, hu)
+        pair = _edges(rank[first], hu)
         sums = _by_count(np.where(kept, count, 0), pair)
         total = _totals(count, pair)
         mass = _totals(lower, pair)
-        left = _left(sums, d3, total)
-        nothing = (left < 1e-9) & (total > 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            back = np.log10(np.where(nothing, 1.0, left) / (total + nothing)) - np.log10(1 - mass)
-        back = np.where((total > 0) & (mass > 0), back, 0.0)
+        nothing = (sums[_K + 1] == total) & (total > 0)
         per = np.diff(pair)
-        code = np.where(kept, 2 * count + np.repeat(nothing, per), 0)
-        answer, weight = np.empty(len(u), np.int64), np.empty(len(u))
+        code = np.where(kept, 2 * count + np.repeat(nothing, per), np.repeat(mass > 0, per))
+        answer, context_of = np.empty(len(u), np.int64), np.empty(len(u), np.int64)
         answer[order] = np.repeat(code, np.diff(cuts))
-        weight[order] = np.repeat(np.repeat(back, per), np.diff(cuts))
-        asked = (answer == 0) & (row_own[of_row] == 0)
+        context_of[order] = np.repeat(np.repeat(np.arange(len(per)), per), np.diff(cuts))
+        runs = _edges(of_row, v, u)[:-1]
+        asked = runs[(_totals((answer == 1).astype(np.int64), np.append(runs, len(u))) > 0) & (row_own[of_row[runs]] == 0)] if len(u) else runs
+        of_asked = np.searchsorted(of_row[asked], np.arange(len(row_group) + 1))
+        above = np.stack([*sums[:_K], sums[_K + 1]], axis=1)[context_of[asked]].reshape(-1)
         head = _edges(of_row, v)
         unseen = _totals((low == 0).astype(np.int64), head) > 0
         head = head[:-1]
         place = of(v[head])
         per_row = np.searchsorted(of_row[head], np.arange(len(row_group) + 1))
-        names = ["kind", "grp", "split", "own", "block", "data", "backs", "extra", "low_backs", "v", "u", "w", "counts", "stats"]
+        names = ["kind", "grp", "split", "own", "block", "data", "above", "masses", "extra", "low_backs", "v", "u", "w", "counts", "stats"]
         many, real, raw = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()
         whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names)
         k = len(row_group)
-        weights = [_floats(weight[asked], np.append(0, np.cumsum(asked))[edges]), packed_rows(cmore[place], per_row), _floats(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
+        weights = [packed_rows(above, of_asked * (_K + 1)), _floats(mass[context_of[asked]], of_asked), packed_rows(cmore[place], per_row), _floats(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
         out = whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), *weights, *[pa.nulls(k, many)] * 4, pa.nulls(k, real)])
         yield from out.filter(pa.array(row_own >= 0)).to_batches(65536)
-        del out, weights, weight, answer
+        del out, weights, answer
 
         at = np.flatnonzero(kept)
-        hg = row_group[of_row][order][first]
         rows = _edges(hg[at], hs[at], ho[at])
         k, heads = len(rows) - 1, at[rows[:-1]]
-        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 4, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(65536)
+        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 5, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(65536)
 
+        seen = np.array([(count == r).sum() for r in range(1, _K + 2)], np.float64)
+        one = lambda value, kind: pa.array([value], kind)
+        yield from whole(_SEEN, 1, [one(0, pa.int64()), one(0, pa.int32()), *[one(0, pa.int64())] * 2, *[pa.nulls(1, raw)] * 5, *[pa.nulls(1, many)] * 4, one(seen, real)]).to_batches()
         alone = np.flatnonzero(ho[pair[:-1]] > 0)
         if len(alone):
             heads, k = pair[:-1][alone], len(alone)
             stats = np.stack([*sums, total, mass], axis=1)[alone].astype(np.float64)
-            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 4, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(65536)
+            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 5, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(65536)
 
     return both.select(columns).repartition(width, "grp", "split").mapInArrow(lean(run), _THREE)
 
 
+def _weight(by_count, above, total, mass, d3: np.ndarray):
+    """log10 of a context's weight, from the numbers of its kept trigrams by count, the sum of the counts above, its total,
+    and what the shorter context gives to the kept ones."""
+    nothing = (above == total) & (np.asarray(total) > 0)
+    left = np.where(nothing, 1.0, _left([*by_count, 0, above], d3, total))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(np.asarray(mass) > 0, np.log10(left / (total + nothing)) - np.log10(1 - np.asarray(mass)), 0.0)
+
+
 def _hot_pairs(tables: list[DataFrame], d3: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
     """For each frequent pair (u, v), at most 1 / HOT_SHARE of them: log10 of its weight, and 1 if it leaves nothing."""
     out: dict[tuple[int, int], tuple[float, int]] = {}
@@ -563,9 +580,7 @@ def _hot_pairs(tables: list[DataFrame], d3: np.ndarray) -> dict[tuple[int, int],
         for row in t.filter(F.col("kind") == _STATS).groupBy(F.col("block").alias("v"), "own").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4))).collect():
             s = [row[f"s{i}"] for i in range(_K + 4)]
             total, mass = s[_K + 2], s[_K + 3]
-            left = _left(s, d3, total)
-            nothing = int(0 < total and left < 1e-9)
-            out[row.own - 1, row.v] = (float(np.log10((1.0 if nothing else left) / (total + nothing)) - np.log10(1 - mass)) if mass > 0 else 0.0, nothing)
+            out[row.own - 1, row.v] = float(_weight(s[:_K], s[_K + 1], total, mass, d3)), int(0 < total == s[_K + 1])
     return out
 
 
@@ -586,9 +601,13 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
             words, unseen = v[runs[:-1]], _totals((low == 0).astype(np.int64), runs) > 0
             total[words] = block.count[words] + _in_order(right, keys, "extra")
             back[words[unseen]] = _in_order(right, keys, "low_backs", np.float64)
-            weight = np.zeros(len(u))
-            weight[(answer == 0) & (own == 0)] = _in_order(right, keys, "backs", np.float64)
             r, more = answer >> 1, answer & 1
+            contexts = _edges(block.group[v], split, own, v, u)
+            asked = np.flatnonzero((_totals((answer == 1).astype(np.int64), contexts) > 0) & (own[contexts[:-1]] == 0))
+            above = _in_order(right, keys, "above").reshape(-1, _K + 1)
+            of_context = np.zeros(len(contexts) - 1)
+            of_context[asked] = _weight(above[:, :_K].T, above[:, _K], block.low[first[contexts[asked]] - 1], _in_order(right, keys, "masses", np.float64), d3)
+            weight = np.repeat(of_context, np.diff(contexts))
             alone = np.flatnonzero(own > 0)
             for edge in _edges(u[alone], v[alone])[:-1] if len(alone) else ():
                 i = alone[edge]
@@ -608,8 +627,8 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
         columns = [ids, block.held, block.sizes, known, np.full(len(block.sizes), facts.n), _totals(one[block.word], edges), _totals(value, edges)]
         return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    answers = answers.select("block", "grp", "split", "own", "data", "backs", "extra", "low_backs")
-    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    answers = answers.select("block", "grp", "split", "own", "data", "above", "masses", "extra", "low_backs")
+    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_group(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HOT_SHARE) -> DataFrame:
@@ -637,11 +656,10 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     discard(corpus)
     discard(two, part=f"kind={_ANSWERS}")
 
-    d3 = discounts(_counts_of_counts(stored(_triple_counts(_send_triples(known, facts), width), "katz-counts", batch=BATCH)))
-    d3[: LEAST[2]] = 1.0
-    three = [stored(_count_triples(_send_triples(known, facts, i, slices), after, width, facts, i, slices, d2, d3), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
-    answers = functools.reduce(DataFrame.unionByName, three).filter(F.col("kind") == _ANSWERS)
-    out = stored(_evaluated(known, answers, facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
+    three = [stored(_count_triples(_send_triples(known, facts, i, slices), after, width, facts, i, slices, d2), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
+    rows = functools.reduce(DataFrame.unionByName, three)
+    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN)))
+    out = stored(_evaluated(known, rows.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
     discard(known)
     for t in three:
         discard(t, part=f"kind={_ANSWERS}")
