@@ -117,10 +117,21 @@ def lean(run):
 
 
 def lean_group(run):
-    """The same for a function over the tables of a group."""
+    """The same for a function over the table of a group."""
 
-    def whole(*tables):
-        out = run(*tables)
+    def whole(table):
+        out = run(table)
+        release_memory()
+        return out
+
+    return whole
+
+
+def lean_pair(run):
+    """The same for a function over the tables of a pair of groups."""
+
+    def whole(left, right):
+        out = run(left, right)
         release_memory()
         return out
 

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, importable, lean, lean_group, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
+from tidemark.llm.common import discard, importable, lean, lean_pair, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
@@ -416,7 +416,7 @@ def _answered(corpus: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame
         counts = _in_order(right, ["split", "grp"], "data")
         return left.append_column("low", pa.array([pack_numbers(counts[block.pairs()[3]])[0].tobytes()], pa.binary()))
 
-    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(lean_group(run), f"{_KNOWN}, low binary")
+    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(lean_pair(run), f"{_KNOWN}, low binary")
 
 
 def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
@@ -628,7 +628,7 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
         return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     answers = answers.select("block", "grp", "split", "own", "data", "above", "masses", "extra", "low_backs")
-    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_group(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_pair(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HOT_SHARE) -> DataFrame:
