@@ -169,3 +169,92 @@ def test_bounded_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema("si string, us long, event_id long, ts timestamp").option("maxFilesPerTrigger", 100).parquet(str(tmp_path / "in/*")).withWatermark("ts", "1 second")
     out = pipelines.drained(pipelines.bounded_session_stream(stream, 20_000, 60_000), "bounded_out", str(tmp_path / "cp"))
     assert table(out.filter("si <> 'z'")) == plain(rows, 20 * SECOND, 60 * SECOND)
+
+
+def test_last_write_wins_across_batches(spark, tmp_path):
+    s = store.MetricStore(spark, str(tmp_path))
+    write = lambda value, batch_id, day=0: s.merge("t", spark.createDataFrame([("a", day * store.DAY_MILLIS + 1, value)], "metricname string, metrictime long, value long"), batch_id, ["metricname", "metrictime"])
+    assert write(5, 0) and write(3, 1) and not write(9, 1)
+    assert s.read("t").collect()[0].value == 3
+    assert write(7, 2, day=4) and write(4, 3) and write(2, 4)
+    assert sorted(r.value for r in s.read("t").collect()) == [2, 7]
+    assert len(s._names("t", "days", "0")) == 2 and s._names("t", "days", "4") == ["v2"]  # only touched days are written
+    (tmp_path / "t/days/0/v9").mkdir()  # a version of a batch that was never committed
+    assert sorted(r.value for r in s.read("t").collect()) == [2, 7]
+    s.expire("t", 2 * store.DAY_MILLIS)
+    assert [r.value for r in s.read("t").collect()] == [7]
+
+
+def test_batch_bodies(spark):
+    bodies = spark.createDataFrame([(1, '[{"si":"a"},{"x":1},5,null]'), (2, '{"si":"b"}'), (3, "[oops"), (4, "[]"), (5, None)], "id int, body string")
+    items = ingest.accepted(ingest.batch_items(bodies), ["si"]).collect()
+    assert sorted((r.id, r.item, json.loads(r.body)["si"]) for r in items) == [(1, 0, "a"), (2, 0, "b")]
+    answers = {r.id: r for r in ingest.batch_answers(bodies, "id", ["si"]).collect()}
+    assert [answers[i].status for i in (1, 2, 3, 5)] == [400, 200, 400, 400] and 4 not in answers
+    assert [f["item"] for f in json.loads(answers[1].failures)] == [1, 2, 3]
+
+
+def test_one_key_with_many_events_folds_in_linear_time(spark):
+    import time
+
+    def run(n):
+        rows = spark.range(n).select(F.lit("a").alias("si"), (F.col("id") * 10 * SECOND).alias("us"), F.col("id").alias("event_id"))
+        start = time.time()
+        got = sessions.sessions_with_max_active(rows, 60_000, 1_000_000).agg(F.sum("snec"), F.count("*")).first()
+        assert got[0] == n and got[1] == -(-n // 101)
+        return time.time() - start
+
+    run(1000)
+    assert run(200_000) < 60
+
+
+def test_spec_rejects_what_is_wrong(spark):
+    with pytest.raises(ValueError):
+        sessions.numbered_by_spec(frame(spark, [("a", 1)]), sessions.SessionSpec("x", ttl_millis=0))
+
+
+def test_rule_above_the_longest_is_ignored(spark):
+    df = frame(spark, [("a", 0), ("a", 30 * SECOND), ("a", 80 * SECOND)]).withColumn("rule", F.when(F.col("event_id") == 0, F.lit(40_000)).when(F.col("event_id") == 1, F.lit(10**9)))
+    starts = sessions.fold_starts(df, ["si"], 20_000, rule=F.col("rule"), max_ttl_millis=60_000)
+    assert sorted(r.us for r in starts.collect()) == [0, 80 * SECOND]  # the first event's 40 s hold on
+
+
+def test_stop_alerts_are_apart(spark):
+    df = spark.createDataFrame([(n * 100 * SECOND,) for n in range(8)], "us long")
+    assert sorted(r.us // SECOND for r in routing.stop_alerts(df).collect()) == [0, 300, 600]
+
+
+def test_addresses_are_checked(spark):
+    got = spark.createDataFrame([("1.2.3.4",), ("999.1.1.1",), ("1.2.3",), (None,)], "ip string").select(geo.ip_number(F.col("ip")).alias("n")).collect()
+    assert [r.n for r in got] == [16909060, None, None, None]
+
+
+def test_feeds_have_all_columns():
+    assert len(routing.SESSION_FEED) == 15 and len(routing.EVENT_FEED) + 1 == 32
+
+
+def test_delivery_of_a_micro_batch(spark, tmp_path):
+    got = []
+    sinks = {"a": lambda df: got.append(("a", df.count())), "b": lambda df: got.append(("b", df.count()))}
+    deliver = routing.delivering(lambda batch: {"all": batch, "some": batch.filter("id > 7")}, sinks, {"all": ["a", "b"], "some": ["b"]})
+    deliver(spark.range(10).toDF("id"), 0)
+    assert got == [("a", 10), ("b", 10), ("b", 2)]
+    routing.fan_out({"x": spark.range(3).toDF("id")}, sinks)
+    assert got[3:] == [("a", 3), ("b", 3)]
+
+
+def test_sources_of_tweets_and_rates(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps({"country": "X", "lang": "en", "user": "u", "hashtag": "a,b", "ct": 5, "text": "t"}))
+    assert readers.tweets(spark, str(tmp_path / "t.json")).first().hashtag == "a,b"
+    load = readers.load(spark, 0, 60).collect()
+    assert len(load) == sum(int(readers.volume(s)) for s in range(60)) and len({r.ct // 1000 for r in load}) == 60
+
+
+def test_shared_folder_needs_a_local_master(spark):
+    from types import SimpleNamespace
+
+    from tidemark.sources.shared import shared_folder
+
+    far = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", applicationId="x", getConf=lambda: SimpleNamespace(get=lambda *a: None)))
+    with pytest.raises(ValueError):
+        shared_folder(far, "x")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A block table of at most this many rows is broadcast; a larger one is joined by shuffle on the same keys.
+#: A block table of at most this many rows, once cut, is broadcast; a larger one is joined by shuffle on the same keys.
 BROADCAST_ROWS = 200_000
 
 
@@ -13,7 +13,8 @@ def ip_number(ip: Column) -> Column:
     """The address as a number, or null if it is no IPv4 address."""
     parts = F.split(ip, r"\.")
     number = sum((F.try_element_at(parts, F.lit(i + 1)).try_cast("long") * F.lit(256 ** (3 - i)) for i in range(4)), F.lit(0))
-    return F.when(ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), number)
+    small = F.forall(parts, lambda p: p.try_cast("int") <= 255)
+    return F.when(ip.rlike(r"^\d{1,3}(\.\d{1,3}){3}$") & small, number)
 
 
 def with_location(events: DataFrame, blocks: DataFrame, ip: str = "ipv4") -> DataFrame:
@@ -25,7 +26,7 @@ def with_location(events: DataFrame, blocks: DataFrame, ip: str = "ipv4") -> Dat
     columns = [c for c in blocks.columns if c not in ("first", "last")]
     cut = blocks.select("*", F.explode(F.sequence(F.shiftright("first", 16), F.shiftright("last", 16))).alias("_upper"))
     cut = cut.select("_upper", F.col("first").alias("_first"), F.col("last").alias("_last"), F.struct(*columns).alias("geo"))
-    cut = F.broadcast(cut) if blocks.count() <= BROADCAST_ROWS else cut
+    cut = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
     rows = events.withColumn("_number", ip_number(F.col(ip)))
     inside = (F.shiftright(F.col("_number"), 16) == F.col("_upper")) & F.col("_number").between(F.col("_first"), F.col("_last"))
     out = rows.join(cut, inside, "left")

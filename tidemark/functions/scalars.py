@@ -71,3 +71,16 @@ def day_at_offset(millis: Column, hours: int) -> Column:
     """yyyy-MM-dd of a time at a fixed offset from UTC, whatever the session's time zone."""
     days = F.floor((millis + F.lit(hours * 3_600_000)) / F.lit(86_400_000)).cast("int")
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
+
+
+def formatted_at_zone(millis: Column, zone: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """A time as text in a zone, whatever the session's time zone."""
+    wall = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("MILLISECOND", millis, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+    return F.date_format(wall, pattern)
+
+
+def parsed_at_zone(text: Column, zone: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Epoch milliseconds of a time written in a zone; null where it can't be read."""
+    wall = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    return F.floor(epoch_micros(utc) / 1000).cast("long")

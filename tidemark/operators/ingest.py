@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,22 +20,51 @@ def parse_events(bodies: DataFrame, schema: T.StructType, body: str = "body") ->
     return bodies.select("*", F.explode_outer(F.when(is_many, many).otherwise(one)).alias("event"))
 
 
-def _checked(bodies: DataFrame, mandatory: Sequence[str], body: str) -> DataFrame:
+#: A check of an item: from its JSON text, what is wrong with it, or null.
+Validator = Callable[[Column], Column]
+
+
+def _checked(bodies: DataFrame, mandatory: Sequence[str], body: str, validators: Sequence[Validator] = ()) -> DataFrame:
     keys = F.json_object_keys(F.col(body))
-    problem = F.lit(None).cast("string")
+    problem = F.coalesce(*(v(F.col(body)) for v in validators), F.lit(None).cast("string"))
     for tag in reversed(mandatory):
         problem = F.when(~F.array_contains(keys, tag), F.lit(f"{tag} is mandatory")).otherwise(problem)
     return bodies.withColumn("detail", F.when(keys.isNull(), F.lit("not a JSON object")).otherwise(problem))
 
 
-def accepted(bodies: DataFrame, mandatory: Sequence[str], body: str = "body") -> DataFrame:
-    """Bodies in which every mandatory key is present; its value may be null."""
-    return _checked(bodies, mandatory, body).filter(F.col("detail").isNull()).drop("detail")
+def accepted(bodies: DataFrame, mandatory: Sequence[str], body: str = "body", validators: Sequence[Validator] = ()) -> DataFrame:
+    """Bodies in which every mandatory key is present, its value may be null, and that every validator passes."""
+    return _checked(bodies, mandatory, body, validators).filter(F.col("detail").isNull()).drop("detail")
+
+
+def rejected(bodies: DataFrame, mandatory: Sequence[str], body: str = "body", validators: Sequence[Validator] = ()) -> DataFrame:
+    """Bodies that fail, with the first missing key, or else what the first validator says, in ``detail``, and success =
+    false."""
+    return _checked(bodies, mandatory, body, validators).filter(F.col("detail").isNotNull()).withColumn("success", F.lit(False))
+
+
+def batch_items(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """A row for each item of a JSON array, with its place in it (``item``) and its text as the body; a body that is no
+    array is one item of place 0, to be rejected or taken by the same checks."""
+    items = F.from_json(F.col(body), T.ArrayType(T.StringType()))
+    several = F.ltrim(F.col(body)).startswith("[")
+    listed = F.when(several & items.isNotNull(), items).otherwise(F.array(F.col(body)))
+    others = [c for c in bodies.columns if c != body]
+    return bodies.select(*others, F.posexplode(listed).alias("item", body))
+
+
+def batch_answers(bodies: DataFrame, key: str, mandatory: Sequence[str], body: str = "body", validators: Sequence[Validator] = ()) -> DataFrame:
+    """What a batch request gets back, a row for each ``key``: status 200, or 400 with the failures as a JSON array."""
+    items = _checked(batch_items(bodies, body), mandatory, body, validators)
+    failure = F.when(F.col("detail").isNotNull(), F.struct("item", F.lit(False).alias("success"), "detail"))
+    found = items.groupBy(key).agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list(failure)).alias("failed"))
+    status = F.when(F.size("failed") == 0, F.lit(200)).otherwise(F.lit(400))
+    return found.select(key, "n_items", status.alias("status"), F.to_json("failed").alias("failures"))
 
 
-def rejected(bodies: DataFrame, mandatory: Sequence[str], body: str = "body") -> DataFrame:
-    """Bodies that fail, with the first missing key in ``detail`` and success = false."""
-    return _checked(bodies, mandatory, body).filter(F.col("detail").isNotNull()).withColumn("success", F.lit(False))
+def with_origin(events: DataFrame, **attributes: Column) -> DataFrame:
+    """Derived attributes beside the whole original event as one column."""
+    return events.select(*(c.alias(n) for n, c in attributes.items()), F.struct("*").alias("originEvent"))
 
 
 def with_event_time(events: DataFrame, default: Column | None = None) -> DataFrame:

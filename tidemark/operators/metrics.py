@@ -23,21 +23,30 @@ class MetricSpec:
     threshold: int = 0
 
 
+# The names of the metrics, what they count and by which keys.
 METRICS = [
     MetricSpec("pageviews"),
     MetricSpec("visitors", "session_ends"),
-    *(MetricSpec(f"{n}per{k}", s, (c,)) for n, s in (("pgs", "events"), ("vists", "session_ends")) for k, c in (("cn", "country"), ("bf", "browser"), ("os", "os"))),
-    *(MetricSpec(f"{n}percnand{k}", s, ("country", c)) for n, s in (("pgs", "events"), ("vists", "session_ends")) for k, c in (("city", "city"), ("bf", "browser"), ("os", "os"))),
+    MetricSpec("pgspercn", "events", ("country",)),
+    MetricSpec("pgsperbf", "events", ("browser",)),
+    MetricSpec("pgsperos", "events", ("os",)),
+    MetricSpec("vistspercn", "session_ends", ("country",)),
+    MetricSpec("vistsperbf", "session_ends", ("browser",)),
+    MetricSpec("vistsperos", "session_ends", ("os",)),
+    MetricSpec("pgspercnandcity", "events", ("country", "city")),
+    MetricSpec("pgspercnandbf", "events", ("country", "browser")),
+    MetricSpec("pgspercnandos", "events", ("country", "os")),
+    MetricSpec("vistspercnandcity", "session_ends", ("country", "city")),
+    MetricSpec("vistspercnandbf", "session_ends", ("country", "browser")),
+    MetricSpec("vistspercnandos", "session_ends", ("country", "os")),
     MetricSpec("pageviewspergeoanddevice", "events", ("country", "continent", "city", "device", "os", "browser"), 10, threshold=1),
     MetricSpec("viperitm", "events", ("item",), 1, top_n=100),
 ]
+#: Minutes after which a metric can be flushed.
+PERIODS = (1, 5, 10, 30)
 BY_NAME = {m.name: m for m in METRICS}
 
 
-def window_of(ts: str | Column, length: str) -> Column:
-    return F.window(ts, length)
-
-
 def live_counts(events: DataFrame, keys: Sequence[str] = (), length: str = "10 seconds") -> DataFrame:
     """Rows (start, end, keys, count), one for each window and key that has events; times in epoch milliseconds."""
     rows = events.dropna(subset=list(keys)) if keys else events
@@ -120,6 +129,31 @@ def multi_counters(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     return sums.unpivot([], list(names), "metricname", "value")
 
 
+def counter_names(columns: Sequence[str]) -> list[str]:
+    """The columns of an event that are counters: those whose name contains "count"."""
+    return [c for c in columns if "count" in c]
+
+
+def second_level(counts: DataFrame, keys: Sequence[str], length_millis: int, top: int | None = None) -> DataFrame:
+    """Rows (context_id, keys, value): live counts summed once more in windows of their own, all or only the largest."""
+    start = floor_millis(F.col("start"), length_millis)
+    rows = counts.groupBy(start.alias("context_id"), *keys).agg(F.sum("count").alias("value"))
+    return top_n(rows, ["context_id"], F.col("value"), list(keys), top) if top else rows
+
+
+def windowed_tokens(rows: DataFrame, column: str, separator: str, length: str, k: int) -> DataFrame:
+    """Rows (start, item, count): in each window the k most frequent tokens of a separated column, empty ones included."""
+    tokens = rows.select("ts", F.explode(split_literal(F.col(column), separator)).alias("item"))
+    return top_n(live_counts(tokens, ["item"], length), ["start"], F.col("count"), ["item"], k).select("start", "item", "count")
+
+
+def audit_deltas(events: DataFrame, name: str, now_millis: Column, offset_hours: int = -7, keep_millis: int = 86_400_000) -> DataFrame:
+    """The hourly audit as it is flushed: for each minute what it adds to its hour, of the last ``keep_millis``."""
+    minute, hour = floor_millis(F.col("ct"), 60_000), floor_millis(F.col("ct"), 3_600_000)
+    recent = events.filter(hour >= now_millis - keep_millis)
+    return recent.groupBy(F.lit(name).alias("metricname"), day_at_offset(hour, offset_hours).alias("groupid"), hour.alias("metrictime"), minute.alias("flushed")).agg(F.count("*").alias("delta"))
+
+
 def delta_counter(marks: DataFrame, keys: Sequence[str], order: str, value: str, threshold: int = 0) -> DataFrame:
     """The growth of a running total since the mark before, where it is above the threshold; less is lost, not carried."""
     before = F.lag(value, 1, 0).over(Window.partitionBy(*keys).orderBy(order))

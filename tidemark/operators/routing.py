@@ -2,13 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The session feed's and the event feed's renamed columns.
-SESSION_FEED = {"ts": "trafficsource", "t": "site"}
+# The columns of the session feed and of the event feed, by their names in the events.
+SESSION_FEED = {
+    "ts": "trafficsource",
+    "t": "site",
+    "_cty": "city",
+    "_rgn": "region",
+    "_cn": "country",
+    "_con": "continent",
+    "_dd_bf": "browserfamily",
+    "_dd_bv": "browserversion",
+    "dd_df": "devicefamily",
+    "_dd_dc": "deviceclass",
+    "_dd_os": "osfamily",
+    "_dd_osv": "osversion",
+    "_snec": "_snec",
+    "_sndn": "_sndn",
+    "_snet": "_snet",
+}
+EVENT_FEED = {
+    "si": "guid",
+    "_cty": "city",
+    "_rgn": "region",
+    "_cn": "country",
+    "_con": "continent",
+    "_dd_bf": "browserfamily",
+    "_dd_bv": "browserversion",
+    "dd_df": "devicefamily",
+    "_dd_dc": "deviceclass",
+    "_dd_os": "osfamily",
+    "_dd_osv": "osversion",
+    "_dwell": "dwell",
+    "ts": "trafficsource",
+    "t": "site",
+    **{c: c for c in ("tn", "ipv4", "itmP", "cap", "rf", "js_ev_mak", "itmT", "capG", "_lon", "_lat", "_tlcn", "url", "capQ", "ac", "ua", "et", "ct")},
+}
 EVENT_FEED_TENANT = "MP"
 
 
@@ -30,6 +63,14 @@ def renamed(events: DataFrame, names: Mapping[str, str], literals: Mapping[str,
     return events.select(*(F.lit(v).alias(k) for k, v in (literals or {}).items()), *(F.col(a).alias(b) for a, b in names.items()))
 
 
+def session_feed(events: DataFrame) -> DataFrame:
+    return renamed(events, SESSION_FEED)
+
+
+def event_feed(events: DataFrame) -> DataFrame:
+    return renamed(events, EVENT_FEED, {"tenant": EVENT_FEED_TENANT})
+
+
 def as_messages(events: DataFrame, topic: str, key: Sequence[str] = ()) -> DataFrame:
     """Rows (topic, key, value) as a message sink takes them; the key's hash decides the partition."""
     return events.select(F.lit(topic).alias("topic"), (F.concat_ws("\x01", *key) if key else F.lit(None).cast("string")).alias("key"), F.to_json(F.struct("*")).alias("value"))
@@ -40,10 +81,24 @@ def with_affinity(events: DataFrame, *columns: str, partitions: int | None = Non
     return events.repartition(partitions, *columns) if partitions else events.repartition(*columns)
 
 
-def fan_out(feeds: Mapping[str, DataFrame], write) -> None:
-    """Deliver each feed to its sink; a feed may be named for several."""
-    for sink, feed in feeds.items():
-        write(sink, feed)
+def fan_out(feeds: Mapping[str, DataFrame], sinks: Mapping[str, Callable[[DataFrame], None]], routes: Mapping[str, Sequence[str]] | None = None) -> None:
+    """Write each feed to the sinks it is routed to, by name; without a route, to all of them."""
+    for name, feed in feeds.items():
+        for sink in sinks if routes is None else routes.get(name, ()):
+            sinks[sink](feed)
+
+
+def delivering(feeds: Callable[[DataFrame], Mapping[str, DataFrame]], sinks, routes=None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: a micro-batch is read once and its feeds go to their sinks."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            fan_out(feeds(kept), sinks, routes)
+        finally:
+            kept.unpersist()
+
+    return run
 
 
 def bypass(events: DataFrame, key: str, process) -> DataFrame:
@@ -61,3 +116,28 @@ def due_for_replay(failed: DataFrame, now_millis: Column, delay_millis: int = 60
     first = F.coalesce("first_replay", now_millis)
     due = failed.filter((F.col("produced") + delay_millis <= now_millis) & (first + keep_millis >= now_millis))
     return due.withColumns({"first_replay": first, "last_replay": now_millis, "replayed": F.lit(True)}).drop("transport")
+
+
+def dead_letters(events: DataFrame, problem: Column, topic: Column, produced: Column) -> tuple[DataFrame, DataFrame]:
+    """Events that go on, and those with a problem as messages for their retry topic: topic, value, code, produced."""
+    marked = events.withColumn("_code", problem)
+    failed = marked.filter(F.col("_code").isNotNull())
+    value = F.to_json(F.struct(*events.columns))
+    return marked.filter(F.col("_code").isNull()).drop("_code"), failed.select(retry_topic(topic).alias("topic"), value.alias("value"), F.col("_code").alias("code"), produced.alias("produced"))
+
+
+def due_batches(failed: DataFrame, batch: Sequence[str], order: Sequence[str], now_millis: Column, delay_millis: int = 60_000) -> DataFrame:
+    """Failed events of the batches whose last event's delay has passed; a batch waits as a whole, and one whose last event
+    has no time doesn't wait."""
+    last = failed.groupBy(*batch).agg(F.max_by("produced", F.struct(*order)).alias("_last"))
+    due = last.filter(F.col("_last").isNull() | (F.col("_last") + delay_millis <= now_millis)).drop("_last")
+    return failed.join(due, list(batch), "left_semi")
+
+
+def stop_alerts(advice: DataFrame, apart_millis: int = 300_000) -> DataFrame:
+    """Of the times (``us``) at which a replay was told to stop, those that raise an alert: none less than so long after the
+    one before."""
+    from tidemark.operators.sessions import fold_starts
+
+    rows = advice.withColumns({"_all": F.lit(0), "event_id": F.lit(0).cast("long")})
+    return fold_starts(rows, ["_all"], None, max_active_millis=apart_millis, inclusive=True).select("us")

@@ -6,7 +6,7 @@ by ``event_id``. All forms here run inside the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +27,9 @@ class SubSessionSpec:
 @dataclass(frozen=True)
 class SessionSpec:
     """What makes a session. ``max_active_millis`` of 0 means no limit; otherwise an event that comes more than so long
-    after the session's first begins a new one."""
+    after the session's first begins a new one. ``duration`` is an SQL expression over an event that gives a new time to live
+    in milliseconds, ``counters`` conditions to be counted, ``state`` updates (name, condition, value) of which the last holds
+    and a null one removes the name, ``extensions`` functions from the numbered events to the same with more columns."""
 
     name: str
     key: str = "si"
@@ -36,6 +38,11 @@ class SessionSpec:
     max_active_millis: int = 0
     metadata: tuple[str, ...] = ()
     sub_sessions: tuple[SubSessionSpec, ...] = field(default=())
+    condition: str = "true"
+    duration: str | None = None
+    counters: tuple[tuple[str, str], ...] = ()
+    state: tuple[tuple[str, str, str], ...] = ()
+    extensions: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
     @property
     def effective_ttl_millis(self) -> int:
@@ -89,22 +96,131 @@ def session_table(events: DataFrame, ttl_millis: int, key: str = "si") -> DataFr
     return found.select(key, first.alias("snst_ms"), last.alias("snet_ms"), _duration(first, last, F.col("snec")).alias("sndn_ms"), "snec")
 
 
-def sessions_with_max_active(events: DataFrame, ttl_millis: int, max_active_millis: int, key: str = "si") -> DataFrame:
-    """The same with a longest active time, which only an order can express: a fold over each key's events."""
-    ordered = F.sort_array(F.collect_list(F.struct("us", "event_id")))
-    empty = F.expr("cast(array() as array<struct<st:bigint,en:bigint,n:bigint>>)")
+def fold_starts(events: DataFrame, keys: Sequence[str], ttl_millis: int | None, max_active_millis: int = 0, rule: Column | None = None, max_ttl_millis: int | None = None, inclusive: bool = False) -> DataFrame:
+    """Rows (keys, us, event_id) of the events that begin a session, where that depends on the session before.
+
+    ``rule`` is a time to live that an event sets for the rest of its session; one above ``max_ttl_millis`` is ignored. Gaps
+    that no time to live spans are cut first, with lag; only what lies between them is folded, in order, inside the JVM. The
+    fold keeps where the session began, its last event and its time to live, and copies nothing but at a new session.
+    ``inclusive``: an event exactly the longest active time after the first begins a new session too."""
+    by_key = Window.partitionBy(*keys).orderBy("us", "event_id")
+    longest = max_ttl_millis if rule is not None else ttl_millis
+    rows = events.withColumn("_ttl", (F.when(rule <= max_ttl_millis, rule) if rule is not None else F.lit(None)).cast("long"))
+    if longest is None:
+        rows = rows.withColumn("_piece", F.lit(1).cast("long"))
+    else:
+        before = F.lag("us").over(by_key)
+        cut = (before.isNull() | (F.col("us") >= before + F.lit(longest * 1000).cast("long"))).cast("long")
+        rows = rows.withColumn("_cut", cut).withColumn("_piece", F.sum("_cut").over(by_key)).drop("_cut")
+    ordered = F.sort_array(F.collect_list(F.struct("us", "event_id", "_ttl")))
+    default = F.lit(None if ttl_millis is None else ttl_millis).cast("long")
+    empty = F.struct(F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"), default.alias("ttl"), F.expr("cast(array() as array<struct<us:bigint,event_id:bigint>>)").alias("starts"))
+
+    def step(so_far: Column, e: Column) -> Column:
+        new = so_far["first"].isNull()
+        if ttl_millis is not None:
+            new |= e["us"] >= so_far["last"] + so_far["ttl"] * 1000
+        if max_active_millis:
+            limit = so_far["first"] + F.lit(max_active_millis * 1000).cast("long")
+            new |= (e["us"] >= limit) if inclusive else (e["us"] > limit)
+        begin = F.struct(e["us"].alias("us"), e["event_id"].cast("long").alias("event_id"))
+        return F.struct(
+            F.when(new, e["us"]).otherwise(so_far["first"]).alias("first"),
+            e["us"].alias("last"),
+            F.coalesce(e["_ttl"], F.when(new, default).otherwise(so_far["ttl"])).alias("ttl"),
+            F.when(new, F.concat(so_far["starts"], F.array(begin))).otherwise(so_far["starts"]).alias("starts"),
+        )
+
+    folded = rows.groupBy(*keys, "_piece").agg(F.aggregate(ordered, empty, step, lambda x: x["starts"]).alias("s"))
+    return folded.select(*keys, F.explode("s").alias("s")).select(*keys, "s.us", "s.event_id")
+
+
+def numbered_by_starts(events: DataFrame, starts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each event with its session's number within the key and its own within the session."""
+    marked = events.join(starts.withColumn("_new", F.lit(1)), [*keys, "us", "event_id"], "left")
+    by_key = Window.partitionBy(*keys).orderBy("us", "event_id")
+    numbered = marked.withColumn("session_no", F.count("_new").over(by_key)).drop("_new")
+    return numbered.withColumn("event_no", F.row_number().over(Window.partitionBy(*keys, "session_no").orderBy("us", "event_id")).cast("long"))
 
-    def step(done: Column, event: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        us = event["us"]
-        new = last.isNull() | (us >= last["en"] + F.lit(ttl_millis * 1000).cast("long")) | (us > last["st"] + F.lit(max_active_millis * 1000).cast("long"))
-        begin = F.struct(us.alias("st"), us.alias("en"), F.lit(1).cast("long").alias("n"))
-        longer = F.struct(last["st"].alias("st"), us.alias("en"), (last["n"] + 1).alias("n"))
-        return F.when(new, F.concat(done, F.array(begin))).otherwise(F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer)))
 
-    folded = events.groupBy(key).agg(F.aggregate(ordered, empty, step).alias("s")).select(key, F.explode("s").alias("s"))
-    first, last = (F.expr(f"s.{c} div 1000") for c in ("st", "en"))
-    return folded.select(key, first.alias("snst_ms"), last.alias("snet_ms"), _duration(first, last, F.col("s.n")).alias("sndn_ms"), F.col("s.n").alias("snec"))
+def sessions_with_max_active(events: DataFrame, ttl_millis: int, max_active_millis: int, key: str = "si") -> DataFrame:
+    """The same with a longest active time: strict, and checked when an event arrives."""
+    found = numbered_by_starts(events, fold_starts(events, [key], ttl_millis, max_active_millis), [key])
+    table = found.groupBy(key, "session_no").agg(F.min("us").alias("lo"), F.max("us").alias("hi"), F.count("*").alias("snec"))
+    first, last = (F.expr(f"{c} div 1000") for c in ("lo", "hi"))
+    return table.select(key, first.alias("snst_ms"), last.alias("snet_ms"), _duration(first, last, F.col("snec")).alias("sndn_ms"), "snec")
+
+
+def numbered_by_spec(events: DataFrame, spec: SessionSpec) -> DataFrame:
+    """The events that a specification selects (its condition, and a key), numbered by its times."""
+    problems = spec.validate()
+    if problems:
+        raise ValueError("; ".join(problems))
+    rows = events.filter(F.expr(spec.condition) & F.col(spec.key).isNotNull())
+    if spec.duration is None and not spec.max_active_millis:
+        found = sessionized(rows, [spec.key], spec.effective_ttl_millis)
+    else:
+        rule = F.expr(spec.duration).cast("long") if spec.duration else None
+        longest = max(spec.max_idle_millis, spec.effective_ttl_millis)
+        found = numbered_by_starts(rows, fold_starts(rows, [spec.key], spec.effective_ttl_millis, spec.max_active_millis, rule, longest), [spec.key])
+    for extend in spec.extensions:
+        found = extend(found)
+    return found
+
+
+def feed_by_spec(events: DataFrame, spec: SessionSpec) -> DataFrame:
+    """All that a profile puts out, one row each: profile, key, session_no, kind, identifier, _snid, at, _snst, _snet, _sndn,
+    _snec, metadata, counters, state; ``emitted`` orders a session's rows as they are emitted.
+
+    A begin marker comes before the first event, an event after the begin and end of what it begins or ends, the ends of
+    sub-sessions before that of the session. ``metadata`` (of the first event), ``counters`` and ``state`` (at the end) are
+    maps; null values aren't in them."""
+    rows = numbered_by_spec(events, spec)
+    key = spec.key
+    by_session = [key, "session_no"]
+    text = lambda c: F.expr(c).cast("string")
+    entries = lambda pairs: F.map_filter(F.map_from_arrays(F.array(*(F.lit(n) for n, _ in pairs)), F.array(*(c for _, c in pairs))), lambda _, v: v.isNotNull()) if pairs else F.expr("cast(map() as map<string,string>)")
+    first = F.struct("us", "event_id")
+    held = rows.groupBy(*by_session).agg(
+        F.min("us").alias("lo"),
+        F.max("us").alias("hi"),
+        F.count("*").alias("_snec"),
+        entries([(m, F.min_by(text(m), first)) for m in spec.metadata]).alias("metadata"),
+        entries([(n, F.count_if(F.expr(c)).cast("string")) for n, c in spec.counters]).alias("counters"),
+        # the last update of each name holds, whether it is null or not
+        entries([(n, F.max_by(text(v), F.when(F.expr(c), first))) for n, c, v in spec.state]).alias("state"),
+    )
+    none = F.expr("cast(null as map<string,string>)")
+    start, end = F.expr("lo div 1000"), F.expr("hi div 1000")
+    identity = session_id(F.col(key), start)
+    null = F.lit(None).cast("long")
+    columns = lambda kind, place, at, ident, snid, *rest: [F.lit(spec.name).alias("profile"), F.col(key), F.col("session_no"), F.lit(kind).alias("kind"), F.struct(at.alias("at"), F.lit(place).alias("place")).alias("emitted"), ident.alias("identifier"), snid.alias("_snid"), *(c.alias(n) for c, n in zip(rest, ("_snst", "_snet", "_sndn", "_snec", "metadata", "counters", "state"), strict=True))]
+    begins = held.select(*columns("begin", 0, F.col("lo"), F.lit(None).cast("string"), identity, start, null, null, null, F.col("metadata"), none, none))
+    ends = held.select(*columns("end", 4, F.col("hi"), F.lit(None).cast("string"), identity, start, end, _duration(start, end, F.col("_snec")), F.col("_snec"), F.col("metadata"), F.col("counters"), F.col("state")))
+    plain = rows.join(held.select(*by_session, "lo"), by_session)
+    events_out = plain.select(*columns("event", 2, F.col("us"), F.col("event_id").cast("string"), identity, start, null, null, F.col("event_no"), none, none, none))
+    out = begins.unionByName(events_out).unionByName(ends)
+    for sub in spec.sub_sessions:
+        found = sub_sessions(rows, sub, key)
+        begin, finish = (F.expr(f"{c} * 1000") for c in ("_snst", "_snet"))
+        ident = F.concat_ws(":", F.lit(sub.name), F.col("identifier").cast("string"))
+        out = out.unionByName(found.select(*columns("sub_begin", 1, begin, ident, F.col("_snid"), F.col("_snst"), null, null, null, none, none, none)))
+        out = out.unionByName(found.select(*columns("sub_end", 3, finish, ident, F.col("_snid"), F.col("_snst"), F.col("_snet"), F.col("_sndn"), F.col("_snec"), none, none, none)))
+    return out
+
+
+def contains(variables: Column, name: str) -> Column:
+    """Whether a session's variables have a name."""
+    return F.map_contains_key(variables, name)
+
+
+def with_prefix(variables: Column, prefix: str) -> Column:
+    """The variables whose names begin so."""
+    return F.map_filter(variables, lambda k, _: k.startswith(prefix))
+
+
+def as_long(variables: Column, name: str) -> Column:
+    return F.try_element_at(variables, F.lit(name)).try_cast("long")
 
 
 def begin_events(numbered: DataFrame, metadata: Sequence[str], key: str = "si") -> DataFrame:
@@ -134,16 +250,19 @@ def last_state(numbered: DataFrame, attributes: Sequence[str], key: str = "si")
 
 def appended_state(numbered: DataFrame, value: Column, unique: bool = True, max_length: int = 0, key: str = "si") -> DataFrame:
     """For each session the list of a value in order; nulls are ignored; unique keeps first occurrences; beyond the
-    longest length the oldest go."""
-    entry = F.when(value.isNotNull(), F.struct("us", "event_id", value.alias("v")))
-    listed = numbered.groupBy(key, "session_no").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["v"]).alias("values"))
-
-    def step(done: Column, v: Column) -> Column:
-        grown = F.concat(done, F.array(v))
-        cut = F.when(F.size(grown) > max_length, F.slice(grown, 2, max_length)).otherwise(grown) if max_length else grown
-        return F.when(F.array_contains(done, v), done).otherwise(cut) if unique else cut
+    longest length the oldest go.
 
-    return listed.withColumn("values", F.aggregate("values", F.expr("cast(array() as array<string>)"), lambda a, v: step(a, v.cast("string"))))
+    Only what stays is gathered: a value's first occurrence, and of these the last ``max_length``."""
+    order = F.struct("us", "event_id")
+    rows = numbered.select(key, "session_no", order.alias("o"), value.cast("string").alias("v"))
+    some = rows.filter(F.col("v").isNotNull())
+    if unique:
+        some = some.groupBy(key, "session_no", "v").agg(F.min("o").alias("o"))
+    if max_length:
+        newest = Window.partitionBy(key, "session_no").orderBy(F.desc("o"))
+        some = some.withColumn("_i", F.row_number().over(newest)).filter(F.col("_i") <= max_length).drop("_i")
+    lists = some.groupBy(key, "session_no").agg(F.transform(F.sort_array(F.collect_list(F.struct("o", "v"))), lambda x: x["v"]).alias("values"))
+    return rows.select(key, "session_no").distinct().join(lists, [key, "session_no"], "left").withColumn("values", F.coalesce("values", F.expr("cast(array() as array<string>)")))
 
 
 def sub_sessions(numbered: DataFrame, spec: SubSessionSpec, key: str = "si") -> DataFrame:
@@ -169,6 +288,19 @@ def statistics(sessions: DataFrame, long_millis: int = 1_800_000) -> DataFrame:
     ).select("created", "single_click", "short_sessions", "long_sessions", F.expr("CASE WHEN _many = 0 THEN 0 ELSE _sum div _many END").alias("avg_duration_ms"))
 
 
+def sub_statistics(subs: DataFrame) -> DataFrame:
+    """How many sub-sessions of each name there are, how many of one event, and the mean duration of the others."""
+    many = F.count_if(F.col("_snec") > 1)
+    found = subs.groupBy("name").agg(F.count("*").alias("created"), F.count_if(F.col("_snec") == 1).alias("single_click"), F.coalesce(F.sum(F.when(F.col("_snec") > 1, F.col("_sndn"))), F.lit(0)).alias("_sum"), many.alias("_many"))
+    return found.select("name", "created", "single_click", F.expr("CASE WHEN _many = 0 THEN 0 ELSE _sum div _many END").alias("avg_duration_ms"))
+
+
+def lag_statistics(events: DataFrame, produced_millis: Column, received_millis: Column) -> DataFrame:
+    """One row: the mean and the longest time between an event's making and its arrival."""
+    lag = received_millis - produced_millis
+    return events.agg(F.count(lag).alias("n"), F.coalesce(F.sum(lag), F.lit(0)).alias("_sum"), F.max(lag).alias("max_lag_ms")).select("n", F.expr("CASE WHEN n = 0 THEN 0 ELSE _sum div n END").alias("avg_lag_ms"), "max_lag_ms")
+
+
 def decorated(numbered: DataFrame, key: str = "si") -> DataFrame:
     """Each event with its session's id and, so far, its number of events and the kinds of events met, joined by commas."""
     so_far = Window.partitionBy(key, "session_no").orderBy("us", "event_id").rowsBetween(Window.unboundedPreceding, 0)

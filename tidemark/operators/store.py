@@ -28,31 +28,71 @@ def kept(table: DataFrame, now_millis: Column, keep_millis: int = DAY_MILLIS, ti
 
 
 class MetricStore:
-    """Parquet tables under a folder, a version for each micro-batch. A batch that was merged before is not merged again."""
+    """Parquet tables under a folder, a directory for each day, in it a version for each micro-batch that touched the day.
 
-    def __init__(self, spark, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    A batch is merged at most once: its name among the committed ones is written last, and versions of batches that aren't
+    committed are never read. Only the days that a batch touches are written anew; of each, the last two versions stay."""
 
-    def _versions(self, name: str) -> list[int]:
+    def __init__(self, spark, folder: str, time: str = "metrictime"):
+        self.spark, self.folder, self.time = spark, folder.rstrip("/"), time
+
+    def _at(self, *parts: str):
         jvm = self.spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(at):
-            return []
-        found = [s.getPath() for s in fs.listStatus(at)]
-        return sorted(int(p.getName()[1:]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-    def read(self, name: str) -> DataFrame | None:
-        versions = self._versions(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}/v{versions[-1]}") if versions else None
-
-    def merge(self, name: str, batch: DataFrame, batch_id: int, keys: Sequence[str], additive: bool = False, order: str = "value") -> bool:
-        """Merge a micro-batch; False if it was merged already. For foreachBatch."""
-        versions = self._versions(name)
-        if versions and versions[-1] >= batch_id:
+        path = jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _names(self, *parts: str) -> list[str]:
+        fs, path = self._at(*parts)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _committed(self, name: str) -> set[int]:
+        return {int(x) for x in self._names(name, "batches")}
+
+    def _versions(self, name: str, day: str, committed: set[int]) -> list[int]:
+        return sorted(v for v in (int(x[1:]) for x in self._names(name, "days", day)) if v in committed)
+
+    def read(self, name: str, days: Sequence[str] | None = None) -> DataFrame | None:
+        """The table, or only some of its days."""
+        committed = self._committed(name)
+        found = [(d, self._versions(name, d, committed)) for d in (self._names(name, "days") if days is None else days)]
+        paths = [f"{self.folder}/{name}/days/{d}/v{v[-1]}" for d, v in found if v]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def merge(self, name: str, batch: DataFrame, batch_id: int, keys: Sequence[str], additive: bool = False, order: str | None = None) -> bool:
+        """Merge a micro-batch; False if it was merged already. For foreachBatch. What a batch writes replaces what was there,
+        and within a batch the last by ``order``."""
+        if batch_id in self._committed(name):
             return False
-        table = self.read(name)
-        table = batch.limit(0) if table is None else table
-        merged = counted(table, batch, keys) if additive else upserted(table, batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{self.folder}/{name}/v{batch_id}")
+        day = F.floor(F.col(self.time) / DAY_MILLIS).cast("long")
+        batch = batch.persist()
+        try:
+            for (d,) in batch.select(day).distinct().collect():  # as many as the batch has days, not rows
+                part, old = batch.filter(day == d), self.read(name, [str(d)])
+                old = part.limit(0) if old is None else old
+                merged = counted(old, part, keys) if additive else self._replaced(old, part, keys, order)
+                merged.write.mode("overwrite").parquet(f"{self.folder}/{name}/days/{d}/v{batch_id}")
+        finally:
+            batch.unpersist()
+        fs, path = self._at(name, "batches", str(batch_id))
+        fs.create(path, True).close()
+        self._clean(name)
         return True
+
+    def _replaced(self, old: DataFrame, part: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
+        stamp = F.struct(F.lit(1).alias("late"), F.col(order or self.time).alias("at"))
+        rows = upserted(old.withColumn("_at", F.struct(F.lit(0).alias("late"), F.col(order or self.time).alias("at"))), part.withColumn("_at", stamp), keys, "_at")
+        return rows.drop("_at").select(part.columns)
+
+    def _clean(self, name: str) -> None:
+        committed = self._committed(name)
+        for d in self._names(name, "days"):
+            for v in self._versions(name, d, committed)[:-2]:
+                fs, path = self._at(name, "days", d, f"v{v}")
+                fs.delete(path, True)
+
+    def expire(self, name: str, before_millis: int) -> None:
+        """Delete the days that end before a time."""
+        for d in self._names(name, "days"):
+            if (int(d) + 1) * DAY_MILLIS <= before_millis:
+                fs, path = self._at(name, "days", d)
+                fs.delete(path, True)

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import device, geo, scalars
-from tidemark.operators import ingest, routing
-from tidemark.plans.base import events, query, raw
+from tidemark.functions.sql import register
+from tidemark.operators import ingest, routing, sessions
+from tidemark.plans.base import events, numbered, query, raw
+from tidemark.sources.shared import shared_folder
 
 _EVENT = T.StructType([T.StructField("si", T.StringType()), T.StructField("ct", T.LongType()), T.StructField("et", T.StringType()), T.StructField("k", T.LongType())])
 
@@ -39,6 +41,46 @@ def ingest_batch(spark, d):
     return ingest.parse_events(batches, _EVENT).select("event.si", "event.ct", "event.et")
 
 
+def _batch_bodies(spark, d):
+    """A JSON array for each hundred events, whose items lack si, have a null one, or aren't objects, as in ``_bodies``; every
+    fourth batch is no array."""
+    items = _bodies(spark, d).withColumn("body", F.when(F.col("event_id") % 13 == 0, F.lit("17")).otherwise(F.col("body")))
+    listed = items.groupBy((F.col("event_id") / 100).cast("long").alias("batch")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "body"))), lambda x: x["body"]), ",").alias("all"))
+    return listed.select("batch", F.when(F.col("batch") % 4 == 3, F.lit("{broken")).otherwise(F.concat(F.lit("["), "all", F.lit("]"))).alias("body"))
+
+
+_ITEMS = """, i AS (SELECT event_id // 100 AS batch, event_id, row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS item,
+                         CASE WHEN event_id % 13 = 0 THEN 'not a JSON object' WHEN event_id % 11 <> 0 AND event_id % 7 = 0 THEN 'si is mandatory' END AS detail FROM raw),
+     b AS (SELECT batch, item, detail, event_id FROM i WHERE batch % 4 <> 3 UNION ALL SELECT DISTINCT batch, 0, 'not a JSON object', NULL FROM i WHERE batch % 4 = 3) """
+
+
+@query("ingest_batch_items", _ITEMS + "SELECT batch, CAST(item AS INTEGER) AS item, CASE WHEN event_id % 11 = 0 THEN NULL ELSE si END AS si FROM b JOIN raw USING (event_id) WHERE detail IS NULL")
+def ingest_batch_items(spark, d):
+    """Batch ingest: the items that pass, one by one."""
+    good = ingest.accepted(ingest.batch_items(_batch_bodies(spark, d)), ["si"])
+    return ingest.parse_events(good, _EVENT).select("batch", "item", "event.si")
+
+
+@query("ingest_batch_answers", _ITEMS + """SELECT batch, count(*) AS n_items, CASE WHEN count(detail) = 0 THEN 200 ELSE 400 END AS status,
+    '[' || coalesce(string_agg('{"item":' || item || ',"success":false,"detail":"' || detail || '"}', ',' ORDER BY item) FILTER (WHERE detail IS NOT NULL), '') || ']' AS failures FROM b GROUP BY batch""")
+def ingest_batch_answers(spark, d):
+    return ingest.batch_answers(_batch_bodies(spark, d), "batch", ["si"])
+
+
+@query("ingest_validators", "SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 'not a JSON object' WHEN event_id % 7 = 0 AND event_id % 11 <> 0 THEN 'si is mandatory' ELSE 'not a view' END AS detail FROM raw WHERE event_id % 13 = 0 OR event_id % 11 = 0 OR event_id % 7 = 0 OR et <> 'view'")
+def ingest_validators(spark, d):
+    """A check besides the mandatory keys."""
+    view = lambda body: F.when(~F.get_json_object(body, "$.et").eqNullSafe(F.lit("view")), F.lit("not a view"))
+    return ingest.rejected(_bodies(spark, d), ["si"], validators=[view]).select("event_id", "detail")
+
+
+@query("origin_event", "SELECT event_id, browser AS b, si AS origin_si, ct AS origin_ct FROM ex")
+def origin_event(spark, d):
+    """The original event as one column beside what is derived from it."""
+    out = ingest.with_origin(events(spark, d), b=F.col("browser"))
+    return out.select("originEvent.event_id", "b", F.col("originEvent.si").alias("origin_si"), F.col("originEvent.ct").alias("origin_ct"))
+
+
 @query("ct_default", "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 1700000000000 ELSE ct END AS ct FROM raw")
 def ct_default(spark, d):
     e = raw(spark, d).withColumn("ct", F.when(F.col("event_id") % 5 != 0, F.col("ct")))
@@ -113,15 +155,53 @@ def route_null_split(spark, d):
     return have.select("event_id", F.lit("summing").alias("route")).unionByName(lack.select("event_id", F.lit("store").alias("route")))
 
 
-@query("feed_session_rename", "SELECT si, et AS trafficsource, country AS site, os FROM ex")
-def feed_session_rename(spark, d):
-    e = events(spark, d).withColumns({"ts": F.col("et"), "t": F.col("country")})
-    return routing.renamed(e, {"si": "si", **routing.SESSION_FEED, "os": "os"})
+def _wired(e):
+    """Enriched events under the names that feeds read, with made-up values for what the sample events lack."""
+    known = {"_cty": "city", "_cn": "country", "_con": "continent", "_dd_bf": "browser", "_dd_os": "os", "_dd_dc": "device", "itmT": "item"}
+    made = {"ts": "et", "t": "si", "_rgn": "city", "_dd_bv": "item", "dd_df": "device", "_dd_osv": "os", "_lon": "k", "_lat": "k", "_tlcn": "country", "tn": "si", "ipv4": "si", "itmP": "k", "cap": "et", "rf": "item", "js_ev_mak": "et", "capG": "et", "url": "item", "capQ": "et", "ac": "si", "ua": "browser", "_dwell": "dwell"}
+    return e.select("event_id", "si", "et", "ct", *(F.col(c).alias(n) for n, c in {**known, **made}.items()))
+
+
+@query("feed_session", ", e AS (SELECT si, session_no, min(us) // 1000 AS a, max(us) // 1000 AS b, count(*) AS n, " + ", ".join(f"arg_min_null({c}, event_no) AS {c}" for c in ("et", "city", "country", "continent", "browser", "item", "device", "os")) + """ FROM se GROUP BY si, session_no)
+SELECT et AS trafficsource, si AS site, city, city AS region, country, continent, browser AS browserfamily, item AS browserversion, device AS devicefamily, device AS deviceclass, os AS osfamily, os AS osversion,
+       n AS _snec, CASE WHEN n > 1 THEN b - a ELSE 0 END AS _sndn, b AS _snet FROM e""", "se")
+def feed_session(spark, d):
+    """The session feed with all its fifteen columns."""
+    rows = numbered(spark, d)
+    ends = sessions.end_events(rows, ["et", "city", "country", "continent", "browser", "item", "device", "os"])
+    wired = {"ts": "et", "t": "si", "_cty": "city", "_rgn": "city", "_cn": "country", "_con": "continent", "_dd_bf": "browser", "_dd_bv": "item", "dd_df": "device", "_dd_dc": "device", "_dd_os": "os", "_dd_osv": "os"}
+    return routing.session_feed(ends.select("_snec", "_sndn", "_snet", *(F.col(c).alias(n) for n, c in wired.items())))
+
+
+@query("feed_event", """SELECT 'MP' AS tenant, si AS guid, city, city AS region, country, continent, browser AS browserfamily, item AS browserversion, device AS devicefamily, device AS deviceclass, os AS osfamily, os AS osversion,
+       dwell, et AS trafficsource, si AS site, si AS tn, si AS ipv4, k AS itmP, et AS cap, item AS rf, et AS js_ev_mak, item AS itmT, et AS capG, k AS _lon, k AS _lat, country AS _tlcn, item AS url, et AS capQ, si AS ac, browser AS ua, et, ct FROM ex""")
+def feed_event(spark, d):
+    """The event feed with all its thirty-two columns."""
+    return routing.event_feed(_wired(events(spark, d)))
 
 
-@query("feed_event_rename", "SELECT 'MP' AS tenant, event_id AS id, si AS guid, ct AS eventtime, et AS eventtype, item AS itemtitle FROM ex")
-def feed_event_rename(spark, d):
-    return routing.renamed(events(spark, d), {"event_id": "id", "si": "guid", "ct": "eventtime", "et": "eventtype", "item": "itemtitle"}, {"tenant": routing.EVENT_FEED_TENANT})
+@query("sink_fan_out", """SELECT 'kafka' AS sink, 'mobile' AS feed, count(*) AS n FROM raw WHERE et = 'purchase' UNION ALL SELECT 'kafka', 'event', count(*) FROM raw
+UNION ALL SELECT 'metrics', 'event', count(*) FROM raw""")
+def sink_fan_out(spark, d):
+    """Two feeds delivered to the sinks they are routed to, dealt by key, and read back."""
+    folder = shared_folder(spark, "sinks")
+    e = routing.with_affinity(raw(spark, d).select("event_id", "si", "et"), "si")
+    feeds = {"mobile": routing.where_equal(e, "et", "purchase").withColumn("feed", F.lit("mobile")), "event": e.withColumn("feed", F.lit("event"))}
+    sinks = {s: (lambda df, s=s: df.write.mode("append").parquet(f"{folder}/{s}")) for s in ("kafka", "metrics")}
+    routing.fan_out(feeds, sinks, {"mobile": ["kafka"], "event": ["kafka", "metrics"]})
+    out = [spark.read.parquet(f"{folder}/{s}").groupBy(F.lit(s).alias("sink"), "feed").agg(F.count("*").alias("n")) for s in sinks]
+    return out[0].unionByName(out[1])
+
+
+@query("affinity_partitions", "SELECT 'column' AS kind, true AS whole UNION ALL SELECT 'dimension', true")
+def affinity_partitions(spark, d):
+    """Events of a key, simple or composed, are all in one partition."""
+    e = events(spark, d).filter("country IS NOT NULL")
+    out = []
+    for kind, keys in (("column", ["si"]), ("dimension", ["country", "browser"])):
+        dealt = routing.with_affinity(e, *keys, partitions=4).withColumn("p", F.spark_partition_id())
+        out.append(dealt.groupBy(*keys).agg(F.count_distinct("p").alias("n")).agg((F.max("n") == 1).alias("whole")).select(F.lit(kind).alias("kind"), "whole"))
+    return out[0].unionByName(out[1])
 
 
 @query("messages", "SELECT 'sess/event' AS topic, si AS key, '{\"event_id\":' || event_id || ',\"si\":\"' || si || '\"}' AS value FROM raw")
@@ -159,3 +239,45 @@ def replay_delay_filter(spark, d):
 @query("replay_topic_name", "SELECT event_id, 'Replay-Trk-' || et || '-Event' AS topic FROM raw")
 def replay_topic_name(spark, d):
     return raw(spark, d).select("event_id", routing.retry_topic(F.concat(F.lit("Trk/"), "et", F.lit("/Event"))).alias("topic"))
+
+
+@query("dead_letters", "SELECT 'Replay-Trk-' || et AS topic, 'queue full' AS code, ct AS produced, '{\"event_id\":' || event_id || ',\"si\":\"' || si || '\"}' AS value FROM raw WHERE event_id % 5 = 0")
+def dead_letters(spark, d):
+    """Failed events as messages for their retry topics."""
+    e = raw(spark, d)
+    problem = F.when(F.col("event_id") % 5 == 0, F.lit("queue full"))
+    _, failed = routing.dead_letters(e.select("event_id", "si", "et", "ct"), problem, F.concat(F.lit("Trk/"), "et"), F.col("ct"))
+    return failed.select("topic", "code", "produced", F.to_json(F.from_json("value", "event_id BIGINT, si STRING")).alias("value"))
+
+
+@query("replay_due_batches", f", l AS (SELECT event_id // 50 AS batch, max(event_id) AS last FROM raw GROUP BY 1) SELECT event_id FROM raw JOIN l ON event_id // 50 = batch WHERE batch IN (SELECT batch FROM l JOIN raw ON event_id = last WHERE event_id % 3 = 0 OR ct + 60000 <= {_NOW})")
+def replay_due_batches(spark, d):
+    """Batches are held until their last event is due; one whose last event has no time doesn't wait."""
+    failed = raw(spark, d).select("event_id", F.expr("event_id div 50").alias("batch"), F.when(F.col("event_id") % 3 != 0, F.col("ct")).alias("produced"))
+    return routing.due_batches(failed, ["batch"], ["event_id"], F.lit(_NOW)).select("event_id")
+
+
+@query(
+    "replay_stop_alerts",
+    """, o AS (SELECT us, row_number() OVER (ORDER BY us) AS i FROM (SELECT DISTINCT us FROM raw WHERE event_id % 10 = 0)),
+walk AS (SELECT i, us, us AS last FROM o WHERE i = 1 UNION ALL SELECT o.i, o.us, CASE WHEN o.us >= w.last + 86400000000 THEN o.us ELSE w.last END FROM walk w JOIN o ON o.i = w.i + 1)
+SELECT DISTINCT last AS us FROM walk""",
+)
+def replay_stop_alerts(spark, d):
+    """Alerts at least a day apart (with five minutes, sparse sample events would all raise one)."""
+    return routing.stop_alerts(raw(spark, d).filter("event_id % 10 = 0").select("us").distinct(), 86_400_000)
+
+
+@query("sql_functions", f"SELECT event_id, 'Replay-Trk-' || et AS topic, ct - ct % 60000 AS minute, si || lpad(lower(hex(ct)), 16, '0') AS sid FROM raw")
+def sql_functions(spark, d):
+    """Functions that SQL statements can name."""
+    register(spark)
+    raw(spark, d).createOrReplaceTempView("tidemark_raw_events")
+    return spark.sql("SELECT event_id, retry_topic('Trk/' || et) AS topic, floor_millis(ct, 60000) AS minute, session_id(si, ct) AS sid FROM tidemark_raw_events")
+
+
+@query("date_at_zone", "SELECT event_id, strftime(make_timestamp(us - 25200000000), '%Y-%m-%d %H:%M:%S') AS wall, ct // 1000 * 1000 AS again FROM raw")
+def date_at_zone(spark, d):
+    """A time as text seven hours behind UTC, and read back."""
+    e = raw(spark, d).withColumn("wall", scalars.formatted_at_zone(F.col("ct"), "-07:00"))
+    return e.select("event_id", "wall", scalars.parsed_at_zone(F.col("wall"), "-07:00").alias("again"))

@@ -83,7 +83,7 @@ def top10_lang(spark, d):
 
 
 def _hashtags(spark, d):
-    return raw(spark, d).select("event_id", F.concat_ws(",", "et", F.concat(F.lit("t"), (F.col("k") % 20).cast("string")), F.when(F.col("k") % 4 == 0, F.lit(""))).alias("hashtag"))
+    return raw(spark, d).select("event_id", "ts", F.concat_ws(",", "et", F.concat(F.lit("t"), (F.col("k") % 20).cast("string")), F.when(F.col("k") % 4 == 0, F.lit(""))).alias("hashtag"))
 
 
 _TOKENS = "tokens AS (SELECT unnest(string_split(et || ',t' || CAST(k % 20 AS VARCHAR) || CASE WHEN k % 4 = 0 THEN ',' ELSE '' END, ',')) AS item, us FROM raw)"
@@ -94,19 +94,108 @@ def topk_hashtag_exact(spark, d):
     return metrics.top_tokens(_hashtags(spark, d), "hashtag", ",", 20)
 
 
-@query("topk_hashtag_approx")
+@query("topk_hashtag_approx", f", {_TOKENS} SELECT item, count(*) AS count FROM tokens GROUP BY item ORDER BY count DESC, item LIMIT 20")
 def topk_hashtag_approx(spark, d):
-    """By sketch; the order of ties isn't fixed, so there is no SQL to compare with."""
-    return metrics.approximate_top_tokens(_hashtags(spark, d), "hashtag", ",", 20, 1000)
+    """By sketch; its capacity is above the number of different tokens, so it is exact here, and ties are ordered after it."""
+    return metrics.approximate_top_tokens(_hashtags(spark, d), "hashtag", ",", 1000, 1000).orderBy(F.desc("count"), "item").limit(20)
 
 
-@query("topk_merge", f", {_TOKENS} SELECT item, count(*) AS count FROM tokens GROUP BY item ORDER BY count DESC, item LIMIT 10")
+@query("topk_merge", f", {_TOKENS}, day AS (SELECT us // 86400000000 AS day, item, count(*) AS n FROM tokens GROUP BY ALL), cut AS (SELECT * FROM day QUALIFY row_number() OVER (PARTITION BY day ORDER BY n DESC, item) <= 15) SELECT item, CAST(sum(n) AS BIGINT) AS count FROM cut GROUP BY item ORDER BY count DESC, item LIMIT 10")
 def topk_merge(spark, d):
-    """Top lists of each day, merged with their counts as weights."""
-    tokens = raw(spark, d).select("us", F.explode(F.split(F.concat_ws(",", "et", F.concat(F.lit("t"), (F.col("k") % 20).cast("string")), F.when(F.col("k") % 4 == 0, F.lit(""))), ",", -1)).alias("item"))
-    daily = tokens.groupBy(F.expr("us div 86400000000").alias("day"), "item").agg(F.count("*").alias("count"))
-    tops = daily.groupBy("day").agg(F.collect_list(F.struct("item", "count")).alias("top"))
-    return metrics.merge_top(tops, 10)
+    """Top lists of fifteen for each day, merged with their counts as weights; what a list cuts off is lost."""
+    daily = metrics.windowed_tokens(_hashtags(spark, d), "hashtag", ",", "1 day", 15)
+    return metrics.merge_top(daily.groupBy("start").agg(F.collect_list(F.struct("item", "count")).alias("top")), 10)
+
+
+def _tweets(spark, d):
+    """Tweets made from the sample events: country, language by k, hashtags."""
+    e = events(spark, d)
+    tag = F.concat_ws(",", "et", F.concat(F.lit("t"), (F.col("k") % 20).cast("string")), F.when(F.col("k") % 4 == 0, F.lit("")))
+    return e.select("ts", "us", "ct", "country", F.concat(F.lit("l"), (F.col("k") % 30).cast("string")).alias("lang"), F.col("si").alias("user"), tag.alias("hashtag"))
+
+
+_TEN = _start(10_000_000)
+
+
+@query("tweet_top_country_10s", _TOP.format(start=_TEN, key="country", source="ex"))
+def tweet_top_country_10s(spark, d):
+    return metrics.top_n(metrics.live_counts(_tweets(spark, d), ["country"]), ["start"], F.col("count"), ["country"], 10).select("start", "country", "count")
+
+
+@query("tweet_top_lang_10s", _TOP.format(start=_TEN, key="lang", source="(SELECT *, 'l' || CAST(k % 30 AS VARCHAR) AS lang FROM raw)"))
+def tweet_top_lang_10s(spark, d):
+    return metrics.top_n(metrics.live_counts(_tweets(spark, d), ["lang"]), ["start"], F.col("count"), ["lang"], 10).select("start", "lang", "count")
+
+
+@query("tweet_top_hashtag_10s", f", {_TOKENS} SELECT * FROM (SELECT {_TEN} AS start, item, count(*) AS count FROM tokens GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY start ORDER BY count DESC, item) <= 20")
+def tweet_top_hashtag_10s(spark, d):
+    return metrics.windowed_tokens(_tweets(spark, d), "hashtag", ",", "10 seconds", 20)
+
+
+@query("tweet_count_10s", f"SELECT {_TEN} AS start, count(*) AS count FROM ex GROUP BY ALL")
+def tweet_count_10s(spark, d):
+    return metrics.live_counts(_tweets(spark, d)).select("start", "count")
+
+
+# The statements of the second level: ten-second counts, summed once more in windows of their own, a day long here so that
+# there is something to sum and to cut.
+_DAY = 86_400_000
+_SECOND = f"SELECT us // {_DAY}000 * {_DAY} AS context_id, {{key}}, count(*) AS value FROM {{source}} WHERE {{key}} IS NOT NULL GROUP BY ALL"
+_LANG = "(SELECT *, 'l' || CAST(k % 30 AS VARCHAR) AS lang FROM raw)"
+
+
+def _second(name: str, key: str, rows, source: str, top: int | None = None) -> None:
+    sql = _SECOND.format(key=key, source=source)
+    sql = f"SELECT * FROM ({sql}) QUALIFY row_number() OVER (PARTITION BY context_id ORDER BY value DESC, {key}) <= {top}" if top else sql
+    query(name, sql)(lambda spark, d: metrics.second_level(metrics.live_counts(rows(spark, d), [key]), [key], _DAY, top))
+
+
+_second("ui_metric", "et", raw, "raw")
+_second("ui_device", "device", events, "ex")
+_second("ui_os", "os", events, "ex")
+_second("ui_browser", "browser", events, "ex")
+_second("ui_top_country", "country", events, "ex", 10)
+_second("ui_tweet_top_country", "country", _tweets, "ex", 10)
+_second("ui_tweet_top_lang", "lang", _tweets, _LANG, 10)
+
+
+@query("ui_tweet_count", f"SELECT us // {_DAY}000 * {_DAY} AS context_id, count(*) AS value FROM raw GROUP BY 1")
+def ui_tweet_count(spark, d):
+    return metrics.second_level(metrics.live_counts(_tweets(spark, d)), [], _DAY)
+
+
+@query("ui_tweet_hashtags", f", {_TOKENS} SELECT * FROM (SELECT us // {_DAY}000 * {_DAY} AS context_id, item, count(*) AS value FROM tokens GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY context_id ORDER BY value DESC, item) <= 10")
+def ui_tweet_hashtags(spark, d):
+    """Lists of a thousand in ten seconds, merged into the ten largest."""
+    tops = metrics.windowed_tokens(_tweets(spark, d), "hashtag", ",", "10 seconds", 1000)
+    return metrics.second_level(tops, ["item"], _DAY, 10)
+
+
+@query("pageviews_30min", f"SELECT 'pageviews' AS metricname, 'pageviews' AS groupid, {_END.format(1_800_000_000)} AS metrictime, count(*) AS value FROM ex GROUP BY ALL")
+def pageviews_30min(spark, d):
+    return metrics.metric(events(spark, d), metrics.MetricSpec("pageviews", minutes=30))
+
+
+@query("blank_group_left_out", f"SELECT 'pgspercn' AS metricname, country AS groupid, {_END.format(300_000_000)} AS metrictime, count(*) AS value FROM ex WHERE country IS NOT NULL AND k % 3 <> 0 GROUP BY ALL")
+def blank_group_left_out(spark, d):
+    """Events whose group is blank aren't counted."""
+    e = events(spark, d).withColumn("country", F.when(F.col("k") % 3 == 0, F.lit("  ")).otherwise(F.col("country")))
+    return metrics.metric(e, metrics.BY_NAME["pgspercn"])
+
+
+@query("named_counters", "SELECT 'click_count' AS metricname, CAST(sum(k) AS BIGINT) AS value FROM raw UNION ALL SELECT 'counted', CAST(sum(event_id) AS BIGINT) FROM raw")
+def named_counters(spark, d):
+    """Every column whose name contains "count" is a counter."""
+    rows = raw(spark, d).select("si", F.col("k").alias("click_count"), F.col("event_id").alias("counted"))
+    return metrics.multi_counters(rows, metrics.counter_names(rows.columns))
+
+
+_LATEST = 1_704_067_200_000 + 20 * 86_400_000
+
+
+@query("pipeline_audit_deltas", f"SELECT 'events' AS metricname, strftime(make_timestamp(us // 3600000000 * 3600000000 - 25200000000), '%Y-%m-%d') AS groupid, us // 3600000000 * 3600000 AS metrictime, us // 60000000 * 60000 AS flushed, count(*) AS delta FROM raw WHERE us // 3600000000 * 3600000 >= {_LATEST} - 86400000 GROUP BY ALL")
+def pipeline_audit_deltas(spark, d):
+    return metrics.audit_deltas(raw(spark, d), "events", F.lit(_LATEST))
 
 
 @query("ui_sum_by_metric", "SELECT et AS metricname, count(*) AS count FROM raw GROUP BY et")
@@ -131,13 +220,13 @@ def multi_counters(spark, d):
     return metrics.multi_counters(rows, ["clicks", "views"])
 
 
-@query("delta_counter", ", day AS (SELECT et, us // 86400000000 AS day, count(*) AS n FROM raw GROUP BY ALL), mark AS (SELECT et, day, CAST(sum(n) OVER (PARTITION BY et ORDER BY day) AS BIGINT) AS total FROM day) SELECT et, day, total, total - lag(total, 1, 0) OVER (PARTITION BY et ORDER BY day) AS delta FROM mark QUALIFY delta > 60")
+@query("delta_counter", ", day AS (SELECT et, us // 86400000000 AS day, count(*) AS n FROM raw GROUP BY ALL), mark AS (SELECT et, day, CAST(sum(n) OVER (PARTITION BY et ORDER BY day) AS BIGINT) AS total FROM day) SELECT et, day, total, total - lag(total, 1, 0) OVER (PARTITION BY et ORDER BY day) AS delta FROM mark QUALIFY delta > 5")
 def delta_counter(spark, d):
     from pyspark.sql import Window
 
     daily = raw(spark, d).groupBy("et", F.expr("us div 86400000000").alias("day")).agg(F.count("*").alias("n"))
     marks = daily.select("et", "day", F.sum("n").over(Window.partitionBy("et").orderBy("day")).alias("total"))
-    return metrics.delta_counter(marks, ["et"], "day", "total", 60)
+    return metrics.delta_counter(marks, ["et"], "day", "total", 5)
 
 
 @query("pipeline_audit_hourly", "SELECT 'events' AS metricname, strftime(make_timestamp(us // 3600000000 * 3600000000 - 25200000000), '%Y-%m-%d') AS groupid, us // 3600000000 * 3600000 AS metrictime, count(*) AS value FROM raw GROUP BY ALL")

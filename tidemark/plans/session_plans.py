@@ -128,3 +128,82 @@ def session_profiles(spark, d):
     short = sessions.session_table(e, 1_800_000).withColumn("profile", F.lit("short"))
     country = sessions.session_table(e.filter("country IS NOT NULL"), 600_000, "country").withColumnRenamed("country", "si").withColumn("profile", F.lit("country"))
     return short.unionByName(country)
+
+
+# A profile: twelve hours, but not more idle time than six, which is what counts.
+SPEC = sessions.SessionSpec(
+    "users",
+    ttl_millis=2 * TTL,
+    max_idle_millis=TTL,
+    metadata=("country", "browser", "os"),
+    sub_sessions=(sessions.SubSessionSpec("browser", "browser", _SUB),),
+    counters=(("clicks", "et = 'click'"), ("robots", "k < 5")),
+    state=(("city", "et = 'view'", "city"), ("last_buy", "et = 'purchase'", "item")),
+)
+
+
+@query("session_spec_markers", f"""SELECT 'users' AS profile, si, session_no, 'begin' AS kind, NULL AS identifier, {_ID.format(_FIRST)} AS _snid, {_FIRST} AS _snst, NULL AS _snet, NULL AS _snec FROM se GROUP BY si, session_no
+UNION ALL SELECT 'users', si, session_no, 'event', CAST(event_id AS VARCHAR), {_ID.format("first_value(ct) OVER w")}, first_value(ct) OVER w, NULL, event_no FROM se WINDOW w AS (PARTITION BY si, session_no ORDER BY us, event_id)
+UNION ALL SELECT 'users', si, session_no, 'end', NULL, {_ID.format(_FIRST)}, {_FIRST}, max(us) // 1000, count(*) FROM se GROUP BY si, session_no""", "se")
+def session_spec_markers(spark, d):
+    """Begin markers, events and end markers of a profile."""
+    out = sessions.feed_by_spec(events(spark, d), SPEC).filter("kind IN ('begin', 'event', 'end')")
+    return out.select("profile", "si", "session_no", "kind", "identifier", "_snid", "_snst", "_snet", "_snec")
+
+
+@query("session_spec_order", """, one AS (SELECT si, session_no, us, event_id, browser, min(us) OVER (PARTITION BY si, session_no) AS lo, max(us) OVER (PARTITION BY si, session_no) AS hi,
+       CASE WHEN lag(us) OVER w IS NULL OR us >= lag(us) OVER w + 3600000000 THEN 1 ELSE 0 END AS sf FROM se WINDOW w AS (PARTITION BY si, session_no, browser ORDER BY us, event_id)),
+sub AS (SELECT *, sum(sf) OVER (PARTITION BY si, session_no, browser ORDER BY us, event_id) AS sno FROM one),
+subs AS (SELECT si, session_no, browser, sno, min(us) // 1000 * 1000 AS a, max(us) // 1000 * 1000 AS b FROM sub GROUP BY ALL),
+out AS (SELECT DISTINCT si, session_no, lo AS t, 0 AS place FROM one UNION ALL SELECT si, session_no, a, 1 FROM subs UNION ALL SELECT si, session_no, us, 2 FROM one UNION ALL SELECT si, session_no, b, 3 FROM subs UNION ALL SELECT DISTINCT si, session_no, hi, 4 FROM one)
+SELECT si, session_no, string_agg(CAST(place AS VARCHAR), '' ORDER BY t, place) AS places FROM out GROUP BY ALL""", "se")
+def session_spec_order(spark, d):
+    """The order in which a session's rows are emitted: begin, sub-session begins, events, sub-session ends, end."""
+    out = sessions.feed_by_spec(events(spark, d), SPEC)
+    return out.groupBy("si", "session_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list("emitted")), lambda e: e["place"].cast("string")), "").alias("places"))
+
+
+@query("session_spec_variables", """SELECT si, session_no, arg_min_null(country, event_no) AS country, coalesce(arg_max_null(city, event_no) FILTER (WHERE et = 'view'), '') AS city,
+       arg_max_null(item, event_no) FILTER (WHERE et = 'purchase') IS NOT NULL AS bought, count(*) FILTER (WHERE et = 'click') AS clicks,
+       len(list_filter([arg_min_null(browser, event_no), arg_min_null(os, event_no)], lambda x: x IS NOT NULL)) AS n_other FROM se GROUP BY si, session_no""", "se")
+def session_spec_variables(spark, d):
+    """Metadata, state, counters as variables: a name's value, whether there is one, and those with other names."""
+    ends = sessions.feed_by_spec(events(spark, d), SPEC).filter("kind = 'end'")
+    metadata, state = F.col("metadata"), F.col("state")
+    others = F.size(sessions.with_prefix(metadata, "b")) + F.size(sessions.with_prefix(metadata, "o"))
+    return ends.select("si", "session_no", F.try_element_at(metadata, F.lit("country")).alias("country"), F.coalesce(F.try_element_at(state, F.lit("city")), F.lit("")).alias("city"), sessions.contains(state, "last_buy").alias("bought"), sessions.as_long(F.col("counters"), "clicks").alias("clicks"), others.cast("long").alias("n_other"))
+
+
+@query(
+    "session_rule_ttl",
+    """, o AS (SELECT si, us, event_id, CASE WHEN et = 'purchase' THEN 86400000 WHEN et = 'view' THEN 999999999999 END AS rule, row_number() OVER (PARTITION BY si ORDER BY us, event_id) AS i FROM raw),
+walk AS (SELECT si, i, us, event_id, 1 AS no, CASE WHEN rule <= 172800000 THEN rule ELSE 3600000 END AS ttl FROM o WHERE i = 1
+         UNION ALL SELECT o.si, o.i, o.us, o.event_id, CASE WHEN o.us >= w.us + w.ttl * 1000 THEN w.no + 1 ELSE w.no END,
+                          CASE WHEN o.rule <= 172800000 THEN o.rule WHEN o.us >= w.us + w.ttl * 1000 THEN 3600000 ELSE w.ttl END FROM walk w JOIN o ON o.si = w.si AND o.i = w.i + 1)
+SELECT event_id, si, CAST(no AS BIGINT) AS session_no FROM walk""",
+)
+def session_rule_ttl(spark, d):
+    """A rule that sets the time to live for the rest of a session: a day after a purchase. What a view asks for is above the
+    longest idle time, two days, and ignored."""
+    spec = sessions.SessionSpec("rule", ttl_millis=3_600_000, max_idle_millis=172_800_000, duration="CASE WHEN et = 'purchase' THEN 86400000 WHEN et = 'view' THEN 999999999999 END")
+    return sessions.numbered_by_spec(raw(spark, d), spec).select("event_id", "si", "session_no")
+
+
+@query("session_spec_extension", f"SELECT event_id, CASE WHEN lag(us) OVER w IS NULL OR us >= lag(us) OVER w + {TTL * 1000} THEN 'first' ELSE 'later' END AS mark FROM raw WHERE et <> 'error' WINDOW w AS (PARTITION BY si ORDER BY us, event_id)")
+def session_spec_extension(spark, d):
+    """A profile with a condition, and an extension that adds a column to its numbered events."""
+    spec = sessions.SessionSpec("marked", ttl_millis=TTL, max_idle_millis=TTL, condition="et <> 'error'", extensions=(lambda rows: rows.withColumn("mark", F.when(F.col("event_no") == 1, "first").otherwise("later")),))
+    return sessions.numbered_by_spec(events(spark, d), spec).select("event_id", "mark")
+
+
+@query("subsession_stats", """, a AS (SELECT *, CASE WHEN lag(us) OVER w IS NULL OR us >= lag(us) OVER w + 3600000000 THEN 1 ELSE 0 END AS sf FROM se WINDOW w AS (PARTITION BY si, session_no, browser ORDER BY us, event_id)),
+b AS (SELECT *, sum(sf) OVER (PARTITION BY si, session_no, browser ORDER BY us, event_id) AS sub FROM a),
+c AS (SELECT max(us) // 1000 - min(us) // 1000 AS n_ms, count(*) AS n FROM b GROUP BY si, session_no, browser, sub)
+SELECT 'browser' AS name, count(*) AS created, count(*) FILTER (WHERE n = 1) AS single_click, CASE WHEN count(*) FILTER (WHERE n > 1) = 0 THEN 0 ELSE CAST(sum(n_ms) FILTER (WHERE n > 1) AS BIGINT) // count(*) FILTER (WHERE n > 1) END AS avg_duration_ms FROM c""", "se")
+def subsession_stats(spark, d):
+    return sessions.sub_statistics(sessions.sub_sessions(numbered(spark, d), sessions.SubSessionSpec("browser", "browser", _SUB)))
+
+
+@query("lag_stats", "SELECT count(*) AS n, CAST(sum(k * 10) AS BIGINT) // count(*) AS avg_lag_ms, max(k * 10) AS max_lag_ms FROM raw")
+def lag_stats(spark, d):
+    return sessions.lag_statistics(raw(spark, d), F.col("ct"), F.col("ct") + F.col("k") * 10)

@@ -1,10 +1,10 @@
-"""Event and metric schemas, and the short names that producers and feeds use on the wire."""
+"""Event schemas, and the short names that producers and feeds use on the wire."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-#: The wire name of each attribute of an enriched event.
+# The wire name of each attribute of an enriched event.
 WIRE_NAMES = {
     "browser_version": "_dd_bv",
     "browser": "_dd_bf",
@@ -19,24 +19,21 @@ WIRE_NAMES = {
     "longitude": "_lon",
     "latitude": "_lat",
     "postal_code": "_tlcn",
-    "session_id": "_snid",
-    "session_start": "_snst",
-    "session_end": "_snet",
-    "session_duration": "_sndn",
-    "session_events": "_snec",
 }
 
+_TEXT, _NUMBER = T.StringType(), T.LongType()
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "l": T.LongType(), "d": T.DoubleType(), "i": T.IntegerType()}
-    return T.StructType([T.StructField(n, kinds[k]) for k, n in (x.split(":") for x in spec.split())])
-
-
-RAW_EVENT = _struct("s:si s:tn s:or l:ct s:ua s:ipv4 s:ipv6 s:rf s:et")
-DEVICE = _struct("s:category s:os s:os_version s:agent_name s:agent_type s:agent_family s:agent_version")
-GEO = _struct("s:city s:region s:continent s:country s:iso s:postal d:latitude d:longitude")
-TWEET = _struct("s:country s:lang s:user s:hashtag l:ct s:text")
-GROUP_METRIC = _struct("s:metricname s:groupid l:metrictime l:value")
-TAGGED_METRIC = _struct("s:metricname s:groupid l:metrictime s:tag_value l:value")
-DEVICE_METRIC = _struct("s:metricname s:groupid l:metrictime s:tag_con s:tag_cty s:tag_device s:tag_os s:tag_bf l:value")
-EVENT_METRIC_KEYS = ["metricname", "groupid", "metrictime"]
+# The columns of a raw event and of a tweet.
+RAW_EVENT = (
+    T.StructType()
+    .add("si", _TEXT)
+    .add("tn", _TEXT)
+    .add("or", _TEXT)
+    .add("ct", _NUMBER)
+    .add("ua", _TEXT)
+    .add("ipv4", _TEXT)
+    .add("ipv6", _TEXT)
+    .add("rf", _TEXT)
+    .add("et", _TEXT)
+)
+TWEET = T.StructType().add("country", _TEXT).add("lang", _TEXT).add("user", _TEXT).add("hashtag", _TEXT).add("ct", _NUMBER).add("text", _TEXT)
