@@ -194,9 +194,22 @@ class _Block:
         return u, v, w, split, own, of, at[first]
 
     def later(self, which: int | None = None, slices: int = 1) -> np.ndarray:
-        """The tokens that have two before them, the start counted; of one slice or of all."""
-        has = np.ones(len(self.word), bool)
+        """The tokens that have two before them, the start counted, and about which level three is asked; of one slice or of
+        all. A context seen less often than a trigram must be has no kept trigram, so its weight is 1 and nothing need be
+        asked, but for what comes back about v: its weight, if a pair with it was never seen, and its total, if that can be
+        above its count. For the latter one token of each v will do."""
+        has = np.zeros(len(self.word), bool)
+        low, count = self.low[1:], self.count[self.word[:-1]]
+        has[1:] = (self.low[:-1] >= LEAST[2]) | (low == 0) & (count > 0)
         has[self.first] = False
+        some = np.ones(len(self.word), bool)
+        some[self.first] = False
+        some[1:] &= count > MOST_DISCOUNTED
+        at = np.flatnonzero(some)
+        told = np.zeros(self.base, bool)
+        told[self.word[at[has[at]] - 1]] = True
+        at = at[~told[self.word[at - 1]]]
+        has[at[np.unique(self.word[at - 1], return_index=True)[1]]] = True
         if which is not None and slices > 1:
             has[1:] &= (self.group % slices == which)[self.word[:-1]]
         return np.flatnonzero(has)
@@ -552,7 +565,9 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
         k, heads = len(rows) - 1, at[rows[:-1]]
         yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 5, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(65536)
 
-        seen = np.array([(count == r).sum() for r in range(1, _K + 2)], np.float64)
+        # Contexts seen once are left out here, whether they were sent or not; they are counted by the pairs.
+        often = np.repeat((total >= LEAST[2]) | (ho[pair[:-1]] > 0), per)
+        seen = np.array([((count == r) & often).sum() for r in range(1, _K + 2)], np.float64)
         one = lambda value, kind: pa.array([value], kind)
         yield from whole(_SEEN, 1, [one(0, pa.int64()), one(0, pa.int32()), *[one(0, pa.int64())] * 2, *[pa.nulls(1, raw)] * 5, *[pa.nulls(1, many)] * 4, one(seen, real)]).to_batches()
         alone = np.flatnonzero(ho[pair[:-1]] > 0)
@@ -643,7 +658,7 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     table = stored(word_table(blocks, width), "katz-words")
     n, v = table.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
     texts = table.filter(F.col("word") == _END).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    facts = _Facts(n, v, texts, max(1.0, n * hot_share))
+    facts = _Facts(n, v, texts, max(float(LEAST[2]), n * hot_share))
     corpus = stored(_numbered(blocks, table), "katz-corpus")
     discard(blocks)
 
@@ -658,7 +673,11 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
 
     three = [stored(_count_triples(_send_triples(known, facts, i, slices), after, width, facts, i, slices, d2), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
     rows = functools.reduce(DataFrame.unionByName, three)
-    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN)))
+    # A pair seen once, and not at the end of a text, is the context of one trigram seen once.
+    end = table.filter(F.col("word") == _END).agg(F.max("id")).first()[0]
+    alone = F.size(F.filter(F.arrays_zip("words", "counts"), lambda x: (x["counts"] == 1) & (x["words"] != F.lit(end))))
+    once = bigrams.agg(F.coalesce(F.sum(alone), F.lit(0))).first()[0]
+    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN)) + np.array([once] + [0] * _K))
     out = stored(_evaluated(known, rows.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
     discard(known)
     for t in three:
