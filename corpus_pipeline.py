@@ -18,20 +18,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, line_dedup, ngram_join, quality, queries
-from tidemark.llm.common import join_small, stored
+from tidemark.llm.common import discard, join_small, scratch, stored, unused
+
+
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the user's columns of these names under others, and how to name them back."""
+    moved = {n: unused(f"{n}_", [*docs.columns, *names]) for n in docs.columns if n.lower() in names}
+    return docs.withColumnsRenamed(moved), moved
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(queries.crc_remainder(3) != 1)
-    scored = quality.score(docs, quality.train(docs, labels))
-    return scored.filter("score >= 0.5").select(docs.columns)
+    name = unused("score", docs.columns)
+    scored = quality.score(docs, quality.train(docs, labels), name)
+    return scored.filter(F.col(name) >= 0.5).select(docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows, moved = _aside(docs, ("n_lines", "n_dropped", "keep_runs", "kept_text"))
     # ~doc_id reverses the order of the ids: the largest then is the smallest doc_id.
-    out = line_dedup.dedup_lines(docs.withColumn("doc_id", F.bitwise_not("doc_id")), min_chars=20, min_docs=3)
+    out = line_dedup.dedup_lines(rows.withColumn("doc_id", F.bitwise_not("doc_id")), min_chars=20, min_docs=3)
     out = out.withColumn("doc_id", F.bitwise_not("doc_id")).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("kept_text").cast("long"))
-    return out.select(docs.columns)
+    return out.select([F.col(moved.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +56,9 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = queries.tokenizer_path()
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("restored"))
+    kept = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    out = bpe.decode(bpe.encode(docs.select(*kept, "text"), path), path)
+    return out.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("restored"))
 
 
 STAGES = [
@@ -65,7 +74,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = given = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):  # what a stage stores for itself goes when its result is written
+            out = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
+        if docs is not given:
+            discard(docs)
+        docs = out
     return docs

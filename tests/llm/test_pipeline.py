@@ -78,6 +78,93 @@ def test_repeated_line_survives_near_duplicates(spark, tmp_path):
     assert {r.doc_id for r in kept} == {10, 11, None} and sum(line in r.text for r in kept) == 1
 
 
+EXTRA = {"score": 1.5, "_id": "a", "_row": 2, "n_lines": "x", "n_dropped": None, "kept_text": "k", "keep_runs": 3, "dropped": "d", "ids": "i", "decoded": "e", "label": 4, "component_id": 5, "_input0": 6, "hits": "h"}
+_TYPES = "doc_id long, text string, lang string, source string, n_chars long"
+_EXTRA_TYPES = "score double, _id string, _row int, n_lines string, n_dropped string, kept_text string, keep_runs int, dropped string, ids string, decoded string, label int, component_id int, _input0 int, hits string"
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, *EXTRA.values()) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    docs = spark.createDataFrame(rows, f"{_TYPES}, {_EXTRA_TYPES}")
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SMALL)
+        want = {(r.doc_id, getattr(r, "text", None)) for r in stage(spark, plain, SMALL).collect()}
+        assert {(r.doc_id, getattr(r, "text", None)) for r in got.collect()} == want, name
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert got.columns == docs.columns and dict(got.dtypes) == dict(docs.dtypes), name
+            assert got.select(*EXTRA).distinct().collect() == [tuple(EXTRA.values())], name
+
+
+def test_empty_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], _TYPES)
+    for t, schema in (("documents", _TYPES), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    few = spark.createDataFrame([(1, "some words here", "en", "s", 15), (None, None, None, None, None)], _TYPES)
+    for name, stage in corpus_pipeline.STAGES[1:]:  # no labels, no items: nothing goes
+        assert stage(spark, few, str(tmp_path)).count() == 2, name
+
+
+def test_each_stage_against_brute_force(spark, tmp_path):
+    """Lines, near copies, benchmark and tokens by plain loops over a small corpus."""
+    import random
+    import re
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    word = lambda: rng.choice("abcdefgh") + rng.choice("xyz") + str(rng.randrange(9))
+    shared = [" ".join(word() for _ in range(9)) for _ in range(4)]
+    texts = []
+    for _ in range(40):
+        lines = [rng.choice(shared) if rng.random() < 0.25 else " ".join(word() for _ in range(12)) for _ in range(rng.randrange(1, 7))]
+        texts.append("\n".join(lines))
+    texts += [t + " more" for t in texts[:8]] + [texts[0], "", "short"]
+    docs = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    items = [(1, " ".join(texts[5].split()[:14])), (2, texts[9].split("\n")[0])]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = spark.createDataFrame(docs, _TYPES)
+
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
+    holders = {}
+    for i, t, *_ in docs:
+        for line in t.split("\n"):
+            if len(key(line)) >= 20:
+                holders.setdefault(key(line), set()).add(i)
+    want = {i: "\n".join(x for x in t.split("\n") if len(holders.get(key(x), ())) < 3 or min(holders[key(x)]) == i) for i, t, *_ in docs}
+    lines = corpus_pipeline.line_stage(spark, df, str(tmp_path))
+    assert {r.doc_id: r.text for r in lines.collect()} == want
+
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets, least = {i: shingles(t) for i, t in want.items()}, {i: i for i in want}
+    changed = True
+    while changed:
+        changed = False
+        for a in want:
+            for b in want:
+                if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and least[a] != least[b]:
+                    least[a] = least[b] = min(least[a], least[b])
+                    changed = True
+    rows = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in want.items()], _TYPES)
+    near = corpus_pipeline.near_duplicate_stage(spark, rows, str(tmp_path))
+    assert {r.doc_id for r in near.collect()} == {i for i in want if least[i] == i}
+
+    words = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    windows = {tuple(words(t)[k : k + 8]): i for i, t in items for k in range(max(1, len(words(t)) - 7))}
+    leaked = {i for i, t, *_ in docs if any(tuple(words(t)[k : k + 8]) in windows for k in range(len(words(t)) - 7))}
+    clean = corpus_pipeline.benchmark_stage(spark, df, str(tmp_path))
+    assert leaked and {r.doc_id for r in clean.collect()} == {i for i, *_ in docs} - leaked
+    lib = Tokenizer.from_file(queries.tokenizer_path())
+    for r in corpus_pipeline.token_stage(spark, df, "").collect():
+        assert list(r.ids) == lib.encode(texts[r.doc_id], add_special_tokens=False).ids and r.restored
+
+
 def test_entry_lists_everything():
     import __spark_entry__
 

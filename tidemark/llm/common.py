@@ -55,12 +55,28 @@ def _path(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def stored(df: DataFrame, label: str, by: str | None = None, batch: str | None = None) -> DataFrame:
+#: For each open ``scratch`` the paths of what was stored inside it.
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Delete at the end what is stored inside, but for what is stored with ``keep``."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            fs, where = _path(spark, path)
+            fs.delete(where, True)
+
+
+def stored(df: DataFrame, label: str, by: str | None = None, batch: str | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder, in a directory for each value of ``by``, and read it back.
 
     This cuts lineage the way checkpoint() does, survives lost executors (the files are in shared storage) and is
     smaller than a checkpoint of rows. ``batch`` bounds the bytes of an Arrow batch during the write. The files go with
-    ``discard``, or else when the application ends.
+    ``discard`` or ``scratch``, or else when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
@@ -68,6 +84,8 @@ def stored(df: DataFrame, label: str, by: str | None = None, batch: str | None =
         (df.write.partitionBy(by) if by else df.write).option("compression", "zstd").parquet(path)
     fs, where = _path(spark, path)
     fs.deleteOnExit(where)
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -15,7 +15,8 @@ A token is a shingle's hash. Texts with equal sets are one class and take part o
    component with another's, and components are merged, so that a large group of near copies costs a comparison or two
    for each member and never all its pairs.
 4. What is left: members of a group in different components are compared, first by size and by bitmaps that bound the
-   difference of two sets from below, then in full. Every pair that shares a signature is thus compared, known to be too
+   difference of two sets from below, then in full; a large group is cut into parts, and parts meet in pairs, so that no
+   task holds a whole group. Every pair that shares a signature is thus compared, known to be too
    different, or already connected, and every link connects.
 
 Nulls and ties: a null or empty text, or one without words, has no shingles and links with nothing; a text of fewer words
@@ -42,6 +43,8 @@ TOKEN_BITS = 56
 CLASS_SHARE = 12
 #: 64-bit words of a set's bitmap.
 BITMAP_WORDS = 8
+#: Members of a part of a group that is compared in full.
+GROUP_PART = 512
 #: Rounds in which representatives of components are compared before the rest is compared in full.
 ROUNDS = 3
 
@@ -140,7 +143,9 @@ def _shared_tokens(packed: DataFrame, width: int) -> DataFrame:
         block, doc = np.concatenate(blocks)[order], np.concatenate(docs)[order]
         order = np.argsort(block, kind="stable")
         block, doc, token, frequency = block[order], doc[order], token[order], frequency[order]
-        edges = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
+        if not len(block):
+            return
+        edges = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
         for lo, hi in zip(edges, np.append(edges[1:], len(block)), strict=True):
             b = int(block[lo])
             yield pa.RecordBatch.from_arrays([pa.array([labels[b % width]], pa.int32()), pa.array([b]), pa.array([hi - lo], pa.int32()), pa.array([pack_sorted(token[lo:hi])]), pa.array([doc[lo:hi].tobytes() + frequency[lo:hi].tobytes()])], names)
@@ -298,12 +303,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     rows = open_groups(entries, labels)
     if not rows.isEmpty():
         rows = rows.join(sets.select("doc_id", "n", "own", "bits"), "doc_id")
-        x, y = rows.alias("x"), rows.alias("y")
+        # A large group is cut into parts, and each pair of parts is compared in a task of its own.
+        sizes = rows.groupBy("signature").agg(F.ceil(F.count("*") / F.lit(GROUP_PART)).cast("int").alias("parts"))
+        rows = rows.join(sizes, "signature").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        x = rows.select("*", other.alias("other")).withColumnsRenamed({"part": "i", "other": "j"}).alias("x")
+        y = rows.select("*", other.alias("other")).withColumnsRenamed({"part": "j", "other": "i"}).alias("y")
         fits = (F.col("x.label") < F.col("y.label")) & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
         # Linked sets differ in few tokens: in those that only one set has at all, and in as many others as bits differ.
         differ = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITMAP_WORDS)), F.col("x.own") + F.col("y.own"))
         fits &= differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
-        pairs = x.join(y, (F.col("x.signature") == F.col("y.signature")) & fits)
+        same = (F.col("x.signature") == F.col("y.signature")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+        pairs = x.join(y, same & fits)
         pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
         found = stored(_links(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent), "links")
         of = lambda name: labels.select(F.col("doc_id").alias(name), F.col("label").alias(f"l{name}"))

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, lean, text_bytes, word_bounds, words
+from tidemark.llm.common import bounded_batches, lean, text_bytes, unused, word_bounds, words
 
 BUCKETS, RANK, MOST_LABELLED, EPOCHS, RATE = 1 << 15, 8, 8000, 6, 0.02
 #: Texts whose inputs are held at once, by bytes.
@@ -181,15 +181,16 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mach
     return fit(hashed, stats, table["quality"].to_numpy().astype(np.float64))
 
 
-def score(docs: DataFrame, machine: Machine) -> DataFrame:
-    """All columns of ``docs`` and score, the probability of label 1. The model's size is fixed by its parameters."""
+def score(docs: DataFrame, machine: Machine, column: str = "score") -> DataFrame:
+    """All columns of ``docs`` and score (or ``column``, in place of one so named), the probability of label 1. The model's
+    size is fixed by its parameters."""
     from pyspark.sql import types as T
 
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    docs = docs.drop("score")
+    docs = docs.drop(column)
     fields, width = docs.schema.fields, len(docs.columns)
-    rows = docs.select("*", *(c.alias(f"_input{i}") for i, c in enumerate(_columns(docs)[1:])))
+    rows = docs.select("*", *(c.alias(unused(f"_input{i}", docs.columns)) for i, c in enumerate(_columns(docs)[1:])))
 
     def run(batches):
         import pyarrow as pa
@@ -203,7 +204,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                 end = max(at + 1, int(np.searchsorted(sizes, done + _PART, "right")))
                 part = batch.slice(at, end - at)
                 got = shared.value.scores(*inputs(part.column(width), part.column(width + 1).to_numpy(zero_copy_only=False)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(got)], [*part.schema.names[:width], "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:width], pa.array(got)], [*part.schema.names[:width], column])
                 at = end
 
-    return rows.mapInArrow(lean(run), T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(lean(run), T.StructType([*fields, T.StructField(column, T.DoubleType())]))
