@@ -9,9 +9,9 @@ for r <= 5 (1 - 1 / 2 r where they give none) and 1 beyond. Trigrams seen once a
 the shorter context. A text begins with one start and ends with one end; its first token
 has the start alone as context.
 
-Tables, written to the shared folder and read from there: words (word, id, count); bigrams, a row for each context v (split
-if v is frequent) with its words and their counts; contexts (v, total, log_backoff); trigrams, a row for each middle word v
-with u, w, count of those kept; and the backoff weights of (u, v) where they are asked for.
+Tables, written to the shared folder and read from there: words (word, id, count); bigrams, a row for each group of contexts
+v with their words and counts; contexts, a row for each group with each v's total and log_backoff; trigrams, a row for each
+group of middle words v with u, w, count of those kept; and the backoff weights of (u, v) where they are asked for.
 
 How it runs. Texts are gathered into blocks of a bounded number of tokens and coded by the block's own list of words. Words
 are counted and numbered in SQL, frequent ones with small numbers, and the numbers go back to the blocks. Then, level by
@@ -46,7 +46,7 @@ LEAST = (1, 1, 2)
 HOT_SHARE = 1 / 2000
 ADDED = 0.1
 #: Tokens of a block at most, unless one batch of texts has more.
-BLOCK_TOKENS = 3 << 19
+BLOCK_TOKENS = 1 << 20
 #: Words of the vocabulary in a group.
 GROUP_WORDS = 48
 #: Parts in which level three is done.
@@ -321,7 +321,7 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 # Level two
 
 
-_TWO = "kind int, v long, split int, grp long, block long, data binary, words array<bigint>, counts array<bigint>, stats array<double>"
+_TWO = "kind int, grp long, split int, block long, data binary, v array<bigint>, sizes array<int>, words array<bigint>, counts array<bigint>, stats array<double>"
 _ANSWERS, _TABLE, _STATS, _SEEN = 0, 1, 2, 3
 
 
@@ -377,26 +377,35 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
         total = _totals(n[order], cuts)
         back = np.empty(len(w), np.int64)
         back[order] = np.repeat(total, np.diff(cuts))
-        names = ["kind", "v", "split", "grp", "block", "data", "words", "counts", "stats"]
+        names = ["kind", "grp", "split", "block", "data", "v", "sizes", "words", "counts", "stats"]
         many, real = pa.list_(pa.int64()), pa.list_(pa.float64())
         whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(65536)
         k = len(row_group)
-        yield from whole(_ANSWERS, k, [pa.nulls(k, pa.int64()), pa.array(row_split), pa.array(row_group), pa.array(row_block), packed_rows(back, edges), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
+        yield from whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_block), packed_rows(back, edges), pa.nulls(k, many), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
 
         seen = np.flatnonzero(total > 0)
         first = order[cuts[:-1][seen]]
         at = _edges(rank[first])
         v, split, group, word, total, c = v[first], row_split[of_row[first]], row_group[of_row[first]], w[first], total[seen], c[first]
-        k, heads = len(at) - 1, at[:-1]
+        heads = at[:-1]
+        rows = _edges(group[heads], split[heads])
+        k = len(rows) - 1
         stats = np.stack([*_by_count(total, at), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
-        yield from whole(_TABLE, k, [pa.array(v[heads]), pa.array(split[heads].astype(np.int32)), pa.array(group[heads]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(word, at, pa.int64()), _lists(total, at, pa.int64()), _lists(stats.reshape(-1), np.arange(k + 1) * (_K + 4), pa.float64())])
+        of_words = at[rows]
+        yield from whole(_TABLE, k, [pa.array(group[heads][rows[:-1]]), pa.array(split[heads][rows[:-1]].astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(v[heads], rows, pa.int64()), _lists(np.diff(at).astype(np.int32), rows, pa.int32()), _lists(word, of_words, pa.int64()), _lists(total, of_words, pa.int64()), _lists(stats.reshape(-1), rows * (_K + 4), pa.float64())])
 
     return sent.repartition(width, "grp", "split").mapInArrow(lean(run), _TWO)
 
 
-def _counts_of_counts(stats: DataFrame) -> np.ndarray:
-    """From rows with the column stats: the numbers of n-grams seen 1, ..., _K + 1 times."""
-    row = stats.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(_K + 1))).first()
+def _counts_of_counts(stats: DataFrame, width: int) -> np.ndarray:
+    """From rows with lists of ``width`` numbers one after the other in the column stats: the sums of the first _K + 1 of
+    each, the numbers of n-grams seen 1, ..., _K + 1 times."""
+    first = F.sequence(F.lit(0), (F.size("stats") / width).cast("int") - 1)
+
+    def every(i: int):
+        return F.aggregate(first, F.lit(0.0), lambda total, j: total + F.get("stats", (j * width + i).cast("int")))
+
+    row = stats.filter(F.size("stats") > 0).agg(*(F.coalesce(F.sum(every(i)), F.lit(0.0)) for i in range(_K + 1))).first()
     return np.array(list(row), dtype=np.float64)
 
 
@@ -405,15 +414,33 @@ def _left(stats, d: np.ndarray, total):
     return total - sum((stats[r - 1] * (r * float(d[r])) for r in range(1, _K + 1)), stats[_K + 1])
 
 
-def contexts(table: DataFrame, d: np.ndarray, z: float) -> DataFrame:
-    """Rows (v, grp, total, log_backoff, n) of the bigram table's contexts; a context that leaves nothing counts one more."""
-    sums = table.groupBy("v", "grp").agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(_K + 4)))
-    n = F.col(f"s{_K + 2}")
-    left = _left([F.col(f"s{i}") for i in range(_K + 2)], d, n)
-    rows = sums.select("v", "grp", n.alias("n"), F.col(f"s{_K + 1}").alias("above"), left.alias("left"), (1 - F.col(f"s{_K + 3}") / z).alias("rest"))
-    nothing = F.col("above") == F.col("n")
-    total = F.col("n") + nothing.cast("int")
-    return rows.select("v", "grp", total.cast("long").alias("total"), (F.log10(F.when(nothing, 1.0).otherwise(F.col("left")) / total) - F.log10("rest")).alias("log_backoff"), "n")
+def contexts(table: DataFrame, d: np.ndarray, z: float, hot: float) -> DataFrame:
+    """Rows (grp, split, v, total, more, log_backoff) of the bigram table's contexts, a row for each group, and for each split
+    of a frequent word: lists of words, their totals, what these are above their counts, and log10 of their weights. A
+    context that leaves nothing counts one more."""
+    importable(table.sparkSession)
+    width = _K + 4
+    # A frequent word's statistics are in as many rows as it has splits: sums of a few numbers each.
+    sums = table.filter("grp < 0").groupBy("grp").agg(F.first("v").alias("v"), *(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(width)))
+    frequent = sums.select("grp", "v", F.array(*(f"s{i}" for i in range(width))).alias("stats"))
+    rows = table.filter("grp >= 0").select("grp", "v", "stats").unionByName(frequent)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            edges = np.append(0, np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False)))
+            stats = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T
+            n, above = stats[_K + 2], stats[_K + 1]
+            nothing = above == n
+            left = np.where(nothing, 1.0, _left(stats, d, n))
+            back = np.log10(left / (n + nothing)) - np.log10(1 - stats[_K + 3] / z)
+            lists = [_lists(x, edges, kind) for x, kind in (((n + nothing).astype(np.int64), pa.int64()), (nothing.astype(np.int64), pa.int64()), (back, pa.float64()))]
+            parts = np.where(n >= hot, np.ceil(n / hot), 1).astype(np.int32)[edges[:-1]] if len(edges) > 1 else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts), batch.column(1), *lists], ["grp", "parts", "v", "total", "more", "log_backoff"])
+
+    found = rows.mapInArrow(lean(run), "grp long, parts int, v array<bigint>, total array<bigint>, more array<bigint>, log_backoff array<double>")
+    return found.select("grp", F.explode(F.sequence(F.lit(0), F.when(F.col("grp") < 0, F.col("parts")).otherwise(1) - 1)).alias("split"), "v", "total", "more", "log_backoff")
 
 
 _KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid array<bigint>, wc array<bigint>"
@@ -501,23 +528,25 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
     context has others that are, else 0. For each context with a 1, ``above`` holds how many of its kept trigrams were seen
     1, ..., _K times and the sum of the counts above, and ``masses`` what the shorter context gives to the kept ones: all
     that its weight depends on besides the discounts. ``extra``: for each v of a row what its total is above its count;
-    ``low_backs``: log10 of the weight of each v of which a pair was never seen. ``known``: the contexts (v)."""
-    known = known.withColumnRenamed("n", "n_all")
-    parts = F.when(F.col("n_all") >= facts.hot, F.ceil(F.col("n_all") / facts.hot)).otherwise(1).cast("int")
-    known = known.filter(F.pmod("grp", F.lit(slices)) == which).select("grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("split"), F.lit(-1).cast("long").alias("own"), F.col("v").alias("block"), *(F.lit(b"").alias(c) for c in ("v", "u", "w", "n", "low")), "total", (F.col("total") - F.col("n_all")).cast("long").alias("more"), "log_backoff")
-    both = sent.withColumns({"total": F.lit(0).cast("long"), "more": F.lit(0).cast("long"), "log_backoff": F.lit(0.0)}).unionByName(known)
-    columns = ["grp", "split", "own", "block", "total", "more", "log_backoff", "v", "u", "w", "n", "low"]
+    ``low_backs``: log10 of the weight of each v of which a pair was never seen. ``known``: the contexts."""
+    empty = [F.lit(b"").alias(c) for c in ("v", "u", "w", "n", "low")]
+    lists = {"cv": "v", "ctotal": "total", "cmore": "more", "cback": "log_backoff"}
+    own = known.filter(F.pmod("grp", F.lit(slices)) == which).select("grp", "split", F.lit(-1).cast("long").alias("own"), F.lit(-1).cast("long").alias("block"), *empty, *(F.col(c).alias(n) for n, c in lists.items()))
+    both = sent.withColumns({n: F.lit(None).cast(own.schema[n].dataType) for n in lists}).unionByName(own)
+    columns = ["grp", "split", "own", "block", *lists, "v", "u", "w", "n", "low"]
 
     def run(batches):
         import pyarrow as pa
 
-        got = _gathered(batches, 5)
-        if got is None:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
-        (row_group, row_split, row_own, row_block, row_total, row_more, row_back), edges, of_row, u, v, w, (n, low) = _unpacked(got)
-        context = np.flatnonzero(row_own < 0)
-        context = context[np.argsort(row_block[context], kind="stable")]
-        cv, ctotal, cmore, cback = (np.append(x[context], x.dtype.type(0)) for x in (row_block, row_total, row_more, row_back))
+        rows = pa.Table.from_batches(batches)
+        cv, ctotal, cmore, cback = (np.append(np.concatenate([c.flatten().to_numpy() for c in rows.column(i).chunks]), 0) for i in range(4, 8))
+        by_word = np.argsort(cv[:-1], kind="stable")
+        cv, ctotal, cmore, cback = (np.append(x[:-1][by_word], x.dtype.type(0)) for x in (cv, ctotal, cmore, cback))
+        got = _gathered(rows.select([0, 1, 2, 3, *range(8, 13)]).to_batches(), 5)
+        (row_group, row_split, row_own, row_block), edges, of_row, u, v, w, (n, low) = _unpacked(got)
 
         def of(words):
             at = np.minimum(np.searchsorted(cv[:-1], words), len(cv) - 1)
@@ -664,9 +693,9 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
 
     two = stored(_count_pairs(_send_pairs(corpus, facts), width), "katz-bigrams", by="kind", batch=BATCH)
     bigrams = two.filter(F.col("kind") == _TABLE)
-    d2 = discounts(_counts_of_counts(bigrams))
-    after = stored(contexts(bigrams, d2, facts.z), "katz-contexts")
-    facts.start = next(((r.total, r.log_backoff) for r in after.filter("v = 0").collect()), (0, 0.0))
+    d2 = discounts(_counts_of_counts(bigrams, _K + 4))
+    after = stored(contexts(bigrams, d2, facts.z, facts.hot), "katz-contexts", batch=BATCH)
+    facts.start = next(((r.total[0], r.log_backoff[0]) for r in after.filter(F.col("grp") == -(1 << 62)).limit(1).collect()), (0, 0.0))
     known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), facts), "katz-known", batch=BATCH)
     discard(corpus)
     discard(two, part=f"kind={_ANSWERS}")
@@ -677,7 +706,7 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     end = table.filter(F.col("word") == _END).agg(F.max("id")).first()[0]
     alone = F.size(F.filter(F.arrays_zip("words", "counts"), lambda x: (x["counts"] == 1) & (x["words"] != F.lit(end))))
     once = bigrams.agg(F.coalesce(F.sum(alone), F.lit(0))).first()[0]
-    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN)) + np.array([once] + [0] * _K))
+    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN), _K + 1) + np.array([once] + [0] * _K))
     out = stored(_evaluated(known, rows.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
     discard(known)
     for t in three:
