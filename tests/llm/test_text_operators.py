@@ -91,6 +91,25 @@ def test_decontamination(spark, limit):
     assert decontaminate.find_contamination(frame(spark, docs), spark.createDataFrame([], "item_id long, text string")).filter("size(items) > 0").count() == 0
 
 
+def test_decontamination_equals_sql(spark, tmp_path):
+    import duckdb
+
+    from tidemark.llm import queries
+
+    rng = random.Random(7)
+    word = lambda: rng.choice(["a", "B", "Ça", "d9", "e"])
+    bench = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([3, 8, 9, 20, 12, 1])] + [(77, None), (78, "?!"), (100, "a B")]
+    docs = [(i, "  ".join(word() + rng.choice(["", ",", "\n"]) for _ in range(60)), 1) for i in range(20)] + [(50, None, 2), (51, "", 3), (52, "?", 4)]
+    spark.createDataFrame(docs, "doc_id long, text string, n_words int").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    got = queries.op9_decontamination(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE_SQL['op9_decontamination']})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+
+
 def library():
     from tokenizers import Tokenizer
 

@@ -94,6 +94,19 @@ QUERIES = {"op1_embedding_near_dedup": op1_embedding_near_dedup, "op2_ngram_jacc
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+
+def _spans_sql(n: int, rule: secret_scan.Rule) -> str:
+    """Rows (doc_id, rule, b, e) of one rule's matches that count: a match begins behind all matches and gaps before it."""
+    regex = rule.regex.replace("'", "''")
+    return f"""SELECT doc_id, {n} AS rule, e - length(m) AS b, e FROM (
+      SELECT doc_id, m, g, sum(length(m) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM (
+        SELECT doc_id, unnest(ms) AS m, unnest(gs) AS g, unnest(gaps[1:len(ms)]) AS gap, unnest(range(len(ms))) AS i FROM (
+          SELECT doc_id, regexp_extract_all(t, '{regex}') AS ms, regexp_extract_all(t, '{regex}', {rule.group}) AS gs, string_split_regex(t, '{regex}') AS gaps FROM d))) WHERE length(g) >= {rule.least}"""
+
+
+_SPANS = "\nUNION ALL ".join(_spans_sql(i, r) for i, r in enumerate([*secret_scan.BASE_RULES, *secret_scan.MORE_RULES]))
+_KINDS = ", ".join(f"'{r.name}'" for r in [*secret_scan.BASE_RULES, *secret_scan.MORE_RULES])
 _RULES = ", ".join(f"('{d}', '{h}', '{p}')" for d, h, p in URL_RULES)
 
 ORACLE_SQL = {
@@ -118,10 +131,20 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op4_url_filter": rf"""
 WITH RECURSIVE rules AS (SELECT * FROM (VALUES {_RULES}) AS t(decision, rule_host, rule_path)),
-     raw AS (SELECT url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM pages
-             UNION ALL SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM pages),
-     target AS (SELECT url, replace(t, '&amp;', '&') AS t FROM raw),
-     links AS (SELECT url, CASE WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t WHEN contains(t, '://') THEN t END AS target FROM target),
+     plain AS (SELECT url, regexp_replace(html, '(?s)<!--.*?(?:-->|\z)', ' ', 'g') AS html FROM pages WHERE contains(url, '://')),
+     tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*>')) AS tag, 'link' AS kind FROM plain
+              UNION ALL SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*>')), 'meta' FROM plain),
+     told AS (SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s>]+))', 1) || regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s>]+))', 2) || regexp_extract(tag, '(?is)\bhref\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s>]+))', 3) AS t
+              FROM tags WHERE kind = 'link' AND regexp_matches(tag, '(?is)\bhref\s*=') AND list_contains(string_split_regex(lower(regexp_extract(tag, '(?is)\brel\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s/>]+))', 1) || regexp_extract(tag, '(?is)\brel\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s/>]+))', 2) || regexp_extract(tag, '(?is)\brel\s*=\s*(?:"([^">]*)"|''([^''>]*)''|([^"''\s/>]+))', 3)), '\s+'), 'canonical')
+              UNION ALL SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM tags WHERE kind = 'meta' AND regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b') AND regexp_matches(tag, '(?is)\burl\s*=')),
+     clear AS (SELECT url, trim(replace(replace(replace(replace(replace(replace(replace(replace(t, '&#x2F;', '/'), '&#47;', '/'), '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&#38;', '&'), '&amp;', '&')) AS t FROM told),
+     parts AS (SELECT url, t, regexp_extract(url, '(?s)^.*?://[^/?#]*') AS start, regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS own FROM clear),
+     joined AS (SELECT *, CASE WHEN starts_with(t, '/') THEN t ELSE CASE WHEN contains(own, '/') THEN regexp_replace(own, '[^/]*$', '') ELSE '/' END || t END AS j FROM parts),
+     steps AS (SELECT *, string_split(regexp_extract(j, '(?s)^[^?#]*'), '/') AS segs, regexp_extract(j, '(?s)^[^?#]*(.*)$', 1) AS tail FROM joined),
+     walked AS (SELECT *, list_reduce(list_transform(segs, lambda x: [x]), lambda done, x: CASE WHEN x[1] = '..' THEN done[1:greatest(len(done) - 1, 1)] WHEN x[1] = '.' THEN done ELSE done || x END) AS found FROM steps),
+     links AS (SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?):?//', 1) || ':' || t
+                               WHEN t = '' OR starts_with(t, '#') OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(t, '?') THEN start || own || t
+                               ELSE start || array_to_string(found, '/') || CASE WHEN segs[-1] IN ('.', '..') THEN '/' ELSE '' END || tail END AS target FROM walked),
      urls AS (SELECT url FROM pages UNION SELECT target FROM links),
      keys AS (SELECT url, CASE WHEN contains(url, '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) END AS k FROM urls),
      e AS (SELECT a.k AS a, b.k AS b FROM links l JOIN keys a ON l.url = a.url JOIN keys b ON l.target = b.url WHERE a.k <> b.k),
@@ -134,6 +157,23 @@ WITH RECURSIVE rules AS (SELECT * FROM (VALUES {_RULES}) AS t(decision, rule_hos
      spread AS (SELECT reach.a AS k, min(decision) AS inherited FROM reach JOIN ruled ON reach.b = ruled.k GROUP BY reach.a)
 SELECT page_id, coalesce(nodes.host, '') AS host, coalesce(nodes.path, '') AS path, ruled.rule, coalesce(ruled.decision, spread.inherited, 'allow') AS verdict
 FROM pages LEFT JOIN keys ON pages.url = keys.url LEFT JOIN nodes ON keys.k = nodes.k LEFT JOIN ruled ON ruled.k = keys.k LEFT JOIN spread ON spread.k = keys.k""",
+    "op7_secret_scan": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     s AS ({_SPANS}),
+     n AS (SELECT doc_id, rule, b, [{_KINDS}][rule + 1] || ':' || CAST(CAST(b AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR) AS x FROM s)
+SELECT d.doc_id, count(*) FILTER (WHERE rule = 0) AS n_assign, count(*) FILTER (WHERE rule = 1) AS n_access, count(*) FILTER (WHERE rule = 2) AS n_hex,
+       sha256(coalesce(string_agg(x, ',' ORDER BY b, rule) FILTER (WHERE rule < 3), '')) AS base_sha256, coalesce(string_agg(x, ',' ORDER BY b, rule), '') AS spans
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op9_decontamination": rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+     i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+     v AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(w[k + 1:k + 8], ' ') AS x FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 7, 1))) AS k FROM i WHERE len(w) > 0)),
+     p AS (SELECT doc_id, n, k, array_to_string(w[k + 1:k + n], ' ') AS x FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS k FROM w, (SELECT DISTINCT n FROM v) WHERE len(w) >= n)),
+     h AS (SELECT doc_id, k, p.n, item_id FROM p JOIN v ON p.x = v.x AND p.n = v.n),
+     c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS q FROM h) GROUP BY doc_id),
+     g AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM w LEFT JOIN c ON c.doc_id = w.doc_id LEFT JOIN g ON g.doc_id = w.doc_id""",
     "op5_line_dedup": f"""
 WITH l AS (SELECT doc_id, pos, ls[pos] AS line, translate(trim(ls[pos], {SPACE}), '{UPPER}', '{LOWER}') AS k
            FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS pos

@@ -5,6 +5,10 @@ links connect with it in either direction: if a rule allows one of them it is al
 them it is blocked, otherwise it is allowed. Two urls are one if they differ only in scheme, fragment or the case of A-Z
 in the host.
 
+Links are all canonical links and refresh redirects of a page outside comments, whatever else their rel names. A target
+that is relative is resolved against the page's url; one with another scheme than a host's (mailto: and the like) is none.
+A base element isn't read.
+
 Nulls and ties: a null url, or one without ``://``, has an empty host and path, no rule, no aliases, and is allowed. Null
 html has no links. Rows that repeat get a result each. Of rules of equal length for one url, an allow rule wins, then the
 alphabetically first. Columns besides page_id, url and html are ignored. An empty table gives no rows.
@@ -23,8 +27,11 @@ from tidemark.llm.components import components
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _REST = r"(?s)^.*?://[^/?#]*([^#]*)"
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?:\s[^">]*)?"|'(?:[^'>]*\s)?canonical(?:\s[^'>]*)?'|canonical[\s/>]))[^>]*>"""
+REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*>"""
+_HREF = r"""(?is)\bhref\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^"'\s>]+))"""
+_URL = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
 def host(url: Column) -> Column:
@@ -40,16 +47,56 @@ def _key(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host(url), F.regexp_extract(url, _REST, 1)))
 
 
+def _decoded(text: Column) -> Column:
+    """Without the character references that stand in urls."""
+    for reference, character in (("&#x2F;", "/"), ("&#47;", "/"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(reference), F.lit(character))
+    return F.btrim(text, F.lit(" \t\n\r\f"))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path after its "." and ".." have been followed."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+    empty = F.expr("cast(array() as array<string>)")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    found = F.array_join(F.aggregate(parts, empty, step), "/")
+    return F.when(last.isin(".", ".."), F.concat(found, F.lit("/"))).otherwise(found)
+
+
+def resolved(url: Column, to: Column) -> Column:
+    """The absolute url that ``to`` means on the page ``url``; null if it is none."""
+    start = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
+    scheme = F.regexp_extract(url, r"(?s)^(.*?):?//", 1)
+    own = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_replace(own, r"[^/]*\z", "")
+    joined = F.when(to.startswith("/"), to).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), to))
+    place, tail = F.regexp_extract(joined, r"(?s)^[^?#]*", 0), F.regexp_extract(joined, r"(?s)^[^?#]*(.*)\z", 1)
+    relative = F.concat(start, _without_dots(place), tail)
+    return (
+        F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.startswith("//"), F.concat(scheme, F.lit(":"), to))
+        .when((to == "") | to.startswith("#") | to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(to.startswith("?"), F.concat(start, own, to))
+        .otherwise(relative)
+    )
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """Rows (url, target): canonical links and immediate redirects in the pages' html, absolute or from the host's root."""
-    text = F.col("html")
-    near = pages.filter(F.col("url").isNotNull() & text.rlike("(?i)canonical|http-equiv"))
-    links = near.select("url", F.regexp_extract(F.regexp_extract(text, CANONICAL, 0), r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)""", 1).alias("to"))
-    moves = near.select("url", F.regexp_extract(F.regexp_extract(text, REFRESH, 0), r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)""", 1).alias("to"))
-    to = F.replace("to", F.lit("&amp;"), F.lit("&"))
-    start = F.regexp_extract("url", r"(?s)^.*?://[^/?#]*", 0)
-    target = F.when(to.startswith("//"), F.concat(F.lit("http:"), to)).when(to.startswith("/"), F.concat(start, to)).when(F.instr(to, "://") > 0, to)
-    return links.unionByName(moves).select("url", target.alias("target")).filter(F.col("target").isNotNull())
+    """Rows (url, target): all canonical links and redirects in the pages' html, resolved against the page's url."""
+    near = pages.filter(F.col("url").contains("://") & F.col("html").rlike("(?i)canonical|http-equiv"))
+    near = near.select("url", F.regexp_replace("html", _COMMENT, " ").alias("html"))
+    tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    links = near.select("url", F.explode(tags(CANONICAL)).alias("tag")).filter(F.col("tag").rlike(_HREF))
+    links = links.select("url", F.concat(*(F.regexp_extract("tag", _HREF, i) for i in (1, 2, 3))).alias("to"))
+    moves = near.select("url", F.explode(tags(REFRESH)).alias("tag")).filter(F.col("tag").rlike(_URL))
+    moves = moves.select("url", F.regexp_extract("tag", _URL, 1).alias("to"))
+    found = links.unionByName(moves).select("url", _decoded(F.col("to")).alias("to"))
+    return found.select("url", resolved(F.col("url"), F.col("to")).alias("target")).filter(F.col("target").isNotNull())
 
 
 def fitting_rule(urls: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
