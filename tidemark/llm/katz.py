@@ -416,8 +416,10 @@ def _left(stats, d: np.ndarray, total):
 
 def contexts(table: DataFrame, d: np.ndarray, z: float, hot: float) -> DataFrame:
     """Rows (grp, split, v, total, more, log_backoff) of the bigram table's contexts, a row for each group, and for each split
-    of a frequent word: lists of words, their totals, what these are above their counts, and log10 of their weights. A
-    context that leaves nothing counts one more."""
+    of a frequent word: words, their totals, what these are above their counts, all packed, and log10 of their weights as
+    doubles. A context that leaves nothing counts one more.
+
+    Packed, because Spark measures a batch anew at each row, and that takes as long as a list column has rows."""
     importable(table.sparkSession)
     width = _K + 4
     # A frequent word's statistics are in as many rows as it has splits: sums of a few numbers each.
@@ -435,11 +437,12 @@ def contexts(table: DataFrame, d: np.ndarray, z: float, hot: float) -> DataFrame
             nothing = above == n
             left = np.where(nothing, 1.0, _left(stats, d, n))
             back = np.log10(left / (n + nothing)) - np.log10(1 - stats[_K + 3] / z)
-            lists = [_lists(x, edges, kind) for x, kind in (((n + nothing).astype(np.int64), pa.int64()), (nothing.astype(np.int64), pa.int64()), (back, pa.float64()))]
+            words = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            lists = [*(packed_rows(x.astype(np.int64), edges) for x in (words, n + nothing, nothing)), _floats(back, edges)]
             parts = np.where(n >= hot, np.ceil(n / hot), 1).astype(np.int32)[edges[:-1]] if len(edges) > 1 else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts), batch.column(1), *lists], ["grp", "parts", "v", "total", "more", "log_backoff"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts), *lists], ["grp", "parts", "v", "total", "more", "log_backoff"])
 
-    found = rows.mapInArrow(lean(run), "grp long, parts int, v array<bigint>, total array<bigint>, more array<bigint>, log_backoff array<double>")
+    found = rows.mapInArrow(lean(run), "grp long, parts int, v binary, total binary, more binary, log_backoff binary")
     return found.select("grp", F.explode(F.sequence(F.lit(0), F.when(F.col("grp") < 0, F.col("parts")).otherwise(1) - 1)).alias("split"), "v", "total", "more", "log_backoff")
 
 
@@ -532,7 +535,7 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
     empty = [F.lit(b"").alias(c) for c in ("v", "u", "w", "n", "low")]
     lists = {"cv": "v", "ctotal": "total", "cmore": "more", "cback": "log_backoff"}
     own = known.filter(F.pmod("grp", F.lit(slices)) == which).select("grp", "split", F.lit(-1).cast("long").alias("own"), F.lit(-1).cast("long").alias("block"), *empty, *(F.col(c).alias(n) for n, c in lists.items()))
-    both = sent.withColumns({n: F.lit(None).cast(own.schema[n].dataType) for n in lists}).unionByName(own)
+    both = sent.withColumns({n: F.lit(b"") for n in lists}).unionByName(own)
     columns = ["grp", "split", "own", "block", *lists, "v", "u", "w", "n", "low"]
 
     def run(batches):
@@ -542,7 +545,8 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
         if not batches:
             return
         rows = pa.Table.from_batches(batches)
-        cv, ctotal, cmore, cback = (np.append(np.concatenate([c.flatten().to_numpy() for c in rows.column(i).chunks]), 0) for i in range(4, 8))
+        cv, ctotal, cmore = (np.append(unpacked_rows(rows.column(i))[0], 0) for i in range(4, 7))
+        cback = np.append(np.frombuffer(b"".join(rows.column(7).to_pylist())), 0.0)
         by_word = np.argsort(cv[:-1], kind="stable")
         cv, ctotal, cmore, cback = (np.append(x[:-1][by_word], x.dtype.type(0)) for x in (cv, ctotal, cmore, cback))
         got = _gathered(rows.select([0, 1, 2, 3, *range(8, 13)]).to_batches(), 5)
@@ -695,7 +699,7 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     bigrams = two.filter(F.col("kind") == _TABLE)
     d2 = discounts(_counts_of_counts(bigrams, _K + 4))
     after = stored(contexts(bigrams, d2, facts.z, facts.hot), "katz-contexts", batch=BATCH)
-    facts.start = next(((r.total[0], r.log_backoff[0]) for r in after.filter(F.col("grp") == -(1 << 62)).limit(1).collect()), (0, 0.0))
+    facts.start = next(((int(unpack_numbers(np.frombuffer(r.total, np.uint8))[0]), float(np.frombuffer(r.log_backoff)[0])) for r in after.filter(F.col("grp") == -(1 << 62)).limit(1).collect()), (0, 0.0))
     known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), facts), "katz-known", batch=BATCH)
     discard(corpus)
     discard(two, part=f"kind={_ANSWERS}")
