@@ -171,6 +171,17 @@ def test_bounded_stream_equals_batch(spark, tmp_path):
     assert table(out.filter("si <> 'z'")) == plain(rows, 20 * SECOND, 60 * SECOND)
 
 
+def test_a_stream_puts_its_rows_into_files_and_not_into_the_driver(spark, tmp_path):
+    rows = [("a", n * 7 * SECOND) for n in range(30)] + [("b", n * 25 * SECOND) for n in range(5)]
+    run = lambda: pipelines.drained(pipelines.session_stream(spark.readStream.schema("si string, us long, event_id long, ts timestamp").parquet(str(tmp_path / "in/*")).withWatermark("ts", "1 second"), 20_000), "files_out", str(tmp_path / "cp"))
+    frame(spark, rows).write.parquet(str(tmp_path / "in/part=0"))
+    run()
+    frame(spark, [("z", 4 * 10**9 * SECOND)]).write.parquet(str(tmp_path / "in/part=1"))
+    out = run()  # goes on from the checkpoint
+    assert out.columns == ["si", "snst_ms", "snet_ms", "snec"] and out.inputFiles()
+    assert table(out.filter("si <> 'z'")) == plain(rows, 20 * SECOND)
+
+
 def test_last_write_wins_across_batches(spark, tmp_path):
     s = store.MetricStore(spark, str(tmp_path))
     write = lambda value, batch_id, day=0: s.merge("t", spark.createDataFrame([("a", day * store.DAY_MILLIS + 1, value)], "metricname string, metrictime long, value long"), batch_id, ["metricname", "metrictime"])

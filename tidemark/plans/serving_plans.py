@@ -118,11 +118,10 @@ def country_trend(spark, d):
 _FAR = 4_102_444_800_000_000
 
 
-def _streamed(spark, d, name, build):
-    """Run a stream over the events and a far-off sentinel that closes every window; its own output is left out. The lateness
+def _streamed(spark, rows, name, build):
+    """Run a stream over the rows and a far-off sentinel that closes every window; its own output is left out. The lateness
     spans the table, so no row is late in whatever order its files are read."""
     folder = shared_folder(spark, "stream")
-    rows = events(spark, d).select("event_id", "us", "ts", "si", "et", "country")
     rows.write.parquet(f"{folder}/in/part=0")
     far = spark.createDataFrame([(-1, _FAR, "sentinel")], "event_id long, us long, si string").withColumn("ts", F.timestamp_micros("us"))
     far.write.parquet(f"{folder}/in/part=1")
@@ -134,7 +133,7 @@ def _streamed(spark, d, name, build):
 
 @query("stream_pageviews", "SELECT us // 300000000 * 300000 AS start, country, count(*) AS count FROM ex GROUP BY ALL")
 def stream_pageviews(spark, d):
-    out = _streamed(spark, d, "stream_pageviews_out", lambda s: pipelines.metric_stream(s, ["country"]))
+    out = _streamed(spark, events(spark, d).select("event_id", "us", "ts", "si", "et", "country"), "stream_pageviews_out", lambda s: pipelines.metric_stream(s, ["country"]))
     return out.filter(F.col("start") < _FAR // 1000 - 86_400_000)
 
 
@@ -142,7 +141,7 @@ def stream_pageviews(spark, d):
 s AS (SELECT *, sum(f) OVER (PARTITION BY si ORDER BY us, event_id) AS no FROM f)
 SELECT si, min(us) // 1000 AS snst_ms, max(us) // 1000 AS snet_ms, count(*) AS snec FROM s GROUP BY si, no""")
 def stream_sessions(spark, d):
-    out = _streamed(spark, d, "stream_sessions_out", lambda s: pipelines.session_stream(s, 1_800_000))
+    out = _streamed(spark, raw(spark, d).select("event_id", "us", "ts", "si", "et"), "stream_sessions_out", lambda s: pipelines.session_stream(s, 1_800_000))
     return out.filter("si <> 'sentinel'")
 
 

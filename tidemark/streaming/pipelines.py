@@ -71,11 +71,13 @@ def bounded_session_stream(events: DataFrame, ttl_millis: int, max_active_millis
     return events.groupBy(key).applyInPandasWithState(session_processor(ttl_millis, max_active_millis), f"{key} string, snst_ms long, snet_ms long, snec long", "st long, en long, n long", "append", "EventTimeTimeout")
 
 
-def drained(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there now and return what it put out."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drained(stream: DataFrame, name: str, checkpoint: str) -> DataFrame:
+    """Run a stream over all that is there now and return what it put out: files beside the checkpoint, written by the
+    executors, so the driver holds none of it. A run that goes on from the checkpoint adds to them."""
+    found = f"{checkpoint}-out"
+    query = stream.writeStream.outputMode("append").format("parquet").queryName(name).option("path", found).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return stream.sparkSession.read.schema(stream.schema).parquet(found)
 
 
 def to_store(stream: DataFrame, merge: Callable[[DataFrame, int], object], checkpoint: str):
