@@ -46,6 +46,19 @@ def test_ngram_join(spark, monkeypatch, frequent):
     assert [tuple(r) for r in got if r.doc_id is None] == [(None, len(sets[0][1]), None)]
 
 
+@pytest.mark.parametrize("part", [8, 1000])
+def test_members_of_open_groups_meet_once_and_large_components_are_not_multiplied(spark, monkeypatch, part):
+    monkeypatch.setattr(ngram_join, "GROUP_PART", part)
+    labels = {1: [0] * 90 + list(range(1, 11)), 2: list(range(40)), 3: [5, 6], 4: [7] * 8 + [8] * 9}
+    members = [(s, i, x) for s, of in labels.items() for i, x in enumerate(of)]
+    x, y = ngram_join._sides(spark.createDataFrame(members, "signature long, doc_id long, label long"))
+    left, right = ([tuple(r) for r in side.select("signature", "i", "j", "doc_id", "label").collect()] for side in (x, y))
+    met = sorted((a[0], *sorted((a[3], b[3]))) for a in left for b in right if a[:3] == b[:3] and (a[4] < b[4] or a[1] < a[2] and a[4] != b[4]))
+    assert met == sorted((s, i, j) for s, of in labels.items() for j in range(len(of)) for i in range(j) if of[i] != of[j])
+    sent = sum(r[0] == 1 for r in left + right)
+    assert sent <= 400  # of 100 members, 90 in one component; 2600 with parts of 8 that all meet
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -15,8 +15,8 @@ A token is a shingle's hash. Texts with equal sets are one class and take part o
    component with another's, and components are merged, so that a large group of near copies costs a comparison or two
    for each member and never all its pairs.
 4. What is left: members of a group in different components are compared, first by size and by bitmaps that bound the
-   difference of two sets from below, then in full; a large group is cut into parts, and parts meet in pairs, so that no
-   task holds a whole group. Every pair that shares a signature is thus compared, known to be too
+   difference of two sets from below, then in full; a large group is cut into parts, and parts meet in pairs, those of its
+   largest component only with the others, so that no task holds a whole group. Every pair that shares a signature is thus compared, known to be too
    different, or already connected, and every link connects.
 
 Nulls and ties: a null or empty text, or one without words, has no shingles and links with nothing; a text of fewer words
@@ -255,6 +255,27 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(groups, "label", "left").select("doc_id", F.coalesce("component", "label").alias("label")), "labels")
 
 
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (signature, doc_id, label, ...) twice, with i and j, so that each two members of a signature with different
+    labels meet once where signature, i and j are equal: with labels in order where i = j, with labels apart where i < j.
+
+    A large group is cut into parts, and each pair of parts is compared in a task of its own. The members of its largest
+    component come first, in parts that meet only those of the others: they are connected already. So a group of which few
+    are outside that component is sent about once, and another one half its number of parts for each side."""
+    labels = rows.groupBy("signature", "label").agg(F.count("*").alias("n"))
+    sizes = labels.groupBy("signature").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+    large, parts = F.col("n") > GROUP_PART, lambda n: F.ceil(n / F.lit(GROUP_PART)).cast("int")
+    sizes = sizes.select("signature", F.when(large, F.col("most.label")).alias("main"), F.when(large, parts(F.col("most.n"))).otherwise(0).alias("before"), F.when(large, parts(F.col("n") - F.col("most.n"))).otherwise(1).alias("after"))
+    inside, dealt = F.col("label").eqNullSafe(F.col("main")), lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    rows = rows.join(sizes, "signature").withColumn("inside", inside)
+    rows = rows.withColumn("part", F.when(F.col("inside"), dealt("before")).otherwise(F.col("before") + dealt("after")))
+    later = F.sequence(F.when(F.col("inside"), F.col("before")).otherwise(F.col("part")), F.col("before") + F.col("after") - 1)
+    spare = ("main", "before", "after", "inside", "part")
+    x = rows.withColumns({"i": F.col("part"), "j": F.explode(later)}).drop(*spare)
+    y = rows.filter(~F.col("inside")).withColumns({"j": F.col("part"), "i": F.explode(F.sequence(F.lit(0), F.col("part")))}).drop(*spare)
+    return x, y
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
     spark = docs.sparkSession
@@ -303,13 +324,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     rows = open_groups(entries, labels)
     if not rows.isEmpty():
         rows = rows.join(sets.select("doc_id", "n", "own", "bits"), "doc_id")
-        # A large group is cut into parts, and each pair of parts is compared in a task of its own.
-        sizes = rows.groupBy("signature").agg(F.ceil(F.count("*") / F.lit(GROUP_PART)).cast("int").alias("parts"))
-        rows = rows.join(sizes, "signature").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        x = rows.select("*", other.alias("other")).withColumnsRenamed({"part": "i", "other": "j"}).alias("x")
-        y = rows.select("*", other.alias("other")).withColumnsRenamed({"part": "j", "other": "i"}).alias("y")
-        fits = (F.col("x.label") < F.col("y.label")) & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        x, y = (side.alias(name) for side, name in zip(_sides(rows), "xy", strict=True))
+        apart = (F.col("x.label") < F.col("y.label")) | (F.col("x.i") < F.col("x.j")) & (F.col("x.label") != F.col("y.label"))
+        fits = apart & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
         # Linked sets differ in few tokens: in those that only one set has at all, and in as many others as bits differ.
         differ = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITMAP_WORDS)), F.col("x.own") + F.col("y.own"))
         fits &= differ * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
