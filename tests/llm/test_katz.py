@@ -106,6 +106,17 @@ def test_held_out_texts_fit_better_than_the_base_and_copies_best(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
 
 
+def test_large_shuffles_are_cut_into_writes_of_their_own(spark, monkeypatch):
+    made, plain = [], katz.stored
+    monkeypatch.setattr(katz, "stored", lambda df, label, **how: made.append((label, plain(df, label, **how))) or made[-1][1])
+    df = spark.createDataFrame(list(enumerate(corpus())), "doc_id long, text string").repartition(8)
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 100)
+    got = katz.score(df, F.col("doc_id") % 10 == 0, slices=2)
+    parts = [t.count() for label, t in made if label == "katz-scores"]
+    assert "katz-numbers" in [label for label, _ in made] and len(parts) == 2 and min(parts) > 0
+    assert sorted(r.doc_id for r in got.collect()) == list(range(len(corpus())))
+
+
 def test_packed_numbers():
     values = np.array([0, 1, 127, 128, 16383, 16384, 2**32, 2**62], dtype=np.int64)
     data, sizes = common.pack_numbers(values)

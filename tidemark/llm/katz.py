@@ -19,7 +19,8 @@ level, a block sends what it holds to the tables and gets counts and weights bac
 what stands around them, each distinct n-gram once and packed in few bytes. Groups have a fixed number of the vocabulary's
 words each, so the rows grow in proportion to the input and never with the square of anything. A frequent v is a group of
 its own, split by w at level two and by u at level three, and a frequent pair (u, v) by w besides, so no task gets more than
-a bounded share. Level three is done in ``SLICES`` parts, which bounds the disk that a shuffle takes. Last, each block
+a bounded share. Level three is done in ``SLICES`` parts of the words, and the end in as many parts of
+the blocks, which bounds the disk that a shuffle takes. Last, each block
 evaluates its tokens by recursion from the longest context down.
 
 Nulls and ties: a null or empty text has one token, its end. A null in the held-out column counts as false. Rows that
@@ -49,7 +50,7 @@ ADDED = 0.1
 BLOCK_TOKENS = 1 << 20
 #: Words of the vocabulary in a group.
 GROUP_WORDS = 48
-#: Parts in which level three is done.
+#: Parts in which level three, and then the evaluation, is done.
 SLICES = 2
 #: Bytes of an Arrow batch.
 BATCH = "8m"
@@ -109,11 +110,11 @@ def word_table(blocks: DataFrame, width: int) -> DataFrame:
     return dealt.select("word", (rank.cast("long") * width + F.col("part")).alias("id"), "count")
 
 
-def _numbered(blocks: DataFrame, table: DataFrame) -> DataFrame:
-    """The blocks with their words' ids and counts in place of hashes."""
+def _numbers(blocks: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows (block, wid, wc): the ids and counts of each block's words, in its order."""
     listed = blocks.select("block", F.posexplode("words").alias("pos", "word")).join(table, "word")
     lists = listed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "count"))).alias("w"))
-    return blocks.drop("words", "n").join(lists.select("block", F.col("w.id").alias("wid"), F.col("w.count").alias("wc")), "block")
+    return lists.select("block", F.col("w.id").alias("wid"), F.col("w.count").alias("wc"))
 
 
 @dataclass
@@ -692,8 +693,11 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     n, v = table.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
     texts = table.filter(F.col("word") == _END).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     facts = _Facts(n, v, texts, max(float(LEAST[2]), n * hot_share))
-    corpus = stored(_numbered(blocks, table), "katz-corpus")
+    # Stored by themselves, so that the shuffles that make them are gone when the blocks are shuffled.
+    numbers = stored(_numbers(blocks, table), "katz-numbers")
+    corpus = stored(blocks.drop("words", "n").join(numbers, "block"), "katz-corpus")
     discard(blocks)
+    discard(numbers)
 
     two = stored(_count_pairs(_send_pairs(corpus, facts), width), "katz-bigrams", by="kind", batch=BATCH)
     bigrams = two.filter(F.col("kind") == _TABLE)
@@ -711,7 +715,10 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     alone = F.size(F.filter(F.arrays_zip("words", "counts"), lambda x: (x["counts"] == 1) & (x["words"] != F.lit(end))))
     once = bigrams.agg(F.coalesce(F.sum(alone), F.lit(0))).first()[0]
     d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN), _K + 1) + np.array([once] + [0] * _K))
-    out = stored(_evaluated(known, rows.filter(F.col("kind") == _ANSWERS), facts, d2, d3, _hot_pairs(three, d3)), "katz-scores", batch=BATCH)
+    hot, answers = _hot_pairs(three, d3), rows.filter(F.col("kind") == _ANSWERS)
+    mine = F.pmod(F.xxhash64("block"), F.lit(slices))
+    parts = [stored(_evaluated(known.filter(mine == i), answers.filter(mine == i), facts, d2, d3, hot), "katz-scores", batch=BATCH) for i in range(slices)]
+    out = functools.reduce(DataFrame.unionByName, parts)
     discard(known)
     for t in three:
         discard(t, part=f"kind={_ANSWERS}")
