@@ -117,6 +117,29 @@ def test_large_shuffles_are_cut_into_writes_of_their_own(spark, monkeypatch):
     assert sorted(r.doc_id for r in got.collect()) == list(range(len(corpus())))
 
 
+def test_rows_follow_the_blocks_and_not_their_words(spark, monkeypatch):
+    rows, plain = {}, katz.stored
+
+    def stored(df, label, **how):
+        table = plain(df, label, **how)
+        rows[label] = max(table.count(), rows.get(label, 0))
+        return table
+
+    monkeypatch.setattr(katz, "stored", stored)
+    text = " ".join(f"w{i} w{i + 1}" for i in range(30_000))
+    got = katz.score(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").coalesce(1), F.col("doc_id") == 2).collect()
+    assert [(r.n_tokens, r.n_known) for r in got] == [(60_001, 60_001)] * 2 and got[0].score == pytest.approx(got[1].score)
+    width = common.shuffle_width(spark)
+    assert rows.pop("katz-numbers") <= 2 * 2**katz.WORD_BITS + width and max(rows.values()) < 1000, rows
+
+
+def test_distinct():
+    key = np.random.default_rng(6).integers(-9, 9, 1000)
+    first, of = katz._distinct(key)
+    assert (key[first] == np.unique(key)).all() and (key[first][of] == key).all()
+    assert [len(x) for x in katz._distinct(key[:0])] == [0, 0]
+
+
 def test_packed_numbers():
     values = np.array([0, 1, 127, 128, 16383, 16384, 2**32, 2**62], dtype=np.int64)
     data, sizes = common.pack_numbers(values)

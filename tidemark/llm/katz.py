@@ -9,12 +9,13 @@ for r <= 5 (1 - 1 / 2 r where they give none) and 1 beyond. Trigrams seen once a
 the shorter context. A text begins with one start and ends with one end; its first token
 has the start alone as context.
 
-Tables, written to the shared folder and read from there: words (word, id, count); bigrams, a row for each group of contexts
-v with their words and counts; contexts, a row for each group with each v's total and log_backoff; trigrams, a row for each
+Tables, written to the shared folder and read from there: words, a row for each part of the words' hashes with words, ids,
+counts; bigrams, a row for each group of contexts v with their words and counts; contexts, a row for each group with each v's total and log_backoff; trigrams, a row for each
 group of middle words v with u, w, count of those kept; and the backoff weights of (u, v) where they are asked for.
 
 How it runs. Texts are gathered into blocks of a bounded number of tokens and coded by the block's own list of words. Words
-are counted and numbered in SQL, frequent ones with small numbers, and the numbers go back to the blocks. Then, level by
+are counted and numbered by parts of their hashes, frequent ones with small numbers, and the numbers go back to the blocks;
+the number of parts is fixed, so a block has a bounded number of rows. Then, level by
 level, a block sends what it holds to the tables and gets counts and weights back: one row for each group of words v, with
 what stands around them, each distinct n-gram once and packed in few bytes. Groups have a fixed number of the vocabulary's
 words each, so the rows grow in proportion to the input and never with the square of anything. A frequent v is a group of
@@ -34,7 +35,7 @@ import functools
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import discard, importable, lean, lean_pair, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
@@ -48,12 +49,16 @@ HOT_SHARE = 1 / 2000
 ADDED = 0.1
 #: Tokens of a block at most, unless one batch of texts has more.
 BLOCK_TOKENS = 1 << 20
-#: Words of the vocabulary in a group.
-GROUP_WORDS = 48
+#: The words' hashes are dealt into 2 ** WORD_BITS parts, whatever the input.
+WORD_BITS = 11
+#: Words of the vocabulary in a group. A row costs about as much as what stands around a hundred words, so groups aren't small.
+GROUP_WORDS = 512
 #: Parts in which level three, and then the evaluation, is done.
 SLICES = 2
 #: Bytes of an Arrow batch.
 BATCH = "8m"
+#: Rows of a batch that a worker returns.
+ROWS = 2048
 _END = int(mix(np.array([11], np.uint64)).view(np.int64)[0])
 _K = MOST_DISCOUNTED
 
@@ -64,13 +69,14 @@ _K = MOST_DISCOUNTED
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """A row for each block: doc_ids, whether each is held out, numbers of tokens, the tokens as numbers of the block's
-    words, those words' hashes, and how often each occurs in texts to learn from."""
+    words (frequent ones first), those words' hashes in their order, which of them each number is, and how often each occurs
+    in texts to learn from."""
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        names = ["block", "ids", "held", "sizes", "codes", "words", "n"]
+        names = ["block", "ids", "held", "sizes", "codes", "order", "words", "n"]
         block = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
 
@@ -83,7 +89,8 @@ def _blocks(rows: DataFrame) -> DataFrame:
             place = np.empty(len(used), np.int64)
             place[order] = np.arange(len(used))
             one = lambda values, kind: pa.array([values], pa.list_(kind))
-            return pa.RecordBatch.from_arrays([pa.array([block]), one(ids.to_pylist(), pa.int64()), one(out, pa.bool_()), one(sizes, pa.int32()), pa.array([pack_numbers(place[code])[0].tobytes()], pa.binary()), one(used[order], pa.int64()), one(learnt[order], pa.int64())], names)
+            raw = lambda values: pa.array([values.tobytes()], pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([block]), one(ids.to_pylist(), pa.int64()), one(out, pa.bool_()), one(sizes, pa.int32()), raw(pack_numbers(place[code])[0]), raw(order.astype(np.int32)), raw(used), raw(pack_numbers(learnt)[0])], names)
 
         tokens = 0
         for batch in batches:
@@ -98,32 +105,89 @@ def _blocks(rows: DataFrame) -> DataFrame:
         if tokens:
             yield row()
 
-    return rows.mapInArrow(lean(run), "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, words array<bigint>, n array<bigint>")
+    return rows.mapInArrow(lean(run), "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, order binary, words binary, n binary")
 
 
-def word_table(blocks: DataFrame, width: int) -> DataFrame:
-    """Rows (word, id, count); ids from ``width`` on, small for frequent words, without a global order."""
-    listed = blocks.select(F.explode(F.arrays_zip("words", "n")).alias("w"))
-    counted = listed.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("count"))
-    dealt = counted.withColumn("part", F.pmod(F.hash("word"), F.lit(width)))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("count"), "word"))
-    return dealt.select("word", (rank.cast("long") * width + F.col("part")).alias("id"), "count")
+_ANSWERS, _TABLE, _STATS, _SEEN = 0, 1, 2, 3
+
+
+def _send_words(blocks: DataFrame) -> DataFrame:
+    """A block's words by parts of their hashes, and how often each is to learn from."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in _rows(batch):
+                word, n = np.frombuffer(row["words"], np.int64), unpack_numbers(np.frombuffer(row["n"], np.uint8))
+                part = word >> (64 - WORD_BITS)
+                edges = _edges(part)
+                heads = part[edges[:-1]].astype(np.int32)
+                yield from pa.Table.from_arrays([pa.array(heads), pa.array(np.full(len(heads), row["block"])), _raw(word, edges), packed_rows(n, edges)], ["part", "block", "words", "n"]).to_batches(ROWS)
+
+    return blocks.select("block", "words", "n").mapInArrow(lean(run), "part int, block long, words binary, n binary")
+
+
+def _number_words(sent: DataFrame, width: int) -> DataFrame:
+    """Answers to the blocks (ids and counts), the word table, and of each task its tokens, words to learn from, texts and
+    the end's id. Ids are above 0, small for frequent words, without a global order."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        word = np.frombuffer(b"".join(rows.column("words").to_pylist()), np.int64)
+        n, edges = unpacked_rows(rows.column("n"))
+        first, of = _distinct(word)
+        count = np.bincount(of, weights=n, minlength=len(first)).astype(np.int64)
+        word = word[first]
+        part = word >> (64 - WORD_BITS)
+        order, heads = np.lexsort((word, -count, part)), _edges(part)
+        rank = np.arange(1, len(word) + 1) - np.repeat(heads[:-1], np.diff(heads))
+        ids = np.empty(len(word), np.int64)
+        ids[order] = (rank << WORD_BITS) + part + (1 << WORD_BITS >> 1)
+        names = ["kind", "part", "block", "words", "ids", "counts", "stats"]
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(ROWS)
+        raw, many = pa.binary(), pa.list_(pa.int64())
+        k = rows.num_rows
+        yield from whole(_ANSWERS, k, [rows.column("part"), rows.column("block"), pa.nulls(k, raw), packed_rows(ids[of], edges), packed_rows(count[of], edges), pa.nulls(k, many)])
+        k = len(heads) - 1
+        yield from whole(_TABLE, k, [pa.array(part[heads[:-1]].astype(np.int32)), pa.nulls(k, pa.int64()), _raw(word, heads), packed_rows(ids, heads), packed_rows(count, heads), pa.nulls(k, many)])
+        end = word == _END
+        stats = [count.sum(), (count > 0).sum(), count[end].sum(), ids[end].sum()]
+        yield from whole(_SEEN, 1, [pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), *[pa.nulls(1, raw)] * 3, pa.array([list(map(int, stats))], many)])
+
+    return sent.repartition(width, "part").mapInArrow(lean(run), "kind int, part int, block long, words binary, ids binary, counts binary, stats array<bigint>")
+
+
+_KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid binary, wc binary"
+
+
+def _numbered(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+    """The blocks with the ids and counts of their words, in the order of their numbers."""
 
+    def run(left, right):
+        import pyarrow as pa
 
-def _numbers(blocks: DataFrame, table: DataFrame) -> DataFrame:
-    """Rows (block, wid, wc): the ids and counts of each block's words, in its order."""
-    listed = blocks.select("block", F.posexplode("words").alias("pos", "word")).join(table, "word")
-    lists = listed.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "id", "count"))).alias("w"))
-    return lists.select("block", F.col("w.id").alias("wid"), F.col("w.count").alias("wc"))
+        order = np.frombuffer(left.column("order")[0].as_py(), np.int32)
+        found = [pa.array([pack_numbers(_in_order(right, ["part"], c)[order])[0].tobytes()], pa.binary()) for c in ("ids", "counts")]
+        return left.drop_columns(["order"]).append_column("wid", found[0]).append_column("wc", found[1])
+
+    return blocks.drop("words", "n").groupBy("block").cogroup(answers.select("block", "part", "ids", "counts").groupBy("block")).applyInArrow(lean_pair(run), _KNOWN)
 
 
 @dataclass
 class _Facts:
-    """What holds for all blocks: training tokens, their words, texts to learn from, and the start's total and weight."""
+    """What holds for all blocks: training tokens, their words, texts to learn from, the end's id, and the start's total and
+    weight."""
 
     n: int
     v: int
     texts: int
+    end: int
     hot: float
     start: tuple[int, float] = (0, 0.0)
 
@@ -141,7 +205,7 @@ class _Block:
     """One block, its words numbered from 1 in the order of their groups and ids; 0 is the start of a text."""
 
     def __init__(self, row: dict, facts: _Facts):
-        wid, wc = (np.asarray(row[k], dtype=np.int64) for k in ("wid", "wc"))
+        wid, wc = (unpack_numbers(np.frombuffer(row[k], np.uint8)) for k in ("wid", "wc"))
         group = facts.group(wid, wc)
         order = np.lexsort((wid, group))
         place = np.empty(len(wid), np.int32)
@@ -163,8 +227,8 @@ class _Block:
 
     def pairs(self):
         """Distinct pairs: v, w, split, in the order of rows, and the pair of each token."""
-        key, of = np.unique(self.before * np.int64(self.base) + self.word, return_inverse=True)
-        v, w = np.divmod(key, self.base)
+        first, of = _distinct(self.before * np.int64(self.base) + self.word)
+        v, w = self.before[first].astype(np.int64), self.word[first].astype(np.int64)
         split = _split(self.count[v], self.facts.hot, self.id[w])
         order = _resorted(v, split)
         if order is not None:
@@ -179,10 +243,9 @@ class _Block:
         u, v, w = self.before[at - 1].astype(np.uint64), self.word[at - 1].astype(np.uint64), self.word[at].astype(np.uint64)
         base = np.uint64(self.base)
         if self.base < 1 << 21:
-            key, first, of = np.unique((v * base + u) * base + w, return_index=True, return_inverse=True)
+            first, of = _distinct((v * base + u) * base + w)
         else:
-            pair = np.unique(v * base + u, return_inverse=True)[1].astype(np.uint64)
-            key, first, of = np.unique(pair * base + w, return_index=True, return_inverse=True)
+            first, of = _distinct(_distinct(v * base + u)[1].astype(np.uint64) * base + w)
         u, v, w = (x[first].astype(np.int64) for x in (u, v, w))
         alone = self.low[at[first] - 1] >= self.facts.hot
         split = _split(self.count[v], self.facts.hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
@@ -233,6 +296,16 @@ def _resorted(v: np.ndarray, *then: np.ndarray) -> np.ndarray | None:
     return order
 
 
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each different key, in their order, a place where it stands; and for each place which of these it has. As
+    np.unique, whose stable sort for first places takes far longer."""
+    order = np.argsort(key)
+    edges = _edges(key[order])
+    of = np.empty(len(key), np.int64)
+    of[order] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    return order[edges[:-1]], of
+
+
 def _edges(*keys: np.ndarray) -> np.ndarray:
     """Where a new key begins, and the end."""
     n = len(keys[0])
@@ -257,10 +330,13 @@ def _order(*keys: np.ndarray) -> np.ndarray:
 
 def _ranked(rows: list[np.ndarray], of_row: np.ndarray, v: np.ndarray) -> np.ndarray:
     """For each n-gram a number that stands for the key of its row and for v, in their order."""
+    by_key = np.lexsort(rows[::-1])
+    key = np.empty(len(by_key), np.int64)
+    key[by_key] = np.repeat(np.arange(len(cuts := _edges(*(r[by_key] for r in rows))) - 1), np.diff(cuts))
     head = _edges(of_row, v)
-    mine = of_row[head[:-1]]
-    order = np.lexsort((v[head[:-1]], *(r[mine] for r in reversed(rows))))
-    new = _edges(*(r[mine][order] for r in rows), v[head[:-1]][order])
+    mine, words = key[of_row[head[:-1]]], v[head[:-1]]
+    order = _order(mine, words)
+    new = _edges(mine[order], words[order])
     rank = np.empty(len(order), np.int64)
     rank[order] = np.repeat(np.arange(len(new) - 1), np.diff(new))
     return np.repeat(rank, np.diff(head))
@@ -277,6 +353,13 @@ def _lists(values: np.ndarray, edges: np.ndarray, kind):
     return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values, kind))
 
 
+def _raw(values: np.ndarray, edges: np.ndarray):
+    """An Arrow binary array: row i has the eight bytes of each of values[edges[i]:edges[i + 1]]."""
+    import pyarrow as pa
+
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def _rows(df: DataFrame):
     """Rows of an Arrow batch as dictionaries whose lists are arrays."""
     for i in range(df.num_rows):
@@ -323,7 +406,6 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 
 
 _TWO = "kind int, grp long, split int, block long, data binary, v array<bigint>, sizes array<int>, words array<bigint>, counts array<bigint>, stats array<double>"
-_ANSWERS, _TABLE, _STATS, _SEEN = 0, 1, 2, 3
 
 
 def _steps(values: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -354,13 +436,14 @@ def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
                 n = np.bincount(of, weights=block.learnt, minlength=len(v)).astype(np.int64)
                 packed = (_steps(block.id[v], group, split), _steps(block.id[w], v, split), block.count[w], n)
                 columns = [pa.array(group[at]), pa.array(split[at].astype(np.int32)), pa.array(np.full(len(at), block.number))]
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["grp", "split", "block", "v", "w", "c", "n"]).to_batches(65536)
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["grp", "split", "block", "v", "w", "c", "n"]).to_batches(ROWS)
 
     return corpus.mapInArrow(lean(run), "grp long, split int, block long, v binary, w binary, c binary, n binary")
 
 
-def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
-    """Answers to the blocks (each pair's count), the bigram table, and each context's statistics."""
+def _count_pairs(sent: DataFrame, width: int, end: int) -> DataFrame:
+    """Answers to the blocks (each pair's count), the bigram table with each context's statistics, and of each task how many
+    pairs were seen 1, ..., _K + 1 times, and how many once with another word than the end."""
 
     def run(batches):
         import pyarrow as pa
@@ -380,7 +463,7 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
         back[order] = np.repeat(total, np.diff(cuts))
         names = ["kind", "grp", "split", "block", "data", "v", "sizes", "words", "counts", "stats"]
         many, real = pa.list_(pa.int64()), pa.list_(pa.float64())
-        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(65536)
+        whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(ROWS)
         k = len(row_group)
         yield from whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_block), packed_rows(back, edges), pa.nulls(k, many), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
 
@@ -394,20 +477,16 @@ def _count_pairs(sent: DataFrame, width: int) -> DataFrame:
         stats = np.stack([*_by_count(total, at), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
         of_words = at[rows]
         yield from whole(_TABLE, k, [pa.array(group[heads][rows[:-1]]), pa.array(split[heads][rows[:-1]].astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(v[heads], rows, pa.int64()), _lists(np.diff(at).astype(np.int32), rows, pa.int32()), _lists(word, of_words, pa.int64()), _lists(total, of_words, pa.int64()), _lists(stats.reshape(-1), rows * (_K + 4), pa.float64())])
+        counts = [*((total == r).sum() for r in range(1, _K + 2)), ((total == 1) & (word != end)).sum()]
+        yield from whole(_SEEN, 1, [pa.array([0]), pa.array([0], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, many), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, many), pa.nulls(1, many), pa.array([list(map(float, counts))], real)])
 
     return sent.repartition(width, "grp", "split").mapInArrow(lean(run), _TWO)
 
 
-def _counts_of_counts(stats: DataFrame, width: int) -> np.ndarray:
-    """From rows with lists of ``width`` numbers one after the other in the column stats: the sums of the first _K + 1 of
-    each, the numbers of n-grams seen 1, ..., _K + 1 times."""
-    first = F.sequence(F.lit(0), (F.size("stats") / width).cast("int") - 1)
-
-    def every(i: int):
-        return F.aggregate(first, F.lit(0.0), lambda total, j: total + F.get("stats", (j * width + i).cast("int")))
-
-    row = stats.filter(F.size("stats") > 0).agg(*(F.coalesce(F.sum(every(i)), F.lit(0.0)) for i in range(_K + 1))).first()
-    return np.array(list(row), dtype=np.float64)
+def _sums(rows: DataFrame, width: int) -> np.ndarray:
+    """The sums of the first ``width`` numbers of the column stats in what the tasks tell of all they have seen."""
+    row = rows.filter(F.col("kind") == _SEEN).agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(width))).first()
+    return np.array(list(row))
 
 
 def _left(stats, d: np.ndarray, total):
@@ -439,7 +518,7 @@ def contexts(table: DataFrame, d: np.ndarray, z: float, hot: float) -> DataFrame
             left = np.where(nothing, 1.0, _left(stats, d, n))
             back = np.log10(left / (n + nothing)) - np.log10(1 - stats[_K + 3] / z)
             words = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            lists = [*(packed_rows(x.astype(np.int64), edges) for x in (words, n + nothing, nothing)), _floats(back, edges)]
+            lists = [*(packed_rows(x.astype(np.int64), edges) for x in (words, n + nothing, nothing)), _raw(back, edges)]
             parts = np.where(n >= hot, np.ceil(n / hot), 1).astype(np.int32)[edges[:-1]] if len(edges) > 1 else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts), *lists], ["grp", "parts", "v", "total", "more", "log_backoff"])
 
@@ -447,9 +526,6 @@ def contexts(table: DataFrame, d: np.ndarray, z: float, hot: float) -> DataFrame
     return found.select("grp", F.explode(F.sequence(F.lit(0), F.when(F.col("grp") < 0, F.col("parts")).otherwise(1) - 1)).alias("split"), "v", "total", "more", "log_backoff")
 
 
-_KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid array<bigint>, wc array<bigint>"
-
-
 def _answered(corpus: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame:
     """The blocks with the count of the pair that ends at each token (``low``)."""
 
@@ -501,7 +577,7 @@ def _send_triples(corpus: DataFrame, facts: _Facts, which: int, slices: int) ->
                 heads = edges[:-1]
                 packed = (_steps(block.id[v], group, split, own), _steps(block.id[u], v, split, own), _steps(block.id[w], v, split, own, u), n, block.low[first])
                 columns = [pa.array(group[heads]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), block.number))]
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], names).to_batches(65536)
+                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], names).to_batches(ROWS)
 
     return corpus.mapInArrow(lean(run), "grp long, split int, own long, block long, " + ", ".join(f"{n} binary" for n in names[4:]))
 
@@ -518,12 +594,6 @@ def _unpacked(got):
 _THREE = "kind int, grp long, split int, own long, block long, data binary, above binary, masses binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
 
 
-def _floats(values: np.ndarray, edges: np.ndarray):
-    import pyarrow as pa
-
-    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 8).astype(np.int32).tobytes()), pa.py_buffer(values.astype(np.float64).tobytes())])
-
-
 def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts, which: int, slices: int, d2: np.ndarray) -> DataFrame:
     """Answers to the blocks, the trigram table, the statistics of frequent pairs, whose trigrams are in many tasks, and of
     each task how many trigrams were seen 1, ..., _K + 1 times.
@@ -589,15 +659,15 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
         many, real, raw = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()
         whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names)
         k = len(row_group)
-        weights = [packed_rows(above, of_asked * (_K + 1)), _floats(mass[context_of[asked]], of_asked), packed_rows(cmore[place], per_row), _floats(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
+        weights = [packed_rows(above, of_asked * (_K + 1)), _raw(mass[context_of[asked]], of_asked), packed_rows(cmore[place], per_row), _raw(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
         out = whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), *weights, *[pa.nulls(k, many)] * 4, pa.nulls(k, real)])
-        yield from out.filter(pa.array(row_own >= 0)).to_batches(65536)
+        yield from out.filter(pa.array(row_own >= 0)).to_batches(ROWS)
         del out, weights, answer
 
         at = np.flatnonzero(kept)
         rows = _edges(hg[at], hs[at], ho[at])
         k, heads = len(rows) - 1, at[rows[:-1]]
-        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 5, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(65536)
+        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 5, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(ROWS)
 
         # Contexts seen once are left out here, whether they were sent or not; they are counted by the pairs.
         often = np.repeat((total >= LEAST[2]) | (ho[pair[:-1]] > 0), per)
@@ -608,7 +678,7 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
         if len(alone):
             heads, k = pair[:-1][alone], len(alone)
             stats = np.stack([*sums, total, mass], axis=1)[alone].astype(np.float64)
-            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 5, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(65536)
+            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 5, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(ROWS)
 
     return both.select(columns).repartition(width, "grp", "split").mapInArrow(lean(run), _THREE)
 
@@ -689,19 +759,18 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     width = shuffle_width(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     blocks = stored(_blocks(rows), "katz-blocks", batch=BATCH)
-    table = stored(word_table(blocks, width), "katz-words")
-    n, v = table.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
-    texts = table.filter(F.col("word") == _END).agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    facts = _Facts(n, v, texts, max(float(LEAST[2]), n * hot_share))
-    # Stored by themselves, so that the shuffles that make them are gone when the blocks are shuffled.
-    numbers = stored(_numbers(blocks, table), "katz-numbers")
-    corpus = stored(blocks.drop("words", "n").join(numbers, "block"), "katz-corpus")
+    # Stored by themselves, so that the shuffle that makes them is gone when the blocks are shuffled.
+    numbers = stored(_number_words(_send_words(blocks), width), "katz-numbers", by="kind", batch=BATCH)
+    n, v, texts, end = map(int, _sums(numbers, 4))
+    facts = _Facts(n, v, texts, end, max(float(LEAST[2]), n * hot_share))
+    corpus = stored(_numbered(blocks, numbers.filter(F.col("kind") == _ANSWERS)), "katz-corpus", batch=BATCH)
     discard(blocks)
-    discard(numbers)
+    discard(numbers, part=f"kind={_ANSWERS}")
 
-    two = stored(_count_pairs(_send_pairs(corpus, facts), width), "katz-bigrams", by="kind", batch=BATCH)
+    two = stored(_count_pairs(_send_pairs(corpus, facts), width, end), "katz-bigrams", by="kind", batch=BATCH)
     bigrams = two.filter(F.col("kind") == _TABLE)
-    d2 = discounts(_counts_of_counts(bigrams, _K + 4))
+    *seen, once = _sums(two, _K + 2)
+    d2 = discounts(np.array(seen))
     after = stored(contexts(bigrams, d2, facts.z, facts.hot), "katz-contexts", batch=BATCH)
     facts.start = next(((int(unpack_numbers(np.frombuffer(r.total, np.uint8))[0]), float(np.frombuffer(r.log_backoff)[0])) for r in after.filter(F.col("grp") == -(1 << 62)).limit(1).collect()), (0, 0.0))
     known = stored(_answered(corpus, two.filter(F.col("kind") == _ANSWERS), facts), "katz-known", batch=BATCH)
@@ -711,10 +780,7 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     three = [stored(_count_triples(_send_triples(known, facts, i, slices), after, width, facts, i, slices, d2), "katz-trigrams", by="kind", batch=BATCH) for i in range(slices)]
     rows = functools.reduce(DataFrame.unionByName, three)
     # A pair seen once, and not at the end of a text, is the context of one trigram seen once.
-    end = table.filter(F.col("word") == _END).agg(F.max("id")).first()[0]
-    alone = F.size(F.filter(F.arrays_zip("words", "counts"), lambda x: (x["counts"] == 1) & (x["words"] != F.lit(end))))
-    once = bigrams.agg(F.coalesce(F.sum(alone), F.lit(0))).first()[0]
-    d3 = discounts(_counts_of_counts(rows.filter(F.col("kind") == _SEEN), _K + 1) + np.array([once] + [0] * _K))
+    d3 = discounts(_sums(rows, _K + 1) + np.array([once] + [0] * _K))
     hot, answers = _hot_pairs(three, d3), rows.filter(F.col("kind") == _ANSWERS)
     mine = F.pmod(F.xxhash64("block"), F.lit(slices))
     parts = [stored(_evaluated(known.filter(mine == i), answers.filter(mine == i), facts, d2, d3, hot), "katz-scores", batch=BATCH) for i in range(slices)]
