@@ -308,8 +308,9 @@ def unpack_numbers(data: np.ndarray) -> np.ndarray:
     begins = np.append(0, ends[:-1] + 1) if len(ends) else ends
     sizes = ends - begins + 1
     out = (data[begins] & 0x7F).astype(np.int64)
+    mine = None
     for k in range(1, int(sizes.max()) if len(sizes) else 0):
-        mine = np.flatnonzero(sizes > k)
+        mine = np.flatnonzero(sizes > k) if mine is None else mine[sizes[mine] > k]
         out[mine] |= (data[begins[mine] + k] & 0x7F).astype(np.int64) << (7 * k)
     return out
 

@@ -240,12 +240,9 @@ class _Block:
     def triples(self, at: np.ndarray):
         """Distinct trigrams of the tokens ``at``: u, v, w, split, own, in the order of rows, and the trigram of each token.
         A frequent pair (u, v) has rows of its own, of which ``own`` tells u."""
-        u, v, w = self.before[at - 1].astype(np.uint64), self.word[at - 1].astype(np.uint64), self.word[at].astype(np.uint64)
-        base = np.uint64(self.base)
-        if self.base < 1 << 21:
-            first, of = _distinct((v * base + u) * base + w)
-        else:
-            first, of = _distinct(_distinct(v * base + u)[1].astype(np.uint64) * base + w)
+        u, v, w = self.before[at - 1], self.before[at], self.word[at]
+        base = np.int64(self.base)
+        first, of = _distinct(_distinct(v * base + u)[1] * base + w)
         u, v, w = (x[first].astype(np.int64) for x in (u, v, w))
         alone = self.low[at[first] - 1] >= self.facts.hot
         split = _split(self.count[v], self.facts.hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
@@ -296,11 +293,24 @@ def _resorted(v: np.ndarray, *then: np.ndarray) -> np.ndarray | None:
     return order
 
 
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by numbers, and the numbers in it. Where number and place fit into 63 bits they are sorted as one, which is
+    several times faster than sorting places."""
+    bits = len(key).bit_length()
+    if not len(key) or int(key.min()) < 0 or int(key.max()) >> (63 - bits):
+        order = np.argsort(key)
+        return order, key[order]
+    whole = key.astype(np.int64) << bits
+    whole |= np.arange(len(key))
+    whole.sort()
+    return whole & ((1 << bits) - 1), whole >> bits
+
+
 def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each different key, in their order, a place where it stands; and for each place which of these it has. As
     np.unique, whose stable sort for first places takes far longer."""
-    order = np.argsort(key)
-    edges = _edges(key[order])
+    order, key = _sorted(key)
+    edges = _edges(key)
     of = np.empty(len(key), np.int64)
     of[order] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     return order[edges[:-1]], of
@@ -325,7 +335,7 @@ def _order(*keys: np.ndarray) -> np.ndarray:
     whole = keys[0].astype(np.int64)
     for k, n in zip(keys[1:], bits[1:], strict=True):
         whole = whole << n | k
-    return np.argsort(whole)
+    return _sorted(whole)[0]
 
 
 def _ranked(rows: list[np.ndarray], of_row: np.ndarray, v: np.ndarray) -> np.ndarray:
