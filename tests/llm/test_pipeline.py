@@ -43,6 +43,12 @@ def test_planted_documents(spark, tmp_path):
     assert sorted(r.n_tokens for r in corpus_pipeline.token_stage(spark, clean, "").collect())[:2] == [0, 0]
 
 
+def test_tokens_take_one_python_worker_for_each_task(spark):
+    docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.token_stage(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_short_benchmark_items(spark, tmp_path):
     filler = lambda n: " ".join(f"w{n}x{i}" for i in range(200))
     items = [(1, "yes"), (2, "in the long run"), (3, "seven of nine"), (4, " ".join(f"question{i}" for i in range(20))), (5, "one two three four five six seven eight")]

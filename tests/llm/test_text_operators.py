@@ -143,6 +143,19 @@ def test_bpe_edges(spark):
     assert bpe.decode(df, path).filter("ids IS NULL AND decoded IS NULL").count() == 1
 
 
+def test_bpe_encode_and_decode_at_once(spark):
+    path = tokenizer_path()
+    texts = ["", None, " a \n\u0085b", "é漢😀 <|endoftext|>x", "a" * 5000, "ab" * 3000, "word " * 20000] + [f"{i} words of {i * i}" for i in range(6000)]
+    rows = [(i % 7 or None, t, [9], "x", f"s{i}") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids array<int>, decoded string, source string")
+    got, apart = bpe.encode_and_decode(df, path), bpe.decode(bpe.encode(df, path), path)
+    assert got.schema == apart.schema and got.columns == ["doc_id", "text", "source", "ids", "decoded"]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, apart.collect()))
+    assert bpe.encode_and_decode(df.limit(0), path).count() == 0
+    body = bpe.encode_and_decode(df.withColumnRenamed("text", "body"), path, "body")
+    assert [r.ids for r in body.orderBy("source").collect()] == [r.ids for r in got.orderBy("source").collect()]
+
+
 def test_bpe_long_texts_in_bounded_segments():
     rng, lib = random.Random(2), library()
     encoder = bpe.Encoder(tokenizer_path())

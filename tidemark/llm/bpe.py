@@ -315,24 +315,14 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ids array<int>; ``path``: a tokenizer file that every executor can read."""
-    bounded_batches(docs.sparkSession)
-    docs = docs.drop("ids")
-    at = docs.columns.index(text)
-
-    def run(batches):
-        import pyarrow as pa
-
-        of = encoder(path)
-        for batch in batches:
-            values, sizes = of.encode_batch(batch.column(at).to_pylist())
-            made = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "ids"])
-            del values, made
-        of.clear()
-
-    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+def _bytes_of(path: str) -> list[bytes]:
+    """The vocabulary of a tokenizer file; an encoder's own where this worker has one."""
+    if path in _encoders:
+        return _encoders[path].merges.bytes_of
+    if path not in _vocabularies:
+        with open(path, encoding="utf-8") as file:
+            _vocabularies[path] = vocabulary(json.load(file))
+    return _vocabularies[path]
 
 
 class TextMachine:
@@ -352,27 +342,63 @@ def decode_ids(ids: np.ndarray, bytes_of: list[bytes], step: int = 65536) -> str
     return "".join(parts) + machine.feed([], True)
 
 
-def decode(docs: DataFrame, path: str) -> DataFrame:
-    """All columns of ``docs`` and decoded, the text of its ids; null where ids is null."""
-    bounded_batches(docs.sparkSession)
-    docs = docs.drop("decoded")
-    at = docs.columns.index("ids")
+def _encoding(path: str, at: int):
+    """A function over Arrow batches that adds ids, of the texts in column ``at``."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        of = encoder(path)
+        for batch in batches:
+            values, sizes = of.encode_batch(batch.column(at).to_pylist())
+            made = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "ids"])
+            del values, made
+        of.clear()
+
+    return run
+
+
+def _decoding(path: str, at: int):
+    """A function over Arrow batches that adds decoded, of the ids in column ``at``."""
 
     def run(batches):
         import pyarrow as pa
 
-        if path not in _vocabularies:
-            with open(path, encoding="utf-8") as file:
-                _vocabularies[path] = vocabulary(json.load(file))
-        of = _vocabularies[path]
         for batch in batches:
-            column = batch.column(at)
+            of, column = _bytes_of(path), batch.column(at)
             values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
             null = column.is_null().to_pylist()
             out = [None if null[i] else decode_ids(values[offsets[i] : offsets[i + 1]], of) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "decoded"])
 
-    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
+    return run
+
+
+_IDS, _DECODED = T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())
+
+
+def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and ids array<int>; ``path``: a tokenizer file that every executor can read."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.drop("ids")
+    return docs.mapInArrow(lean(_encoding(path, docs.columns.index(text))), T.StructType([*docs.schema.fields, _IDS]))
+
+
+def decode(docs: DataFrame, path: str) -> DataFrame:
+    """All columns of ``docs`` and decoded, the text of its ids; null where ids is null."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.drop("decoded")
+    return docs.mapInArrow(lean(_decoding(path, docs.columns.index("ids"))), T.StructType([*docs.schema.fields, _DECODED]))
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """What ``decode`` gives of what ``encode`` gives, but by one Python worker for each task instead of two, which count
+    towards an executor's memory even while idle."""
+    bounded_batches(docs.sparkSession)
+    docs = docs.drop("ids", "decoded")
+    encoding, decoding = _encoding(path, docs.columns.index(text)), _decoding(path, len(docs.columns))
+    return docs.mapInArrow(lean(lambda batches: decoding(encoding(batches))), T.StructType([*docs.schema.fields, _IDS, _DECODED]))
 
 
 def ids_text(ids):
