@@ -7,6 +7,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,40 @@ def test_packed_numbers():
     assert len(common.unpack_numbers(data[:0])) == 0
     numbers, edges = common.unpacked_rows(common.packed_rows(values, np.array([0, 0, 3, 8, 8])))
     assert (numbers == values).all() and edges.tolist() == [0, 0, 3, 8, 8]
+
+
+def test_planes():
+    rng = np.random.default_rng(7)
+    for top in (1, 2**8, 2**16, 2**24, 2**31, 2**40, 2**62):
+        values = rng.integers(0, top, 1000)
+        assert (common.unpack_planes(common.pack_planes(values)) == values).all()
+    assert len(common.unpack_planes(common.pack_planes(values[:0]))) == 0
+    edges = np.array([0, 0, 3, 3, 700, 1000])
+    for low in (np.uint8, np.uint16):
+        some = [rng.integers(0, top, 1000) for top in (200, 2**62, 2**20, 2**9, 2**40)]
+        for made in (some, some[:1], some[1:2]):
+            columns = [pa.chunked_array(c) for c in zip(*(common.plane_rows(values, edges, low) for values in made), strict=True)]
+            got, at = common.from_plane_rows(*columns, low)
+            assert (got == np.concatenate(made)).all() and np.diff(at).tolist() == [0, 3, 0, 697, 300] * len(made)
+            got, at = common.from_plane_rows(*(c.combine_chunks().slice(2, 2) for c in columns), low)
+            assert (got == made[0][3:700]).all() and at.tolist() == [0, 0, 697]
+
+
+def test_writes_by_directory_sort_nothing(spark):
+    rows = spark.range(100, numPartitions=3).selectExpr("cast(id % 3 as int) kind", "id")
+    assert common.stored(rows, "by-kind", by="kind").filter("kind = 1").count() == 33
+    store = spark._jsparkSession.sharedState().statusStore()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsCount())]
+    written = [p for p in plans if "by-kind" in p and "InsertIntoHadoopFsRelationCommand" in p]
+    assert written and not any("Sort" in p for p in written)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_order_within_frequent_words():
+    rng = np.random.default_rng(9)
+    v = np.sort(rng.integers(0, 50, 2000))
+    some = np.flatnonzero(v % 7 == 0)
+    split, own = np.zeros(2000, np.int64), np.zeros(2000, np.int64)
+    split[some], own[some] = rng.integers(0, 5, len(some)), rng.choice([0, 0, 3, 2**40, 2**62], len(some))
+    assert katz._resorted(some, v, split * 0, own * 0) is None
+    assert katz._resorted(some, v, split, own).tolist() == np.lexsort((own, split, v)).tolist()

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, importable, lean, lean_pair, mix, pack_numbers, packed_rows, shuffle_width, stored, unpack_numbers, unpacked_rows, words
+from tidemark.llm.common import discard, from_plane_rows, importable, lean, lean_pair, mix, pack_numbers, pack_planes, packed_rows, plane_rows, shuffle_width, stored, unpack_numbers, unpack_planes, unpacked_rows, words
 
 #: Counts up to this are discounted.
 MOST_DISCOUNTED = 5
@@ -83,14 +83,16 @@ def _blocks(rows: DataFrame) -> DataFrame:
         def row():
             ids, out = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
             token, sizes = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
-            used, code = np.unique(token, return_inverse=True)
-            learnt = np.bincount(code, weights=np.repeat(~out, sizes), minlength=len(used)).astype(np.int64)
-            order = np.argsort(-np.bincount(code, minlength=len(used)), kind="stable")
-            place = np.empty(len(used), np.int64)
-            place[order] = np.arange(len(used))
+            coded = pa.array(token).dictionary_encode()
+            used, code = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+            by_hash = np.argsort(used)
+            learnt = np.bincount(code, weights=np.repeat(~out, sizes), minlength=len(used)).astype(np.int64)[by_hash]
+            order = np.argsort(-np.bincount(code, minlength=len(used))[by_hash], kind="stable")
+            place = np.empty(len(used), np.int32)
+            place[by_hash[order]] = np.arange(len(used))
             one = lambda values, kind: pa.array([values], pa.list_(kind))
             raw = lambda values: pa.array([values.tobytes()], pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array([block]), one(ids.to_pylist(), pa.int64()), one(out, pa.bool_()), one(sizes, pa.int32()), raw(pack_numbers(place[code])[0]), raw(order.astype(np.int32)), raw(used), raw(pack_numbers(learnt)[0])], names)
+            return pa.RecordBatch.from_arrays([pa.array([block]), one(ids.to_pylist(), pa.int64()), one(out, pa.bool_()), one(sizes, pa.int32()), pa.array([pack_planes(place[code])], pa.binary()), raw(order.astype(np.int32)), raw(used[by_hash]), raw(pack_numbers(learnt)[0])], names)
 
         tokens = 0
         for batch in batches:
@@ -163,18 +165,25 @@ def _number_words(sent: DataFrame, width: int) -> DataFrame:
     return sent.repartition(width, "part").mapInArrow(lean(run), "kind int, part int, block long, words binary, ids binary, counts binary, stats array<bigint>")
 
 
-_KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, wid binary, wc binary"
+_KNOWN = "block long, ids array<bigint>, held array<boolean>, sizes array<int>, codes binary, place binary, wid binary, wc binary"
 
 
-def _numbered(blocks: DataFrame, answers: DataFrame) -> DataFrame:
-    """The blocks with the ids and counts of their words, in the order of their numbers."""
+def _numbered(blocks: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame:
+    """The blocks with the ids and counts of their words in the order of their groups and ids, and the place, from 1, that
+    each number of ``codes`` has in it."""
 
     def run(left, right):
         import pyarrow as pa
 
         order = np.frombuffer(left.column("order")[0].as_py(), np.int32)
-        found = [pa.array([pack_numbers(_in_order(right, ["part"], c)[order])[0].tobytes()], pa.binary()) for c in ("ids", "counts")]
-        return left.drop_columns(["order"]).append_column("wid", found[0]).append_column("wc", found[1])
+        wid, wc = (_in_order(right, ["part"], c)[order] for c in ("ids", "counts"))
+        by_group = np.lexsort((wid, facts.group(wid, wc)))
+        place = np.empty(len(wid), np.int64)
+        place[by_group] = np.arange(1, len(wid) + 1)
+        out = left.drop_columns(["order"])
+        for name, values in (("place", place), ("wid", wid[by_group]), ("wc", wc[by_group])):
+            out = out.append_column(name, pa.array([pack_planes(values)], pa.binary()))
+        return out
 
     return blocks.drop("words", "n").groupBy("block").cogroup(answers.select("block", "part", "ids", "counts").groupBy("block")).applyInArrow(lean_pair(run), _KNOWN)
 
@@ -205,16 +214,13 @@ class _Block:
     """One block, its words numbered from 1 in the order of their groups and ids; 0 is the start of a text."""
 
     def __init__(self, row: dict, facts: _Facts):
-        wid, wc = (unpack_numbers(np.frombuffer(row[k], np.uint8)) for k in ("wid", "wc"))
-        group = facts.group(wid, wc)
-        order = np.lexsort((wid, group))
-        place = np.empty(len(wid), np.int32)
-        place[order] = np.arange(1, len(wid) + 1)
+        wid, wc = (unpack_planes(row[k]).astype(np.int64) for k in ("wid", "wc"))
         self.facts, self.number, self.ids = facts, row["block"], row["ids"]
-        self.word = place[unpack_numbers(np.frombuffer(row["codes"], np.uint8))]
-        self.id = np.append(0, wid[order])
-        self.count = np.append(facts.texts, wc[order])
-        self.group = np.append(-(1 << 62), group[order])
+        self.word = unpack_planes(row["place"]).astype(np.int32)[unpack_planes(row["codes"])]
+        self.id = np.append(0, wid)
+        self.count = np.append(facts.texts, wc)
+        self.group = np.append(-(1 << 62), facts.group(wid, wc))
+        self.frequent = self.count >= facts.hot
         self.sizes = np.asarray(row["sizes"], dtype=np.int64)
         self.held = np.asarray(row["held"], dtype=bool)
         self.base = len(self.id)
@@ -223,16 +229,17 @@ class _Block:
         self.before[1:] = self.word[:-1]
         self.before[self.first] = 0
         self.learnt = ~np.repeat(self.held, self.sizes)
-        self.low = unpack_numbers(np.frombuffer(row["low"], np.uint8)) if row.get("low") is not None else None
+        self.low = unpack_planes(row["low"]) if row.get("low") is not None else None
 
     def pairs(self):
         """Distinct pairs: v, w, split, in the order of rows, and the pair of each token."""
         first, of = _distinct(self.before * np.int64(self.base) + self.word)
         v, w = self.before[first].astype(np.int64), self.word[first].astype(np.int64)
-        split = _split(self.count[v], self.facts.hot, self.id[w])
-        order = _resorted(v, split)
+        split, some = np.zeros(len(v), np.int64), np.flatnonzero(self.frequent[v])
+        split[some] = _split(self.count[v[some]], self.facts.hot, self.id[w[some]])
+        order = _resorted(some, v, split)
         if order is not None:
-            place = np.empty(len(order), np.int64)
+            place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order))
             v, w, split, of = v[order], w[order], split[order], place[of]
         return v, w, split, of
@@ -244,12 +251,13 @@ class _Block:
         base = np.int64(self.base)
         first, of = _distinct(_distinct(v * base + u)[1] * base + w)
         u, v, w = (x[first].astype(np.int64) for x in (u, v, w))
-        alone = self.low[at[first] - 1] >= self.facts.hot
-        split = _split(self.count[v], self.facts.hot, np.where(alone, self.id[w] + 7 * self.id[u], self.id[u]))
-        own = np.where(alone, self.id[u] + 1, 0)
-        order = _resorted(v, split, own)
+        split, own, some = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64), np.flatnonzero(self.frequent[v])
+        alone, of_u = self.low[at[first[some]] - 1] >= self.facts.hot, self.id[u[some]]
+        split[some] = _split(self.count[v[some]], self.facts.hot, np.where(alone, self.id[w[some]] + 7 * of_u, of_u))
+        own[some[alone]] = of_u[alone] + 1
+        order = _resorted(some, v, split, own)
         if order is not None:
-            place = np.empty(len(order), np.int64)
+            place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order))
             u, v, w, split, own, of, first = u[order], v[order], w[order], split[order], own[order], place[of], first[order]
         return u, v, w, split, own, of, at[first]
@@ -259,40 +267,72 @@ class _Block:
         all. A context seen less often than a trigram must be has no kept trigram, so its weight is 1 and nothing need be
         asked, but for what comes back about v: its weight, if a pair with it was never seen, and its total, if that can be
         above its count. For the latter one token of each v will do."""
-        has = np.zeros(len(self.word), bool)
-        low, count = self.low[1:], self.count[self.word[:-1]]
-        has[1:] = (self.low[:-1] >= LEAST[2]) | (low == 0) & (count > 0)
+        has, before = np.zeros(len(self.word), bool), self.word[:-1]
+        has[1:] = (self.low[:-1] >= LEAST[2]) | (self.low[1:] == 0) & (self.count > 0)[before]
         has[self.first] = False
-        some = np.ones(len(self.word), bool)
+        # Words with a total that can be above their count, and none of whose tokens is asked about yet.
+        alone = self.count > MOST_DISCOUNTED
+        alone[before[has[1:]]] = False
+        some = alone[self.before]
         some[self.first] = False
-        some[1:] &= count > MOST_DISCOUNTED
         at = np.flatnonzero(some)
-        told = np.zeros(self.base, bool)
-        told[self.word[at[has[at]] - 1]] = True
-        at = at[~told[self.word[at - 1]]]
-        has[at[np.unique(self.word[at - 1], return_index=True)[1]]] = True
+        has[at[np.unique(self.before[at], return_index=True)[1]]] = True
         if which is not None and slices > 1:
             has[1:] &= (self.group % slices == which)[self.word[:-1]]
         return np.flatnonzero(has)
 
 
 def _split(total: np.ndarray, hot: float, by: np.ndarray) -> np.ndarray:
-    """Which part of a frequent context's rows each n-gram is in; 0 where the context isn't frequent."""
-    parts = np.where(total >= hot, np.ceil(total / hot), 1).astype(np.uint64)
-    return (mix(by.astype(np.uint64)) % parts).astype(np.int64)
+    """Which part of a frequent context's rows each n-gram is in."""
+    return (mix(by.astype(np.uint64)) % np.ceil(total / hot).astype(np.uint64)).astype(np.int64)
 
 
-def _resorted(v: np.ndarray, *then: np.ndarray) -> np.ndarray | None:
-    """A stable order by v, which is sorted, and then by what is rarely not 0."""
-    odd = np.flatnonzero(np.logical_or.reduce([t != 0 for t in then]))
-    if not len(odd):
+def _resorted(some: np.ndarray, v: np.ndarray, *then: np.ndarray) -> np.ndarray | None:
+    """A stable order by v, which is sorted, and then by what is 0 but at the places ``some``, which are all that their v
+    have."""
+    keys = [t[some] for t in then]
+    if not any(k.any() for k in keys):
         return None
-    some = np.flatnonzero(np.isin(v, np.unique(v[odd])))
+    for i, k in enumerate(keys):
+        if len(k) and k.max() >> 20:  # few different numbers, but large ones
+            odd, keys[i] = np.flatnonzero(k), np.zeros(len(k), np.int64)
+            keys[i][odd] = np.unique(k[odd], return_inverse=True)[1] + 1
     order = np.arange(len(v))
-    order[some] = some[np.lexsort((*(t[some] for t in reversed(then)), v[some]))]
+    order[some] = some[_stable(v[some], *keys)]
     return order
 
 
+def _whole(keys) -> np.ndarray | None:
+    """One number for the keys, all >= 0, the first counting most, if they fit into 63 bits."""
+    bits = [int(k.max()).bit_length() if len(k) else 0 for k in keys]
+    if sum(bits) > 63:
+        return None
+    whole = keys[0].astype(np.int64)
+    for k, n in zip(keys[1:], bits[1:], strict=True):
+        whole <<= n
+        whole |= k
+    return whole
+
+
+def _stable(*keys: np.ndarray) -> np.ndarray:
+    """A stable order by numbers >= 0, the first key first."""
+    whole = _whole([*keys, np.arange(len(keys[0]))])
+    if whole is None:
+        return np.lexsort(keys[::-1])
+    whole.sort()
+    return whole & ((1 << max(0, len(whole) - 1).bit_length()) - 1)
+
+
+def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by numbers >= 0, the first key first, and where in it others begin, and the end."""
+    whole = _whole(keys)
+    if whole is None:
+        order = np.lexsort(keys[::-1])
+        return order, _edges(*(k[order] for k in keys))
+    order, whole = _sorted(whole)
+    return order, _edges(whole)
+
+
 def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by numbers, and the numbers in it. Where number and place fit into 63 bits they are sorted as one, which is
     several times faster than sorting places."""
@@ -310,10 +350,11 @@ def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each different key, in their order, a place where it stands; and for each place which of these it has. As
     np.unique, whose stable sort for first places takes far longer."""
     order, key = _sorted(key)
-    edges = _edges(key)
-    of = np.empty(len(key), np.int64)
-    of[order] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    return order[edges[:-1]], of
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    of = np.empty(len(key), np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], of
 
 
 def _edges(*keys: np.ndarray) -> np.ndarray:
@@ -327,29 +368,15 @@ def _edges(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
-def _order(*keys: np.ndarray) -> np.ndarray:
-    """An order by numbers >= 0, the first key first: by one number made of all keys where these fit into 63 bits."""
-    bits = [int(k.max()).bit_length() if len(k) else 0 for k in keys]
-    if sum(bits) > 63:
-        return np.lexsort(keys[::-1])
-    whole = keys[0].astype(np.int64)
-    for k, n in zip(keys[1:], bits[1:], strict=True):
-        whole = whole << n | k
-    return _sorted(whole)[0]
-
-
 def _ranked(rows: list[np.ndarray], of_row: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """For each n-gram a number that stands for the key of its row and for v, in their order."""
+    """For each v of a row a number that stands for the key of the row and for v, in their order."""
     by_key = np.lexsort(rows[::-1])
     key = np.empty(len(by_key), np.int64)
     key[by_key] = np.repeat(np.arange(len(cuts := _edges(*(r[by_key] for r in rows))) - 1), np.diff(cuts))
-    head = _edges(of_row, v)
-    mine, words = key[of_row[head[:-1]]], v[head[:-1]]
-    order = _order(mine, words)
-    new = _edges(mine[order], words[order])
+    order, new = _grouped(key[of_row], v)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.repeat(np.arange(len(new) - 1), np.diff(new))
-    return np.repeat(rank, np.diff(head))
+    return rank
 
 
 def _totals(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -357,6 +384,10 @@ def _totals(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, edges[:-1]) if len(edges) > 1 else values[:0]
 
 
+def _any(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    return np.logical_or.reduceat(values, edges[:-1]) if len(edges) > 1 else values[:0]
+
+
 def _lists(values: np.ndarray, edges: np.ndarray, kind):
     import pyarrow as pa
 
@@ -381,21 +412,12 @@ def _rows(df: DataFrame):
         yield row
 
 
-def _gathered(batches, n_packed: int):
-    """All rows of a partition: their plain columns, and each packed column's numbers with the row of each number."""
-    import pyarrow as pa
-
-    batches = [b for b in batches if b.num_rows]
-    if not batches:
-        return None
-    table = pa.Table.from_batches(batches)
-    plain = [table.column(i).to_numpy() for i in range(table.num_columns - n_packed)]
-    return plain, [unpacked_rows(table.column(i)) for i in range(table.num_columns - n_packed, table.num_columns)]
-
-
-def _by_count(counts: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
-    """Between edges, how many counts are 1, ..., _K + 1, and the sum of those above _K."""
-    return [*(_totals((counts == r).astype(np.int64), edges) for r in range(1, _K + 2)), _totals(np.where(counts > _K, counts, 0), edges)]
+def _by_count(counts: np.ndarray, of: np.ndarray, n: int) -> list[np.ndarray]:
+    """For each of ``n`` contexts, how many of its counts are 1, ..., _K + 1, and the sum of those above _K. ``of``: the context
+    of each count."""
+    by = np.bincount(of * (_K + 3) + np.minimum(counts, _K + 2), minlength=n * (_K + 3)).reshape(n, _K + 3)
+    large = np.flatnonzero(counts > _K)
+    return [*by.T[1 : _K + 2], np.bincount(of[large], weights=counts[large], minlength=n).astype(np.int64)]
 
 
 def discounts(counts: np.ndarray) -> np.ndarray:
@@ -415,7 +437,7 @@ def discounts(counts: np.ndarray) -> np.ndarray:
 # Level two
 
 
-_TWO = "kind int, grp long, split int, block long, data binary, v array<bigint>, sizes array<int>, words array<bigint>, counts array<bigint>, stats array<double>"
+_TWO = "kind int, grp long, split int, block long, data binary, rest binary, v array<bigint>, sizes array<int>, words array<bigint>, counts array<bigint>, stats array<double>"
 
 
 def _steps(values: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -432,6 +454,38 @@ def _from_steps(steps: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return sums - np.repeat(np.append(0, sums)[edges[:-1]], np.diff(edges))
 
 
+#: Columns of a row: its words v as packed steps, and how many n-grams each has; in their order, n-grams then are columns of
+#: planes without v.
+_HEADS = ("v", "per_v")
+
+
+def _planes(*names: str) -> list[str]:
+    return [f"{n}{part}" for n in names for part in ("", "_rest")]
+
+
+def _sent(block: _Block, v: np.ndarray, split: np.ndarray, *own: np.ndarray):
+    """The plain columns of a block's rows, in each of which the n-grams have one group, split and own; where rows begin; and
+    the columns _HEADS."""
+    import pyarrow as pa
+
+    runs = _edges(v, split, *own)
+    at = runs[:-1]
+    keys = [block.group[v[at]], split[at], *(o[at] for o in own)]
+    rows = _edges(*keys)
+    heads = rows[:-1]
+    packed = [packed_rows(_steps(block.id[v[at]], *keys), rows), packed_rows(np.diff(runs), rows)]
+    plain = [pa.array(keys[0][heads]), pa.array(keys[1][heads].astype(np.int32)), *(pa.array(k[heads]) for k in keys[2:]), pa.array(np.full(len(heads), block.number))]
+    return plain, runs[rows], packed
+
+
+def _received(rows, first: int):
+    """Of the columns _HEADS, the first of which is ``first``: where each row's words v begin, the row of each, the words, and
+    where the n-grams of each begin."""
+    v, edges = unpacked_rows(rows.column(first))
+    of_row = np.repeat(np.arange(rows.num_rows), np.diff(edges))
+    return edges, of_row, _from_steps(v, of_row), np.append(0, np.cumsum(unpacked_rows(rows.column(first + 1))[0]))
+
+
 def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
     def run(batches):
         import pyarrow as pa
@@ -440,15 +494,13 @@ def _send_pairs(corpus: DataFrame, facts: _Facts) -> DataFrame:
             for row in _rows(batch):
                 block = _Block(row, facts)
                 v, w, split, of = block.pairs()
-                group = block.group[v]
-                edges = _edges(group, split)
-                at = edges[:-1]
                 n = np.bincount(of, weights=block.learnt, minlength=len(v)).astype(np.int64)
-                packed = (_steps(block.id[v], group, split), _steps(block.id[w], v, split), block.count[w], n)
-                columns = [pa.array(group[at]), pa.array(split[at].astype(np.int32)), pa.array(np.full(len(at), block.number))]
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], ["grp", "split", "block", "v", "w", "c", "n"]).to_batches(ROWS)
+                plain, edges, packed = _sent(block, v, split)
+                columns = [*plain, *packed, *plane_rows(block.id[w], edges, np.uint16), *plane_rows(block.count[w], edges, np.uint16), *plane_rows(n, edges)]
+                yield from pa.Table.from_arrays(columns, ["grp", "split", "block", *names]).to_batches(ROWS)
 
-    return corpus.mapInArrow(lean(run), "grp long, split int, block long, v binary, w binary, c binary, n binary")
+    names = [*_HEADS, *_planes("w", "c", "n")]
+    return corpus.mapInArrow(lean(run), "grp long, split int, block long, " + ", ".join(f"{n} binary" for n in names))
 
 
 def _count_pairs(sent: DataFrame, width: int, end: int) -> DataFrame:
@@ -458,37 +510,39 @@ def _count_pairs(sent: DataFrame, width: int, end: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        got = _gathered(batches, 4)
-        if got is None:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
-        (row_group, row_split, row_block), ((v, edges), (w, _), (c, _), (n, _)) = got
-        of_row = np.repeat(np.arange(len(row_group)), np.diff(edges))
-        v = _from_steps(v, of_row)
-        w = _from_steps(w, of_row, v)
-        rank = _ranked([row_group, row_split], of_row, v)
-        order = _order(rank, w)
-        cuts = _edges(rank[order], w[order])
+        rows = pa.Table.from_batches(batches)
+        row_group, row_split, row_block = (rows.column(i).to_numpy() for i in range(3))
+        _, of_row, v, runs = _received(rows, 3)
+        (w, edges), (c, _), (n, _) = (from_plane_rows(rows.column(i), rows.column(i + 1), low) for i, low in ((5, np.uint16), (7, np.uint16), (9, np.uint8)))
+        del batches, rows
+        of_v = np.repeat(np.arange(len(v), dtype=np.int32), np.diff(runs))
+        rank = _ranked([row_group, row_split], of_row, v)[of_v]
+        order, cuts = _grouped(rank, w)
         total = _totals(n[order], cuts)
         back = np.empty(len(w), np.int64)
         back[order] = np.repeat(total, np.diff(cuts))
-        names = ["kind", "grp", "split", "block", "data", "v", "sizes", "words", "counts", "stats"]
+        names = ["kind", "grp", "split", "block", "data", "rest", "v", "sizes", "words", "counts", "stats"]
         many, real = pa.list_(pa.int64()), pa.list_(pa.float64())
         whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names).to_batches(ROWS)
         k = len(row_group)
-        yield from whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_block), packed_rows(back, edges), pa.nulls(k, many), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
+        yield from whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_block), *plane_rows(back, edges), pa.nulls(k, many), pa.nulls(k, pa.list_(pa.int32())), pa.nulls(k, many), pa.nulls(k, many), pa.nulls(k, real)])
 
         seen = np.flatnonzero(total > 0)
         first = order[cuts[:-1][seen]]
         at = _edges(rank[first])
-        v, split, group, word, total, c = v[first], row_split[of_row[first]], row_group[of_row[first]], w[first], total[seen], c[first]
-        heads = at[:-1]
-        rows = _edges(group[heads], split[heads])
+        word, total, c, heads = w[first], total[seen], c[first], of_v[first[at[:-1]]]
+        v, split, group = v[heads], row_split[of_row[heads]], row_group[of_row[heads]]
+        rows = _edges(group, split)
         k = len(rows) - 1
-        stats = np.stack([*_by_count(total, at), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
+        of = np.repeat(np.arange(len(heads)), np.diff(at))
+        stats = np.stack([*_by_count(total, of, len(heads)), _totals(total, at), _totals(c + ADDED, at)], axis=1).astype(np.float64) if k else np.zeros((0, _K + 4))
         of_words = at[rows]
-        yield from whole(_TABLE, k, [pa.array(group[heads][rows[:-1]]), pa.array(split[heads][rows[:-1]].astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), _lists(v[heads], rows, pa.int64()), _lists(np.diff(at).astype(np.int32), rows, pa.int32()), _lists(word, of_words, pa.int64()), _lists(total, of_words, pa.int64()), _lists(stats.reshape(-1), rows * (_K + 4), pa.float64())])
+        yield from whole(_TABLE, k, [pa.array(group[rows[:-1]]), pa.array(split[rows[:-1]].astype(np.int32)), pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.binary())] * 2, _lists(v, rows, pa.int64()), _lists(np.diff(at).astype(np.int32), rows, pa.int32()), _lists(word, of_words, pa.int64()), _lists(total, of_words, pa.int64()), _lists(stats.reshape(-1), rows * (_K + 4), pa.float64())])
         counts = [*((total == r).sum() for r in range(1, _K + 2)), ((total == 1) & (word != end)).sum()]
-        yield from whole(_SEEN, 1, [pa.array([0]), pa.array([0], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, many), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, many), pa.nulls(1, many), pa.array([list(map(float, counts))], real)])
+        yield from whole(_SEEN, 1, [pa.array([0]), pa.array([0], pa.int32()), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 2, pa.nulls(1, many), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, many), pa.nulls(1, many), pa.array([list(map(float, counts))], real)])
 
     return sent.repartition(width, "grp", "split").mapInArrow(lean(run), _TWO)
 
@@ -543,19 +597,22 @@ def _answered(corpus: DataFrame, answers: DataFrame, facts: _Facts) -> DataFrame
         import pyarrow as pa
 
         block = _Block(next(_rows(left.combine_chunks().to_batches()[0])), facts)
-        counts = _in_order(right, ["split", "grp"], "data")
-        return left.append_column("low", pa.array([pack_numbers(counts[block.pairs()[3]])[0].tobytes()], pa.binary()))
+        counts = _in_order(right, ["split", "grp"], "data", "rest")
+        return left.append_column("low", pa.array([pack_planes(counts[block.pairs()[3]])], pa.binary()))
 
-    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data").groupBy("block")).applyInArrow(lean_pair(run), f"{_KNOWN}, low binary")
+    return corpus.groupBy("block").cogroup(answers.select("block", "grp", "split", "data", "rest").groupBy("block")).applyInArrow(lean_pair(run), f"{_KNOWN}, low binary")
 
 
-def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
-    """The numbers of a block's answers, rows sorted by ``keys`` (the last first), as the block sent them."""
+def _in_order(table, keys: list[str], data: str, rest: str | None = None, kind=None) -> np.ndarray:
+    """The numbers of a block's answers, rows sorted by ``keys`` (the last first), as the block sent them. ``rest``: the other
+    column of planes."""
     import pyarrow as pa
 
     table = table.combine_chunks()
     order = np.lexsort(tuple(table.column(k).to_numpy() for k in keys))
     column = table.column(data).take(pa.array(order))
+    if rest:
+        return from_plane_rows(column, table.column(rest).take(pa.array(order)))[0]
     if kind is None:
         return unpacked_rows(column)[0]
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -569,7 +626,7 @@ def _in_order(table, keys: list[str], data: str, kind=None) -> np.ndarray:
 def _send_triples(corpus: DataFrame, facts: _Facts, which: int, slices: int) -> DataFrame:
     """Rows of the trigrams around each group's words v, of one slice: u, v, w, how often to learn from, and the count of
     (v, w)."""
-    names = ["grp", "split", "own", "block", "v", "u", "w", "n", "low"]
+    names = ["grp", "split", "own", "block", *_HEADS, *_planes("u", "w", "n", "low")]
 
     def run(batches):
         import pyarrow as pa
@@ -582,26 +639,14 @@ def _send_triples(corpus: DataFrame, facts: _Facts, which: int, slices: int) ->
                     continue
                 u, v, w, split, own, of, first = block.triples(at)
                 n = np.bincount(of, weights=block.learnt[at], minlength=len(u)).astype(np.int64)
-                group = block.group[v]
-                edges = _edges(group, split, own)
-                heads = edges[:-1]
-                packed = (_steps(block.id[v], group, split, own), _steps(block.id[u], v, split, own), _steps(block.id[w], v, split, own, u), n, block.low[first])
-                columns = [pa.array(group[heads]), pa.array(split[heads].astype(np.int32)), pa.array(own[heads]), pa.array(np.full(len(heads), block.number))]
-                yield from pa.Table.from_arrays([*columns, *(packed_rows(x, edges) for x in packed)], names).to_batches(ROWS)
+                plain, edges, packed = _sent(block, v, split, own)
+                columns = [*plain, *packed, *plane_rows(block.id[u], edges, np.uint16), *plane_rows(block.id[w], edges, np.uint16), *plane_rows(n, edges), *plane_rows(block.low[first], edges)]
+                yield from pa.Table.from_arrays(columns, names).to_batches(ROWS)
 
     return corpus.mapInArrow(lean(run), "grp long, split int, own long, block long, " + ", ".join(f"{n} binary" for n in names[4:]))
 
 
-def _unpacked(got):
-    """The rows, and u, v, w, n, ... of all trigrams of a partition."""
-    plain, ((v, edges), (u, _), (w, _), *rest) = got
-    of_row = np.repeat(np.arange(len(plain[0])), np.diff(edges))
-    v = _from_steps(v, of_row)
-    u = _from_steps(u, of_row, v)
-    return plain, edges, of_row, u, v, _from_steps(w, of_row, v, u), [x for x, _ in rest]
-
-
-_THREE = "kind int, grp long, split int, own long, block long, data binary, above binary, masses binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
+_THREE = "kind int, grp long, split int, own long, block long, data binary, rest binary, above binary, masses binary, extra binary, low_backs binary, v array<bigint>, u array<bigint>, w array<bigint>, counts array<bigint>, stats array<double>"
 
 
 def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts, which: int, slices: int, d2: np.ndarray) -> DataFrame:
@@ -613,11 +658,12 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
     1, ..., _K times and the sum of the counts above, and ``masses`` what the shorter context gives to the kept ones: all
     that its weight depends on besides the discounts. ``extra``: for each v of a row what its total is above its count;
     ``low_backs``: log10 of the weight of each v of which a pair was never seen. ``known``: the contexts."""
-    empty = [F.lit(b"").alias(c) for c in ("v", "u", "w", "n", "low")]
+    ours = [*_HEADS, *_planes("u", "w", "n", "low")]
+    empty = [F.lit(b"").alias(c) for c in ours]
     lists = {"cv": "v", "ctotal": "total", "cmore": "more", "cback": "log_backoff"}
     own = known.filter(F.pmod("grp", F.lit(slices)) == which).select("grp", "split", F.lit(-1).cast("long").alias("own"), F.lit(-1).cast("long").alias("block"), *empty, *(F.col(c).alias(n) for n, c in lists.items()))
     both = sent.withColumns({n: F.lit(b"") for n in lists}).unionByName(own)
-    columns = ["grp", "split", "own", "block", *lists, "v", "u", "w", "n", "low"]
+    columns = ["grp", "split", "own", "block", *lists, *ours]
 
     def run(batches):
         import pyarrow as pa
@@ -630,65 +676,69 @@ def _count_triples(sent: DataFrame, known: DataFrame, width: int, facts: _Facts,
         cback = np.append(np.frombuffer(b"".join(rows.column(7).to_pylist())), 0.0)
         by_word = np.argsort(cv[:-1], kind="stable")
         cv, ctotal, cmore, cback = (np.append(x[:-1][by_word], x.dtype.type(0)) for x in (cv, ctotal, cmore, cback))
-        got = _gathered(rows.select([0, 1, 2, 3, *range(8, 13)]).to_batches(), 5)
-        (row_group, row_split, row_own, row_block), edges, of_row, u, v, w, (n, low) = _unpacked(got)
+        row_group, row_split, row_own, row_block = (rows.column(i).to_numpy() for i in range(4))
+        per_row, of_row, v, runs = _received(rows, 8)
+        (u, edges), (w, _), (n, _), (low, _) = (from_plane_rows(rows.column(i), rows.column(i + 1), kind) for i, kind in ((10, np.uint16), (12, np.uint16), (14, np.uint8), (16, np.uint8)))
+        del batches, rows
 
         def of(words):
             at = np.minimum(np.searchsorted(cv[:-1], words), len(cv) - 1)
             return np.where(cv[at] == words, at, len(cv) - 1) if len(cv) > 1 else np.zeros(len(words), np.int64)
 
-        rank = _ranked([row_group, row_split, row_own], of_row, v)
-        order = _order(rank, u, w)
-        cuts = _edges(rank[order], u[order], w[order])
+        of_v, place = np.repeat(np.arange(len(v), dtype=np.int32), np.diff(runs)), of(v)
+        rank = _ranked([row_group, row_split, row_own], of_row, v)[of_v]
+        order, cuts = _grouped(rank, u, w)
         first = order[cuts[:-1]]
         count = _totals(n[order], cuts)
+        pair = _edges(rank[first], u[first])
+        context = np.repeat(np.arange(len(pair) - 1), np.diff(pair))
         kept = count >= LEAST[2]
-        of_first = of_row[first]
-        hs, ho, hg, hv, hu, hw, r2 = row_split[of_first], row_own[of_first], row_group[of_first], v[first], u[first], w[first], low[first]
-        lower = np.where(kept, d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(ctotal[of(hv)], 1), 0.0)
-        pair = _edges(rank[first], hu)
-        sums = _by_count(np.where(kept, count, 0), pair)
+        at = np.flatnonzero(kept)
+        r2, k = low[first[at]], len(pair) - 1
+        lower = d2[np.minimum(r2, _K + 1)] * r2 / np.maximum(ctotal[place[of_v[first[at]]]], 1)
+        sums = _by_count(count[at], context[at], k)
         total = _totals(count, pair)
-        mass = _totals(lower, pair)
+        mass = np.bincount(context[at], weights=lower, minlength=k)
         nothing = (sums[_K + 1] == total) & (total > 0)
-        per = np.diff(pair)
-        code = np.where(kept, 2 * count + np.repeat(nothing, per), np.repeat(mass > 0, per))
-        answer, context_of = np.empty(len(u), np.int64), np.empty(len(u), np.int64)
-        answer[order] = np.repeat(code, np.diff(cuts))
-        context_of[order] = np.repeat(np.repeat(np.arange(len(per)), per), np.diff(cuts))
-        runs = _edges(of_row, v, u)[:-1]
-        asked = runs[(_totals((answer == 1).astype(np.int64), np.append(runs, len(u))) > 0) & (row_own[of_row[runs]] == 0)] if len(u) else runs
-        of_asked = np.searchsorted(of_row[asked], np.arange(len(row_group) + 1))
-        above = np.stack([*sums[:_K], sums[_K + 1]], axis=1)[context_of[asked]].reshape(-1)
-        head = _edges(of_row, v)
-        unseen = _totals((low == 0).astype(np.int64), head) > 0
-        head = head[:-1]
-        place = of(v[head])
-        per_row = np.searchsorted(of_row[head], np.arange(len(row_group) + 1))
-        names = ["kind", "grp", "split", "own", "block", "data", "above", "masses", "extra", "low_backs", "v", "u", "w", "counts", "stats"]
+        code = (mass > 0).astype(np.int64)[context]
+        code[at] = 2 * count[at] + nothing[context[at]]
+        which_one = np.empty(len(u), np.int32)
+        which_one[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(cuts))
+        answer = code[which_one]
+        of_pair = _edges(of_v, u)
+        asked = of_pair[:-1][_any(answer == 1, of_pair)]
+        asked = asked[row_own[of_row[of_v[asked]]] == 0]
+        of_asked = np.searchsorted(asked, edges)
+        its_context = context[which_one[asked]]
+        above = np.stack([*sums[:_K], sums[_K + 1]], axis=1)[its_context].reshape(-1)
+        unseen = _any(low == 0, runs)
+        names = ["kind", "grp", "split", "own", "block", "data", "rest", "above", "masses", "extra", "low_backs", "v", "u", "w", "counts", "stats"]
         many, real, raw = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.binary()
         whole = lambda kind, k, columns: pa.Table.from_arrays([pa.array(np.full(k, kind, np.int32)), *columns], names)
         k = len(row_group)
-        weights = [packed_rows(above, of_asked * (_K + 1)), _raw(mass[context_of[asked]], of_asked), packed_rows(cmore[place], per_row), _raw(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
-        out = whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_own), pa.array(row_block), packed_rows(answer, edges), *weights, *[pa.nulls(k, many)] * 4, pa.nulls(k, real)])
+        weights = [packed_rows(above, of_asked * (_K + 1)), _raw(mass[its_context], of_asked), packed_rows(cmore[place], per_row), _raw(cback[place[unseen]], np.append(0, np.cumsum(unseen))[per_row])]
+        out = whole(_ANSWERS, k, [pa.array(row_group), pa.array(row_split), pa.array(row_own), pa.array(row_block), *plane_rows(answer, edges), *weights, *[pa.nulls(k, many)] * 4, pa.nulls(k, real)])
         yield from out.filter(pa.array(row_own >= 0)).to_batches(ROWS)
-        del out, weights, answer
+        del out, weights, answer, which_one
 
-        at = np.flatnonzero(kept)
-        rows = _edges(hg[at], hs[at], ho[at])
-        k, heads = len(rows) - 1, at[rows[:-1]]
-        yield from whole(_TABLE, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 5, *(_lists(x[at], rows, pa.int64()) for x in (hv, hu, hw, count)), pa.nulls(k, real)]).to_batches(ROWS)
+        row = of_row[of_v[first[at]]]
+        rows = _edges(row_group[row], row_split[row], row_own[row])
+        k, heads = len(rows) - 1, row[rows[:-1]]
+        yield from whole(_TABLE, k, [pa.array(row_group[heads]), pa.array(row_split[heads].astype(np.int32)), pa.array(row_own[heads]), pa.nulls(k, pa.int64()), *[pa.nulls(k, raw)] * 6, *(_lists(x, rows, pa.int64()) for x in (v[of_v[first[at]]], u[first[at]], w[first[at]], count[at])), pa.nulls(k, real)]).to_batches(ROWS)
 
         # Contexts seen once are left out here, whether they were sent or not; they are counted by the pairs.
-        often = np.repeat((total >= LEAST[2]) | (ho[pair[:-1]] > 0), per)
-        seen = np.array([((count == r) & often).sum() for r in range(1, _K + 2)], np.float64)
+        heads = of_v[first[pair[:-1]]]
+        own_of = row_own[of_row[heads]]
+        often = ((total >= LEAST[2]) | (own_of > 0))[context]
+        seen = np.bincount(np.minimum(count[often], _K + 2), minlength=_K + 3)[1 : _K + 2].astype(np.float64)
         one = lambda value, kind: pa.array([value], kind)
-        yield from whole(_SEEN, 1, [one(0, pa.int64()), one(0, pa.int32()), *[one(0, pa.int64())] * 2, *[pa.nulls(1, raw)] * 5, *[pa.nulls(1, many)] * 4, one(seen, real)]).to_batches()
-        alone = np.flatnonzero(ho[pair[:-1]] > 0)
+        yield from whole(_SEEN, 1, [one(0, pa.int64()), one(0, pa.int32()), *[one(0, pa.int64())] * 2, *[pa.nulls(1, raw)] * 6, *[pa.nulls(1, many)] * 4, one(seen, real)]).to_batches()
+        alone = np.flatnonzero(own_of > 0)
         if len(alone):
-            heads, k = pair[:-1][alone], len(alone)
+            heads, k = heads[alone], len(alone)
+            row = of_row[heads]
             stats = np.stack([*sums, total, mass], axis=1)[alone].astype(np.float64)
-            yield from whole(_STATS, k, [pa.array(hg[heads]), pa.array(hs[heads].astype(np.int32)), pa.array(ho[heads]), pa.array(hv[heads]), *[pa.nulls(k, raw)] * 5, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(ROWS)
+            yield from whole(_STATS, k, [pa.array(row_group[row]), pa.array(row_split[row].astype(np.int32)), pa.array(row_own[row]), pa.array(v[heads]), *[pa.nulls(k, raw)] * 6, *[pa.nulls(k, many)] * 4, _lists(stats.reshape(-1), np.arange(k + 1) * stats.shape[1], pa.float64())]).to_batches(ROWS)
 
     return both.select(columns).repartition(width, "grp", "split").mapInArrow(lean(run), _THREE)
 
@@ -713,6 +763,13 @@ def _hot_pairs(tables: list[DataFrame], d3: np.ndarray) -> dict[tuple[int, int],
     return out
 
 
+def _logs(d: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log10 of discounted counts, each count's taken once where that is less work."""
+    each = np.arange(counts.max() + 1) if len(counts) and counts.max() < len(counts) else counts
+    out = np.log10(d[np.minimum(each, _K + 1)] * each)
+    return out if each is counts else out[counts]
+
+
 def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndarray, d3: np.ndarray, hot: dict) -> DataFrame:
     def run(left, right):
         import pyarrow as pa
@@ -725,17 +782,17 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
         low = block.low[first]
         if len(u):
             keys = ["own", "split", "grp"]
-            answer = _in_order(right, keys, "data")
-            runs = _edges(block.group[v], split, own, v)
-            words, unseen = v[runs[:-1]], _totals((low == 0).astype(np.int64), runs) > 0
+            answer = _in_order(right, keys, "data", "rest")
+            runs = _edges(v, split, own)
+            words, unseen = v[runs[:-1]], _any(low == 0, runs)
             total[words] = block.count[words] + _in_order(right, keys, "extra")
-            back[words[unseen]] = _in_order(right, keys, "low_backs", np.float64)
+            back[words[unseen]] = _in_order(right, keys, "low_backs", kind=np.float64)
             r, more = answer >> 1, answer & 1
-            contexts = _edges(block.group[v], split, own, v, u)
-            asked = np.flatnonzero((_totals((answer == 1).astype(np.int64), contexts) > 0) & (own[contexts[:-1]] == 0))
+            contexts = _edges(v, split, own, u)
+            asked = np.flatnonzero(_any(answer == 1, contexts) & (own[contexts[:-1]] == 0))
             above = _in_order(right, keys, "above").reshape(-1, _K + 1)
             of_context = np.zeros(len(contexts) - 1)
-            of_context[asked] = _weight(above[:, :_K].T, above[:, _K], block.low[first[contexts[asked]] - 1], _in_order(right, keys, "masses", np.float64), d3)
+            of_context[asked] = _weight(above[:, :_K].T, above[:, _K], block.low[first[contexts[asked]] - 1], _in_order(right, keys, "masses", kind=np.float64), d3)
             weight = np.repeat(of_context, np.diff(contexts))
             alone = np.flatnonzero(own > 0)
             for edge in _edges(u[alone], v[alone])[:-1] if len(alone) else ():
@@ -745,18 +802,19 @@ def _evaluated(corpus: DataFrame, answers: DataFrame, facts: _Facts, d2: np.ndar
         total[0], back[0] = facts.start
         before, low_of = block.before, block.low
         with np.errstate(divide="ignore"):
-            value = np.where(low_of > 0, np.log10(d2[np.minimum(low_of, _K + 1)] * low_of) - np.log10(total[before]), back[before] + one[block.word])
+            value = np.where(low_of > 0, _logs(d2, low_of) - np.log10(total)[before], back[before] + one[block.word])
             if len(u):
-                three = np.where(r > 0, np.log10(d3[np.minimum(r, _K + 1)] * r) - np.log10(block.low[first - 1] + more), weight + value[first])
+                three, some = weight + value[first], np.flatnonzero(r > 0)
+                three[some] = _logs(d3, r[some]) - np.log10(block.low[first[some] - 1] + more[some])
                 value[at] = three[of]
         edges = np.append(block.first, len(value))
         ids = left.column("ids").combine_chunks()
         ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).flatten()
-        known = _totals((block.count[block.word] > 0).astype(np.int64), edges)
+        known = _totals((block.count > 0)[block.word].astype(np.int64), edges)
         columns = [ids, block.held, block.sizes, known, np.full(len(block.sizes), facts.n), _totals(one[block.word], edges), _totals(value, edges)]
         return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    answers = answers.select("block", "grp", "split", "own", "data", "above", "masses", "extra", "low_backs")
+    answers = answers.select("block", "grp", "split", "own", "data", "rest", "above", "masses", "extra", "low_backs")
     return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lean_pair(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -773,7 +831,7 @@ def score(docs: DataFrame, held_out, slices: int = SLICES, hot_share: float = HO
     numbers = stored(_number_words(_send_words(blocks), width), "katz-numbers", by="kind", batch=BATCH)
     n, v, texts, end = map(int, _sums(numbers, 4))
     facts = _Facts(n, v, texts, end, max(float(LEAST[2]), n * hot_share))
-    corpus = stored(_numbered(blocks, numbers.filter(F.col("kind") == _ANSWERS)), "katz-corpus", batch=BATCH)
+    corpus = stored(_numbered(blocks, numbers.filter(F.col("kind") == _ANSWERS), facts), "katz-corpus", batch=BATCH)
     discard(blocks)
     discard(numbers, part=f"kind={_ANSWERS}")
 
